@@ -1,10 +1,10 @@
 """All oracle SQL strings, keyed like the query registry."""
 
-from viewlens.checks import sql_rfm
+from viewlens.checks import sql_content, sql_rfm
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for mod in (sql_rfm,):
+    for mod in (sql_rfm, sql_content):
         out.update(mod.SQL)
     return out

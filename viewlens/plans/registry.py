@@ -11,11 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewlens import schemas as S
+from viewlens.operators import content as C
 from viewlens.operators import rfm as R
 from viewlens.operators.ntile import global_ntile
+from viewlens.plans import content as content_plan
 from viewlens.plans import rfm as rfm_plan
-from viewlens.session import materialize
+from viewlens.session import materialize, scratch_path
+from viewlens.sources import files
 from viewlens.sources import testdata as TD
+from viewlens.sources.sinks import write_content_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,3 +80,86 @@ def global_ntile_query(spark, sf):
     t = global_ntile(totals, "Monetary", 7, ["CustomerID"], "tile", method="distributed")
     t = global_ntile(t, "Frequency", 7, ["CustomerID"], "tile_frequency", method="distributed")
     return t.select("CustomerID", F.col("Monetary").cast("double").alias("Monetary"), "tile", "tile_frequency")
+
+
+# ── Content ────────────────────────────────────────────────────────────────
+
+def _flat(spark, sf, days=None):
+    start, end = days if days else (None, None)
+    return TD.content_log(spark, sf, start, end)
+
+
+def _day_cols(df, *cols):
+    return df.select("Contract", iso("Process_Date"), *cols)
+
+
+@query("content_categorize")
+def content_categorize(spark, sf):
+    c = C.categorize(_flat(spark, sf))
+    return c.select("Contract", "Mac", "AppName", "TotalDuration", iso("Process_Date"), "Type")
+
+
+@query("content_daily_devices")
+def content_daily_devices(spark, sf):
+    return _day_cols(C.daily_devices(C.valid_views(_flat(spark, sf))), "Total_Devices")
+
+
+@query("content_daily_durations")
+def content_daily_durations(spark, sf):
+    return _day_cols(C.daily_durations(C.valid_views(_flat(spark, sf))), "Type", "Total_Duration")
+
+
+@query("content_daily_pivot")
+def content_daily_pivot(spark, sf):
+    return _day_cols(C.daily_pivot(C.valid_views(_flat(spark, sf))), *S.duration_columns())
+
+
+@query("content_daily_profile")
+def content_daily_profile(spark, sf):
+    return _day_cols(C.daily_profile(C.valid_views(_flat(spark, sf))), "Total_Devices", *S.duration_columns())
+
+
+@query("content_most_watch")
+def content_most_watch(spark, sf):
+    return _day_cols(content_plan.content_daily(_flat(spark, sf)), *S.duration_columns(), "MostWatch")
+
+
+@query("content_taste")
+def content_taste(spark, sf):
+    return _day_cols(content_plan.content_daily(_flat(spark, sf)), *S.duration_columns(), "Taste")
+
+
+@query("content_activity")
+def content_activity(spark, sf):
+    return C.activity(C.valid_views(_flat(spark, sf)))
+
+
+@query("content_profile")
+def content_profile(spark, sf):
+    return content_plan.content_table(_flat(spark, sf))
+
+
+@query("content_profile_range")
+def content_profile_range(spark, sf):
+    """Days 2024-01-01..06: a range where both activity labels occur."""
+    return content_plan.content_table(_flat(spark, sf, TD.CONTENT_DAYS))
+
+
+@query("content_profile_period")
+def content_profile_period(spark, sf):
+    return content_plan.content_table(_flat(spark, sf), labels="period")
+
+
+@query("content_distinct_devices")
+def content_distinct_devices(spark, sf):
+    return C.distinct_devices(C.valid_views(_flat(spark, sf)))
+
+
+@query("content_range_scan")
+def content_range_scan(spark, sf):
+    """Write the whole log as day folders of JSON, read back a day range."""
+    base = scratch_path(spark, "content-log")
+    write_content_log(_flat(spark, sf), base, layout="partitioned")
+    start, end = TD.CONTENT_DAYS
+    got = files.content_range_scan(spark, base, start, end, layout="partitioned")
+    return got.select("Contract", "Mac", "AppName", "TotalDuration", iso("Process_Date"))
