@@ -1,10 +1,10 @@
 """All oracle SQL strings, keyed like the query registry."""
 
-from viewlens.checks import sql_content, sql_rfm
+from viewlens.checks import sql_content, sql_rfm, sql_search
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for mod in (sql_rfm, sql_content):
+    for mod in (sql_rfm, sql_content, sql_search):
         out.update(mod.SQL)
     return out

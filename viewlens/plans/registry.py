@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from viewlens import schemas as S
 from viewlens.operators import content as C
 from viewlens.operators import rfm as R
+from viewlens.operators import search as Q
 from viewlens.operators.ntile import global_ntile
 from viewlens.plans import content as content_plan
 from viewlens.plans import rfm as rfm_plan
+from viewlens.plans import search as search_plan
 from viewlens.session import materialize, scratch_path
 from viewlens.sources import files
 from viewlens.sources import testdata as TD
-from viewlens.sources.sinks import write_content_log
+from viewlens.sources.sinks import write_content_log, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -163,3 +165,77 @@ def content_range_scan(spark, sf):
     start, end = TD.CONTENT_DAYS
     got = files.content_range_scan(spark, base, start, end, layout="partitioned")
     return got.select("Contract", "Mac", "AppName", "TotalDuration", iso("Process_Date"))
+
+
+# ── Search ─────────────────────────────────────────────────────────────────
+
+def _search_inputs(spark, sf):
+    return TD.search_log_tagged(spark, sf), TD.keyword_mapping_tagged(spark, sf)
+
+
+@query("search_counts")
+def search_counts(spark, sf):
+    return Q.counts(TD.search_log_tagged(spark, sf))
+
+
+@query("search_top_keyword")
+def search_top_keyword(spark, sf):
+    return Q.top_keyword(TD.search_log_tagged(spark, sf))
+
+
+@query("search_distinct_keywords")
+def search_distinct_keywords(spark, sf):
+    return Q.distinct_keywords(TD.search_log_tagged(spark, sf))
+
+
+@query("search_keyword_popularity")
+def search_keyword_popularity(spark, sf):
+    return Q.keyword_popularity(Q.top_keyword(TD.search_log_tagged(spark, sf)), 20)
+
+
+@query("search_mapped")
+def search_mapped(spark, sf):
+    log, mapping = _search_inputs(spark, sf)
+    return Q.mapped(Q.top_keyword(log), mapping)
+
+
+@query("genre_dimension")
+def genre_dimension(spark, sf):
+    return Q.genre_dimension(TD.keyword_mapping_tagged(spark, sf)).select("keyword", "Genre")
+
+
+@query("search_period_pivot")
+def search_period_pivot(spark, sf):
+    log, mapping = _search_inputs(spark, sf)
+    return Q.period_pivot(Q.mapped(Q.top_keyword(log), mapping))
+
+
+@query("search_genre_enrich")
+def search_genre_enrich(spark, sf):
+    log, mapping = _search_inputs(spark, sf)
+    pivot = Q.period_pivot(Q.mapped(Q.top_keyword(log), mapping))
+    return Q.genre_enrich(pivot, Q.genre_dimension(mapping))
+
+
+@query("search_changing")
+def search_changing(spark, sf):
+    log, mapping = _search_inputs(spark, sf)
+    return search_plan.search_change(log, mapping)
+
+
+@query("search_normalize")
+def search_normalize(spark, sf):
+    """A loaded copy with lower-case headers and padded strings, normalised back."""
+    log, mapping = _search_inputs(spark, sf)
+    res = search_plan.search_change(log, mapping)
+    messy = res.select(*[F.concat(F.lit(" "), F.col(c), F.lit("  ")).alias(c.lower()) if c != "user_id"
+                         else F.col(c) for c in res.columns])
+    return Q.normalize(messy)
+
+
+@query("search_period_scan")
+def search_period_scan(spark, sf):
+    """Write the log partitioned by period; read one period back (pruned)."""
+    base = scratch_path(spark, "search-log")
+    write_parquet(TD.search_log_tagged(spark, sf), base, partition_by=["period"])
+    return files.read_search_log(spark, base, period=1)

@@ -122,3 +122,26 @@ def keyword_mapping(spark: SparkSession, sf_dir: str, period: int) -> DataFrame:
             .filter(~first.isin(MAPPING_EXCLUDED_FIRST_WORDS[period]))
             .select(name.alias("keyword"), genre.alias("Genre"))
             .distinct())
+
+
+def search_log_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both periods in one scan: (period, user_id, keyword)."""
+    y1, y2 = SEARCH_PERIOD_YEARS[1], SEARCH_PERIOD_YEARS[2]
+    date = F.col("o_orderdate")
+    o = (table(spark, sf_dir, "orders")
+         .filter((date >= F.lit(dt.date(y1, 1, 1)).cast("timestamp_ntz"))
+                 & (date < F.lit(dt.date(y2 + 1, 1, 1)).cast("timestamp_ntz")))
+         .select("o_orderkey", "o_custkey", F.when(F.year(date) == y1, 1).otherwise(2).alias("period")))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+            .join(p, li.l_partkey == p.p_partkey)
+            .select("period", F.col("o_custkey").cast("string").alias("user_id"),
+                    F.col("p_name").alias("keyword")))
+
+
+def keyword_mapping_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both periods' labels: (period, keyword, Genre)."""
+    return (keyword_mapping(spark, sf_dir, 1).withColumn("period", F.lit(1))
+            .unionByName(keyword_mapping(spark, sf_dir, 2).withColumn("period", F.lit(2)))
+            .select("period", "keyword", "Genre"))
