@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from viewlens import schemas as S
 from viewlens.operators import content as C
+from viewlens.operators import marts as M
 from viewlens.operators import rfm as R
 from viewlens.operators import search as Q
 from viewlens.operators.ntile import global_ntile
@@ -239,3 +240,79 @@ def search_period_scan(spark, sf):
     base = scratch_path(spark, "search-log")
     write_parquet(TD.search_log_tagged(spark, sf), base, partition_by=["period"])
     return files.read_search_log(spark, base, period=1)
+
+
+# ── Marts ──────────────────────────────────────────────────────────────────
+# Fixed filter selections of the *_filtered keys.
+RFM_FILTER_SEGMENTS = ["Champions", "Loyal Customers", "At Risk", "Hibernating"]
+CONTENT_FILTER_MOST_WATCH = ["Truyền Hình", "Phim Truyện", "Thể Thao"]
+CONTENT_FILTER_ACTIVE = ["High"]
+SEARCH_FILTER_GENRES_T6 = ["Action", "Drama", "Romance", "Sports"]
+SEARCH_FILTER_GENRES_T7 = ["Action", "Drama", "Romance", "Music", "Other"]
+
+
+def _rfm(spark, sf):
+    return rfm_plan.rfm_table(TD.transactions(spark, sf))
+
+
+def _content(spark, sf):
+    return content_plan.content_table(_flat(spark, sf))
+
+
+def _search(spark, sf):
+    log, mapping = _search_inputs(spark, sf)
+    return search_plan.search_change(log, mapping)
+
+
+_MARTS = {
+    "mart_rfm_filtered": (_rfm, lambda t: M.rfm_filtered(t, RFM_FILTER_SEGMENTS)),
+    "mart_rfm_kpis": (_rfm, M.rfm_kpis),
+    "mart_rfm_segment_counts": (_rfm, M.rfm_segment_counts),
+    "mart_rfm_segment_revenue": (_rfm, M.rfm_segment_revenue),
+    "mart_rfm_segment_share": (_rfm, M.rfm_segment_share),
+    "mart_top_rfm_scores": (_rfm, lambda t: M.top_rfm_scores(t, 20)),
+    "mart_rfm_segment_stats": (_rfm, M.rfm_segment_stats),
+    "mart_content_filtered": (_content, lambda t: M.content_filtered(t, CONTENT_FILTER_MOST_WATCH,
+                                                                     CONTENT_FILTER_ACTIVE)),
+    "mart_content_kpis": (_content, M.content_kpis),
+    "mart_content_durations": (_content, M.content_durations),
+    "mart_content_most_watch": (_content, M.content_most_watch),
+    "mart_content_active": (_content, M.content_active),
+    "mart_top_taste15": (_content, lambda t: M.top_taste(t, 15)),
+    "mart_content_avg_durations": (_content, M.content_avg_durations),
+    "mart_device_histogram": (_content, M.device_histogram),
+    "mart_most_watch_active": (_content, M.most_watch_active),
+    "mart_top_taste20": (_content, lambda t: M.top_taste(t, 20)),
+    "mart_most_watch_stats": (_content, M.most_watch_stats),
+    "mart_search_filtered": (_search, lambda t: M.search_filtered(t, SEARCH_FILTER_GENRES_T6,
+                                                                   SEARCH_FILTER_GENRES_T7)),
+    "mart_search_changed": (_search, lambda t: M.search_filtered(t, change="changed")),
+    "mart_search_kpis": (_search, M.search_kpis),
+    "mart_genre_t6": (_search, lambda t: M.genre_counts(t, "Genre_T6")),
+    "mart_genre_t7": (_search, lambda t: M.genre_counts(t, "Genre_T7")),
+    "mart_genre_compare": (_search, M.genre_compare),
+    "mart_change_status": (_search, M.change_status),
+    "mart_top_changing": (_search, lambda t: M.top_changing(t, 15)),
+    "mart_top_keywords_t6": (_search, lambda t: M.top_keywords(t, "Most_Searched_T6", 15)),
+    "mart_top_keywords_t7": (_search, lambda t: M.top_keywords(t, "Most_Searched_T7", 15)),
+    "mart_genre_matrix": (_search, M.genre_matrix),
+    "mart_genre_matrix_wide": (_search, M.genre_matrix_wide),
+    "mart_genre_flow": (_search, lambda t: M.genre_flow(t, 20)),
+    "mart_genre_flow_nodes": (_search, lambda t: M.genre_flow_nodes(t, 20)),
+    "mart_genre_flow_links": (_search, lambda t: M.genre_flow_links(t, 20)),
+}
+
+
+def _mart_query(source, fn):
+    def run(spark, sf):
+        return fn(source(spark, sf))
+    return run
+
+
+for _name, (_source, _fn) in _MARTS.items():
+    QUERIES[_name] = _mart_query(_source, _fn)
+
+
+@query("mart_filter_options")
+def mart_filter_options(spark, sf):
+    return M.filter_options(_rfm(spark, sf), _content(spark, sf), _search(spark, sf))
