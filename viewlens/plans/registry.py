@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlens import schemas as S
+from viewlens.operators import classify as K
 from viewlens.operators import content as C
 from viewlens.operators import marts as M
 from viewlens.operators import rfm as R
@@ -316,3 +317,34 @@ for _name, (_source, _fn) in _MARTS.items():
 @query("mart_filter_options")
 def mart_filter_options(spark, sf):
     return M.filter_options(_rfm(spark, sf), _content(spark, sf), _search(spark, sf))
+
+
+# ── Keyword classification ─────────────────────────────────────────────────
+
+@query("keyword_classify")
+def keyword_classify(spark, sf):
+    return K.classify_rules(TD.search_log_tagged(spark, sf))
+
+
+@query("keyword_classify_rules")
+def keyword_classify_rules(spark, sf):
+    return K.rule_hints(TD.search_log_tagged(spark, sf))
+
+
+@query("keyword_classify_batched")
+def keyword_classify_batched(spark, sf):
+    return K.classify_batched(TD.search_log_tagged(spark, sf), K.rules_labeller(), batch_size=100)
+
+
+@query("keyword_classify_override")
+def keyword_classify_override(spark, sf):
+    """The first period's labels as an override table over the rules."""
+    return K.classify_rules(TD.search_log_tagged(spark, sf), overrides=TD.keyword_mapping(spark, sf, 1))
+
+
+@query("label_response_parse")
+def label_response_parse(spark, sf):
+    """Answers built from the first period's labels, parsed back per keyword."""
+    log = TD.search_log_tagged(spark, sf)
+    answers = K.answers_from_labels(log, TD.keyword_mapping(spark, sf, 1))
+    return K.parse_responses(answers)
