@@ -112,4 +112,6 @@ FROM valid GROUP BY Contract"""),
 SELECT Contract, count(DISTINCT Mac) AS Distinct_Devices FROM valid GROUP BY Contract"""),
     "content_range_scan": with_ctes([flat(RANGE_WHERE)], f"""
 SELECT Contract, Mac, AppName, TotalDuration, {ISO} FROM flat"""),
+    "content_daily_stream": with_ctes([flat(), CAT, VALID, DAILY, LABELED], f"""
+SELECT Contract, {ISO}, Total_Devices, {DUR_COLS}, MostWatch, Taste FROM labeled"""),
 }

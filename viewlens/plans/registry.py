@@ -25,6 +25,7 @@ from viewlens.session import materialize, scratch_path
 from viewlens.sources import files
 from viewlens.sources import testdata as TD
 from viewlens.sources.sinks import write_content_log, write_parquet
+from viewlens.streaming.content_daily import read_daily_profiles, start_daily_profiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -348,3 +349,17 @@ def label_response_parse(spark, sf):
     log = TD.search_log_tagged(spark, sf)
     answers = K.answers_from_labels(log, TD.keyword_mapping(spark, sf, 1))
     return K.parse_responses(answers)
+
+
+# ── Streaming ──────────────────────────────────────────────────────────────
+
+@query("content_daily_stream")
+def content_daily_stream(spark, sf):
+    """Day folders of the whole log ingested by a file stream into daily profiles."""
+    src = scratch_path(spark, "stream-src")
+    write_content_log(_flat(spark, sf), src, layout="partitioned")
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    q = start_daily_profiles(spark, src, sink, ckpt, layout="partitioned", available_now=True)
+    q.awaitTermination()
+    daily = read_daily_profiles(spark, sink)
+    return daily.select("Contract", iso("Process_Date"), "Total_Devices", *S.duration_columns(), "MostWatch", "Taste")
