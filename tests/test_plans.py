@@ -1,0 +1,47 @@
+"""Physical plan shape: no single-partition funnel, pushed filters, pruned reads."""
+
+from viewlens.operators import rfm as R
+from viewlens.operators import search as Q
+from viewlens.operators.ntile import global_ntile
+from viewlens.sources import testdata as TD
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_distributed_ntile_has_no_single_partition_exchange(spark):
+    totals = R.customer_totals(R.clean(TD.transactions(spark, SF)))
+    out = global_ntile(totals, "Monetary", 5, ["CustomerID"], "t", method="distributed")
+    out.collect()
+    lines = [ln.strip() for ln in plan(out).splitlines()]
+    # The only single-partition exchange is the one over the per-partition
+    # counts (one row per shuffle partition), never over customer rows.
+    singles = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+    assert singles
+    for i in singles:
+        assert "HashAggregate(keys=[_nt_pid" in lines[i + 1]
+    builtin = global_ntile(totals, "Monetary", 5, ["CustomerID"], "t", method="builtin")
+    assert "SinglePartition" in plan(builtin)
+
+
+def test_top_keyword_uses_window_group_limit(spark):
+    top = Q.top_keyword(TD.search_log_tagged(spark, SF))
+    s = top._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in s
+
+
+def test_transactions_scan_is_pruned_and_filtered(spark):
+    c = R.clean(TD.transactions(spark, SF))
+    s = c._jdf.queryExecution().executedPlan().toString()
+    assert "Not(EqualTo(o_custkey,0))" in s and "PushedFilters" in s
+    assert "o_orderpriority" not in s and "o_orderstatus" not in s
+
+
+def test_content_scan_pushes_day_range(spark):
+    import datetime as dt
+    f = TD.content_log(spark, SF, dt.date(2024, 1, 1), dt.date(2024, 1, 6))
+    s = f._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in s and "LessThan(ts" in s
