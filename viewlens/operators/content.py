@@ -94,17 +94,43 @@ def period_profile(daily_labeled: DataFrame, labels: str = "first_day",
     aggs += [F.sum(c).cast("long").alias(c) for c in dur]
     aggs += [F.count(F.lit(1)).alias("_days")]
     if labels == "first_day":
-        aggs += [F.min_by("MostWatch", "Process_Date").alias("MostWatch"),
-                 F.min_by("Taste", "Process_Date").alias("Taste")]
+        # Labels travel as small integers (category index, taste bit mask)
+        # so the aggregate keeps fixed-width buffers and stays a hash
+        # aggregate; they are decoded after the shuffle.
+        aggs += [F.min_by(_most_watch_code(), "Process_Date").alias("_mw"),
+                 F.min_by(_taste_mask(), "Process_Date").alias("_taste")]
     elif labels != "period":
         raise ValueError("labels must be 'first_day' or 'period'")
     out = daily_labeled.groupBy("Contract").agg(*aggs)
     if labels == "period":
         out = with_labels(out)
+    else:
+        out = out.withColumn("MostWatch", _most_watch_label(F.col("_mw"))).withColumn("Taste", _taste_label(F.col("_taste")))
     out = out.withColumn("Active", L.activity(F.col("_days"), threshold))
     return out.select(*S.CONTENT_PROFILE_COLUMNS)
 
 
+def _most_watch_code() -> F.Column:
+    """Index of MostWatch in the priority list (1-based)."""
+    return F.array_position(F.array(*[F.lit(c) for c in S.MOST_WATCH_PRIORITY]), F.col("MostWatch")).cast("int")
+
+
+def _most_watch_label(code: F.Column) -> F.Column:
+    return F.element_at(F.array(*[F.lit(c) for c in S.MOST_WATCH_PRIORITY]), code)
+
+
+def _taste_mask() -> F.Column:
+    """Bit i set when the i-th Taste category has a positive duration."""
+    bits = [F.when(F.col(S.CATEGORY_COLUMNS[c]) > 0, F.lit(1 << i)).otherwise(F.lit(0))
+            for i, c in enumerate(S.TASTE_ORDER)]
+    return sum(bits[1:], bits[0])
+
+
+def _taste_label(mask: F.Column) -> F.Column:
+    return F.concat_ws("-", *[F.when((mask.bitwiseAND(F.lit(1 << i))) != 0, F.lit(c))
+                              for i, c in enumerate(S.TASTE_ORDER)])
+
+
 def distinct_devices(valid: DataFrame) -> DataFrame:
     """Distinct devices per contract over the whole period."""
     return valid.groupBy("Contract").agg(F.count_distinct("Mac").alias("Distinct_Devices"))
