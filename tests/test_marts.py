@@ -54,3 +54,13 @@ def test_flow_nodes_are_dense(spark):
     assert [r.node_index for r in nodes] == list(range(len(nodes)))
     links = M.genre_flow_links(df, 20).collect()
     assert sum(r.value for r in links) == 50
+
+
+def test_guards_and_preview(spark):
+    import pytest
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k int, v string")
+    assert M.require_columns(df, ["k"]) is df
+    with pytest.raises(M.ResultTableError):
+        M.require_columns(df, ["Genre_T6", "Genre_T7"], "customer_search_stats")
+    assert not M.is_empty(df) and M.is_empty(df.filter("k > 5"))
+    assert [r.k for r in M.preview(df, ["k"], 2).collect()] == [1, 2]

@@ -332,3 +332,28 @@ def genre_flow_links(search: DataFrame, k: int = 20) -> DataFrame:
             .withColumn("_dst_label", F.concat(F.col("Genre_T7"), F.lit(" (T7)")))
             .join(F.broadcast(src), "_src_label").join(F.broadcast(dst), "_dst_label")
             .select("source", "target", F.col("count").alias("value")))
+
+
+# ── inspection and guards ──────────────────────────────────────────────────
+
+
+class ResultTableError(ValueError):
+    """A result table is missing or lacks required columns."""
+
+
+def require_columns(df: DataFrame, columns: Sequence[str], table: str = "result") -> DataFrame:
+    """Raise a clear error when required columns are missing (case-sensitive)."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ResultTableError(f"{table}: missing columns {missing}; present: {df.columns}")
+    return df
+
+
+def is_empty(df: DataFrame) -> bool:
+    """True when the table has no rows (reads at most one row)."""
+    return df.isEmpty()
+
+
+def preview(df: DataFrame, order_by: Sequence[str], n: int = 10) -> DataFrame:
+    """The first n rows in a stable order (a top-k, not a full sort)."""
+    return df.orderBy(*order_by).limit(n)
