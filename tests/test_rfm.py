@@ -116,3 +116,17 @@ def test_rfm_invariants(spark):
 def test_empty_transactions(spark):
     out = rfm_table(tx(spark, []))
     assert out.count() == 0 and out.columns == S.RFM_COLUMNS
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.one_of(st.none(), st.integers(-3, 3)), min_size=0, max_size=60),
+       n=st.integers(1, 9), parts=st.integers(1, 5))
+def test_distributed_ntile_property(spark, keys, n, parts):
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k long").repartition(parts)
+    ref = {r.id: r.t for r in df.select("id", F.ntile(n).over(Window.orderBy("k", "id")).alias("t")).collect()}
+    got = {r.id: r.tile for r in global_ntile(df, "k", n, ["id"], "tile", "distributed").collect()}
+    assert got == ref
