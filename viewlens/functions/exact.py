@@ -25,6 +25,15 @@ def int_div(n: Column, d: Column) -> Column:
     return ((n - F.pmod(n, d)) / d).cast("long")
 
 
+def int_div_long(n: Column, d: Column) -> Column:
+    """floor(n / d) for 0 <= n < 2**53 and d > 0 in long arithmetic.
+
+    n - (n mod d) is an exact multiple of d below 2**53, so the double
+    quotient is exact; cheaper per row than the decimal path of int_div.
+    """
+    return ((n - F.pmod(n, d)) / d).cast("long")
+
+
 def ratio_half_up(n: Column, d: Column, scale: int = 0) -> Column:
     """n / d rounded half up to ``scale`` decimals, as double."""
     dd = _dec(d)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from viewlens import schemas as S
 from viewlens.functions import labels as L
-from viewlens.functions.exact import int_div, ratio, ratio_half_even
+from viewlens.functions.exact import int_div_long, ratio, ratio_half_even
 
 # ── shared helpers ─────────────────────────────────────────────────────────
 
@@ -198,7 +198,7 @@ def device_histogram(content: DataFrame, bins: int = 40, clip_quantile: float =
     bounds = clipped.agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
     span = F.col("_hi") - F.col("_lo")
     idx = F.when(span == 0, F.lit(0)).otherwise(
-        F.least(int_div((F.col("x") - F.col("_lo")) * F.lit(bins), span), F.lit(bins - 1))).cast("int")
+        F.least(int_div_long((F.col("x") - F.col("_lo")) * F.lit(bins), span), F.lit(bins - 1))).cast("int")
     counted = (clipped.crossJoin(F.broadcast(bounds)).withColumn("bin", idx)
                .groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("Count")))
     width = (F.col("_hi") - F.col("_lo")).cast("double") / F.lit(float(bins))

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewlens.functions.exact import int_div
+from viewlens.functions.exact import int_div_long
 from viewlens.session import materialize
 
 # Up to this many rows the built-in single-partition window is used.
@@ -44,13 +44,17 @@ def _order_columns(order: str | Column | Sequence[str | Column], tiebreak: Seque
 
 
 def tile_from_row_number(rn: Column, total: Column, n: int) -> Column:
-    """ntile(n) of the row with 1-based number ``rn`` among ``total`` rows."""
-    q = int_div(total, F.lit(n))
+    """ntile(n) of the row with 1-based number ``rn`` among ``total`` rows.
+
+    The first N mod n tiles hold q+1 rows (q = N div n), the rest q rows.
+    Row counts stay far below 2**53, so exact long arithmetic suffices.
+    """
+    q = int_div_long(total, F.lit(n))
     r = total - q * F.lit(n)
     big = q + F.lit(1)
     q_safe = F.greatest(q, F.lit(1))
-    head = int_div(rn + q, big)  # ceil(rn / (q+1))
-    tail = r + int_div(rn - r * big + q_safe - F.lit(1), q_safe)
+    head = int_div_long(rn + q, big)  # ceil(rn / (q+1))
+    tail = r + int_div_long(rn - r * big + q_safe - F.lit(1), q_safe)
     return F.when(rn <= r * big, head).otherwise(tail).cast("int")
 
 
