@@ -77,3 +77,12 @@ def test_load_table_parquet_and_catalog(spark, tmpdir_path):
     assert sinks.load_table(spark, tmpdir_path).count() == 1
     df.createOrReplaceTempView("viewlens_tmp_table")
     assert sinks.load_table(spark, "viewlens_tmp_table", fmt="table").count() == 1
+
+
+def test_search_log_month_glob(spark, tmpdir_path):
+    df = spark.createDataFrame([("u1", "a"), ("u2", None)], "user_id string, keyword string")
+    for day in ("20220601", "20220630", "20220701"):
+        sinks.write_parquet(df.withColumn("extra", F.lit(day)), os.path.join(tmpdir_path, day))
+    june = files.read_search_log(spark, os.path.join(tmpdir_path, "202206*"))
+    assert june.columns == ["user_id", "keyword"] and june.count() == 4
+    assert "extra" not in june._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
