@@ -29,3 +29,13 @@ def test_incremental_days_and_late_file(spark, tmpdir_path):
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.collect()))
     prof = profile_from_daily(spark, sink)
     assert prof.filter("Contract = '999'").collect()[0].Total_Truyen_Hinh == 123
+
+
+def test_daily_files_layout(spark, tmpdir_path):
+    src, sink, ckpt = f"{tmpdir_path}/src", f"{tmpdir_path}/sink", f"{tmpdir_path}/ckpt"
+    flat = TD.content_log(spark, SF, dt.date(2024, 1, 1), dt.date(2024, 1, 3))
+    sinks.write_content_log(flat, src, layout="daily_files")
+    start_daily_profiles(spark, src, sink, ckpt, layout="daily_files").awaitTermination()
+    got = read_daily_profiles(spark, sink)
+    want = content_daily(flat)
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
