@@ -20,9 +20,12 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="viewlens-test-ckpt-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    # Use the configured shared checkpoint folder; only when none is set
+    # does the library create a private one (viewlens.session.checkpoint_dir).
+    from viewlens.session import checkpoint_dir
+    checkpoint_dir(s)
     yield s
 
 
