@@ -62,3 +62,24 @@ def test_normalize_headers_and_trim(spark):
                                "genre_t7 string, changing string")
     r = Q.normalize(df).collect()[0]
     assert r.Most_Searched_T6 == "a" and r.Changing == "No Change" and r.Genre_T6 == "G"
+
+
+def test_salted_join_equals_plain_with_one_hot_key(spark):
+    from viewlens.operators.joins import salted_join
+    big = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 7}") for i in range(3000)], "id long, keyword string")
+    small = spark.createDataFrame([("hot", "Drama")] + [(f"k{i}", "News") for i in range(7)], "keyword string, Genre string")
+    for how in ("inner", "left"):
+        a = sorted(map(tuple, big.join(small, "keyword", how).select("id", "keyword", "Genre").collect()))
+        b = sorted(map(tuple, salted_join(big, small, ["keyword"], 8, how).select("id", "keyword", "Genre").collect()))
+        assert a == b
+    # the hot key's rows are spread over all salt values
+    salts = big.filter("keyword = 'hot'").select(F.pmod(F.xxhash64("id", "keyword"), F.lit(8)).alias("s")).distinct()
+    assert salts.count() == 8
+
+
+def test_salted_change_table_equals_plain(spark):
+    log, mapping = TD.search_log_tagged(spark, "/root/testdata/sf0.001"), TD.keyword_mapping_tagged(
+        spark, "/root/testdata/sf0.001")
+    a = sorted(map(tuple, search_change(log, mapping).collect()))
+    b = sorted(map(tuple, search_change(log, mapping, salt_buckets=8).collect()))
+    assert a == b

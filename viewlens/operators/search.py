@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from viewlens import schemas as S
 from viewlens.functions import labels as L
+from viewlens.operators.joins import salted_join
 
 USER = "user_id"
 
@@ -109,7 +110,7 @@ def with_changing(enriched: DataFrame, labels: Sequence[str] = S.PERIOD_LABELS)
 
 
 def change_table(log: DataFrame, mapping: DataFrame, periods: Sequence[int] = (1, 2),
-                 labels: Sequence[str] = S.PERIOD_LABELS) -> DataFrame:
+                 labels: Sequence[str] = S.PERIOD_LABELS, salt_buckets: int = 0) -> DataFrame:
     """Fused plan of the whole search pipeline.
 
     Top keyword per (period, user), then ONE join with the genre dimension
@@ -118,10 +119,14 @@ def change_table(log: DataFrame, mapping: DataFrame, periods: Sequence[int] = (1
     periods. Join strategy is the optimizer's: broadcast when the runtime
     size of the dimension is under the threshold, else a sort-merge join
     with AQE splitting a skewed (very popular) keyword's partition.
+    ``salt_buckets > 1`` salts the join explicitly instead (see
+    ``operators.joins.salted_join``), independent of AQE settings.
     """
     dim = genre_dimension(mapping)
     top = top_keyword(log)
-    hit = (top.join(dim, "keyword").filter(F.array_contains(F.col("periods"), F.col("period")))
+    joined = (salted_join(top, dim, ["keyword"], salt_buckets, salt_from=["period", USER])
+              if salt_buckets > 1 else top.join(dim, "keyword"))
+    hit = (joined.filter(F.array_contains(F.col("periods"), F.col("period")))
            .select("period", USER, "keyword", "Genre"))
     aggs = []
     for p, lab in zip(periods, labels):

@@ -226,6 +226,13 @@ def search_changing(spark, sf):
     return search_plan.search_change(log, mapping)
 
 
+@query("search_changing_salted")
+def search_changing_salted(spark, sf):
+    """The change table with the keyword join salted over 16 buckets."""
+    log, mapping = _search_inputs(spark, sf)
+    return search_plan.search_change(log, mapping, salt_buckets=16)
+
+
 @query("search_normalize")
 def search_normalize(spark, sf):
     """A loaded copy with lower-case headers and padded strings, normalised back."""

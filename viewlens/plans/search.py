@@ -15,9 +15,10 @@ def tagged_log(first: DataFrame, second: DataFrame) -> DataFrame:
     return Q.tag(first, 1).unionByName(Q.tag(second, 2)).select("period", "user_id", "keyword")
 
 
-def search_change(log: DataFrame, mapping: DataFrame, labels: Sequence[str] = S.PERIOD_LABELS) -> DataFrame:
+def search_change(log: DataFrame, mapping: DataFrame, labels: Sequence[str] = S.PERIOD_LABELS,
+                  salt_buckets: int = 0) -> DataFrame:
     """user_id, Most_Searched_T6, Genre_T6, Most_Searched_T7, Genre_T7, Changing."""
-    return Q.change_table(log, mapping, (1, 2), labels)
+    return Q.change_table(log, mapping, (1, 2), labels, salt_buckets)
 
 
 def search_change_stepwise(log: DataFrame, mapping: DataFrame,
