@@ -64,3 +64,14 @@ def test_guards_and_preview(spark):
         M.require_columns(df, ["Genre_T6", "Genre_T7"], "customer_search_stats")
     assert not M.is_empty(df) and M.is_empty(df.filter("k > 5"))
     assert [r.k for r in M.preview(df, ["k"], 2).collect()] == [1, 2]
+
+
+def test_histogram_edge_cases(spark):
+    one = [(str(i), 3, 0, 0, 0, 0, 0, "Truyền Hình", "", "High") for i in range(5)]
+    h = M.device_histogram(content_rows(spark, one)).collect()
+    assert [(r.bin, r.Count, r.bin_start, r.bin_end) for r in h] == [(0, 5, 3.0, 3.0)]
+    assert M.device_histogram(content_rows(spark, [])).count() == 0
+    skew = [(str(i), 1, 0, 0, 0, 0, 0, "Truyền Hình", "", "High") for i in range(99)] + \
+           [("x", 1000, 0, 0, 0, 0, 0, "Truyền Hình", "", "High")]
+    h = M.device_histogram(content_rows(spark, skew)).collect()
+    assert sum(r.Count for r in h) == 100  # the outlier is clipped into the cap

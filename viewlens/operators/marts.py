@@ -187,19 +187,21 @@ def device_histogram(content: DataFrame, bins: int = 40, clip_quantile: float =
 
     The quantile is exact with linear interpolation (as pandas), or
     ``percentile_approx`` when ``approx``. Bin edges span the clipped
-    [min, max]; the maximum falls into the last bin. Bin index arithmetic is
-    integer, so membership is exact. Only non-empty bins are returned.
+    [min, max]; the maximum falls into the last bin. Device counts are
+    integers, so int(quantile) >= min and the clipped range is [min, cap]:
+    one global aggregate yields both bounds, then one pass bins the rows
+    against that single broadcast row. Bin index arithmetic is integer, so
+    membership is exact. Only non-empty bins are returned.
     """
-    q = (F.percentile_approx("Total_Devices", clip_quantile, 10_000) if approx
-         else F.percentile("Total_Devices", clip_quantile))
-    cap = content.agg(q.cast("long").alias("_cap"))
-    clipped = (content.filter(F.col("Total_Devices").isNotNull()).crossJoin(F.broadcast(cap))
-               .select(F.least(F.col("Total_Devices"), F.col("_cap")).alias("x")))
-    bounds = clipped.agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
+    x = F.col("Total_Devices")
+    q = F.percentile_approx(x, clip_quantile, 10_000) if approx else F.percentile(x, clip_quantile)
+    stats = content.agg(F.min(x).alias("_lo"), q.cast("long").alias("_hi"))
+    clipped = (content.filter(x.isNotNull()).crossJoin(F.broadcast(stats))
+               .select(F.least(x, F.col("_hi")).alias("x"), "_lo", "_hi"))
     span = F.col("_hi") - F.col("_lo")
     idx = F.when(span == 0, F.lit(0)).otherwise(
         F.least(int_div_long((F.col("x") - F.col("_lo")) * F.lit(bins), span), F.lit(bins - 1))).cast("int")
-    counted = (clipped.crossJoin(F.broadcast(bounds)).withColumn("bin", idx)
+    counted = (clipped.withColumn("bin", idx)
                .groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("Count")))
     width = (F.col("_hi") - F.col("_lo")).cast("double") / F.lit(float(bins))
     return counted.select(
@@ -311,21 +313,24 @@ def _ranked_flow(search: DataFrame, k: int) -> DataFrame:
     return genre_flow(search, k).withColumn("_rank", F.row_number().over(w))
 
 
-def genre_flow_nodes(search: DataFrame, k: int = 20) -> DataFrame:
-    """Node labels "<genre> (T6)" then "<genre> (T7)", each group in order of
-    first appearance among the ranked flows; node_index counts from 0."""
-    flows = _ranked_flow(search, k)
+def _nodes_of(flows: DataFrame) -> DataFrame:
     first = flows.select(F.concat(F.col("Genre_T6"), F.lit(" (T6)")).alias("label"), F.lit(0).alias("_side"), "_rank")
     second = flows.select(F.concat(F.col("Genre_T7"), F.lit(" (T7)")).alias("label"), F.lit(1).alias("_side"), "_rank")
     nodes = first.unionByName(second).groupBy("label", "_side").agg(F.min("_rank").alias("_first"))
-    w = Window.orderBy("_side", "_first")
+    w = Window.orderBy("_side", "_first")  # at most 2k rows
     return nodes.select((F.row_number().over(w) - F.lit(1)).cast("long").alias("node_index"), "label")
 
 
+def genre_flow_nodes(search: DataFrame, k: int = 20) -> DataFrame:
+    """Node labels "<genre> (T6)" then "<genre> (T7)", each group in order of
+    first appearance among the ranked flows; node_index counts from 0."""
+    return _nodes_of(_ranked_flow(search, k))
+
+
 def genre_flow_links(search: DataFrame, k: int = 20) -> DataFrame:
     """Flows with node indexes: source, target, value."""
-    nodes = genre_flow_nodes(search, k)
     flows = _ranked_flow(search, k)
+    nodes = _nodes_of(flows)
     src = nodes.select(F.col("label").alias("_src_label"), F.col("node_index").alias("source"))
     dst = nodes.select(F.col("label").alias("_dst_label"), F.col("node_index").alias("target"))
     return (flows.withColumn("_src_label", F.concat(F.col("Genre_T6"), F.lit(" (T6)")))
