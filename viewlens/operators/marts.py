@@ -49,10 +49,15 @@ def top_k(df: DataFrame, col: str, k: int, count_name: str = "Count") -> DataFra
 
 
 def with_share(counts: DataFrame, count_name: str = "Count", share_name: str = "Share") -> DataFrame:
-    """Add count / total. The input is an already aggregated, small table."""
-    total = counts.agg(F.sum(count_name).alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
-            .withColumn(share_name, ratio(F.col(count_name), F.col("_total"))).drop("_total"))
+    """Add count / total.
+
+    Only for count tables with a handful of rows by construction (segments,
+    activity labels, change statuses): the total is a window over the whole
+    table, so the counts -- and the pipeline beneath them -- are computed
+    once.
+    """
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return counts.withColumn(share_name, ratio(F.col(count_name), F.sum(count_name).over(everything)))
 
 
 def money_cents(c: str) -> Column:
@@ -234,14 +239,17 @@ def search_filtered(search: DataFrame, genres_first: Sequence[str] | None = None
 
 
 def filter_options(rfm: DataFrame, content: DataFrame, search: DataFrame) -> DataFrame:
-    """Distinct non-NULL values offered by each dashboard filter."""
-    parts = [(rfm, "Segment"), (content, "MostWatch"), (content, "Active"),
-             (search, "Genre_T6"), (search, "Genre_T7")]
-    out = None
-    for df, col in parts:
-        d = df.select(F.lit(col).alias("filter"), F.col(col).alias("value")).filter(F.col("value").isNotNull()).distinct()
-        out = d if out is None else out.unionByName(d)
-    return out
+    """Distinct non-NULL values offered by each dashboard filter.
+
+    Each table is read once: its filter columns are unpivoted into
+    (filter, value) pairs and de-duplicated together.
+    """
+    def options(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(c).alias("filter"), F.col(c).cast("string").alias("value")) for c in cols])
+        return df.select(F.inline(pairs)).filter(F.col("value").isNotNull()).distinct()
+
+    return (options(rfm, ["Segment"]).unionByName(options(content, ["MostWatch", "Active"]))
+            .unionByName(options(search, ["Genre_T6", "Genre_T7"])))
 
 
 def search_kpis(search: DataFrame) -> DataFrame:
@@ -313,30 +321,34 @@ def _ranked_flow(search: DataFrame, k: int) -> DataFrame:
     return genre_flow(search, k).withColumn("_rank", F.row_number().over(w))
 
 
-def _nodes_of(flows: DataFrame) -> DataFrame:
-    first = flows.select(F.concat(F.col("Genre_T6"), F.lit(" (T6)")).alias("label"), F.lit(0).alias("_side"), "_rank")
-    second = flows.select(F.concat(F.col("Genre_T7"), F.lit(" (T7)")).alias("label"), F.lit(1).alias("_side"), "_rank")
-    nodes = first.unionByName(second).groupBy("label", "_side").agg(F.min("_rank").alias("_first"))
-    w = Window.orderBy("_side", "_first")  # at most 2k rows
-    return nodes.select((F.row_number().over(w) - F.lit(1)).cast("long").alias("node_index"), "label")
+def _indexed_flows(search: DataFrame, k: int) -> DataFrame:
+    """Ranked flows with node indexes, all by windows over at most k rows.
+
+    A first-month label's index is its order of first appearance among the
+    ranked flows; second-month labels follow after all first-month labels.
+    """
+    f = _ranked_flow(search, k)
+    f = (f.withColumn("_f6", F.min("_rank").over(Window.partitionBy("Genre_T6")))
+         .withColumn("_f7", F.min("_rank").over(Window.partitionBy("Genre_T7"))))
+    f = (f.withColumn("source", (F.dense_rank().over(Window.orderBy("_f6")) - F.lit(1)).cast("long"))
+         .withColumn("_t7", (F.dense_rank().over(Window.orderBy("_f7")) - F.lit(1)).cast("long")))
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return f.withColumn("target", F.max("source").over(everything) + F.lit(1) + F.col("_t7"))
 
 
 def genre_flow_nodes(search: DataFrame, k: int = 20) -> DataFrame:
     """Node labels "<genre> (T6)" then "<genre> (T7)", each group in order of
     first appearance among the ranked flows; node_index counts from 0."""
-    return _nodes_of(_ranked_flow(search, k))
+    f = _indexed_flows(search, k)
+    pairs = F.array(
+        F.struct(F.col("source").alias("node_index"), F.concat(F.col("Genre_T6"), F.lit(" (T6)")).alias("label")),
+        F.struct(F.col("target").alias("node_index"), F.concat(F.col("Genre_T7"), F.lit(" (T7)")).alias("label")))
+    return f.select(F.inline(pairs)).distinct()
 
 
 def genre_flow_links(search: DataFrame, k: int = 20) -> DataFrame:
     """Flows with node indexes: source, target, value."""
-    flows = _ranked_flow(search, k)
-    nodes = _nodes_of(flows)
-    src = nodes.select(F.col("label").alias("_src_label"), F.col("node_index").alias("source"))
-    dst = nodes.select(F.col("label").alias("_dst_label"), F.col("node_index").alias("target"))
-    return (flows.withColumn("_src_label", F.concat(F.col("Genre_T6"), F.lit(" (T6)")))
-            .withColumn("_dst_label", F.concat(F.col("Genre_T7"), F.lit(" (T7)")))
-            .join(F.broadcast(src), "_src_label").join(F.broadcast(dst), "_dst_label")
-            .select("source", "target", F.col("count").alias("value")))
+    return _indexed_flows(search, k).select("source", "target", F.col("count").alias("value"))
 
 
 # ── inspection and guards ──────────────────────────────────────────────────
