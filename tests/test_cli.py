@@ -41,3 +41,20 @@ def test_cli_search_chain(spark, tmpdir_path):
     want = QUERIES["search_changing"](spark, SF)
     got = spark.read.parquet(out).select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_cli_marts_from_stored_tables(spark, tmpdir_path):
+    from viewlens.plans.registry import QUERIES
+    paths = {}
+    for name, q in (("rfm", "rfm_segments"), ("content", "content_profile"), ("search", "search_changing")):
+        paths[name] = os.path.join(tmpdir_path, name)
+        sinks.write_parquet(QUERIES[q](spark, SF), paths[name])
+    out = os.path.join(tmpdir_path, "marts")
+    cli.main(["marts", "--rfm", paths["rfm"], "--content", paths["content"], "--search", paths["search"],
+              "--segments", "Champions", "Lost", "--change", "changed", "--out", out])
+    got = spark.read.parquet(os.path.join(out, "rfm_segment_counts"))
+    assert sorted(r.Segment for r in got.collect()) == ["Champions", "Lost"]
+    kp = spark.read.parquet(os.path.join(out, "search_kpis")).collect()[0]
+    want = QUERIES["search_changing"](spark, SF).filter("Changing IS NULL OR Changing <> 'No Change'").count()
+    assert kp.users == want
+    assert len(os.listdir(out)) == 30

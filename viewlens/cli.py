@@ -84,6 +84,19 @@ def main(argv=None) -> None:
     r.add_argument("--as-of", type=_date)
     _sink_args(r)
 
+    mk = sub.add_parser("marts", help="dashboard marts from stored result tables")
+    mk.add_argument("--rfm", help="customer_rfm_stats (path or table)")
+    mk.add_argument("--content", help="customer_content_stats (path or table)")
+    mk.add_argument("--search", help="customer_search_stats (path or table)")
+    mk.add_argument("--input-format", default="parquet", help="parquet, csv, json, or table")
+    mk.add_argument("--segments", nargs="*")
+    mk.add_argument("--most-watch", nargs="*")
+    mk.add_argument("--active", nargs="*")
+    mk.add_argument("--genre-t6", nargs="*")
+    mk.add_argument("--genre-t7", nargs="*")
+    mk.add_argument("--change", default="all", choices=["all", "unchanged", "changed"])
+    mk.add_argument("--out", required=True, help="folder; one Parquet table per mart")
+
     st = sub.add_parser("stream-content")
     st.add_argument("--source", required=True)
     st.add_argument("--sink", required=True)
@@ -119,6 +132,22 @@ def main(argv=None) -> None:
     elif a.cmd == "rfm":
         tx = files.read_transactions(spark, a.transactions, a.date_format)
         _write(rfm_table(tx, a.as_of), a)
+    elif a.cmd == "marts":
+        from viewlens.plans.dashboard import dashboard_marts
+        from viewlens.sources.sinks import load_table, write_parquet
+
+        def load(src):
+            if src is None:
+                return None
+            if a.input_format == "csv":
+                return spark.read.option("header", True).option("inferSchema", True).csv(src)
+            return load_table(spark, src, a.input_format)
+
+        marts = dashboard_marts(load(a.rfm), load(a.content), load(a.search), segments=a.segments,
+                                most_watch=a.most_watch, active=a.active, genres_t6=a.genre_t6,
+                                genres_t7=a.genre_t7, change=a.change)
+        for name, df in marts.items():
+            write_parquet(df, f"{a.out.rstrip('/')}/{name}")
     elif a.cmd == "stream-content":
         from viewlens.streaming.content_daily import start_daily_profiles
         q = start_daily_profiles(spark, a.source, a.sink, a.checkpoint, a.layout, available_now=not a.continuous)
