@@ -194,15 +194,16 @@ def device_histogram(content: DataFrame, bins: int = 40, clip_quantile: float =
     ``percentile_approx`` when ``approx``. Bin edges span the clipped
     [min, max]; the maximum falls into the last bin. Device counts are
     integers, so int(quantile) >= min and the clipped range is [min, cap]:
-    one global aggregate yields both bounds, then one pass bins the rows
-    against that single broadcast row. Bin index arithmetic is integer, so
+    one global aggregate (a scalar subquery) yields both bounds, then one
+    pass bins the rows. Bin index arithmetic is integer, so
     membership is exact. Only non-empty bins are returned.
     """
     x = F.col("Total_Devices")
     q = F.percentile_approx(x, clip_quantile, 10_000) if approx else F.percentile(x, clip_quantile)
-    stats = content.agg(F.min(x).alias("_lo"), q.cast("long").alias("_hi"))
-    clipped = (content.filter(x.isNotNull()).crossJoin(F.broadcast(stats))
-               .select(F.least(x, F.col("_hi")).alias("x"), "_lo", "_hi"))
+    stats = content.agg(F.struct(F.min(x).alias("lo"), q.cast("long").alias("hi"))).scalar()
+    clipped = (content.filter(x.isNotNull()).select(x.alias("_x"), stats.alias("_s"))
+               .select(F.least(F.col("_x"), F.col("_s.hi")).alias("x"),
+                       F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi")))
     span = F.col("_hi") - F.col("_lo")
     idx = F.when(span == 0, F.lit(0)).otherwise(
         F.least(int_div_long((F.col("x") - F.col("_lo")) * F.lit(bins), span), F.lit(bins - 1))).cast("int")

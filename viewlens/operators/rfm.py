@@ -46,17 +46,12 @@ def with_recency(totals: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Recency = days from last purchase to the reference date.
 
     The reference date defaults to the latest purchase overall plus one day,
-    computed from the (much smaller) per-customer table: the max of the
-    per-customer maxima. It is a one-row frame joined by broadcast, so no
-    value travels through the driver.
+    computed from the (much smaller) per-customer table -- the max of the
+    per-customer maxima -- as a scalar subquery: Spark evaluates it once and
+    inlines the value; nothing passes through Python.
     """
-    if as_of is not None:
-        ref = F.lit(as_of)
-        out = totals.withColumn("_ref", ref)
-    else:
-        ref_df = totals.agg(F.date_add(F.max("Last_Purchase"), 1).alias("_ref"))
-        out = totals.crossJoin(F.broadcast(ref_df))
-    return out.withColumn("Recency", F.date_diff(F.col("_ref"), F.col("Last_Purchase"))).drop("_ref")
+    ref = F.lit(as_of) if as_of is not None else totals.agg(F.date_add(F.max("Last_Purchase"), 1)).scalar()
+    return totals.withColumn("Recency", F.date_diff(ref, F.col("Last_Purchase")))
 
 
 def with_aov(df: DataFrame) -> DataFrame:

@@ -13,13 +13,17 @@ from viewlens.session import materialize
 
 
 def rfm_base(tx: DataFrame, as_of: dt.date | None = None, persist: bool = True) -> DataFrame:
-    """Cleaned transactions -> per-customer base, written once when ``persist``.
+    """Cleaned transactions -> per-customer base.
 
-    The base feeds the reference-date aggregate and three score passes;
-    cutting lineage here means the transactions are scanned exactly once.
+    With ``persist`` the per-customer totals are written once to the shared
+    checkpoint folder: the reference-date subquery and the three score
+    passes read them there, so the transactions are scanned exactly once.
     """
-    base = R.base(R.clean(tx), as_of)
-    return materialize(base) if persist else base
+    totals = R.customer_totals(R.clean(tx))
+    if persist:
+        totals = materialize(totals)
+    return (R.with_aov(R.with_recency(totals, as_of))
+            .select("CustomerID", "Recency", "Frequency", "Monetary", "AOV"))
 
 
 def rfm_scored(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES, method: str = "auto",
