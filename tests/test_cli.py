@@ -33,7 +33,8 @@ def test_cli_search_chain(spark, tmpdir_path):
                         os.path.join(tmpdir_path, f"map{p}"))
     top = os.path.join(tmpdir_path, "top")
     cli.main(["top-keywords", "--first", f"{tmpdir_path}/log1", "--second", f"{tmpdir_path}/log2", "--out", top])
-    assert spark.read.parquet(top).count() > 0
+    assert spark.read.parquet(f"{top}/first").columns == ["user_id", "keyword", "search_count"]
+    assert spark.read.parquet(f"{top}/second").count() > 0
     out = os.path.join(tmpdir_path, "search")
     cli.main(["search", "--first", f"{tmpdir_path}/log1", "--second", f"{tmpdir_path}/log2",
               "--mapping-first", f"{tmpdir_path}/map1", "--mapping-second", f"{tmpdir_path}/map2", "--out", out])
@@ -58,3 +59,34 @@ def test_cli_marts_from_stored_tables(spark, tmpdir_path):
     want = QUERIES["search_changing"](spark, SF).filter("Changing IS NULL OR Changing <> 'No Change'").count()
     assert kp.users == want
     assert len(os.listdir(out)) == 30
+
+
+def test_cli_full_search_chain_through_classify(spark, tmpdir_path):
+    """top-keywords (CSV) -> classify (CSV) -> search, as the original scripts chain."""
+    log = TD.search_log_tagged(spark, SF)
+    for p in (1, 2):
+        sinks.write_parquet(log.filter(F.col("period") == p).drop("period"), os.path.join(tmpdir_path, f"log{p}"))
+    top = os.path.join(tmpdir_path, "top")
+    cli.main(["top-keywords", "--first", f"{tmpdir_path}/log1", "--second", f"{tmpdir_path}/log2",
+              "--out", top, "--format", "csv"])
+    for p, sub_dir in ((1, "first"), (2, "second")):
+        cli.main(["classify", "--input", f"{top}/{sub_dir}", "--out", os.path.join(tmpdir_path, f"map{p}"),
+                  "--format", "csv"])
+    out = os.path.join(tmpdir_path, "search")
+    cli.main(["search", "--first", f"{tmpdir_path}/log1", "--second", f"{tmpdir_path}/log2",
+              "--mapping-first", f"{tmpdir_path}/map1", "--mapping-second", f"{tmpdir_path}/map2", "--out", out])
+    res = spark.read.parquet(out)
+    # every keyword is labelled "Other" by the rules, so every user with both months is "No Change"
+    assert res.count() > 0 and {r.Changing for r in res.select("Changing").distinct().collect()} == {"No Change"}
+
+
+def test_read_mapping_accepts_both_layouts(spark, tmpdir_path):
+    from viewlens.sources import files
+    a = os.path.join(tmpdir_path, "a.csv")
+    with open(a, "w", encoding="utf-8-sig") as f:
+        f.write("user_id,keyword,search_count,Genre\n1,k1,3,Drama\n")
+    b = os.path.join(tmpdir_path, "b.csv")
+    with open(b, "w", encoding="utf-8") as f:
+        f.write("keyword,genre\nk2,News\n")
+    assert [tuple(r) for r in files.read_mapping(spark, a).collect()] == [("k1", "Drama")]
+    assert [tuple(r) for r in files.read_mapping(spark, b).collect()] == [("k2", "News")]

@@ -67,7 +67,8 @@ def main(argv=None) -> None:
     _sink_args(t)
 
     k = sub.add_parser("classify")
-    k.add_argument("--input", required=True, help="top-keyword CSV folder (user_id, keyword, search_count)")
+    k.add_argument("--input", required=True, help="top-keyword folder (user_id, keyword, search_count)")
+    k.add_argument("--input-format", default="csv", choices=["csv", "parquet"])
     k.add_argument("--overrides", help="optional CSV (keyword, Genre) that wins over the rules")
     _sink_args(k)
 
@@ -76,6 +77,7 @@ def main(argv=None) -> None:
     s.add_argument("--second", required=True)
     s.add_argument("--mapping-first", required=True)
     s.add_argument("--mapping-second", required=True)
+    s.add_argument("--mapping-format", default="csv", choices=["csv", "parquet", "json"])
     _sink_args(s)
 
     r = sub.add_parser("rfm")
@@ -118,16 +120,23 @@ def main(argv=None) -> None:
         flat = files.content_range_scan(spark, a.source, a.start, a.end, a.layout)
         _write(content_table(flat, a.labels), a)
     elif a.cmd == "top-keywords":
+        # One pass over both months; one output folder per month, each
+        # (user_id, keyword, search_count) as the labelling step reads it.
         log = tagged_log(files.read_search_log(spark, a.first), files.read_search_log(spark, a.second))
-        _write(Q.top_keyword(log).withColumn("Month", F.col("period")), a)
+        top = Q.top_keyword(log)
+        out = a.out.rstrip("/")
+        for p, sub_dir in ((1, "first"), (2, "second")):
+            a.out = f"{out}/{sub_dir}"
+            _write(top.filter(F.col("period") == p).select("user_id", "keyword", "search_count"), a)
     elif a.cmd == "classify":
-        kw = files.read_most_search(spark, a.input)
+        kw = (files.read_most_search(spark, a.input) if a.input_format == "csv"
+              else spark.read.parquet(a.input).select("keyword"))
         ov = files.read_csv(spark, a.overrides, "keyword string, Genre string") if a.overrides else None
         _write(K.classify_rules(kw, ov), a)
     elif a.cmd == "search":
         log = tagged_log(files.read_search_log(spark, a.first), files.read_search_log(spark, a.second))
-        m = (files.read_mapping(spark, a.mapping_first).withColumn("period", F.lit(1))
-             .unionByName(files.read_mapping(spark, a.mapping_second).withColumn("period", F.lit(2))))
+        m = (files.read_mapping(spark, a.mapping_first, a.mapping_format).withColumn("period", F.lit(1))
+             .unionByName(files.read_mapping(spark, a.mapping_second, a.mapping_format).withColumn("period", F.lit(2))))
         _write(search_change(log, m), a)
     elif a.cmd == "rfm":
         tx = files.read_transactions(spark, a.transactions, a.date_format)

@@ -89,10 +89,28 @@ def read_transactions(spark: SparkSession, path: str, date_format: str = "yyyy-M
     return read_csv(spark, path, S.TRANSACTIONS, date_format)
 
 
-def read_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """Labelled top-keyword CSV -> (keyword, Genre)."""
-    return read_csv(spark, path, S.SEARCH_CATEGORY).select("keyword", "Genre")
+def read_mapping(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """Keyword labels -> (keyword, Genre).
+
+    Columns are taken by header name (case-insensitive), so both the
+    per-user labelled file (user_id, keyword, search_count, Genre) and a
+    keyword dimension (keyword, Genre) are accepted, as CSV or Parquet.
+    """
+    if fmt == "csv":
+        df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    else:
+        df = spark.read.format(fmt).load(path)
+    names = {c.lower().lstrip("\ufeff"): c for c in df.columns}
+    missing = [c for c in ("keyword", "genre") if c not in names]
+    if missing:
+        raise ValueError(f"{path}: mapping needs columns keyword and Genre, has {df.columns}")
+    return df.select(F.col(f"`{names['keyword']}`").cast("string").alias("keyword"),
+                     F.col(f"`{names['genre']}`").cast("string").alias("Genre"))
 
 
 def read_most_search(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, S.MOST_SEARCH)
+    """Top-keyword CSV -> (user_id, keyword, search_count), columns by header name."""
+    df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    names = {c.lower().lstrip("\ufeff"): c for c in df.columns}
+    return df.select(*[F.col(f"`{names[f.name.lower()]}`").cast(f.dataType).alias(f.name)
+                       for f in S.MOST_SEARCH.fields if f.name.lower() in names])
