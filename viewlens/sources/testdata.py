@@ -141,7 +141,20 @@ def search_log_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_mapping_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both periods' labels: (period, keyword, Genre)."""
-    return (keyword_mapping(spark, sf_dir, 1).withColumn("period", F.lit(1))
-            .unionByName(keyword_mapping(spark, sf_dir, 2).withColumn("period", F.lit(2)))
-            .select("period", "keyword", "Genre"))
+    """Both periods' labels: (period, keyword, Genre), from one scan of part.
+
+    Distinct names first, then each name yields one row per period whose
+    rules admit it.
+    """
+    name = F.col("keyword")
+    first = F.split(name, " ").getItem(0)
+    rows = []
+    for period in (1, 2):
+        genre = _genre_of_name(name)
+        for w in MAPPING_OTHER_FIRST_WORDS[period]:
+            genre = F.when(first == w, "Other").otherwise(genre)
+        keep = ~first.isin(MAPPING_EXCLUDED_FIRST_WORDS[period])
+        rows.append(F.when(keep, F.struct(F.lit(period).alias("period"), genre.alias("Genre"))))
+    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("keyword")).distinct()
+    return (names.select("keyword", F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("_r"))
+            .select(F.col("_r.period").alias("period"), "keyword", F.col("_r.Genre").alias("Genre")))
