@@ -86,3 +86,16 @@ def test_search_log_month_glob(spark, tmpdir_path):
     june = files.read_search_log(spark, os.path.join(tmpdir_path, "202206*"))
     assert june.columns == ["user_id", "keyword"] and june.count() == 4
     assert "extra" not in june._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+
+
+def test_day_taken_from_last_date_segment(spark, tmpdir_path):
+    base = os.path.join(tmpdir_path, "20991231", "logs")
+    os.makedirs(base)
+    with open(os.path.join(base, "20240107.json"), "w") as f:
+        f.write('{"_source":{"Contract":"A","Mac":"m","AppName":"VOD","TotalDuration":7}}\n')
+    got = files.content_range_scan(spark, base, dt.date(2024, 1, 7), dt.date(2024, 1, 7)).collect()
+    assert [r.Process_Date for r in got] == [dt.date(2024, 1, 7)]
+    sinks.write_content_log(TD.content_log(spark, SF, dt.date(2024, 1, 2), dt.date(2024, 1, 2)), base,
+                            layout="partitioned")
+    got = files.content_range_scan(spark, base, dt.date(2024, 1, 2), dt.date(2024, 1, 2), layout="partitioned")
+    assert {r.Process_Date for r in got.collect()} == {dt.date(2024, 1, 2)}

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from viewlens import schemas as S
 from viewlens.operators.content import flatten
 
-# A path segment "yyyyMMdd.json" or "day=yyyyMMdd".
-_DAY_IN_PATH = r"/(?:day=)?(\d{8})(?:\.json)?(?:/|$)"
+# The last path segment "yyyyMMdd.json" or "day=yyyyMMdd" (the greedy prefix
+# skips date-like folders higher up in the base path).
+_DAY_IN_PATH = r"^.*/(?:day=)?(\d{8})(?:\.json)?(?:/|$)"
 
 
 def _days(start: dt.date, end: dt.date) -> list[str]:
