@@ -1,0 +1,39 @@
+"""Invariants over the three result tables and their marts (sf0.001)."""
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+
+from viewlens import schemas as S
+from viewlens.operators import marts as M
+from viewlens.plans.registry import QUERIES
+
+
+def test_one_row_per_key(spark):
+    for q, key in (("rfm_segments", "CustomerID"), ("content_profile", "Contract"), ("search_changing", "user_id")):
+        df = QUERIES[q](spark, SF_SMALL)
+        assert df.count() == df.select(key).distinct().count() > 0
+
+
+def test_no_change_iff_equal_genres(spark):
+    s = QUERIES["search_changing"](spark, SF_SMALL)
+    bad = s.filter((F.col("Changing") == S.NO_CHANGE) != (F.col("Genre_T6") == F.col("Genre_T7")))
+    assert bad.count() == 0
+    changed = s.filter(F.col("Changing") != S.NO_CHANGE).collect()
+    assert all(r.Changing == f"{r.Genre_T6} -> {r.Genre_T7}" for r in changed)
+
+
+def test_most_watch_has_the_largest_duration(spark):
+    c = QUERIES["content_profile_period"](spark, SF_SMALL)
+    label_col = F.create_map(*[x for lab, col in S.CATEGORY_COLUMNS.items() for x in (F.lit(lab), F.col(col))])
+    top = F.greatest(*[F.col(c) for c in S.duration_columns()])
+    assert c.filter(label_col[F.col("MostWatch")] != top).count() == 0
+
+
+def test_matrix_total_and_segment_totals(spark):
+    s = QUERIES["search_changing"](spark, SF_SMALL)
+    assert M.genre_matrix(s).agg(F.sum("Count")).collect()[0][0] == s.count()
+    r = QUERIES["rfm_segments"](spark, SF_SMALL)
+    assert M.rfm_segment_counts(r).agg(F.sum("Count")).collect()[0][0] == r.count()
+    shares = M.rfm_segment_share(r).agg(F.sum("Share")).collect()[0][0]
+    assert abs(shares - 1.0) < 1e-12

@@ -45,3 +45,12 @@ def test_content_scan_pushes_day_range(spark):
     f = TD.content_log(spark, SF, dt.date(2024, 1, 1), dt.date(2024, 1, 6))
     s = f._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in s and "LessThan(ts" in s
+
+
+def test_genre_join_is_broadcast_at_small_scale(spark):
+    from viewlens.plans.search import search_change
+    df = search_change(TD.search_log_tagged(spark, SF), TD.keyword_mapping_tagged(spark, SF))
+    s = plan(df)
+    import re
+    assert re.search(r"BroadcastHashJoin \[keyword#\d+\]", s), s
+    assert "SortMergeJoin" not in s
