@@ -70,6 +70,7 @@ SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary, AOV
 SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary, AOV,
        R_Score, F_Score, M_Score, RFM_Score FROM scored"""),
     "rfm_segments": with_ctes(RFM_CTES, "SELECT * FROM rfm"),
+    "rfm_from_csv": with_ctes(RFM_CTES, "SELECT * FROM rfm"),
     "rfm_segment_counts": with_ctes(RFM_CTES, "SELECT Segment, count(*) AS count FROM rfm GROUP BY Segment"),
     "global_ntile": with_ctes([TX, CLEAN, TOTALS], """
 SELECT CustomerID, CAST(Monetary AS DOUBLE) AS Monetary,

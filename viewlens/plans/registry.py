@@ -24,7 +24,7 @@ from viewlens.plans import search as search_plan
 from viewlens.session import materialize, scratch_path
 from viewlens.sources import files
 from viewlens.sources import testdata as TD
-from viewlens.sources.sinks import write_content_log, write_parquet
+from viewlens.sources.sinks import write_content_log, write_csv, write_parquet
 from viewlens.streaming.content_daily import read_daily_profiles, start_daily_profiles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -370,3 +370,35 @@ def content_daily_stream(spark, sf):
     q.awaitTermination()
     daily = read_daily_profiles(spark, sink)
     return daily.select("Contract", iso("Process_Date"), "Total_Devices", *S.duration_columns(), "MostWatch", "Taste")
+
+
+# ── Pipelines from files in the original formats ───────────────────────────
+
+@query("rfm_from_csv")
+def rfm_from_csv(spark, sf):
+    """Transactions written as header CSV, read back with the explicit schema."""
+    path = scratch_path(spark, "transactions-csv")
+    write_csv(TD.transactions(spark, sf), path)
+    return rfm_plan.rfm_table(files.read_transactions(spark, path))
+
+
+@query("search_from_files")
+def search_from_files(spark, sf):
+    """Month logs as Parquet day folders read by month glob; labels as per-user CSV files."""
+    base = scratch_path(spark, "search-files")
+    log = TD.search_log_tagged(spark, sf)
+    # one folder per (month, day): <base>/log/<yyyymm><dd>/; day = user hash, so folders are data-sized
+    days = F.format_string("%02d", F.pmod(F.xxhash64("user_id"), F.lit(28)) + 1)
+    month = F.when(F.col("period") == 1, F.lit("202206")).otherwise(F.lit("202207"))
+    write_parquet(log.withColumn("day", F.concat(month, days)), f"{base}/log", partition_by=["day"])
+    mapping = TD.keyword_mapping_tagged(spark, sf)
+    for p in (1, 2):
+        labelled = (Q.top_keyword(log).filter(F.col("period") == p)
+                    .join(mapping.filter(F.col("period") == p).select("keyword", "Genre"), "keyword")
+                    .select("user_id", "keyword", "search_count", "Genre"))
+        write_csv(labelled, f"{base}/map{p}")
+    first = files.read_search_log(spark, f"{base}/log/day=202206*")
+    second = files.read_search_log(spark, f"{base}/log/day=202207*")
+    labels = (files.read_mapping(spark, f"{base}/map1").withColumn("period", F.lit(1))
+              .unionByName(files.read_mapping(spark, f"{base}/map2").withColumn("period", F.lit(2))))
+    return search_plan.search_change(search_plan.tagged_log(first, second), labels)
