@@ -402,3 +402,16 @@ def search_from_files(spark, sf):
     labels = (files.read_mapping(spark, f"{base}/map1").withColumn("period", F.lit(1))
               .unionByName(files.read_mapping(spark, f"{base}/map2").withColumn("period", F.lit(2))))
     return search_plan.search_change(search_plan.tagged_log(first, second), labels)
+
+
+@query("content_from_json")
+def content_from_json(spark, sf):
+    """The whole log as JSON day folders nested under _source, profiled from the files."""
+    base = scratch_path(spark, "content-json")
+    flat = _flat(spark, sf)
+    write_content_log(flat, base, layout="partitioned")
+    bounds = flat.agg(F.min("Process_Date").alias("lo"), F.max("Process_Date").alias("hi")).first()
+    if bounds.lo is None:
+        return content_plan.content_table(flat.limit(0))
+    scanned = files.content_range_scan(spark, base, bounds.lo, bounds.hi, layout="partitioned")
+    return content_plan.content_table(scanned)
