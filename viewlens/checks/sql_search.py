@@ -55,6 +55,14 @@ RESULT = """search_result AS (
 
 SEARCH_CTES = [LOG, COUNTS, TOP, MAPPING, MAPPED, DIM, PIVOT, ENRICHED, RESULT]
 
+# Labels as the labelling step writes them: one row per user whose top
+# keyword of the month is labelled for that month.
+ADAPTER_MAPPING = MAPPING.replace("mapping AS (", "adapter_mapping AS (", 1)
+LABELLED_MAPPING = """mapping AS (
+  SELECT t.period, t.keyword, m.Genre FROM top t
+  JOIN adapter_mapping m ON m.keyword = t.keyword AND m.period = t.period)"""
+FROM_FILES_CTES = [LOG, COUNTS, TOP, ADAPTER_MAPPING, LABELLED_MAPPING, MAPPED, DIM, PIVOT, ENRICHED, RESULT]
+
 SQL = {
     "search_counts": with_ctes([LOG, COUNTS], "SELECT * FROM counts"),
     "search_top_keyword": with_ctes([LOG, COUNTS, TOP], "SELECT * FROM top"),
@@ -70,7 +78,7 @@ SELECT period, keyword, count FROM (
     "search_genre_enrich": with_ctes(SEARCH_CTES[:-1], "SELECT * FROM enriched"),
     "search_changing": with_ctes(SEARCH_CTES, "SELECT * FROM search_result"),
     "search_changing_salted": with_ctes(SEARCH_CTES, "SELECT * FROM search_result"),
-    "search_from_files": with_ctes(SEARCH_CTES, "SELECT * FROM search_result"),
+    "search_from_files": with_ctes(FROM_FILES_CTES, "SELECT * FROM search_result"),
     "search_normalize": with_ctes(SEARCH_CTES, "SELECT * FROM search_result"),
     "search_period_scan": with_ctes([LOG], "SELECT user_id, keyword FROM log WHERE period = 1"),
 }
