@@ -99,3 +99,14 @@ def test_day_taken_from_last_date_segment(spark, tmpdir_path):
                             layout="partitioned")
     got = files.content_range_scan(spark, base, dt.date(2024, 1, 2), dt.date(2024, 1, 2), layout="partitioned")
     assert {r.Process_Date for r in got.collect()} == {dt.date(2024, 1, 2)}
+
+
+def test_files_per_partition_bound(spark, tmpdir_path):
+    flat = TD.content_log(spark, SF).repartition(12)
+    sinks.write_content_log(flat, tmpdir_path, layout="partitioned", files_per_day=2)
+    for d in os.listdir(tmpdir_path):
+        if d.startswith("day="):
+            parts = [f for f in os.listdir(os.path.join(tmpdir_path, d)) if f.startswith("part-")]
+            assert 1 <= len(parts) <= 2
+    back = files.content_range_scan(spark, tmpdir_path, dt.date(2024, 1, 1), dt.date(2024, 1, 31), layout="partitioned")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, flat.collect()))

@@ -14,8 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    w = df.write.mode(mode)
+def cluster_for_write(df: DataFrame, partition_by: Sequence[str], files_per_partition: int | None) -> DataFrame:
+    """Bound the number of files per output partition.
+
+    Without clustering every task writes one file per partition value it
+    holds (tasks x values files). Clustering on the partition columns alone
+    would put a hot value (a day with a third of all rows) in one task; a
+    deterministic hash salt spreads each value over ``files_per_partition``
+    tasks instead, and a retried task writes the same rows.
+    """
+    if not partition_by or not files_per_partition:
+        return df
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
+    return df.repartition(*[F.col(c) for c in partition_by], salt)
+
+
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
+                  files_per_partition: int | None = None) -> None:
+    w = cluster_for_write(df, partition_by, files_per_partition).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
@@ -26,7 +42,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     df.write.mode(mode).option("header", header).option("dateFormat", date_format).csv(path)
 
 
-def write_content_log(flat: DataFrame, base: str, layout: str = "partitioned", mode: str = "overwrite") -> None:
+def write_content_log(flat: DataFrame, base: str, layout: str = "partitioned", mode: str = "overwrite",
+                      files_per_day: int | None = None) -> None:
     """Flat viewing log -> JSON lines nested under ``_source``, one folder per day.
 
     ``partitioned``: one distributed write into ``<base>/day=<yyyyMMdd>/``.
@@ -36,6 +53,7 @@ def write_content_log(flat: DataFrame, base: str, layout: str = "partitioned", m
     nested = flat.select(F.struct("Contract", "Mac", "AppName", "TotalDuration").alias("_source"),
                          F.date_format("Process_Date", "yyyyMMdd").alias("day"))
     if layout == "partitioned":
+        nested = cluster_for_write(nested, ["day"], files_per_day)
         nested.write.mode(mode).partitionBy("day").option("partitionOverwriteMode", "dynamic").json(base)
         return
     if layout != "daily_files":

@@ -23,6 +23,7 @@ from viewlens import schemas as S
 from viewlens.operators import content as C
 from viewlens.plans.content import content_daily
 from viewlens.sources import files
+from viewlens.sources.sinks import cluster_for_write
 
 _DAY_IN_PATH = files._DAY_IN_PATH
 
@@ -40,7 +41,8 @@ def _touched_days(batch: DataFrame) -> list[dt.date]:
 
 def start_daily_profiles(spark: SparkSession, source: str, sink: str, checkpoint_location: str,
                          layout: str = "daily_files", available_now: bool = True,
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+                         max_files_per_trigger: int | None = None,
+                         files_per_day: int | None = None) -> StreamingQuery:
     """Start the stream ``source`` day files -> ``sink`` Parquet partitioned by day."""
     pattern = f"{source.rstrip('/')}/*.json" if layout == "daily_files" else f"{source.rstrip('/')}/day=*"
     reader = spark.readStream.schema(S.CONTENT_LOG_JSON)
@@ -55,6 +57,7 @@ def start_daily_profiles(spark: SparkSession, source: str, sink: str, checkpoint
         full = files.content_range_scan(batch.sparkSession, source, days[0], days[-1], layout)
         full = full.filter(F.col("Process_Date").isin(days))
         daily = content_daily(full).withColumn("day", F.date_format("Process_Date", "yyyy-MM-dd"))
+        daily = cluster_for_write(daily, ["day"], files_per_day)
         (daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("day").parquet(sink))
 
