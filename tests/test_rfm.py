@@ -130,3 +130,9 @@ def test_distributed_ntile_property(spark, keys, n, parts):
     ref = {r.id: r.t for r in df.select("id", F.ntile(n).over(Window.orderBy("k", "id")).alias("t")).collect()}
     got = {r.id: r.tile for r in global_ntile(df, "k", n, ["id"], "tile", "distributed").collect()}
     assert got == ref
+
+
+def test_distributed_ntile_empty_input(spark):
+    df = spark.createDataFrame([], "id long, k long")
+    out = global_ntile(df, "k", 5, ["id"], "tile", "distributed")
+    assert out.count() == 0 and out.columns == ["id", "k", "tile"]
