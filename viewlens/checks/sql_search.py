@@ -27,7 +27,7 @@ MAPPING = f"""mapping AS (
   UNION ALL
   SELECT DISTINCT 2 AS period, p_name AS keyword,
          CASE WHEN split_part(p_name, ' ', 1) = 'red' THEN 'Other' ELSE {_GENRE} END AS Genre
-  FROM part WHERE split_part(p_name, ' ', 1) NOT IN ('old', 'new'))"""
+  FROM part WHERE split_part(p_name, ' ', 1) <> 'new')"""
 
 MAPPED = """mapped AS (
   SELECT t.* FROM top t

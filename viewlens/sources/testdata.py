@@ -23,7 +23,7 @@ PART_GENRES = {
     "widget": "TV Channel", "rod": "News", "plate": "Music",
 }
 PART_GENRE_ELSE = "Comedy"
-MAPPING_EXCLUDED_FIRST_WORDS = {1: ["old"], 2: ["old", "new"]}
+MAPPING_EXCLUDED_FIRST_WORDS = {1: ["old"], 2: ["new"]}
 MAPPING_OTHER_FIRST_WORDS = {1: [], 2: ["red"]}
 CONTENT_DAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 6))
 
