@@ -102,3 +102,14 @@ def test_cli_stream_content(spark, tmpdir_path):
     got = spark.read.parquet(sink).drop("day")
     want = content_daily(flat)
     assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_cli_classify_with_plugged_labeller(spark, tmpdir_path):
+    top = os.path.join(tmpdir_path, "top")
+    sinks.write_csv(spark.createDataFrame([("1", "red bolt", 3), ("2", "blue ring", 1), ("3", "x gear", 2)],
+                                          "user_id string, keyword string, search_count long"), top)
+    out = os.path.join(tmpdir_path, "labels")
+    cli.main(["classify", "--input", top, "--labeller", "helpers.fake_labeller:label", "--batch-size", "2",
+              "--out", out])
+    got = {r.keyword: r.Genre for r in spark.read.parquet(out).collect()}
+    assert got == {"red bolt": "Action", "blue ring": "Romance", "x gear": "Comedy"}

@@ -70,6 +70,9 @@ def main(argv=None) -> None:
     k.add_argument("--input", required=True, help="top-keyword folder (user_id, keyword, search_count)")
     k.add_argument("--input-format", default="csv", choices=["csv", "parquet"])
     k.add_argument("--overrides", help="optional CSV (keyword, Genre) that wins over the rules")
+    k.add_argument("--labeller", help="module:function taking a list of keywords, returning labels "
+                                      "(e.g. a model client); runs on executors in batches")
+    k.add_argument("--batch-size", type=int, default=100)
     _sink_args(k)
 
     s = sub.add_parser("search")
@@ -131,8 +134,20 @@ def main(argv=None) -> None:
     elif a.cmd == "classify":
         kw = (files.read_most_search(spark, a.input) if a.input_format == "csv"
               else spark.read.parquet(a.input).select("keyword"))
-        ov = files.read_csv(spark, a.overrides, "keyword string, Genre string") if a.overrides else None
-        _write(K.classify_rules(kw, ov), a)
+        if a.labeller:
+            import importlib
+
+            from pyspark import cloudpickle
+            mod_name, _, fn = a.labeller.partition(":")
+            module = importlib.import_module(mod_name)
+            # Ship the labeller's code with the tasks: executors need not
+            # have the module installed.
+            cloudpickle.register_pickle_by_value(module)
+            labeller = getattr(module, fn)
+            _write(K.classify_batched(kw, labeller, batch_size=a.batch_size), a)
+        else:
+            ov = files.read_mapping(spark, a.overrides) if a.overrides else None
+            _write(K.classify_rules(kw, ov), a)
     elif a.cmd == "search":
         log = tagged_log(files.read_search_log(spark, a.first), files.read_search_log(spark, a.second))
         m = (files.read_mapping(spark, a.mapping_first, a.mapping_format).withColumn("period", F.lit(1))
