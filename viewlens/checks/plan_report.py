@@ -78,10 +78,8 @@ def main(argv=None) -> None:
     print("Physical plans as planned before adaptive re-optimisation (`spark.sql.shuffle.partitions=8`, "
           "AQE on). At run time AQE may turn more joins into broadcasts, coalesce partitions, and runs an "
           "exchange that occurs several times in one plan only once. Eagerly checkpointed inputs appear as "
-          "`Scan ExistingRDD`; their own plans ran earlier. In `rfm_*`, the single-partition exchange over "
-          "the customer table is the size-checked built-in `ntile` (at most 1,000,000 customers); "
-          "`global_ntile` shows the distributed path, whose only single-partition exchange carries one "
-          "row per shuffle partition.\n")
+          "`Scan ExistingRDD`; their own plans ran earlier. The distributed `ntile` (RFM scores) has one "
+          "single-partition exchange per score, carrying one row per shuffle partition.\n")
     print("| query | " + " | ".join(n for n, _ in MARKERS) + " | single-partition input |")
     print("|---|" + "---|" * (len(MARKERS) + 1))
     for n in names:

@@ -1,8 +1,8 @@
 """Exact global ``ntile`` without funnelling all rows into one task.
 
 Spark's built-in ``ntile`` over an un-partitioned window moves every row
-into a single partition. ``global_ntile`` keeps that path only when a row
-count shows the input is small enough for one task; otherwise it
+into a single partition. ``global_ntile`` (the default method,
+``"distributed"``) instead
 
 1. sorts globally by (order key, unique tiebreak) -- a range-partitioned
    shuffle whose sampled bounds split even a heavily tied key value across
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from viewlens.functions.exact import int_div_long
 from viewlens.session import materialize
 
-# Up to this many rows the built-in single-partition window is used.
+# With method="auto", up to this many rows use the built-in one-task window.
 SINGLE_TASK_MAX_ROWS = 1_000_000
 
 _PID, _POS, _OFF, _CNT, _TOTAL, _RN = "_nt_pid", "_nt_pos", "_nt_off", "_nt_cnt", "_nt_total", "_nt_rn"
@@ -83,12 +83,14 @@ def global_row_number(df: DataFrame, order: str | Column | Sequence[str | Column
 
 
 def global_ntile(df: DataFrame, order: str | Column | Sequence[str | Column], n: int,
-                 tiebreak: Sequence[str], out_col: str, method: str = "auto",
+                 tiebreak: Sequence[str], out_col: str, method: str = "distributed",
                  single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Add ``out_col`` = ntile(n) over (order, tiebreak) ascending, globally.
 
-    ``method``: ``"builtin"`` (one task), ``"distributed"``, or ``"auto"``
-    (count the rows, use the built-in only up to ``single_task_max_rows``).
+    ``method``: ``"distributed"`` (default, no task holds all rows),
+    ``"builtin"`` (Spark's window, one task), or ``"auto"`` (count the rows,
+    use the built-in only up to ``single_task_max_rows`` -- an opt-in for
+    small inputs where one task is faster).
     The input is scanned more than once on the distributed path; pass a
     materialized or cheap-to-recompute DataFrame.
     """

@@ -65,12 +65,12 @@ def base(tx_clean: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return with_aov(with_recency(totals, as_of)).select("CustomerID", "Recency", "Frequency", "Monetary", "AOV")
 
 
-def scores(base_df: DataFrame, n: int = S.RFM_TILES, method: str = "auto",
+def scores(base_df: DataFrame, n: int = S.RFM_TILES, method: str = "distributed",
            single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """R = n+1 - ntile over Recency; F, M = ntile over Frequency, Monetary.
 
-    Ties are broken by CustomerID ascending. ``method`` as in global_ntile;
-    with ``auto`` one count decides for all three scores.
+    Ties are broken by CustomerID ascending. ``method`` as in global_ntile
+    (default distributed); with ``auto`` one count decides for all three.
     """
     if method == "auto":
         method = "builtin" if base_df.count() <= single_task_max_rows else "distributed"

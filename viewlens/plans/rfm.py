@@ -26,13 +26,13 @@ def rfm_base(tx: DataFrame, as_of: dt.date | None = None, persist: bool = True)
             .select("CustomerID", "Recency", "Frequency", "Monetary", "AOV"))
 
 
-def rfm_scored(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES, method: str = "auto",
+def rfm_scored(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES, method: str = "distributed",
                single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     base = rfm_base(tx, as_of)
     return R.segments(R.scores(base, n, method, single_task_max_rows))
 
 
-def rfm_table(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES, method: str = "auto",
+def rfm_table(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES, method: str = "distributed",
               single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """CustomerID, Recency, Frequency, Monetary, AOV, RFM_Score, Segment."""
     return R.output(rfm_scored(tx, as_of, n, method, single_task_max_rows))
