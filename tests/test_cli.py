@@ -10,7 +10,7 @@ from viewlens.sources import testdata as TD
 SF = "/root/testdata/sf0.001"
 
 
-def test_cli_content_and_rfm(spark, tmpdir_path):
+def test_cli_content_and_rfm(spark, tmpdir_path, capsys):
     src = os.path.join(tmpdir_path, "log")
     sinks.write_content_log(TD.content_log(spark, SF, dt.date(2024, 1, 1), dt.date(2024, 1, 3)), src,
                             layout="daily_files")
@@ -20,8 +20,10 @@ def test_cli_content_and_rfm(spark, tmpdir_path):
     tx_csv = os.path.join(tmpdir_path, "tx")
     sinks.write_csv(TD.transactions(spark, SF), tx_csv)
     out = os.path.join(tmpdir_path, "rfm")
-    cli.main(["rfm", "--transactions", tx_csv, "--out", out, "--format", "csv"])
+    cli.main(["rfm", "--transactions", tx_csv, "--out", out, "--format", "csv", "--audit"])
     assert spark.read.option("header", True).csv(out).count() > 0
+    printed = [ln for ln in capsys.readouterr().out.splitlines() if ln.startswith("{")]
+    assert '"rows_before"' in printed[0] and len(printed) >= 2
 
 
 def test_cli_search_chain(spark, tmpdir_path):

@@ -87,6 +87,8 @@ def main(argv=None) -> None:
     r.add_argument("--transactions", required=True)
     r.add_argument("--date-format", default="yyyy-MM-dd")
     r.add_argument("--as-of", type=_date)
+    r.add_argument("--audit", action="store_true",
+                   help="print cleaning counts and customers per segment as JSON lines")
     _sink_args(r)
 
     mk = sub.add_parser("marts", help="dashboard marts from stored result tables")
@@ -155,7 +157,16 @@ def main(argv=None) -> None:
         _write(search_change(log, m), a)
     elif a.cmd == "rfm":
         tx = files.read_transactions(spark, a.transactions, a.date_format)
-        _write(rfm_table(tx, a.as_of), a)
+        table = rfm_table(tx, a.as_of)
+        _write(table, a)
+        if a.audit:
+            import json
+
+            from viewlens.operators import rfm as R
+            # Both summaries are bounded: one row, and one row per segment.
+            print(json.dumps(R.clean_audit(tx).first().asDict()))
+            for row in R.segment_counts(table).orderBy(F.col("count").desc(), "Segment").collect():
+                print(json.dumps(row.asDict(), ensure_ascii=False))
     elif a.cmd == "marts":
         from viewlens.plans.dashboard import dashboard_marts
         from viewlens.sources.sinks import load_table, write_parquet
