@@ -411,7 +411,7 @@ def content_from_json(spark, sf):
     flat = _flat(spark, sf)
     write_content_log(flat, base, layout="partitioned")
     bounds = flat.agg(F.min("Process_Date").alias("lo"), F.max("Process_Date").alias("hi")).first()
-    if bounds.lo is None:
-        return content_plan.content_table(flat.limit(0))
+    if bounds.lo is None:  # no events at all: the empty profile table
+        return content_plan.content_table(spark.createDataFrame([], S.CONTENT_FLAT))
     scanned = files.content_range_scan(spark, base, bounds.lo, bounds.hi, layout="partitioned")
     return content_plan.content_table(scanned)
