@@ -128,10 +128,10 @@ def answers_from_labels(keywords: DataFrame, labels: DataFrame, batch_rows: int
     Keywords without a label are omitted from the answer object.
     """
     kw = distinct_keywords(keywords)
-    n = kw.count()
-    buckets = max(1, -(-n // batch_rows))
+    # ceil(#keywords / batch_rows) buckets, as a scalar subquery (no driver round trip)
+    buckets = kw.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(batch_rows))).cast("long")).scalar()
     tagged = (kw.join(labels.select("keyword", "Genre"), "keyword", "left")
-              .withColumn("_batch", F.pmod(F.xxhash64("keyword"), F.lit(buckets))))
+              .withColumn("_batch", F.pmod(F.xxhash64("keyword"), buckets)))
     entries = F.filter(F.collect_list(F.struct("keyword", "Genre")), lambda e: e["Genre"].isNotNull())
     return (tagged.groupBy("_batch")
             .agg(F.collect_list("keyword").alias("keywords"), entries.alias("_entries"))
