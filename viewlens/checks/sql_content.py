@@ -104,6 +104,7 @@ SELECT Contract, count(DISTINCT Process_Date) AS Active_Days,
        CASE WHEN count(DISTINCT Process_Date) > 4 THEN 'High' ELSE 'Low' END AS Active
 FROM valid GROUP BY Contract"""),
     "content_profile": with_ctes(CONTENT_CTES, f"SELECT {PROFILE_COLS} FROM profile"),
+    "content_profile_from_stream": with_ctes(CONTENT_CTES, f"SELECT {PROFILE_COLS} FROM profile"),
     "content_from_json": with_ctes(CONTENT_CTES, f"SELECT {PROFILE_COLS} FROM profile"),
     "content_profile_range": with_ctes(content_ctes(RANGE_WHERE), f"SELECT {PROFILE_COLS} FROM profile"),
     "content_profile_period": with_ctes(

@@ -25,7 +25,7 @@ from viewlens.session import materialize, scratch_path
 from viewlens.sources import files
 from viewlens.sources import testdata as TD
 from viewlens.sources.sinks import write_content_log, write_csv, write_parquet
-from viewlens.streaming.content_daily import read_daily_profiles, start_daily_profiles
+from viewlens.streaming.content_daily import profile_from_daily, read_daily_profiles, start_daily_profiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -415,3 +415,13 @@ def content_from_json(spark, sf):
         return content_plan.content_table(spark.createDataFrame([], S.CONTENT_FLAT))
     scanned = files.content_range_scan(spark, base, bounds.lo, bounds.hi, layout="partitioned")
     return content_plan.content_table(scanned)
+
+
+@query("content_profile_from_stream")
+def content_profile_from_stream(spark, sf):
+    """Day folders ingested by the file stream, then the period profile from the daily table."""
+    src = scratch_path(spark, "stream-src")
+    write_content_log(_flat(spark, sf), src, layout="partitioned")
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    start_daily_profiles(spark, src, sink, ckpt, layout="partitioned", available_now=True).awaitTermination()
+    return profile_from_daily(spark, sink)
