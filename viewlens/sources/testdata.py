@@ -23,6 +23,8 @@ PART_GENRES = {
     "widget": "TV Channel", "rod": "News", "plate": "Music",
 }
 PART_GENRE_ELSE = "Comedy"
+# Month 1 labels every name not starting with "old", month 2 every name not
+# starting with "new" (so "old ..." names are labelled in month 2 only).
 MAPPING_EXCLUDED_FIRST_WORDS = {1: ["old"], 2: ["new"]}
 MAPPING_OTHER_FIRST_WORDS = {1: [], 2: ["red"]}
 CONTENT_DAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 6))
