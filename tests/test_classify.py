@@ -46,3 +46,17 @@ def test_batched_rules_equal_column_rules(spark):
     a = {r.keyword: r.Genre for r in K.classify_rules(df).collect()}
     b = {r.keyword: r.Genre for r in K.classify_batched(df, K.rules_labeller(), batch_size=3).collect()}
     assert a == b
+
+
+def test_incremental_labels_only_new_keywords(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def labeller(words):
+        calls.add(len(words))
+        return ["News"] * len(words)
+
+    kw = spark.createDataFrame([("a",), ("b",), ("c",), ("a",)], "keyword string")
+    known = spark.createDataFrame([("a", "Drama"), ("z", "Action")], "keyword string, Genre string")
+    got = {r.keyword: r.Genre for r in K.classify_incremental(kw, known, labeller, batch_size=10).collect()}
+    assert got == {"a": "Drama", "b": "News", "c": "News"}
+    assert calls.value == 2

@@ -24,6 +24,9 @@ SQL = {
     "keyword_classify_batched": with_ctes([LOG, KW], f"SELECT keyword, {RULE} AS Genre FROM kw"),
     "keyword_classify_override": with_ctes([LOG, KW, MAPPING, P1], f"""
 SELECT k.keyword, coalesce(m.Genre, {RULE.replace('keyword', 'k.keyword')}) AS Genre
+FROM kw k LEFT JOIN mapping1 m ON k.keyword = m.keyword"""),
+    "keyword_classify_incremental": with_ctes([LOG, KW, MAPPING, P1], f"""
+SELECT k.keyword, coalesce(m.Genre, {RULE.replace('keyword', 'k.keyword')}) AS Genre
 FROM kw k LEFT JOIN mapping1 m ON k.keyword = m.keyword"""),
     "label_response_parse": with_ctes([LOG, KW, MAPPING, P1], """
 SELECT k.keyword, coalesce(m.Genre, 'Other') AS Genre FROM kw k LEFT JOIN mapping1 m ON k.keyword = m.keyword"""),

@@ -140,3 +140,21 @@ def answers_from_labels(keywords: DataFrame, labels: DataFrame, batch_rows: int
                              F.when(F.size("_entries") > 0, F.to_json(F.map_from_entries("_entries")))
                              .otherwise(F.lit("{}")),
                              F.lit(suffix)).alias("response")))
+
+
+def classify_incremental(keywords: DataFrame, known: DataFrame, labeller: Labeller | None = None,
+                         batch_size: int = 100) -> DataFrame:
+    """Labels for all distinct keywords, calling the labeller only for new ones.
+
+    ``known``: an existing (keyword, Genre) table (for example last run's
+    output). Keywords already in it keep their label; the rest (a left-anti
+    join, so only the new keywords are shuffled against the table) go
+    through the labeller -- or the rules when none is given. Returns known
+    and new labels together, one row per keyword.
+    """
+    kw = distinct_keywords(keywords)
+    known = (known.filter(F.col("keyword").isNotNull())
+             .groupBy("keyword").agg(F.min("Genre").alias("Genre")))  # one label per keyword, deterministic
+    fresh = kw.join(known.select("keyword"), "keyword", "left_anti")
+    labelled = classify_batched(fresh, labeller, batch_size) if labeller else classify_rules(fresh)
+    return known.join(kw, "keyword", "left_semi").unionByName(labelled)

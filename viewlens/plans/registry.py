@@ -350,6 +350,13 @@ def keyword_classify_override(spark, sf):
     return K.classify_rules(TD.search_log_tagged(spark, sf), overrides=TD.keyword_mapping(spark, sf, 1))
 
 
+@query("keyword_classify_incremental")
+def keyword_classify_incremental(spark, sf):
+    """First-period labels as the known table; only the other keywords go to the labeller."""
+    return K.classify_incremental(TD.search_log_tagged(spark, sf), TD.keyword_mapping(spark, sf, 1),
+                                  K.rules_labeller(), batch_size=100)
+
+
 @query("label_response_parse")
 def label_response_parse(spark, sf):
     """Answers built from the first period's labels, parsed back per keyword."""
