@@ -115,3 +115,16 @@ def test_cli_classify_with_plugged_labeller(spark, tmpdir_path):
               "--out", out])
     got = {r.keyword: r.Genre for r in spark.read.parquet(out).collect()}
     assert got == {"red bolt": "Action", "blue ring": "Romance", "x gear": "Comedy"}
+
+
+def test_cli_classify_incremental(spark, tmpdir_path):
+    top = os.path.join(tmpdir_path, "top")
+    sinks.write_csv(spark.createDataFrame([("1", "red bolt", 3), ("2", "blue ring", 1)],
+                                          "user_id string, keyword string, search_count long"), top)
+    known = os.path.join(tmpdir_path, "known")
+    sinks.write_csv(spark.createDataFrame([("red bolt", "Horror")], "keyword string, Genre string"), known)
+    out = os.path.join(tmpdir_path, "labels")
+    cli.main(["classify", "--input", top, "--known", known, "--labeller", "helpers.fake_labeller:label",
+              "--out", out])
+    got = {r.keyword: r.Genre for r in spark.read.parquet(out).collect()}
+    assert got == {"red bolt": "Horror", "blue ring": "Romance"}

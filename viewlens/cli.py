@@ -73,6 +73,8 @@ def main(argv=None) -> None:
     k.add_argument("--labeller", help="module:function taking a list of keywords, returning labels "
                                       "(e.g. a model client); runs on executors in batches")
     k.add_argument("--batch-size", type=int, default=100)
+    k.add_argument("--known", help="existing (keyword, Genre) labels; only new keywords are labelled "
+                                   "(write the result to a different --out than --known)")
     _sink_args(k)
 
     s = sub.add_parser("search")
@@ -136,6 +138,7 @@ def main(argv=None) -> None:
     elif a.cmd == "classify":
         kw = (files.read_most_search(spark, a.input) if a.input_format == "csv"
               else spark.read.parquet(a.input).select("keyword"))
+        labeller = None
         if a.labeller:
             import importlib
 
@@ -146,6 +149,9 @@ def main(argv=None) -> None:
             # have the module installed.
             cloudpickle.register_pickle_by_value(module)
             labeller = getattr(module, fn)
+        if a.known:
+            _write(K.classify_incremental(kw, files.read_mapping(spark, a.known), labeller, a.batch_size), a)
+        elif labeller:
             _write(K.classify_batched(kw, labeller, batch_size=a.batch_size), a)
         else:
             ov = files.read_mapping(spark, a.overrides) if a.overrides else None
