@@ -82,6 +82,28 @@ def scores(base_df: DataFrame, n: int = S.RFM_TILES, method: str = "distributed"
     return df.withColumn("RFM_Score", L.rfm_code(F.col("R_Score"), F.col("F_Score"), F.col("M_Score")))
 
 
+def scores_from_totals(totals: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES,
+                       method: str = "distributed",
+                       single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+    """Scores straight from the per-customer totals, with Recency and AOV added.
+
+    Recency ascending is the same order as Last_Purchase descending (NULLs
+    first), so the recency tile needs no reference date. On the distributed
+    path the first pass's sorted checkpoint is the single lineage cut: the
+    reference-date subquery and the two other passes read it, and the
+    totals are never written separately.
+    """
+    if method == "auto":
+        method = "builtin" if totals.count() <= single_task_max_rows else "distributed"
+    df = global_ntile(totals, F.col("Last_Purchase").desc_nulls_first(), n, ["CustomerID"], "_r_tile", method)
+    df = with_aov(with_recency(df, as_of))
+    df = global_ntile(df, "Frequency", n, ["CustomerID"], "F_Score", method)
+    df = global_ntile(df, "Monetary", n, ["CustomerID"], "M_Score", method)
+    df = df.withColumn("R_Score", (F.lit(n + 1) - F.col("_r_tile")).cast("int")).drop("_r_tile")
+    df = df.withColumn("F_Score", F.col("F_Score").cast("int")).withColumn("M_Score", F.col("M_Score").cast("int"))
+    return df.withColumn("RFM_Score", L.rfm_code(F.col("R_Score"), F.col("F_Score"), F.col("M_Score")))
+
+
 def segments(scored: DataFrame) -> DataFrame:
     fm = L.fm_score(F.col("F_Score"), F.col("M_Score"))
     return (scored.withColumn("FM_Score", fm)

@@ -63,7 +63,7 @@ def rfm_base(spark, sf):
 
 @query("rfm_scores")
 def rfm_scores(spark, sf):
-    s = R.scores(rfm_plan.rfm_base(TD.transactions(spark, sf)))
+    s = rfm_plan.rfm_scored(TD.transactions(spark, sf))
     return s.select("CustomerID", "Recency", "Frequency", F.col("Monetary").cast("double").alias("Monetary"), "AOV",
                     "R_Score", "F_Score", "M_Score", "RFM_Score")
 

@@ -28,8 +28,18 @@ def rfm_base(tx: DataFrame, as_of: dt.date | None = None, persist: bool = True)
 
 def rfm_scored(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES, method: str = "distributed",
                single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
-    base = rfm_base(tx, as_of)
-    return R.segments(R.scores(base, n, method, single_task_max_rows))
+    """Base columns plus R/F/M scores, RFM code, FM score and segment.
+
+    Distributed (default): the first score pass sorts and checkpoints the
+    totals, which also cuts lineage for everything after it -- the customer
+    table is written once per score and never separately. Built-in / auto:
+    the totals are checkpointed first, since one-task windows and the
+    reference-date subquery would otherwise each re-aggregate transactions.
+    """
+    totals = R.customer_totals(R.clean(tx))
+    if method != "distributed":
+        totals = materialize(totals)
+    return R.segments(R.scores_from_totals(totals, as_of, n, method, single_task_max_rows))
 
 
 def rfm_table(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES, method: str = "distributed",
