@@ -13,11 +13,12 @@ from viewlens.session import materialize
 
 
 def rfm_base(tx: DataFrame, as_of: dt.date | None = None, persist: bool = True) -> DataFrame:
-    """Cleaned transactions -> per-customer base.
+    """Cleaned transactions -> per-customer base (no scores).
 
     With ``persist`` the per-customer totals are written once to the shared
-    checkpoint folder: the reference-date subquery and the three score
-    passes read them there, so the transactions are scanned exactly once.
+    checkpoint folder, so the reference-date subquery and any further use of
+    the base read them there instead of re-aggregating the transactions.
+    (``rfm_scored`` cuts lineage at its first score pass instead.)
     """
     totals = R.customer_totals(R.clean(tx))
     if persist:
