@@ -128,3 +128,15 @@ def test_cli_classify_incremental(spark, tmpdir_path):
               "--out", out])
     got = {r.keyword: r.Genre for r in spark.read.parquet(out).collect()}
     assert got == {"red bolt": "Horror", "blue ring": "Romance"}
+
+
+def test_cli_content_from_daily_table(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "log")
+    flat = TD.content_log(spark, SF, dt.date(2024, 1, 1), dt.date(2024, 1, 6))
+    sinks.write_content_log(flat, src, layout="daily_files")
+    daily = os.path.join(tmpdir_path, "daily")
+    cli.main(["stream-content", "--source", src, "--sink", daily, "--checkpoint", os.path.join(tmpdir_path, "c")])
+    a, b = os.path.join(tmpdir_path, "a"), os.path.join(tmpdir_path, "b")
+    cli.main(["content", "--source", daily, "--from-daily", "--start", "20240102", "--end", "20240105", "--out", a])
+    cli.main(["content", "--source", src, "--start", "20240102", "--end", "20240105", "--out", b])
+    assert sorted(map(tuple, spark.read.parquet(a).collect())) == sorted(map(tuple, spark.read.parquet(b).collect()))

@@ -59,6 +59,8 @@ def main(argv=None) -> None:
     c.add_argument("--end", required=True, type=_date)
     c.add_argument("--layout", default="daily_files", choices=["daily_files", "partitioned"])
     c.add_argument("--labels", default="first_day", choices=["first_day", "period"])
+    c.add_argument("--from-daily", action="store_true",
+                   help="--source is the stream-content daily table (Parquet), not JSON day files")
     _sink_args(c)
 
     t = sub.add_parser("top-keywords")
@@ -124,8 +126,12 @@ def main(argv=None) -> None:
     from viewlens.sources import files
 
     if a.cmd == "content":
-        flat = files.content_range_scan(spark, a.source, a.start, a.end, a.layout)
-        _write(content_table(flat, a.labels), a)
+        if a.from_daily:
+            from viewlens.streaming.content_daily import profile_from_daily
+            _write(profile_from_daily(spark, a.source, a.start, a.end, a.labels), a)
+        else:
+            flat = files.content_range_scan(spark, a.source, a.start, a.end, a.layout)
+            _write(content_table(flat, a.labels), a)
     elif a.cmd == "top-keywords":
         # One pass over both months; one output folder per month, each
         # (user_id, keyword, search_count) as the labelling step reads it.
