@@ -140,3 +140,19 @@ def test_cli_content_from_daily_table(spark, tmpdir_path):
     cli.main(["content", "--source", daily, "--from-daily", "--start", "20240102", "--end", "20240105", "--out", a])
     cli.main(["content", "--source", src, "--start", "20240102", "--end", "20240105", "--out", b])
     assert sorted(map(tuple, spark.read.parquet(a).collect())) == sorted(map(tuple, spark.read.parquet(b).collect()))
+
+
+def test_cli_marts_from_csv_tables(spark, tmpdir_path):
+    from viewlens.operators import marts as M
+    from viewlens.plans.registry import QUERIES
+    paths = {}
+    for name, q in (("rfm", "rfm_segments"), ("content", "content_profile"), ("search", "search_changing")):
+        paths[name] = os.path.join(tmpdir_path, name)
+        df = QUERIES[q](spark, SF)
+        sinks.write_csv(df.select(*reversed(df.columns)), paths[name])  # column order must not matter
+    out = os.path.join(tmpdir_path, "marts")
+    cli.main(["marts", "--input-format", "csv", "--rfm", paths["rfm"], "--content", paths["content"],
+              "--search", paths["search"], "--out", out])
+    got = spark.read.parquet(os.path.join(out, "rfm_segment_stats"))
+    want = M.rfm_segment_stats(QUERIES["rfm_segments"](spark, SF))
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))

@@ -183,14 +183,15 @@ def main(argv=None) -> None:
         from viewlens.plans.dashboard import dashboard_marts
         from viewlens.sources.sinks import load_table, write_parquet
 
-        def load(src):
+        def load(src, table):
             if src is None:
                 return None
             if a.input_format == "csv":
-                return spark.read.option("header", True).option("inferSchema", True).csv(src)
+                return files.read_result_csv(spark, src, table)
             return load_table(spark, src, a.input_format)
 
-        marts = dashboard_marts(load(a.rfm), load(a.content), load(a.search), segments=a.segments,
+        marts = dashboard_marts(load(a.rfm, "rfm"), load(a.content, "content"), load(a.search, "search"),
+                                segments=a.segments,
                                 most_watch=a.most_watch, active=a.active, genres_t6=a.genre_t6,
                                 genres_t7=a.genre_t7, change=a.change)
         for name, df in marts.items():

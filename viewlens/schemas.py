@@ -150,6 +150,17 @@ SEARCH_CHANGE_COLUMNS = [
 RFM_COLUMNS = ["CustomerID", "Recency", "Frequency", "Monetary", "AOV", "RFM_Score", "Segment"]
 
 
+# Result table types (as the pipelines write them).
+RESULT_TYPES: dict[str, dict[str, str]] = {
+    "rfm": {"CustomerID": "bigint", "Recency": "int", "Frequency": "bigint", "Monetary": "double",
+            "AOV": "double", "RFM_Score": "string", "Segment": "string"},
+    "content": {"Contract": "string", "Total_Devices": "bigint", "Total_Giai_Tri": "bigint",
+                "Total_Phim_Truyen": "bigint", "Total_The_Thao": "bigint", "Total_Thieu_Nhi": "bigint",
+                "Total_Truyen_Hinh": "bigint", "MostWatch": "string", "Taste": "string", "Active": "string"},
+    "search": {c: "string" for c in SEARCH_CHANGE_COLUMNS},
+}
+
+
 def duration_columns() -> list[str]:
     """The five per-category duration columns in TASTE_ORDER."""
     return [CATEGORY_COLUMNS[c] for c in TASTE_ORDER]

@@ -115,3 +115,20 @@ def read_most_search(spark: SparkSession, path: str) -> DataFrame:
     names = {c.lower().lstrip("\ufeff"): c for c in df.columns}
     return df.select(*[F.col(f"`{names[f.name.lower()]}`").cast(f.dataType).alias(f.name)
                        for f in S.MOST_SEARCH.fields if f.name.lower() in names])
+
+
+def read_result_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A stored result table (``rfm``, ``content`` or ``search``) from header CSV.
+
+    Columns are matched by header name (case-insensitive) and cast to the
+    result types, so no schema-inference pass runs and column order does not
+    matter. Unknown columns are kept as strings.
+    """
+    types = S.RESULT_TYPES[table]
+    df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    canon = {c.lower(): c for c in types}
+    cols = []
+    for c in df.columns:
+        name = canon.get(c.lower().lstrip("\ufeff"))
+        cols.append(F.col(f"`{c}`").cast(types[name]).alias(name) if name else F.col(f"`{c}`"))
+    return df.select(*cols)
