@@ -42,14 +42,14 @@ def text_bytes(df: DataFrame, col: str = "text") -> int:
     return int(df.agg(F.coalesce(F.sum(F.octet_length(col)), F.lit(0))).first()[0])
 
 
-def slices(batch: pa.RecordBatch, col: str = "text", limit: int = 8 << 20):
-    """Cuts of a batch whose texts hold ``limit`` bytes at most (one row at least)."""
+def slices(batch: pa.RecordBatch, col: str = "text", limit: int = 8 << 20, rows: int = 1 << 20):
+    """Cuts of a batch whose texts hold ``limit`` bytes at most (one row at least), with ``rows`` rows at most."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(col))), 0).to_numpy(zero_copy_only=False)
     total, start = 0, 0
     for i, n in enumerate(sizes.tolist()):
-        if i > start and total + n > limit:
+        if i > start and (total + n > limit or i - start >= rows):
             yield batch.slice(start, i - start)
             total, start = 0, i
         total += n
@@ -97,9 +97,24 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x
 
 
-def hash_words(vocabulary: pa.Array) -> np.ndarray:
-    """64-bit hashes of words, the same in every process."""
-    import xxhash
+_ODD = 0x9E3779B97F4A7C15
+
 
-    h = xxhash.xxh3_64_intdigest
-    return np.fromiter((h(w) for w in vocabulary.to_pylist()), np.uint64, len(vocabulary))
+def hash_words(vocabulary: pa.Array) -> np.ndarray:
+    """64-bit hashes of words, the same in every process: a polynomial in random byte codes, modulo 2^64, then mixed."""
+    n = len(vocabulary)
+    if not n:
+        return np.zeros(0, np.uint64)
+    if isinstance(vocabulary, pa.ChunkedArray):
+        vocabulary = vocabulary.combine_chunks()
+    at = np.frombuffer(vocabulary.buffers()[1], np.int32, n + 1, vocabulary.offset * 4).astype(np.int64)
+    if at[-1] == at[0]:
+        return mix64(np.zeros(n, np.uint64))
+    data = np.frombuffer(vocabulary.buffers()[2], np.uint8)[at[0]:at[-1]]
+    at -= at[0]
+    codes = mix64(np.arange(256), 1)
+    size = int(np.diff(at).max()) + 1
+    powers = np.cumprod(np.full(size, _ODD, np.uint64))
+    place = np.arange(len(data)) - np.repeat(at[:-1], np.diff(at))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes[data] * powers[place], dtype=np.uint64)])
+    return mix64((total[at[1:]] - total[at[:-1]]) ^ np.diff(at).astype(np.uint64))

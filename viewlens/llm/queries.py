@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
-from viewlens.llm import chat, mixing, sharding
+from viewlens.llm import chat, fm_quality, line_rules, mixing, sharding, word_bpe
 from viewlens.llm.common import documents
 
 QUERIES: dict = {}
@@ -83,3 +82,25 @@ def op2_chat_prefix_targets(spark, sf):
 @query("op3_contiguous_shards")
 def op3_contiguous_shards(spark, sf):
     return sharding.shard(documents(spark, sf))
+
+
+@query("op6_line_rules")
+def op6_line_rules(spark, sf):
+    return line_rules.judge(documents(spark, sf))
+
+
+@query("op8_fm_quality")
+def op8_fm_quality(spark, sf):
+    docs, labels = documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
+    return fm_quality.score(docs, fm_quality.train(docs, labels))
+
+
+def word_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op10_word_bpe")
+def op10_word_bpe(spark, sf):
+    return word_bpe.encode_digests(documents(spark, sf), word_vocabulary())
