@@ -28,6 +28,7 @@ HASH_BITS = 60
 #: Bits by which each refinement splits the boundary bucket; they add up to HASH_BITS.
 LEVELS = (16, 22, 22)
 ROUNDS = 3
+SALTS = 32
 _END = 1 << HASH_BITS
 
 
@@ -65,8 +66,10 @@ def source_targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most:
 
 
 def _with(rows: DataFrame, state: DataFrame) -> DataFrame:
-    state = state.withColumnRenamed("source", "state_source")
-    return rows.join(state, F.col("source").eqNullSafe(F.col("state_source"))).drop("state_source")
+    """Rows with their source's state; the source is split by hash, so a hot one is joined in SALTS parts."""
+    state = state.withColumnRenamed("source", "state_source").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    same = F.col("source").eqNullSafe(F.col("state_source")) & (F.pmod("h", F.lit(SALTS)).cast("int") == F.col("salt"))
+    return rows.join(state, same).drop("state_source", "salt")
 
 
 def _threshold(candidates: DataFrame, state: DataFrame, name: str) -> DataFrame:
