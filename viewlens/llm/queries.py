@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from viewlens.llm import chat, fm_quality, line_rules, mixing, sharding, word_bpe
+from viewlens.llm import chat, chosen_path, fm_quality, line_rules, mixing, sharding, word_bpe
 from viewlens.llm.common import documents
 
 QUERIES: dict = {}
@@ -104,3 +104,8 @@ def word_vocabulary() -> str:
 @query("op10_word_bpe")
 def op10_word_bpe(spark, sf):
     return word_bpe.encode_digests(documents(spark, sf), word_vocabulary())
+
+
+@query("op9_chosen_path_join")
+def op9_chosen_path_join(spark, sf):
+    return chosen_path.join(documents(spark, sf))
