@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from viewlens.llm import chat, chosen_path, fm_quality, line_rules, mixing, sharding, word_bpe
+from viewlens.llm import chat, chosen_path, cross_parse, fm_quality, line_rules, mixing, sharding, word_bpe
 from viewlens.llm.common import documents
 
 QUERIES: dict = {}
@@ -109,3 +109,9 @@ def op10_word_bpe(spark, sf):
 @query("op9_chosen_path_join")
 def op9_chosen_path_join(spark, sf):
     return chosen_path.join(documents(spark, sf))
+
+
+@query("op7_cross_parse_language")
+def op7_cross_parse_language(spark, sf):
+    docs = documents(spark, sf)
+    return cross_parse.identify(docs, cross_parse.learn(docs))
