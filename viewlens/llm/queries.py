@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from viewlens.llm import chat, chosen_path, cross_parse, fm_quality, line_rules, mixing, sharding, word_bpe
+from viewlens.llm import ann_tree, chat, chosen_path, cross_parse, fm_quality, line_rules, mixing, sharding, word_bpe
 from viewlens.llm.common import documents
 
 QUERIES: dict = {}
@@ -115,3 +115,8 @@ def op9_chosen_path_join(spark, sf):
 def op7_cross_parse_language(spark, sf):
     docs = documents(spark, sf)
     return cross_parse.identify(docs, cross_parse.learn(docs))
+
+
+@query("op5_kmeans_tree_search")
+def op5_kmeans_tree_search(spark, sf):
+    return ann_tree.search(spark.read.parquet(f"{sf}/embeddings.parquet"))
