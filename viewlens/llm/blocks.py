@@ -40,3 +40,32 @@ def unpack(b: bytes, kind) -> np.ndarray:
     import zstandard
 
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
+
+
+def pack_ints(a: np.ndarray, delta: bool = False) -> bytes:
+    """Unsigned integers in the fewest bytes, byte planes apart; ``delta`` for ascending ones."""
+    import zstandard
+
+    a = np.ascontiguousarray(a, np.uint64)
+    if delta and len(a):
+        a = np.diff(a, prepend=np.uint64(0))
+    most = int(a.max()) if len(a) else 0
+    kind = np.dtype(next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max))
+    planes = a.astype(kind).view(np.uint8).reshape(-1, kind.itemsize).T
+    return bytes([kind.itemsize]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpack_ints(b: bytes, delta: bool = False) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8).reshape(b[0], -1)
+    a = np.ascontiguousarray(planes.T).view(f"<u{b[0]}").ravel().astype(np.uint64)
+    return np.cumsum(a, dtype=np.uint64) if delta else a
+
+
+def pack_floats(a: np.ndarray) -> bytes:
+    return pack_ints(np.ascontiguousarray(a, np.float32).view(np.uint32))
+
+
+def unpack_floats(b: bytes) -> np.ndarray:
+    return unpack_ints(b).astype(np.uint32).view(np.float32).astype(np.float64)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from viewlens.llm import ann_tree, chat, chosen_path, cross_parse, fm_quality, line_rules, mixing, sharding, word_bpe
+from viewlens.llm import ann_tree, chat, chosen_path, cross_parse, fm_quality, hpy_lm, line_rules, mixing, sharding, word_bpe
 from viewlens.llm.common import documents
 
 QUERIES: dict = {}
@@ -120,3 +120,8 @@ def op7_cross_parse_language(spark, sf):
 @query("op5_kmeans_tree_search")
 def op5_kmeans_tree_search(spark, sf):
     return ann_tree.search(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query("op4_pitman_yor_score")
+def op4_pitman_yor_score(spark, sf):
+    return hpy_lm.score(documents(spark, sf))
