@@ -29,6 +29,8 @@ HASH_BITS = 60
 LEVELS = (16, 22, 22)
 ROUNDS = 3
 SALTS = 32
+#: So many sources are broadcast at most (a row each).
+BROADCAST_SOURCES = 10_000
 _END = 1 << HASH_BITS
 
 
@@ -65,14 +67,17 @@ def source_targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most:
                     (F.col("target") - full * F.col("source_size")).alias("left"))
 
 
-def _with(rows: DataFrame, state: DataFrame) -> DataFrame:
-    """Rows with their source's state; the source is split by hash, so a hot one is joined in SALTS parts."""
-    state = state.withColumnRenamed("source", "state_source").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    same = F.col("source").eqNullSafe(F.col("state_source")) & (F.pmod("h", F.lit(SALTS)).cast("int") == F.col("salt"))
-    return rows.join(state, same).drop("state_source", "salt")
+def _with(rows: DataFrame, state: DataFrame, few: bool) -> DataFrame:
+    """Rows with their source's state. ``few`` sources are broadcast; else a source is joined in SALTS parts by hash."""
+    state = state.withColumnRenamed("source", "state_source")
+    same = F.col("source").eqNullSafe(F.col("state_source"))
+    if few:
+        return rows.join(F.broadcast(state), same).drop("state_source")
+    state = state.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(state, same & (F.pmod("h", F.lit(SALTS)).cast("int") == F.col("salt"))).drop("state_source", "salt")
 
 
-def _threshold(candidates: DataFrame, state: DataFrame, name: str) -> DataFrame:
+def _threshold(candidates: DataFrame, state: DataFrame, name: str, few: bool) -> DataFrame:
     """state plus ``name``: the least hash at which a source's candidates exceed ``left``; ``left`` less what lies below."""
     done = 0
     state = state.withColumns({"prefix": F.lit(0).cast("long"), "base": F.lit(0).cast("long")})
@@ -80,7 +85,7 @@ def _threshold(candidates: DataFrame, state: DataFrame, name: str) -> DataFrame:
         done += bits
         rest = HASH_BITS - done
         keys = state.select("source", F.col("prefix").alias("at"), F.col("base").alias("from"), F.col("left").alias("most"))
-        hist = (_with(candidates, keys).filter(F.shiftright("h", rest + bits) == F.col("at"))
+        hist = (_with(candidates, keys, few).filter(F.shiftright("h", rest + bits) == F.col("at"))
                 .groupBy("source", F.shiftright("h", rest).alias("bucket"), "from", "most").agg(F.sum("size").alias("size")))
         up_to = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         over = F.col("cum") > F.col("most")
@@ -99,14 +104,33 @@ def _taken(rounds: int) -> Column:
     return reduce(lambda a, b: a | b, hits, F.lit(False))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, source, size, source_size, target, repeats, taken: a row per document, ``taken = repeats * size``."""
-    rows = sized(docs)
-    state = source_targets(rows, weights, share, most)
+def decisions(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, rounds: int = ROUNDS, broadcast: int = BROADCAST_SOURCES):
+    """(state, few): a row per source with its target, whole passes and thresholds; whether there are few enough to broadcast."""
+    state = materialize(source_targets(rows, weights, share, most))
+    few = state.count() <= broadcast
     for k in range(rounds):
         tried = [x for j in range(k) for x in (f"t{j}", f"t{j}_left")]
-        known = _with(rows, state.select("source", F.col("left").alias("fits"), *tried))
+        known = _with(rows, state.select("source", F.col("left").alias("fits"), *tried), few)
         open_rows = known.filter(~_taken(k) & (F.col("size") <= F.col("fits"))).select("source", "size", "h")
-        state = materialize(_threshold(open_rows, state, f"t{k}"))
-    out = _with(rows, state).withColumn("repeats", F.col("full") + F.when(_taken(rounds), 1).otherwise(0))
+        state = materialize(_threshold(open_rows, state, f"t{k}", few))
+    return state, few
+
+
+def _repeats(rounds: int) -> Column:
+    return F.col("full") + F.when(_taken(rounds), 1).otherwise(0)
+
+
+def mix(docs: DataFrame, rounds: int = ROUNDS, **options) -> DataFrame:
+    """doc_id, source, size, source_size, target, repeats, taken: a row per document, ``taken = repeats * size``."""
+    rows = sized(docs)
+    state, few = decisions(rows, rounds=rounds, **options)
+    out = _with(rows, state, few).withColumn("repeats", _repeats(rounds))
     return out.select("doc_id", "source", "size", "source_size", "target", "repeats", (F.col("repeats") * F.col("size")).alias("taken"))
+
+
+def mixed(docs: DataFrame, rounds: int = ROUNDS, **options) -> DataFrame:
+    """The documents the mix takes, each as often as it is taken, all columns as they were."""
+    state, few = decisions(sized(docs), rounds=rounds, **options)
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    rows = docs.select(row.alias("row"), "source", word_count(F.col("text")).alias("size"), hash60(F.col("doc_id")).alias("h"))
+    return _with(rows, state, few).select("row", F.explode(F.array_repeat(F.lit(1), _repeats(rounds).cast("int")))).select("row.*")

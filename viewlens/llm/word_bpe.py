@@ -12,6 +12,7 @@ rows are encoded alike; a null id is kept; an empty table gives an empty result;
 from __future__ import annotations
 
 import hashlib
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -98,7 +99,7 @@ def _joined(values: pa.Array, offsets: np.ndarray) -> pa.Array:
 
 
 def encoded(docs: DataFrame, vocabulary: str, digest=None, schema: str = "n_tokens long, ids array<int>, decoded string"):
-    """doc_id and what ``digest(ids text, decoded text, ids of each document)`` makes of each document."""
+    """doc_id, n_tokens and what ``digest`` makes of each document's ids, ids as text, and decoded text (functions)."""
     spark = docs.sparkSession
     data = spark.sparkContext.broadcast(vocabulary_bytes(vocabulary))  # a fixed file of a few MB
     rows, parts = dealt(docs)
@@ -119,8 +120,6 @@ def encoded(docs: DataFrame, vocabulary: str, digest=None, schema: str = "n_toke
         where = np.empty(len(words), np.int64)  # of each word in the answers
         where[order] = np.arange(len(words))
         per_word = np.concatenate([[0], np.cumsum(n)])
-        import json
-
         table_of = json.loads(data.value)
         pieces = {i: p for p, i in table_of["model"]["vocab"].items()} | {t["id"]: t["content"] for t in table_of["added_tokens"]}
         distinct_ids, place = np.unique(ids, return_inverse=True)
@@ -130,24 +129,28 @@ def encoded(docs: DataFrame, vocabulary: str, digest=None, schema: str = "n_toke
         tokens = n[at]
         some = tokens > 0  # a word without ids leaves no space
         kept = np.concatenate([[0], np.cumsum(some)])[offsets]
-        n_tokens = np.concatenate([[0], np.cumsum(tokens, dtype=np.int64)])[offsets]
-        out = {"doc_id": table["doc_id"], "n_tokens": pa.array(np.diff(n_tokens))}
+        ends = np.concatenate([[0], np.cumsum(tokens, dtype=np.int64)])
+        out = {"doc_id": table["doc_id"], "n_tokens": pa.array(np.diff(ends[offsets]))}
         pick = pa.array(at[some])
-        out |= finish(_joined(id_text.take(pick), kept), _joined(decoded.take(pick), kept))
+
+        def id_lists():
+            flat = ids[np.repeat(per_word[at] - ends[:-1], tokens) + np.arange(ends[-1])]
+            return pa.ListArray.from_arrays(pa.array(ends[offsets].astype(np.int32)), pa.array(flat))
+
+        out |= finish(id_lists, lambda: _joined(id_text.take(pick), kept), lambda: _joined(decoded.take(pick), kept))
         return pa.table(out)
 
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join_back, f"doc_id {kind}, {schema}")
 
 
-def texts_of(id_texts: pa.Array, decoded: pa.Array) -> dict:
-    ids = [[int(i) for i in t.split(" ")] if t else [] for t in id_texts.to_pylist()]
-    return {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": decoded.cast(pa.string())}
+def texts_of(id_lists, id_texts, decoded) -> dict:
+    return {"ids": id_lists(), "decoded": decoded().cast(pa.string())}
 
 
-def hashes_of(id_texts: pa.Array, decoded: pa.Array) -> dict:
+def hashes_of(id_lists, id_texts, decoded) -> dict:
     def sha(a):
         return pa.array([hashlib.sha256(t.encode()).hexdigest() for t in a.to_pylist()], pa.string())
-    return {"ids_sha256": sha(id_texts), "decoded_sha256": sha(decoded)}
+    return {"ids_sha256": sha(id_texts()), "decoded_sha256": sha(decoded())}
 
 
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
