@@ -135,6 +135,8 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def nearest(query_ids, queries: np.ndarray, ids, rows: np.ndarray, k: int = K):
     """(query number, row number, score) of each query's k nearest rows, by score and id; own rows excluded."""
+    if not len(rows) or not len(queries):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     order = np.argsort(ids, kind="stable")
     ids, rows = ids[order], rows[order]
     scale = lambda x: (x / np.abs(x).max(1, keepdims=True)) / np.sqrt(((x / np.abs(x).max(1, keepdims=True)) ** 2).sum(1, keepdims=True))

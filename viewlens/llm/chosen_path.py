@@ -337,6 +337,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_R
 def representatives(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
     """One document of each class, all columns as they were; null texts all stay."""
     first = classes(docs, threshold, recall).filter("first").select(F.col("key").alias("first_key"), F.col("rep").alias("first_id"))
-    keyed = docs.filter("text IS NOT NULL").withColumn("own_key", text_key())
-    kept = keyed.join(first, (F.col("own_key") == F.col("first_key")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    return kept.dropDuplicates(["own_key", "doc_id"]).drop("own_key").unionByName(docs.filter("text IS NULL"))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"),
+                       F.when(F.col("text").isNotNull(), text_key()).alias("own_key"))
+    kept = rows.join(first, (F.col("own_key") == F.col("first_key")) & F.col("own_id").eqNullSafe(F.col("first_id")), "left_semi")
+    return kept.dropDuplicates(["own_key", "own_id"]).unionByName(rows.filter("own_key IS NULL")).select("row.*")
