@@ -2,7 +2,7 @@
 
 Documents are dealt into blocks by hash. A block lists each key it needs once (a word, a pair of words), split into
 parts by key and packed into one binary row a part; a part meets the requests of all blocks, works out each key's value
-once, and answers every block in the block's own key order. So what is shuffled grows with the distinct keys of blocks
+once, and answers every block in the block's own key order. Texts travel compressed. So what is shuffled grows with the distinct keys of blocks
 and not with word occurrences, no task holds more than a block or a part, and nothing depends on row order.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,28 +19,37 @@ from viewlens.llm.common import ship, text_bytes
 
 ship(__name__)
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 8 << 20
 PART_BYTES = 24 << 20
 
 
 def dealt(docs: DataFrame, *columns, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES):
-    """(rows with a ``block`` column, number of parts). Sizes follow the data; the id and text decide the block."""
+    """(rows with ``packed`` texts and a ``block``, number of parts). Sizes follow the data; the id and text decide the block."""
     size = text_bytes(docs)
     blocks, parts = max(1, math.ceil(size / block_bytes)), max(1, math.ceil(size / part_bytes))
     text = F.coalesce("text", F.lit("")).alias("text")
-    return docs.select("doc_id", text, *columns, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")), parts
+    rows = docs.select("doc_id", *columns, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), text)
+    names = rows.columns[:-1]
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
 
+    def compress(batches):
+        import zstandard
 
-def pack(a: np.ndarray) -> bytes:
-    import zstandard
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            texts = batch.column(len(names)).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))),
+                                              pa.array([squeeze(x) for x in texts.to_pylist()], pa.binary())], [*names, "packed"])
 
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+    return rows.mapInArrow(compress, f"{kinds}, packed binary"), parts
 
 
-def unpack(b: bytes, kind) -> np.ndarray:
+def texts_of(table: pa.Table) -> pa.Array:
+    """The texts of a block's rows."""
     import zstandard
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
+    restore = zstandard.ZstdDecompressor().decompress
+    return pa.array([restore(x) for x in table["packed"].to_pylist()], pa.binary()).cast(pa.string(), safe=False)
 
 
 def pack_ints(a: np.ndarray, delta: bool = False) -> bytes:

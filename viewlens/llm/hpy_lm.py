@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewlens.llm.blocks import dealt, pack_floats, pack_ints, unpack_floats, unpack_ints
+from viewlens.llm.blocks import dealt, pack_floats, pack_ints, texts_of, unpack_floats, unpack_ints
 from viewlens.llm.common import coded, fold, hash_words, ship, split_words, text_bytes
 
 ship(__name__)
@@ -90,7 +90,7 @@ def seat(count: np.ndarray, rate: np.ndarray, discount: float, rng) -> np.ndarra
 
 def _request(bits: int, parts: int):
     def run(key, t):
-        offsets, hashes, context, word = pairs_of(t["text"].combine_chunks(), bits)
+        offsets, hashes, context, word = pairs_of(texts_of(t), bits)
         learn = np.repeat(~t["held_out"].to_numpy(), np.diff(offsets))
         m = len(hashes)
         code, place = np.unique(context * m + word, return_inverse=True)
@@ -259,7 +259,7 @@ def _answer_blocks(key, t, answers):
 
 def _score(bits: int):
     def run(key, t, answers):
-        offsets, hashes, context, word = pairs_of(t["text"].combine_chunks(), bits)
+        offsets, hashes, context, word = pairs_of(texts_of(t), bits)
         answers = answers.sort_by("part")
         logs = np.concatenate([unpack_floats(x) for x in answers["logs"].to_pylist()])
         seen = np.concatenate([unpack_ints(x) for x in answers["seen"].to_pylist()]).astype(np.float64)

@@ -19,17 +19,24 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from viewlens.llm.blocks import dealt, pack, unpack
+from viewlens.llm.blocks import dealt, texts_of
 from viewlens.llm.common import coded, hash_words, ship, split_words
 
 ship(__name__)
 
+BLOCK_BYTES = 8 << 20
+
 
 def vocabulary_bytes(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
 
 
+def id_to_piece(data: bytes) -> dict[int, str]:
+    vocabulary = json.loads(data)
+    return {i: p for p, i in vocabulary["model"]["vocab"].items()} | {t["id"]: t["content"] for t in vocabulary["added_tokens"]}
+
+
 def _tokenizer(data: bytes):
     import os
 
@@ -43,35 +50,48 @@ def _tokenizer(data: bytes):
 
 
 def _by_part(words: pa.Array, parts: int):
-    """(order, ends): words sorted by part and hash, and where each part ends; only the set of words decides it."""
-    h = hash_words(words)
-    part = (h % np.uint64(parts)).astype(np.int64)
-    order = np.lexsort((h, part))
-    return order, np.searchsorted(part[order], np.arange(parts + 1))
+    """(order, ends): words by part and code point, and where each part ends; only the set of words decides it."""
+    order = pc.sort_indices(words).to_numpy() if len(words) else np.zeros(0, np.int64)
+    part = (hash_words(words) % np.uint64(parts)).astype(np.int64)[order]
+    by_part = np.argsort(part, kind="stable")
+    return order[by_part], np.searchsorted(part[by_part], np.arange(parts + 1))
+
+
+def _squeeze(data: bytes) -> bytes:
+    import zstandard
 
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
-def _strings(words: pa.Array) -> bytes:
+
+def _restore(data: bytes) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress("\n".join(words.to_pylist()).encode())
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _pack(a: np.ndarray) -> bytes:
+    kind = np.dtype(next(k for k in (np.uint8, np.uint16, np.uint32) if a.max(initial=0) <= np.iinfo(k).max))
+    return bytes([kind.itemsize]) + _squeeze(a.astype(kind).tobytes())
+
+
+def _unpack(b: bytes) -> np.ndarray:
+    return np.frombuffer(_restore(b[1:]), f"<u{b[0]}").astype(np.int32)
 
 
 def request(parts: int):
     def run(key, table):
-        _, words = coded(split_words(table["text"].combine_chunks())[1])
+        _, words = coded(split_words(texts_of(table))[1])
         order, ends = _by_part(words, parts)
         rows = [(p, a, b) for p, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)) if b > a]
         return pa.table({"part": pa.array([p for p, _, _ in rows], pa.int32()), "block": pa.array([key[0].as_py()] * len(rows), pa.int32()),
-                         "words": pa.array([_strings(words.take(pa.array(order[a:b]))) for _, a, b in rows], pa.binary())})
+                         "words": pa.array([_squeeze("\n".join(words.take(pa.array(order[a:b])).to_pylist()).encode()) for _, a, b in rows], pa.binary())})
     return run
 
 
 def answer(data):
     """Encode each distinct word of a part once; per block the number of ids of its words, and the ids."""
     def run(key, table):
-        import zstandard
-
-        lists = [zstandard.ZstdDecompressor().decompress(w).decode().split("\n") for w in table["words"].to_pylist()]
+        lists = [_restore(w).decode().split("\n") for w in table["words"].to_pylist()]
         codes, distinct = coded(pa.array([w for words in lists for w in words], pa.string()))
         bounds = np.cumsum([0, *map(len, lists)])
         del lists
@@ -87,7 +107,7 @@ def answer(data):
             own = codes[a:b]
             n = count[own]
             place = np.repeat(start[own] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            out.append((pack(n), pack(flat[place])))
+            out.append((_pack(n), _pack(flat[place])))
         return pa.table({"block": table["block"], "part": table["part"], "n": pa.array([n for n, _ in out], pa.binary()),
                          "ids": pa.array([i for _, i in out], pa.binary())})
     return run
@@ -102,29 +122,29 @@ def encoded(docs: DataFrame, vocabulary: str, digest=None, schema: str = "n_toke
     """doc_id, n_tokens and what ``digest`` makes of each document's ids, ids as text, and decoded text (functions)."""
     spark = docs.sparkSession
     data = spark.sparkContext.broadcast(vocabulary_bytes(vocabulary))  # a fixed file of a few MB
-    rows, parts = dealt(docs)
+    pieces = spark.sparkContext.broadcast(id_to_piece(data.value))
+    rows, parts = dealt(docs, block_bytes=BLOCK_BYTES)
     kind = docs.schema["doc_id"].dataType.simpleString()
     asked = rows.groupBy("block").applyInArrow(request(parts), "part int, block int, words binary")
     answers = asked.groupBy("part").applyInArrow(answer(data), "block int, part int, n binary, ids binary")
-    finish = digest or texts_of
+    finish = digest or lists_of
 
     def join_back(key, table, got):
-        offsets, words = split_words(table["text"].combine_chunks())
+        pa.default_memory_pool().release_unused()
+        offsets, words = split_words(texts_of(table))
         codes, words = coded(words)
         order, ends = _by_part(words, parts)
         got = got.sort_by("part")
-        n = np.concatenate([np.zeros(0, np.int32), *(unpack(x, np.int32) for x in got["n"].to_pylist())])
-        ids = np.concatenate([np.zeros(0, np.int32), *(unpack(x, np.int32) for x in got["ids"].to_pylist())])
+        n = np.concatenate([np.zeros(0, np.int32), *(_unpack(x) for x in got["n"].to_pylist())])
+        ids = np.concatenate([np.zeros(0, np.int32), *(_unpack(x) for x in got["ids"].to_pylist())])
         if len(n) != len(words):
             raise ValueError(f"block {key[0]}: {len(words)} words, {len(n)} answers")
         where = np.empty(len(words), np.int64)  # of each word in the answers
         where[order] = np.arange(len(words))
         per_word = np.concatenate([[0], np.cumsum(n)])
-        table_of = json.loads(data.value)
-        pieces = {i: p for p, i in table_of["model"]["vocab"].items()} | {t["id"]: t["content"] for t in table_of["added_tokens"]}
         distinct_ids, place = np.unique(ids, return_inverse=True)
         id_text = _joined(pa.array([str(i) for i in distinct_ids.tolist()], pa.string()).take(pa.array(place)), per_word)
-        decoded = _joined(pa.array([pieces[i] for i in distinct_ids.tolist()], pa.string()).take(pa.array(place)), per_word)
+        decoded = _joined(pa.array([pieces.value[i] for i in distinct_ids.tolist()], pa.string()).take(pa.array(place)), per_word)
         at = where[codes]
         tokens = n[at]
         some = tokens > 0  # a word without ids leaves no space
@@ -143,7 +163,7 @@ def encoded(docs: DataFrame, vocabulary: str, digest=None, schema: str = "n_toke
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join_back, f"doc_id {kind}, {schema}")
 
 
-def texts_of(id_lists, id_texts, decoded) -> dict:
+def lists_of(id_lists, id_texts, decoded) -> dict:
     return {"ids": id_lists(), "decoded": decoded().cast(pa.string())}
 
 
