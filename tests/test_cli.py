@@ -78,8 +78,8 @@ def test_cli_full_search_chain_through_classify(spark, tmpdir_path):
     cli.main(["search", "--first", f"{tmpdir_path}/log1", "--second", f"{tmpdir_path}/log2",
               "--mapping-first", f"{tmpdir_path}/map1", "--mapping-second", f"{tmpdir_path}/map2", "--out", out])
     res = spark.read.parquet(out)
-    # every keyword is labelled "Other" by the rules, so every user with both months is "No Change"
-    assert res.count() > 0 and {r.Changing for r in res.select("Changing").distinct().collect()} == {"No Change"}
+    changing = {r.Changing for r in res.select("Changing").distinct().collect()}
+    assert "No Change" in changing and any(" -> " in c for c in changing)
 
 
 def test_read_mapping_accepts_both_layouts(spark, tmpdir_path):
@@ -156,3 +156,51 @@ def test_cli_marts_from_csv_tables(spark, tmpdir_path):
     got = spark.read.parquet(os.path.join(out, "rfm_segment_stats"))
     want = M.rfm_segment_stats(QUERIES["rfm_segments"](spark, SF))
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_cli_top_keywords_report_and_missing_out(spark, tmpdir_path, capsys):
+    import pytest
+    log = os.path.join(tmpdir_path, "log")
+    sinks.write_parquet(spark.createDataFrame([("u", "a"), ("v", "a"), ("w", "b")], "user_id string, keyword string"), log)
+    cli.main(["top-keywords", "--first", log, "--second", log, "--out", f"{tmpdir_path}/top", "--report", "1"])
+    lines = [ln for ln in capsys.readouterr().out.splitlines() if ln.startswith("{")]
+    assert lines == ['{"distinct_keywords": 2}', '{"period": 1, "keyword": "a", "count": 2}', '{"period": 2, "keyword": "a", "count": 2}']
+    with pytest.raises(SystemExit):
+        cli.main(["top-keywords", "--first", log, "--second", log])
+
+
+DERBY = ["--driver", "org.apache.derby.jdbc.EmbeddedDriver"]
+
+
+def test_cli_top_keywords_to_one_jdbc_table(spark, tmpdir_path):
+    """Derby inside the test process."""
+    log, url = os.path.join(tmpdir_path, "log"), "jdbc:derby:memory:viewlens_top;create=true"
+    sinks.write_parquet(spark.createDataFrame([("u", "a")], "user_id string, keyword string"), log)
+    cli.main(["top-keywords", "--first", log, "--second", log, "--format", "jdbc", "--jdbc-url", url, "--table", "TOPK", *DERBY])
+    got = sinks.read_jdbc(spark, url, "TOPK", driver=DERBY[1])
+    assert sorted(r.period for r in got.collect()) == [1, 2]
+
+
+def test_cli_marts_from_jdbc_without_changing(spark, tmpdir_path):
+    from viewlens.plans.registry import QUERIES
+    url = "jdbc:derby:memory:viewlens_marts;create=true"
+    table = QUERIES["search_changing"](spark, SF).drop("Changing")
+    sinks.write_jdbc(table, url, "SEARCH_STATS", mode="overwrite", driver=DERBY[1])
+    out = os.path.join(tmpdir_path, "marts")
+    cli.main(["marts", "--input-format", "jdbc", "--jdbc-url", url, "--search", "SEARCH_STATS", "--out", out, *DERBY])
+    assert spark.read.parquet(f"{out}/search_kpis").columns == ["users", "genres_t6", "genres_t7"]
+    assert not os.path.exists(f"{out}/change_status")
+
+
+def test_cli_classify_overrides_with_a_labeller_and_known(spark, tmpdir_path):
+    top = os.path.join(tmpdir_path, "top")
+    sinks.write_csv(spark.createDataFrame([("1", "red bolt", 3), ("2", "blue ring", 1), ("3", "x gear", 2)],
+                                          "user_id string, keyword string, search_count long"), top)
+    paths = {n: os.path.join(tmpdir_path, n) for n in ("known", "over", "a", "b")}
+    sinks.write_csv(spark.createDataFrame([("red bolt", "Horror")], "keyword string, Genre string"), paths["known"])
+    sinks.write_csv(spark.createDataFrame([("blue ring", "News")], "keyword string, Genre string"), paths["over"])
+    run = ["classify", "--input", top, "--labeller", "helpers.fake_labeller:label", "--overrides", paths["over"], "--partitions", "3"]
+    cli.main([*run, "--out", paths["a"]])
+    assert {r.keyword: r.Genre for r in spark.read.parquet(paths["a"]).collect()} == {"red bolt": "Action", "blue ring": "News", "x gear": "Comedy"}
+    cli.main([*run, "--known", paths["known"], "--out", paths["b"]])
+    assert {r.keyword: r.Genre for r in spark.read.parquet(paths["b"]).collect()} == {"red bolt": "Horror", "blue ring": "News", "x gear": "Comedy"}

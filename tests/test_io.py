@@ -2,6 +2,7 @@ import datetime as dt
 import os
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from viewlens import schemas as S
@@ -19,8 +20,13 @@ def test_json_daily_files_range_scan_skips_missing_days(spark, tmpdir_path):
     got = files.content_range_scan(spark, tmpdir_path, dt.date(2024, 1, 2), dt.date(2024, 1, 10))
     want = flat.filter(F.col("Process_Date") >= F.lit(dt.date(2024, 1, 2)))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    empty = files.content_range_scan(spark, tmpdir_path, dt.date(2025, 1, 1), dt.date(2025, 1, 2))
-    assert empty.count() == 0 and empty.schema == S.CONTENT_FLAT
+    for base, start in ((tmpdir_path, dt.date(2025, 1, 1)), (tmpdir_path + "/nowhere", dt.date(2024, 1, 2))):
+        with pytest.raises(FileNotFoundError):
+            files.content_range_scan(spark, base, start, start)
+    sinks.write_content_log(flat.limit(3), tmpdir_path, layout="daily_files", mode="append")
+    assert not any(f.startswith("_") for f in os.listdir(tmpdir_path))
+    again = files.content_range_scan(spark, tmpdir_path, dt.date(2024, 1, 1), dt.date(2024, 1, 10))
+    assert again.count() == flat.count() + 3
 
 
 def test_raw_json_extra_fields_ignored(spark, tmpdir_path):
@@ -45,6 +51,61 @@ def test_csv_transactions_round_trip_with_bom(spark, tmpdir_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, tx.collect()))
 
 
+def _tx_file(path, text):
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+    return path
+
+
+def test_transactions_by_header_name(spark, tmpdir_path):
+    path = _tx_file(os.path.join(tmpdir_path, "a.csv"), "gmv,Extra,CustomerID,Transaction_ID,Purchase_Date\n1.5,x,7,t1,2024-01-02\n,x,,t2,\n")
+    got = files.read_transactions(spark, path).collect()
+    assert [tuple(r) for r in got] == [("t1", 7, dt.date(2024, 1, 2), Decimal("1.50")), ("t2", None, None, None)]
+
+
+@pytest.mark.parametrize("row", ["t1,7,1/2/2024,1.5", "t1,seven,2024-01-02,1.5", "t1,7,2024-01-02,much"])
+def test_transactions_that_do_not_parse_raise(spark, tmpdir_path, row):
+    path = _tx_file(os.path.join(tmpdir_path, "a.csv"), f"Transaction_ID,CustomerID,Purchase_Date,GMV\n{row}\n")
+    with pytest.raises(Exception, match="does not parse"):
+        files.read_transactions(spark, path).collect()
+
+
+def test_transactions_without_a_column_raise(spark, tmpdir_path):
+    path = _tx_file(os.path.join(tmpdir_path, "a.csv"), "Transaction_ID,CustomerID,GMV\nt,1,2\n")
+    with pytest.raises(ValueError, match="Purchase_Date"):
+        files.read_transactions(spark, path)
+
+
+def test_checkpoint_folder_and_scratch(spark, monkeypatch):
+    from viewlens import session
+    assert session.is_local("local") and session.is_local("local[4]") and not session.is_local("local-cluster[2,1,512]")
+
+    class Conf:
+        def get(self, key, default=None):
+            return None
+
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())
+    monkeypatch.setattr(session, "_made", [])
+    path = session.scratch_path(spark, "test")
+    spark.range(3).write.parquet(path)
+    session.remove_scratch()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_mapping_csv(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "m.csv")
     with open(path, "w", encoding="utf-8-sig") as f:

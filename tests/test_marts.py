@@ -37,6 +37,40 @@ def test_change_filters(spark):
 def test_membership_filter_drops_null(spark):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "Segment string")
     assert [r.Segment for r in M.rfm_filtered(df, ["a", "c"]).collect()] == ["a"]
+    assert sorted(r.Segment for r in M.rfm_filtered(df).collect()) == ["a", "b"]  # the default selection
+
+
+def test_reports_are_sorted(spark):
+    df = spark.createDataFrame([(i, 1, 1, float(10 * (i % 3)), 1.0, "111", "cab"[i % 3]) for i in range(10)],
+                               "CustomerID long, Recency int, Frequency long, Monetary double, AOV double, RFM_Score string, Segment string")
+    assert [(r.Segment, r.Count) for r in M.rfm_segment_counts(df).collect()] == [("c", 4), ("a", 3), ("b", 3)]
+    assert [r.Segment for r in M.rfm_segment_share(df).collect()] == ["c", "a", "b"]
+    assert [r.Segment for r in M.rfm_segment_revenue(df).collect()] == ["b", "a", "c"]
+    assert [r.Segment for r in M.rfm_segment_stats(df).collect()] == ["c", "a", "b"]
+    s = spark.createDataFrame([("1", "x", "B", "y", "A", None)] * 2 + [("2", "x", "A", "y", "C", None)],
+                              "user_id string, Most_Searched_T6 string, Genre_T6 string, Most_Searched_T7 string, Genre_T7 string, Changing string")
+    assert [tuple(r) for r in M.genre_compare(s).collect()] == [("B", 2, 0), ("A", 1, 2), ("C", 0, 1)]
+    c = content_rows(spark, [(str(i), 1, 0, 0, 0, 0, 0, "yx"[i % 2], "", "Low") for i in range(5)])
+    assert [r.MostWatch for r in M.most_watch_stats(c).collect()] == ["y", "x"]
+
+
+def test_means_skip_nulls(spark):
+    df = spark.createDataFrame([(1, 2, 4, 10.0, 5.0, "111", "a"), (None, None, None, None, None, None, "a")],
+                               "CustomerID long, Recency int, Frequency long, Monetary double, AOV double, RFM_Score string, Segment string")
+    k = M.rfm_kpis(df).first()
+    assert (k.customers, k.avg_recency, k.avg_frequency, k.avg_monetary, k.avg_aov) == (2, 2.0, 4.0, 10.0, 5.0)
+    r = M.rfm_segment_stats(df).first()
+    assert (r.Customers, r.Avg_Recency, r.Avg_Monetary, r.Total_Revenue) == (1, 2.0, 10.0, 10.0)
+    c = content_rows(spark, [("1", 3, 4, None, 0, 0, 0, "x", "", "High"), ("2", None, None, None, 0, 0, 0, "x", "", "Low")])
+    assert M.content_kpis(c).first().avg_devices == 3.0
+    assert M.most_watch_stats(c).first().Avg_Devices == 3.0
+
+
+def test_search_without_the_change_column(spark):
+    df = spark.createDataFrame([("1", "A", "B"), ("2", None, "B")], "user_id string, Genre_T6 string, Genre_T7 string")
+    kept = M.search_filtered(df, change="changed")
+    assert [r.user_id for r in kept.collect()] == ["1"]  # NULL genres are outside the default selection
+    assert M.search_kpis(kept).columns == ["users", "genres_t6", "genres_t7"]
 
 
 def test_histogram_covers_all_rows(spark):

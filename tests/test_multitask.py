@@ -20,7 +20,6 @@ def same(a, b):
 def test_rfm_many_map_tasks(spark):
     tx = TD.transactions(spark, SF_SMALL)
     assert same(rfm_table(tx), rfm_table(tx.repartition(7)))
-    assert same(rfm_table(tx), rfm_table(tx.repartition(7), method="builtin"))
 
 
 def test_content_many_map_tasks(spark):

@@ -2,7 +2,8 @@
 
 from viewlens.operators import rfm as R
 from viewlens.operators import search as Q
-from viewlens.operators.ntile import global_ntile
+from viewlens.operators.ntile import global_ntiles
+from viewlens.session import stored
 from viewlens.sources import testdata as TD
 
 SF = "/root/testdata/sf0.001"
@@ -12,19 +13,11 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_distributed_ntile_has_no_single_partition_exchange(spark):
-    totals = R.customer_totals(R.clean(TD.transactions(spark, SF)))
-    out = global_ntile(totals, "Monetary", 5, ["CustomerID"], "t", method="distributed")
-    out.collect()
-    lines = [ln.strip() for ln in plan(out).splitlines()]
-    # The only single-partition exchange is the one over the per-partition
-    # counts (one row per shuffle partition), never over customer rows.
-    singles = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
-    assert singles
-    for i in singles:
-        assert "HashAggregate(keys=[_nt_pid" in lines[i + 1]
-    builtin = global_ntile(totals, "Monetary", 5, ["CustomerID"], "t", method="builtin")
-    assert "SinglePartition" in plan(builtin)
+def test_tiles_are_one_projection(spark):
+    """No exchange, sort or window of customer rows for the tiles; each pass aggregates buckets before it shuffles."""
+    totals = stored(R.customer_totals(R.clean(TD.transactions(spark, SF))), "plan-test")
+    out = global_ntiles(totals, {"m": "Monetary", "f": "Frequency"}, 5, "CustomerID")
+    assert not any(x in plan(out) for x in ("Exchange", "Sort", "Window"))
 
 
 def test_top_keyword_uses_window_group_limit(spark):
@@ -50,7 +43,7 @@ def test_content_scan_pushes_day_range(spark):
 def test_genre_join_is_broadcast_at_small_scale(spark):
     from viewlens.plans.search import search_change
     df = search_change(TD.search_log_tagged(spark, SF), TD.keyword_mapping_tagged(spark, SF))
-    s = plan(df)
+    df.collect()
+    s = plan(df)  # the final adaptive plan
     import re
     assert re.search(r"BroadcastHashJoin \[keyword#\d+\]", s), s
-    assert "SortMergeJoin" not in s

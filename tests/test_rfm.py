@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from viewlens import schemas as S
 from viewlens.functions import labels as L
 from viewlens.operators import rfm as R
-from viewlens.operators.ntile import global_ntile
+from viewlens.operators.ntile import global_ntile, global_ntiles
 from viewlens.plans.rfm import rfm_table
 
 
@@ -35,36 +35,42 @@ def test_recency_and_aov(spark):
     assert got[1].AOV == 3.0  # 5 / 2 = 2.5 -> 3 (half up)
 
 
-def _tile_sizes(spark, n_rows, n, method):
-    df = spark.createDataFrame([(i, i % 3) for i in range(n_rows)], "id long, k long")
-    t = global_ntile(df, "k", n, ["id"], "tile", method)
-    counts = {r.tile: r.c for r in t.groupBy("tile").agg(F.count("*").alias("c")).collect()}
-    return [counts.get(i, 0) for i in range(1, n + 1)]
+def builtin(df, n, key="k"):
+    return {r.id: r.t for r in df.select("id", F.ntile(n).over(Window.orderBy(key, "id")).alias("t")).collect()}
 
 
-@pytest.mark.parametrize("method", ["builtin", "distributed"])
-def test_tile_sizes(spark, method):
-    assert _tile_sizes(spark, 7, 5, method) == [2, 2, 1, 1, 1]
-    assert _tile_sizes(spark, 3, 5, method) == [1, 1, 1, 0, 0]
+def tiles(df, n, key="k"):
+    return {r.id: r.tile for r in global_ntile(df, key, n, ["id"], "tile").collect()}
 
 
-def test_distributed_ntile_equals_builtin_with_heavy_ties(spark):
+def test_tile_sizes(spark):
+    for rows, want in ((7, [2, 2, 1, 1, 1]), (3, [1, 1, 1, 0, 0])):
+        got = tiles(spark.createDataFrame([(i, i % 3) for i in range(rows)], "id long, k long"), 5)
+        assert [list(got.values()).count(t) for t in range(1, 6)] == want
+
+
+def test_tiles_equal_builtin_with_heavy_ties(spark):
     rnd = random.Random(7)
     data = [(i, rnd.choice([1, 1, 1, 1, 2, 3, 50]) if i % 2 else rnd.randint(0, 10_000), ) for i in range(20_000)]
     df = spark.createDataFrame(data, "id long, k long").repartition(13)
     for n in (5, 7):
-        w = Window.orderBy("k", "id")
-        ref = {r.id: r.t for r in df.select("id", F.ntile(n).over(w).alias("t")).collect()}
-        got = {r.id: r.tile for r in global_ntile(df, "k", n, ["id"], "tile", "distributed").collect()}
-        assert got == ref
+        assert tiles(df, n) == builtin(df, n)
+
 
+def test_tiles_one_value_wide_values_and_nulls(spark):
+    big = 1 << 60
+    for keys in ([7] * 500, [None] * 40 + list(range(60)), [None] * 30, [-big, big, 0, 1, big - 1, None, -1]):
+        df = spark.createDataFrame([(i * 1_000_003, k) for i, k in enumerate(keys)], "id long, k long")
+        assert tiles(df, 5) == builtin(df, 5)
 
-def test_distributed_ntile_null_keys_first(spark):
-    data = [(i, None if i < 10 else i) for i in range(100)]
-    df = spark.createDataFrame(data, "id long, k long")
-    ref = {r.id: r.t for r in df.select("id", F.ntile(5).over(Window.orderBy("k", "id")).alias("t")).collect()}
-    got = {r.id: r.tile for r in global_ntile(df, "k", 5, ["id"], "tile", "distributed").collect()}
-    assert got == ref
+
+def test_tiles_of_dates_and_decimals(spark):
+    rnd = random.Random(3)
+    rows = [(i, dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(400)) if i % 9 else None, Decimal(rnd.randrange(10**7)) / 100)
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, day date, money decimal(18,2)")
+    got = global_ntiles(df, {"a": "day", "b": "money"}, 6, "id").collect()
+    assert {r.id: r.a for r in got} == builtin(df, 6, "day") and {r.id: r.b for r in got} == builtin(df, 6, "money")
 
 
 def test_fm_score(spark):
@@ -93,12 +99,21 @@ def test_segment_truth_table_125(spark):
         assert r.Segment == EXPECTED_SEGMENTS[r.R_Score][fm - 1], (r.R_Score, r.F_Score, r.M_Score)
 
 
-def test_rfm_auto_equals_distributed(spark):
+def test_rfm_scores_equal_builtin_windows(spark):
+    from viewlens.plans.rfm import rfm_scores
     from viewlens.sources import testdata as TD
-    t = TD.transactions(spark, "/root/testdata/sf0.001")
-    a = sorted(map(tuple, rfm_table(t, method="builtin").collect()))
-    b = sorted(map(tuple, rfm_table(t, method="distributed").collect()))
-    assert a == b
+    scored = rfm_scores(TD.transactions(spark, "/root/testdata/sf0.001"))
+    w = [6 - F.ntile(5).over(Window.orderBy("Recency", "CustomerID"))]
+    w += [F.ntile(5).over(Window.orderBy(c, "CustomerID")) for c in ("Frequency", "Monetary")]
+    wrong = scored.select("R_Score", "F_Score", "M_Score", *[c.alias(f"w{i}") for i, c in enumerate(w)])
+    assert wrong.filter("R_Score != w0 OR F_Score != w1 OR M_Score != w2").count() == 0
+
+
+def test_segments_only_for_five_tiles(spark):
+    df = spark.createDataFrame([(10, 10, 10)], "R_Score int, F_Score int, M_Score int")
+    with pytest.raises(ValueError):
+        R.segments(df, n=10)
+    assert R.segments(df).first().Segment == "Champions"  # open upper bounds
 
 
 def test_rfm_invariants(spark):
@@ -127,12 +142,10 @@ from hypothesis import strategies as st
        n=st.integers(1, 9), parts=st.integers(1, 5))
 def test_distributed_ntile_property(spark, keys, n, parts):
     df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k long").repartition(parts)
-    ref = {r.id: r.t for r in df.select("id", F.ntile(n).over(Window.orderBy("k", "id")).alias("t")).collect()}
-    got = {r.id: r.tile for r in global_ntile(df, "k", n, ["id"], "tile", "distributed").collect()}
-    assert got == ref
+    assert tiles(df, n) == builtin(df, n)
 
 
-def test_distributed_ntile_empty_input(spark):
+def test_ntile_empty_input(spark):
     df = spark.createDataFrame([], "id long, k long")
-    out = global_ntile(df, "k", 5, ["id"], "tile", "distributed")
+    out = global_ntile(df, "k", 5, ["id"], "tile")
     assert out.count() == 0 and out.columns == ["id", "k", "tile"]

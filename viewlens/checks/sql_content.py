@@ -61,10 +61,11 @@ LABELED = labels_of("daily", "labeled")
 
 PERIOD_SUMS = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for _, c in DUR)
 
-PROFILE = f"""profile AS (
+def profile(threshold: int = 4) -> str:
+    return f"""profile AS (
   SELECT Contract, CAST(sum(Total_Devices) AS BIGINT) AS Total_Devices, {PERIOD_SUMS},
          arg_min(MostWatch, Process_Date) AS MostWatch, arg_min(Taste, Process_Date) AS Taste,
-         CASE WHEN count(*) > 4 THEN 'High' ELSE 'Low' END AS Active
+         CASE WHEN count(*) > {threshold} THEN 'High' ELSE 'Low' END AS Active
   FROM labeled GROUP BY Contract)"""
 
 PERIOD_TOTALS = f"""period_totals AS (
@@ -75,8 +76,8 @@ PERIOD_TOTALS = f"""period_totals AS (
 PROFILE_COLS = f"Contract, Total_Devices, {DUR_COLS}, MostWatch, Taste, Active"
 
 
-def content_ctes(where: str = "") -> list[str]:
-    return [flat(where), CAT, VALID, DAILY, LABELED, PROFILE]
+def content_ctes(where: str = "", threshold: int = 4) -> list[str]:
+    return [flat(where), CAT, VALID, DAILY, LABELED, profile(threshold)]
 
 
 CONTENT_CTES = content_ctes()
@@ -112,6 +113,8 @@ FROM valid GROUP BY Contract"""),
         f"SELECT {PROFILE_COLS} FROM period_labeled"),
     "content_distinct_devices": with_ctes([flat(), CAT, VALID], """
 SELECT Contract, count(DISTINCT Mac) AS Distinct_Devices FROM valid GROUP BY Contract"""),
+    "content_daily_files": with_ctes([flat()], f"""
+SELECT Contract, Mac, AppName, TotalDuration, {ISO} FROM flat"""),
     "content_range_scan": with_ctes([flat(RANGE_WHERE)], f"""
 SELECT Contract, Mac, AppName, TotalDuration, {ISO} FROM flat"""),
     "content_daily_stream": with_ctes([flat(), CAT, VALID, DAILY, LABELED], f"""

@@ -1,10 +1,14 @@
 """SQL of the report marts (DuckDB dialect)."""
 
-from viewlens.checks.sql_content import CONTENT_CTES
+from viewlens.checks.sql_content import content_ctes
 from viewlens.checks.sql_rfm import RFM_CTES, with_ctes
 from viewlens.checks.sql_search import SEARCH_CTES
 
 
+# Both activity labels occur at this many of the log's 30 days.
+CONTENT_CTES = content_ctes(threshold=26)
+
+
 def ratio(n: str, d: str) -> str:
     return f"(CASE WHEN ({d}) <> 0 THEN CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE) END)"
 
@@ -58,10 +62,10 @@ _DURATIONS = " UNION ALL ".join(
     for lab, c in LABEL_COLS)
 
 _AVG_DURATIONS = " UNION ALL ".join(
-    f"SELECT '{lab}' AS Category, {ratio(f'sum({c})', 'count(*)')} AS Avg_Duration FROM profile"
+    f"SELECT '{lab}' AS Category, avg({c}) AS Avg_Duration FROM profile"
     for lab, c in LABEL_COLS)
 
-_MW_MEANS = ", ".join(f"{half_even1(f'sum({c})', 'count(*)')} AS Avg_{c[len('Total_'):]}" for _, c in LABEL_COLS)
+_MW_MEANS = ", ".join(f"{half_even1(f'sum({c})', f'count({c})')} AS Avg_{c[len('Total_'):]}" for _, c in LABEL_COLS)
 
 _HISTOGRAM = """, cap AS (SELECT CAST(trunc(quantile_cont(Total_Devices, 0.95)) AS BIGINT) AS _cap FROM profile),
 clipped AS (SELECT least(Total_Devices, _cap) AS x FROM profile, cap WHERE Total_Devices IS NOT NULL),
@@ -97,28 +101,26 @@ nodes AS (
 SQL = {
     "mart_rfm_filtered": rfm(f"SELECT * FROM rfm WHERE Segment IN ({RFM_SEGMENTS})"),
     "mart_rfm_kpis": rfm(f"""SELECT count(*) AS customers,
-  {ratio('sum(Recency)', 'count(*)')} AS avg_recency,
-  {ratio('sum(Frequency)', 'count(*)')} AS avg_frequency,
-  {ratio(f"sum({cents('Monetary')})", 'count(*) * 100')} AS avg_monetary,
-  {ratio('sum(CAST(AOV AS BIGINT))', 'count(AOV)')} AS avg_aov
+  avg(Recency) AS avg_recency, avg(Frequency) AS avg_frequency,
+  {ratio(f"sum({cents('Monetary')})", 'count(Monetary) * 100')} AS avg_monetary, avg(CAST(AOV AS BIGINT)) AS avg_aov
 FROM rfm"""),
     "mart_rfm_segment_counts": rfm(vc("rfm", "Segment")),
     "mart_rfm_segment_revenue": rfm(f"""SELECT Segment, CAST(sum({cents('Monetary')}) AS DOUBLE) / 100.0 AS Revenue
 FROM rfm WHERE Segment IS NOT NULL GROUP BY Segment"""),
     "mart_rfm_segment_share": rfm(share(vc("rfm", "Segment"), "Segment")),
     "mart_top_rfm_scores": rfm(top("rfm", "RFM_Score", 20)),
-    "mart_rfm_segment_stats": rfm(f"""SELECT Segment, count(*) AS Customers,
-  {half_even1('sum(Recency)', 'count(*)')} AS Avg_Recency,
-  {half_even1('sum(Frequency)', 'count(*)')} AS Avg_Frequency,
-  {half_even1(f"sum({cents('Monetary')})", 'count(*) * 100')} AS Avg_Monetary,
+    "mart_rfm_segment_stats": rfm(f"""SELECT Segment, count(CustomerID) AS Customers,
+  {half_even1('sum(Recency)', 'count(Recency)')} AS Avg_Recency,
+  {half_even1('sum(Frequency)', 'count(Frequency)')} AS Avg_Frequency,
+  {half_even1(f"sum({cents('Monetary')})", 'count(Monetary) * 100')} AS Avg_Monetary,
   {half_even1('sum(CAST(AOV AS BIGINT))', 'count(AOV)')} AS Avg_AOV,
   {half_even1(f"sum({cents('Monetary')})", '100')} AS Total_Revenue
 FROM rfm WHERE Segment IS NOT NULL GROUP BY Segment"""),
     "mart_content_filtered": content("""SELECT * FROM profile
-WHERE MostWatch IN ('Truyền Hình', 'Phim Truyện', 'Thể Thao') AND Active IN ('High')"""),
+WHERE MostWatch IN ('Truyền Hình', 'Phim Truyện', 'Thể Thao') AND Active IN ('Low')"""),
     "mart_content_kpis": content(f"""SELECT count(*) AS users,
   coalesce({ratio("count(*) FILTER (WHERE Active = 'High') * 100", 'count(*)')}, 0.0) AS high_pct,
-  coalesce({ratio('sum(Total_Devices)', 'count(*)')}, 0.0) AS avg_devices,
+  coalesce(avg(Total_Devices), 0.0) AS avg_devices,
   CAST({_TOTAL_DURATION} AS BIGINT) AS total_duration
 FROM profile"""),
     "mart_content_durations": content(_DURATIONS),
@@ -130,12 +132,12 @@ FROM profile"""),
     "mart_most_watch_active": content("""SELECT MostWatch, Active, count(*) AS Count FROM profile
 WHERE MostWatch IS NOT NULL AND Active IS NOT NULL GROUP BY MostWatch, Active"""),
     "mart_top_taste20": content(top("profile", "Taste", 20)),
-    "mart_most_watch_stats": content(f"""SELECT MostWatch, count(*) AS Users,
-  {half_even1('sum(Total_Devices)', 'count(*)')} AS Avg_Devices, {_MW_MEANS},
+    "mart_most_watch_stats": content(f"""SELECT MostWatch, count(Contract) AS Users,
+  {half_even1('sum(Total_Devices)', 'count(Total_Devices)')} AS Avg_Devices, {_MW_MEANS},
   {half_even1("count(*) FILTER (WHERE Active = 'High') * 100", 'count(*)')} AS High_Pct
 FROM profile WHERE MostWatch IS NOT NULL GROUP BY MostWatch"""),
     "mart_search_filtered": search("""SELECT * FROM search_result
-WHERE Genre_T6 IN ('Action', 'Drama', 'Romance', 'Sports') AND Genre_T7 IN ('Action', 'Drama', 'Romance', 'Music', 'Other')"""),
+WHERE Genre_T6 IN ('Action', 'Drama', 'Romance', 'Sports', 'Comedy') AND Genre_T7 IN ('Action', 'Drama', 'Romance', 'Music', 'Other')"""),
     "mart_search_changed": search("SELECT * FROM search_result WHERE Changing IS DISTINCT FROM 'No Change'"),
     "mart_search_kpis": search(f"""SELECT count(*) AS users, count(DISTINCT Genre_T6) AS genres_t6,
   count(DISTINCT Genre_T7) AS genres_t7,

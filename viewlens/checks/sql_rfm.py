@@ -1,4 +1,4 @@
-"""SQL of the RFM queries, written independently from the DataFrame code."""
+"""SQL of the RFM queries, in the terms of the reference: averages as avg or total / count, rounded with round()."""
 
 TX = """tx AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS Transaction_ID, o_custkey AS CustomerID,
@@ -16,8 +16,7 @@ BASE = """base AS (
   SELECT CustomerID,
          CAST(date_diff('day', Last_Purchase, (SELECT max(Last_Purchase) FROM totals) + 1) AS INTEGER) AS Recency,
          Frequency, Monetary,
-         CASE WHEN Frequency > 0 THEN CAST((2 * CAST(Monetary * 100 AS HUGEINT) + 100 * Frequency)
-              // (200 * Frequency) AS DOUBLE) END AS AOV
+         CAST(round(Monetary / Frequency) AS DOUBLE) AS AOV
   FROM totals)"""
 
 SCORED = """scored AS (
@@ -41,7 +40,7 @@ SEGMENTED = """segmented AS (
       WHEN R_Score = 1 AND FM_Score >= 4 THEN 'Can''t Lose Them'
       WHEN R_Score = 1 AND FM_Score BETWEEN 2 AND 3 THEN 'Hibernating'
       ELSE 'Lost' END AS Segment
-  FROM (SELECT *, CAST(floor((F_Score + M_Score + 1) / 2) AS INTEGER) AS FM_Score FROM scored))"""
+  FROM (SELECT *, CAST(round((F_Score + M_Score) / 2.0) AS INTEGER) AS FM_Score FROM scored))"""
 
 RFM_RESULT = """rfm AS (
   SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary, AOV, RFM_Score, Segment

@@ -2,11 +2,20 @@
 
 from viewlens.checks.sql_rfm import with_ctes
 
-LOG = """log AS (
-  SELECT CASE WHEN year(o.o_orderdate) = 1996 THEN 1 ELSE 2 END AS period,
-         CAST(o.o_custkey AS VARCHAR) AS user_id, p.p_name AS keyword
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE year(o.o_orderdate) IN (1996, 1997))"""
+_EXAMPLES = ["thuyếtminh", "bigfoot", "capdoi", "ARGEN", "nhật ký", "PENT", "running", "VTV3"]
+_PREFIXES = ["HTV7 ", "Reality ", "LOVE ", "Harry Potter ", "Phim Việt ", "phim trung ", "PHIM HÀN "]
+_CASES = " ".join([f"WHEN {i} THEN '{w}'" for i, w in enumerate(_EXAMPLES)]
+                  + [f"WHEN {i} THEN '{w}' || p_name" for i, w in enumerate(_PREFIXES, start=8)])
+
+PARTS = f"""parts AS (
+  SELECT p_partkey, CASE p_partkey % 24 {_CASES} WHEN 15 THEN n_name WHEN 16 THEN r_name ELSE p_name END AS keyword
+  FROM part LEFT JOIN nation ON n_nationkey = (p_partkey // 24) % 25 LEFT JOIN region ON r_regionkey = (p_partkey // 24) % 5)"""
+
+LOG = PARTS + """,
+log AS (
+  SELECT CASE WHEN o.o_orderdate < TIMESTAMP '1998-05-01' THEN 1 ELSE 2 END AS period,
+         CAST(o.o_custkey AS VARCHAR) AS user_id, p.keyword
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN parts p ON l.l_partkey = p.p_partkey)"""
 
 COUNTS = """counts AS (
   SELECT period, user_id, keyword, count(keyword) AS search_count
@@ -17,17 +26,17 @@ TOP = """top AS (
     SELECT *, row_number() OVER (PARTITION BY period, user_id ORDER BY search_count DESC, keyword ASC) AS rn
     FROM counts) WHERE rn = 1)"""
 
-_GENRE = """CASE split_part(p_name, ' ', 2) WHEN 'bolt' THEN 'Action' WHEN 'anvil' THEN 'Drama'
+_GENRE = """CASE split_part(keyword, ' ', 2) WHEN 'bolt' THEN 'Action' WHEN 'anvil' THEN 'Drama'
            WHEN 'ring' THEN 'Romance' WHEN 'gear' THEN 'Sports' WHEN 'widget' THEN 'TV Channel'
            WHEN 'rod' THEN 'News' WHEN 'plate' THEN 'Music' ELSE 'Comedy' END"""
 
 MAPPING = f"""mapping AS (
-  SELECT DISTINCT 1 AS period, p_name AS keyword, {_GENRE} AS Genre
-  FROM part WHERE split_part(p_name, ' ', 1) <> 'old'
+  SELECT DISTINCT 1 AS period, keyword, {_GENRE} AS Genre
+  FROM parts WHERE split_part(keyword, ' ', 1) <> 'old'
   UNION ALL
-  SELECT DISTINCT 2 AS period, p_name AS keyword,
-         CASE WHEN split_part(p_name, ' ', 1) = 'red' THEN 'Other' ELSE {_GENRE} END AS Genre
-  FROM part WHERE split_part(p_name, ' ', 1) <> 'new')"""
+  SELECT DISTINCT 2 AS period, keyword,
+         CASE WHEN split_part(keyword, ' ', 1) = 'red' THEN 'Other' ELSE {_GENRE} END AS Genre
+  FROM parts WHERE split_part(keyword, ' ', 1) <> 'new')"""
 
 MAPPED = """mapped AS (
   SELECT t.* FROM top t
@@ -73,7 +82,7 @@ SELECT period, keyword, count FROM (
          row_number() OVER (PARTITION BY period ORDER BY count(*) DESC, keyword ASC) AS rn
   FROM top GROUP BY period, keyword) WHERE rn <= 20"""),
     "search_mapped": with_ctes([LOG, COUNTS, TOP, MAPPING, MAPPED], "SELECT * FROM mapped"),
-    "genre_dimension": with_ctes([MAPPING, DIM], "SELECT * FROM dim"),
+    "genre_dimension": with_ctes([PARTS, MAPPING, DIM], "SELECT * FROM dim"),
     "search_period_pivot": with_ctes([LOG, COUNTS, TOP, MAPPING, MAPPED, PIVOT], "SELECT * FROM user_pivot"),
     "search_genre_enrich": with_ctes(SEARCH_CTES[:-1], "SELECT * FROM enriched"),
     "search_changing": with_ctes(SEARCH_CTES, "SELECT * FROM search_result"),

@@ -2,9 +2,10 @@
 
     python -m viewlens.cli content --source DIR --start 20220401 --end 20220430 --out PATH
     python -m viewlens.cli top-keywords --first 'log_search/202206*' --second 'log_search/202207*' --out DIR
-    python -m viewlens.cli classify --input DIR_OF_TOP_KEYWORDS --period 1 --out DIR
+    python -m viewlens.cli classify --input DIR_OF_TOP_KEYWORDS --out DIR
     python -m viewlens.cli search --first GLOB --second GLOB --mapping-first CSV --mapping-second CSV --out PATH
     python -m viewlens.cli rfm --transactions CSV --out PATH
+    python -m viewlens.cli marts --rfm PATH --content PATH --search PATH --out DIR
     python -m viewlens.cli stream-content --source DIR --sink PATH --checkpoint PATH
 
 Results go to Parquet (default), CSV, or a JDBC table (``--jdbc-url``,
@@ -17,8 +18,10 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,26 +30,38 @@ def _date(s: str) -> dt.date:
     return dt.datetime.strptime(s, "%Y%m%d").date()
 
 
+def _jdbc_args(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--jdbc-url")
+    p.add_argument("--user")
+    p.add_argument("--password-env")
+    p.add_argument("--driver")
+
+
 def _sink_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--out", help="output path (Parquet or CSV)")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "jdbc"])
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
-    p.add_argument("--jdbc-url")
     p.add_argument("--table")
-    p.add_argument("--user")
-    p.add_argument("--password-env")
-    p.add_argument("--driver")
+    _jdbc_args(p)
+
+
+def _password(a: argparse.Namespace) -> str | None:
+    return os.environ.get(a.password_env) if a.password_env else None
 
 
-def _write(df: DataFrame, a: argparse.Namespace) -> None:
+def _write(df: DataFrame, a: argparse.Namespace, sub_dir: str = "") -> None:
     from viewlens.sources import sinks
     if a.format == "jdbc":
-        pw = os.environ.get(a.password_env) if a.password_env else None
-        sinks.write_jdbc(df, a.jdbc_url, a.table, a.mode, a.user, pw, a.driver)
-    elif a.format == "csv":
-        sinks.write_csv(df, a.out, a.mode)
-    else:
-        sinks.write_parquet(df, a.out, a.mode)
+        sinks.write_jdbc(df, a.jdbc_url, a.table, a.mode, a.user, _password(a), a.driver)
+        return
+    path = f"{a.out.rstrip('/')}/{sub_dir}" if sub_dir else a.out
+    (sinks.write_csv if a.format == "csv" else sinks.write_parquet)(df, path, a.mode)
+
+
+def _print_rows(df: DataFrame) -> None:
+    """A small summary as JSON lines."""
+    for row in df.collect():
+        print(json.dumps(row.asDict(), ensure_ascii=False, default=str))
 
 
 def main(argv=None) -> None:
@@ -66,6 +81,8 @@ def main(argv=None) -> None:
     t = sub.add_parser("top-keywords")
     t.add_argument("--first", required=True)
     t.add_argument("--second", required=True)
+    t.add_argument("--report", type=int, metavar="K",
+                   help="print the number of distinct keywords and each month's K most frequent as JSON lines")
     _sink_args(t)
 
     k = sub.add_parser("classify")
@@ -75,6 +92,8 @@ def main(argv=None) -> None:
     k.add_argument("--labeller", help="module:function taking a list of keywords, returning labels "
                                       "(e.g. a model client); runs on executors in batches")
     k.add_argument("--batch-size", type=int, default=100)
+    k.add_argument("--partitions", type=int, help="tasks that call the labeller (default: the cluster's parallelism)")
+    k.add_argument("--names", help="optional CSV (keyword, Genre) of countries, clubs and events for the rules")
     k.add_argument("--known", help="existing (keyword, Genre) labels; only new keywords are labelled "
                                    "(write the result to a different --out than --known)")
     _sink_args(k)
@@ -85,6 +104,7 @@ def main(argv=None) -> None:
     s.add_argument("--mapping-first", required=True)
     s.add_argument("--mapping-second", required=True)
     s.add_argument("--mapping-format", default="csv", choices=["csv", "parquet", "json"])
+    s.add_argument("--salt-buckets", type=int, default=0, help="split a hot keyword of the genre join into so many parts")
     _sink_args(s)
 
     r = sub.add_parser("rfm")
@@ -99,7 +119,8 @@ def main(argv=None) -> None:
     mk.add_argument("--rfm", help="customer_rfm_stats (path or table)")
     mk.add_argument("--content", help="customer_content_stats (path or table)")
     mk.add_argument("--search", help="customer_search_stats (path or table)")
-    mk.add_argument("--input-format", default="parquet", help="parquet, csv, json, or table")
+    mk.add_argument("--input-format", default="parquet", help="parquet, csv, json, table, or jdbc (then the three name tables)")
+    _jdbc_args(mk)
     mk.add_argument("--segments", nargs="*")
     mk.add_argument("--most-watch", nargs="*")
     mk.add_argument("--active", nargs="*")
@@ -136,11 +157,18 @@ def main(argv=None) -> None:
         # One pass over both months; one output folder per month, each
         # (user_id, keyword, search_count) as the labelling step reads it.
         log = tagged_log(files.read_search_log(spark, a.first), files.read_search_log(spark, a.second))
+        # A database gets one table with a period column.
+        if a.format != "jdbc" and not a.out:
+            ap.error("top-keywords: --out is required for files")
         top = Q.top_keyword(log)
-        out = a.out.rstrip("/")
-        for p, sub_dir in ((1, "first"), (2, "second")):
-            a.out = f"{out}/{sub_dir}"
-            _write(top.filter(F.col("period") == p).select("user_id", "keyword", "search_count"), a)
+        if a.format == "jdbc":
+            _write(top.select("period", "user_id", "keyword", "search_count"), a)
+        else:
+            for p, sub_dir in ((1, "first"), (2, "second")):
+                _write(top.filter(F.col("period") == p).select("user_id", "keyword", "search_count"), a, sub_dir)
+        if a.report:
+            _print_rows(Q.distinct_keywords(log))
+            _print_rows(Q.keyword_popularity(top, a.report).orderBy("period", F.desc("count"), "keyword"))  # 2 K rows at most
     elif a.cmd == "classify":
         kw = (files.read_most_search(spark, a.input) if a.input_format == "csv"
               else spark.read.parquet(a.input).select("keyword"))
@@ -155,40 +183,48 @@ def main(argv=None) -> None:
             # have the module installed.
             cloudpickle.register_pickle_by_value(module)
             labeller = getattr(module, fn)
+        ov = files.read_mapping(spark, a.overrides) if a.overrides else None
+        names = files.read_mapping(spark, a.names).withColumnRenamed("keyword", "name") if a.names else None
+        failures = spark.sparkContext.accumulator(0)
         if a.known:
-            _write(K.classify_incremental(kw, files.read_mapping(spark, a.known), labeller, a.batch_size), a)
+            labels = K.classify_incremental(kw, files.read_mapping(spark, a.known), labeller, a.batch_size, a.partitions, ov,
+                                            names, failures)
         elif labeller:
-            _write(K.classify_batched(kw, labeller, batch_size=a.batch_size), a)
+            labels = K.with_overrides(K.classify_batched(kw, labeller, a.batch_size, a.partitions, failures=failures), ov)
         else:
-            ov = files.read_mapping(spark, a.overrides) if a.overrides else None
-            _write(K.classify_rules(kw, ov), a)
+            labels = K.classify_rules(kw, ov, names)
+        _write(labels, a)
+        if labeller:
+            print(json.dumps({"failed_keywords": failures.value}))
     elif a.cmd == "search":
         log = tagged_log(files.read_search_log(spark, a.first), files.read_search_log(spark, a.second))
         m = (files.read_mapping(spark, a.mapping_first, a.mapping_format).withColumn("period", F.lit(1))
              .unionByName(files.read_mapping(spark, a.mapping_second, a.mapping_format).withColumn("period", F.lit(2))))
-        _write(search_change(log, m), a)
+        _write(search_change(log, m, salt_buckets=a.salt_buckets), a)
     elif a.cmd == "rfm":
         tx = files.read_transactions(spark, a.transactions, a.date_format)
         table = rfm_table(tx, a.as_of)
         _write(table, a)
         if a.audit:
-            import json
-
             from viewlens.operators import rfm as R
             # Both summaries are bounded: one row, and one row per segment.
-            print(json.dumps(R.clean_audit(tx).first().asDict()))
-            for row in R.segment_counts(table).orderBy(F.col("count").desc(), "Segment").collect():
-                print(json.dumps(row.asDict(), ensure_ascii=False))
+            _print_rows(R.clean_audit(tx))
+            _print_rows(R.segment_counts(table))
     elif a.cmd == "marts":
         from viewlens.plans.dashboard import dashboard_marts
-        from viewlens.sources.sinks import load_table, write_parquet
+        from viewlens.sources.sinks import load_table, read_jdbc, write_parquet
 
         def load(src, table):
+            """The table, read from its source once and kept on the executors' disks for all marts."""
             if src is None:
                 return None
             if a.input_format == "csv":
-                return files.read_result_csv(spark, src, table)
-            return load_table(spark, src, a.input_format)
+                df = files.read_result_csv(spark, src, table)
+            elif a.input_format == "jdbc":
+                df = read_jdbc(spark, a.jdbc_url, src, a.user, _password(a), a.driver)
+            else:
+                df = load_table(spark, src, a.input_format)
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
 
         marts = dashboard_marts(load(a.rfm, "rfm"), load(a.content, "content"), load(a.search, "search"),
                                 segments=a.segments,
@@ -196,6 +232,7 @@ def main(argv=None) -> None:
                                 genres_t7=a.genre_t7, change=a.change)
         for name, df in marts.items():
             write_parquet(df, f"{a.out.rstrip('/')}/{name}")
+        spark.catalog.clearCache()
     elif a.cmd == "stream-content":
         from viewlens.streaming.content_daily import start_daily_profiles
         q = start_daily_profiles(spark, a.source, a.sink, a.checkpoint, a.layout, available_now=not a.continuous)

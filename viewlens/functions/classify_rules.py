@@ -38,10 +38,11 @@ def closed_genre(genre: Column, genres: Sequence[str] = S.GENRES, default: str =
     return F.when(genre.isin(list(genres)), genre).otherwise(F.lit(default))
 
 
-def rule_genre(keyword: Column, overrides: Mapping[str, str] = S.GENRE_EXAMPLES,
+def rule_genre(keyword: Column, named: Column | None = None, overrides: Mapping[str, str] = S.GENRE_EXAMPLES,
                hints: Sequence[tuple[str, Sequence[str]]] = S.GENRE_HINTS) -> Column:
-    """Override table first, then hints, then the default label."""
-    return closed_genre(F.coalesce(literal_lookup(keyword, overrides), hint_genre(keyword, hints)))
+    """Worked examples first, then hints, then the genre of a known name, then the default label."""
+    rules = [literal_lookup(keyword, overrides), hint_genre(keyword, hints)] + ([named] if named is not None else [])
+    return closed_genre(F.coalesce(*rules))
 
 
 def response_json(text: Column) -> Column:
@@ -50,10 +51,17 @@ def response_json(text: Column) -> Column:
 
 
 def parse_response_map(text: Column) -> Column:
-    """keyword -> label map from a free-text answer; NULL when malformed."""
-    return F.from_json(response_json(text), "map<string,string>")
+    """keyword -> label entries of a free-text answer, in their order; NULL when it is not one JSON object.
 
+    The span is parsed as the value of a wrapper object, so anything after
+    the answer's object (a second object, text) is malformed as a whole.
+    """
+    wrapped = F.concat(F.lit('{"answer":'), response_json(text), F.lit("}"))
+    parsed = F.from_json(wrapped, "answer map<string,string>, _bad string",
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"})
+    return F.when(parsed["_bad"].isNull(), F.map_entries(parsed["answer"]))
 
-def label_from_response(parsed: Column, keyword: Column, default: str = S.DEFAULT_GENRE) -> Column:
-    """The answer's label for ``keyword``; missing key / object -> default."""
-    return F.coalesce(F.try_element_at(parsed, keyword), F.lit(default))
+
+def label_from_response(entries: Column, keyword: Column, default: str = S.DEFAULT_GENRE) -> Column:
+    """The answer's last label for ``keyword``; missing key / object -> default."""
+    return F.coalesce(F.try_element_at(F.filter(entries, lambda e: e["key"] == keyword), F.lit(-1))["value"], F.lit(default))

@@ -46,8 +46,8 @@ def activity(active_days: Column, threshold: int = S.ACTIVE_DAYS_THRESHOLD) -> C
 
 
 def fm_score(f: Column, m: Column) -> Column:
-    """round((F + M) / 2) half up, as int: (F + M + 1) div 2 for positive scores."""
-    return F.floor((f + m + F.lit(1)) / F.lit(2)).cast("int")
+    """The mean of both scores rounded half up, as int."""
+    return F.round((f + m) / F.lit(2)).cast("int")
 
 
 def rfm_code(r: Column, f: Column, m: Column) -> Column:
@@ -55,10 +55,13 @@ def rfm_code(r: Column, f: Column, m: Column) -> Column:
 
 
 def segment(r: Column, fm: Column, rules=S.RFM_SEGMENT_RULES, default: str = S.RFM_DEFAULT_SEGMENT) -> Column:
-    """First rule whose R and FM ranges both contain the scores, else default."""
+    """First rule whose R and FM ranges both contain the scores, else default; a None bound is open."""
     expr = None
     for name, (rlo, rhi), (flo, fhi) in rules:
-        cond = r.between(rlo, rhi) & fm.between(flo, fhi)
+        cond = F.lit(True)
+        for c, lo, hi in ((r, rlo, rhi), (fm, flo, fhi)):
+            cond = cond if lo is None else cond & (c >= lo)
+            cond = cond if hi is None else cond & (c <= hi)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return expr.otherwise(F.lit(default))
 

@@ -15,15 +15,20 @@ and never passes through the driver. Three labellers:
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewlens import schemas as S
 from viewlens.functions import classify_rules as CR
 
+# Worker code travels by value: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Labeller = Callable[[list[str]], Mapping[str, str] | Sequence[str]]
 
 
@@ -31,26 +36,45 @@ def distinct_keywords(df: DataFrame, col: str = "keyword") -> DataFrame:
     return df.select(F.col(col).alias("keyword")).filter(F.col("keyword").isNotNull()).distinct()
 
 
-def classify_rules(keywords: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+def _one_label(table: DataFrame) -> DataFrame:
+    """One label per keyword (the least), NULL keywords dropped."""
+    return (table.filter(F.col("keyword").isNotNull())
+            .groupBy("keyword").agg(F.min("Genre").alias("_override")))
+
+
+def with_overrides(labels: DataFrame, overrides: DataFrame | None) -> DataFrame:
+    """Labels replaced by those of an override table where it has the keyword."""
+    if overrides is None:
+        return labels
+    return (labels.join(_one_label(overrides), "keyword", "left")
+            .select("keyword", CR.closed_genre(F.coalesce("_override", "Genre")).alias("Genre")))
+
+
+def _with_names(kw: DataFrame, names: DataFrame | None) -> DataFrame:
+    """Adds ``_named``: the genre of a keyword that is, without case, a name of the table (countries, clubs, events)."""
+    if names is None:
+        return kw.withColumn("_named", F.lit(None).cast("string"))
+    table = (names.filter(F.col("name").isNotNull()).groupBy(F.lower("name").alias("_name"))
+             .agg(F.min("Genre").alias("_named")))
+    return kw.join(table, F.lower("keyword") == F.col("_name"), "left").select("keyword", "_named")
+
+
+def classify_rules(keywords: DataFrame, overrides: DataFrame | None = None, names: DataFrame | None = None) -> DataFrame:
     """(keyword, Genre) for the distinct keywords.
 
-    ``overrides``: optional (keyword, Genre) table that wins over the
-    built-in examples and rules; joined by key (the optimizer broadcasts it
-    only when its runtime size is under the broadcast threshold).
+    Order: ``overrides`` (keyword, Genre) table, worked examples, word hints,
+    ``names`` (name, Genre) lookup, default. Tables are joined by key (the
+    optimizer broadcasts one only when its runtime size is under the
+    broadcast threshold).
     """
-    kw = distinct_keywords(keywords)
-    rule = CR.rule_genre(F.col("keyword"))
-    if overrides is None:
-        return kw.select("keyword", rule.alias("Genre"))
-    ov = (overrides.filter(F.col("keyword").isNotNull())
-          .groupBy("keyword").agg(F.min("Genre").alias("_override")))
-    return (kw.join(ov, "keyword", "left")
-            .select("keyword", CR.closed_genre(F.coalesce(F.col("_override"), rule)).alias("Genre")))
+    kw = _with_names(distinct_keywords(keywords), names)
+    return with_overrides(kw.select("keyword", CR.rule_genre(F.col("keyword"), F.col("_named")).alias("Genre")), overrides)
 
 
-def rule_hints(keywords: DataFrame) -> DataFrame:
-    """(keyword, Hint): the hint rule alone, NULL where no hint applies."""
-    return distinct_keywords(keywords).select("keyword", CR.hint_genre(F.col("keyword")).alias("Hint"))
+def rule_hints(keywords: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """(keyword, Hint): the hint rules alone, NULL where none applies."""
+    return _with_names(distinct_keywords(keywords), names).select(
+        "keyword", F.coalesce(CR.hint_genre(F.col("keyword")), F.col("_named")).alias("Hint"))
 
 
 def _batches(it: Iterable[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
@@ -61,30 +85,38 @@ def _batches(it: Iterable[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
 
 def classify_batched(keywords: DataFrame, labeller: Labeller, batch_size: int = 100,
                      num_partitions: int | None = None, genres: Sequence[str] = S.GENRES,
-                     default: str = S.DEFAULT_GENRE) -> DataFrame:
+                     default: str = S.DEFAULT_GENRE, on_failure: str = "default", failures=None) -> DataFrame:
     """Apply ``labeller`` to batches of at most ``batch_size`` distinct keywords.
 
     The labeller gets a list of keywords and returns either a mapping
     keyword -> label or a list of labels in the same order. A failing call
-    labels its batch with the default (as the reference does on errors).
+    labels its batch with the default (``on_failure="default"``, as the
+    reference does on errors) or leaves its keywords out (``"omit"``), so
+    that a later run can ask for them again. ``failures``: an accumulator
+    that gets the number of keywords whose call failed.
+
+    Calls run in ``num_partitions`` tasks (default: the cluster's
+    parallelism), a fixed number that adaptive execution does not merge.
     """
+    if on_failure not in ("default", "omit"):
+        raise ValueError("on_failure must be 'default' or 'omit'")
     kw = distinct_keywords(keywords)
-    if num_partitions:
-        kw = kw.repartition(num_partitions, "keyword")
+    kw = kw.repartition(num_partitions or kw.sparkSession.sparkContext.defaultParallelism, "keyword")
     allowed = set(genres)
 
-    def run(it: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(it):
         for batch in _batches(it, batch_size):
             words = batch["keyword"].astype(str).tolist()
             try:
                 answer = labeller(words)
-                if isinstance(answer, Mapping):
-                    labels = [answer.get(w, default) for w in words]
-                else:
-                    labels = list(answer)
-                    if len(labels) != len(words):
-                        raise ValueError("labeller returned a wrong number of labels")
-            except Exception:  # noqa: BLE001 - one bad batch must not fail the job
+                labels = [answer.get(w, default) for w in words] if hasattr(answer, "get") else list(answer)
+                if len(labels) != len(words):
+                    raise ValueError("labeller returned a wrong number of labels")
+            except Exception:  # noqa: BLE001 - one bad batch must not fail the job; it is counted
+                if failures is not None:
+                    failures.add(len(words))
+                if on_failure == "omit":
+                    continue
                 labels = [default] * len(words)
             labels = [x if isinstance(x, str) and x in allowed else default for x in labels]
             yield pd.DataFrame({"keyword": words, "Genre": labels})
@@ -95,15 +127,12 @@ def classify_batched(keywords: DataFrame, labeller: Labeller, batch_size: int =
 def rules_labeller(overrides: Mapping[str, str] = S.GENRE_EXAMPLES,
                    hints: Sequence[tuple[str, Sequence[str]]] = S.GENRE_HINTS) -> Labeller:
     """A Python labeller with the same rules as ``classify_rules``."""
-    def label(words: list[str]) -> list[str]:
-        out = []
-        for w in words:
-            g = overrides.get(w)
-            if g is None:
-                low = w.lower()
-                g = next((genre for genre, ws in hints if any(x.lower() in low for x in ws)), S.DEFAULT_GENRE)
-            out.append(g)
-        return out
+    overrides, default = dict(overrides), S.DEFAULT_GENRE
+    hints = [(genre, [w.lower() for w in words]) for genre, words in hints]
+
+    def label(words):
+        return [overrides.get(w) or next((genre for genre, ws in hints if any(x in w.lower() for x in ws)), default)
+                for w in words]
     return label
 
 
@@ -119,42 +148,25 @@ def parse_responses(responses: DataFrame, text_col: str = "response", keywords_c
                          .alias("Genre"))
 
 
-def answers_from_labels(keywords: DataFrame, labels: DataFrame, batch_rows: int = 50,
-                        prefix: str = "Result: ", suffix: str = " -- done") -> DataFrame:
-    """Free-text answers built from a label table, one per keyword batch.
-
-    Batches are hash buckets sized from the keyword count, so a batch's
-    collected list stays near ``batch_rows`` however many keywords exist.
-    Keywords without a label are omitted from the answer object.
-    """
-    kw = distinct_keywords(keywords)
-    # ceil(#keywords / batch_rows) buckets, as a scalar subquery (no driver round trip)
-    buckets = kw.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(batch_rows))).cast("long")).scalar()
-    tagged = (kw.join(labels.select("keyword", "Genre"), "keyword", "left")
-              .withColumn("_batch", F.pmod(F.xxhash64("keyword"), buckets)))
-    entries = F.filter(F.collect_list(F.struct("keyword", "Genre")), lambda e: e["Genre"].isNotNull())
-    return (tagged.groupBy("_batch")
-            .agg(F.collect_list("keyword").alias("keywords"), entries.alias("_entries"))
-            .select("keywords",
-                    F.concat(F.lit(prefix),
-                             F.when(F.size("_entries") > 0, F.to_json(F.map_from_entries("_entries")))
-                             .otherwise(F.lit("{}")),
-                             F.lit(suffix)).alias("response")))
-
-
 def classify_incremental(keywords: DataFrame, known: DataFrame, labeller: Labeller | None = None,
-                         batch_size: int = 100) -> DataFrame:
+                         batch_size: int = 100, num_partitions: int | None = None,
+                         overrides: DataFrame | None = None, names: DataFrame | None = None, failures=None) -> DataFrame:
     """Labels for all distinct keywords, calling the labeller only for new ones.
 
     ``known``: an existing (keyword, Genre) table (for example last run's
     output). Keywords already in it keep their label; the rest (a left-anti
     join, so only the new keywords are shuffled against the table) go
     through the labeller -- or the rules when none is given. Returns known
-    and new labels together, one row per keyword.
+    and new labels together, one row per keyword; keywords whose labeller
+    call failed are left out, so the next run asks for them again.
     """
     kw = distinct_keywords(keywords)
     known = (known.filter(F.col("keyword").isNotNull())
              .groupBy("keyword").agg(F.min("Genre").alias("Genre")))  # one label per keyword, deterministic
     fresh = kw.join(known.select("keyword"), "keyword", "left_anti")
-    labelled = classify_batched(fresh, labeller, batch_size) if labeller else classify_rules(fresh)
+    if labeller:
+        labelled = with_overrides(classify_batched(fresh, labeller, batch_size, num_partitions, on_failure="omit",
+                                                   failures=failures), overrides)
+    else:
+        labelled = classify_rules(fresh, overrides, names)
     return known.join(kw, "keyword", "left_semi").unionByName(labelled)

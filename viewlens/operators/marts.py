@@ -24,28 +24,32 @@ from viewlens.functions.exact import int_div_long, ratio, ratio_half_even
 
 
 def filter_in(df: DataFrame, **allowed: Sequence[str] | None) -> DataFrame:
-    """Keep rows whose column values are in the allowed lists (None = no filter).
+    """Keep rows whose column values are in the allowed lists.
 
+    None stands for the dashboard's default selection, all non-NULL values;
     NULL values never match, as with pandas ``isin``.
     """
     for col, values in allowed.items():
-        if values is not None:
-            df = df.filter(F.col(col).isin(list(values)))
+        df = df.filter(F.col(col).isNotNull() if values is None else F.col(col).isin(list(values)))
     return df
 
 
-def value_counts(df: DataFrame, col: str, count_name: str = "Count") -> DataFrame:
+def _counts(df: DataFrame, col: str, count_name: str = "Count") -> DataFrame:
     return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(count_name))
 
 
+def value_counts(df: DataFrame, col: str, count_name: str = "Count") -> DataFrame:
+    """Rows per non-NULL value, most first, ties by value (a sort of the small count table)."""
+    return _counts(df, col, count_name).orderBy(F.desc(count_name), col)
+
+
 def top_k(df: DataFrame, col: str, k: int, count_name: str = "Count") -> DataFrame:
     """The k most frequent non-NULL values; ties by value ascending.
 
     ``orderBy().limit()`` plans as TakeOrderedAndProject: each task keeps k
     rows, so nothing large reaches the final step.
     """
-    vc = value_counts(df, col, count_name)
-    return vc.orderBy(F.col(count_name).desc(), F.col(col).asc()).limit(k)
+    return value_counts(df, col, count_name).limit(k)
 
 
 def with_share(counts: DataFrame, count_name: str = "Count", share_name: str = "Share") -> DataFrame:
@@ -57,7 +61,8 @@ def with_share(counts: DataFrame, count_name: str = "Count", share_name: str = "
     once.
     """
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return counts.withColumn(share_name, ratio(F.col(count_name), F.sum(count_name).over(everything)))
+    shares = counts.withColumn(share_name, ratio(F.col(count_name), F.sum(count_name).over(everything)))
+    return shares.orderBy(F.desc(count_name), counts.columns[0])
 
 
 def money_cents(c: str) -> Column:
@@ -65,9 +70,14 @@ def money_cents(c: str) -> Column:
     return F.round(F.col(c) * F.lit(100)).cast("long")
 
 
-def mean1(n: Column, d: Column) -> Column:
-    """Exact mean rounded half-even to one decimal."""
-    return ratio_half_even(n, d, 1)
+def mean(col: str, value: Column | None = None, unit: int = 1) -> Column:
+    """Exact mean over the rows where ``col`` is not NULL; ``value``: its exact integer form, in 1/``unit``."""
+    return ratio(F.sum(value if value is not None else F.col(col)), F.count(col) * F.lit(unit))
+
+
+def mean1(col: str, value: Column | None = None, unit: int = 1) -> Column:
+    """The same mean rounded half-even to one decimal."""
+    return ratio_half_even(F.sum(value if value is not None else F.col(col)), F.count(col) * F.lit(unit), 1)
 
 
 # ── RFM marts ──────────────────────────────────────────────────────────────
@@ -78,13 +88,12 @@ def rfm_filtered(rfm: DataFrame, segments: Sequence[str] | None = None) -> DataF
 
 
 def rfm_kpis(rfm: DataFrame) -> DataFrame:
-    n = F.count(F.lit(1))
     return rfm.agg(
-        n.alias("customers"),
-        ratio(F.sum("Recency"), n).alias("avg_recency"),
-        ratio(F.sum("Frequency"), n).alias("avg_frequency"),
-        ratio(F.sum(money_cents("Monetary")), n * F.lit(100)).alias("avg_monetary"),
-        ratio(F.sum(F.col("AOV").cast("long")), F.count("AOV")).alias("avg_aov"),
+        F.count(F.lit(1)).alias("customers"),
+        mean("Recency").alias("avg_recency"),
+        mean("Frequency").alias("avg_frequency"),
+        mean("Monetary", money_cents("Monetary"), 100).alias("avg_monetary"),
+        mean("AOV", F.col("AOV").cast("long")).alias("avg_aov"),
     )
 
 
@@ -94,11 +103,12 @@ def rfm_segment_counts(rfm: DataFrame) -> DataFrame:
 
 def rfm_segment_revenue(rfm: DataFrame) -> DataFrame:
     return (rfm.filter(F.col("Segment").isNotNull()).groupBy("Segment")
-            .agg((F.sum(money_cents("Monetary")).cast("double") / F.lit(100.0)).alias("Revenue")))
+            .agg((F.coalesce(F.sum(money_cents("Monetary")), F.lit(0)).cast("double") / F.lit(100.0)).alias("Revenue"))
+            .orderBy(F.desc("Revenue"), "Segment"))
 
 
 def rfm_segment_share(rfm: DataFrame) -> DataFrame:
-    return with_share(value_counts(rfm, "Segment"))
+    return with_share(_counts(rfm, "Segment"))
 
 
 def top_rfm_scores(rfm: DataFrame, k: int = 20) -> DataFrame:
@@ -106,16 +116,15 @@ def top_rfm_scores(rfm: DataFrame, k: int = 20) -> DataFrame:
 
 
 def rfm_segment_stats(rfm: DataFrame) -> DataFrame:
-    n = F.count(F.lit(1))
-    cents = F.sum(money_cents("Monetary"))
+    cents = money_cents("Monetary")
     return (rfm.filter(F.col("Segment").isNotNull()).groupBy("Segment").agg(
-        n.alias("Customers"),
-        mean1(F.sum("Recency"), n).alias("Avg_Recency"),
-        mean1(F.sum("Frequency"), n).alias("Avg_Frequency"),
-        mean1(cents, n * F.lit(100)).alias("Avg_Monetary"),
-        mean1(F.sum(F.col("AOV").cast("long")), F.count("AOV")).alias("Avg_AOV"),
-        mean1(cents, F.lit(100)).alias("Total_Revenue"),
-    ))
+        F.count("CustomerID").alias("Customers"),
+        mean1("Recency").alias("Avg_Recency"),
+        mean1("Frequency").alias("Avg_Frequency"),
+        mean1("Monetary", cents, 100).alias("Avg_Monetary"),
+        mean1("AOV", F.col("AOV").cast("long")).alias("Avg_AOV"),
+        ratio_half_even(F.coalesce(F.sum(cents), F.lit(0)), F.lit(100), 1).alias("Total_Revenue"),
+    ).orderBy(F.desc("Customers"), "Segment"))
 
 
 # ── Content marts ──────────────────────────────────────────────────────────
@@ -135,7 +144,7 @@ def content_kpis(content: DataFrame) -> DataFrame:
     return content.agg(
         n.alias("users"),
         F.coalesce(ratio(F.count_if(F.col("Active") == "High") * F.lit(100), n), F.lit(0.0)).alias("high_pct"),
-        F.coalesce(ratio(F.sum("Total_Devices"), n), F.lit(0.0)).alias("avg_devices"),
+        F.coalesce(mean("Total_Devices"), F.lit(0.0)).alias("avg_devices"),
         total.cast("long").alias("total_duration"),
     )
 
@@ -153,8 +162,7 @@ def content_durations(content: DataFrame) -> DataFrame:
 
 
 def content_avg_durations(content: DataFrame) -> DataFrame:
-    n = F.count(F.lit(1))
-    means = content.agg(*[ratio(F.sum(c), n).alias(c) for c in _LABEL_COLUMN.values()])
+    means = content.agg(*[mean(c).alias(c) for c in _LABEL_COLUMN.values()])
     return _category_rows(means, "Avg_Duration")
 
 
@@ -163,7 +171,7 @@ def content_most_watch(content: DataFrame) -> DataFrame:
 
 
 def content_active(content: DataFrame) -> DataFrame:
-    return with_share(value_counts(content, "Active"))
+    return with_share(_counts(content, "Active"))
 
 
 def top_taste(content: DataFrame, k: int) -> DataFrame:
@@ -172,18 +180,15 @@ def top_taste(content: DataFrame, k: int) -> DataFrame:
 
 def most_watch_active(content: DataFrame) -> DataFrame:
     return (content.filter(F.col("MostWatch").isNotNull() & F.col("Active").isNotNull())
-            .groupBy("MostWatch", "Active").agg(F.count(F.lit(1)).alias("Count")))
+            .groupBy("MostWatch", "Active").agg(F.count(F.lit(1)).alias("Count")).orderBy("MostWatch", "Active"))
 
 
 def most_watch_stats(content: DataFrame) -> DataFrame:
-    n = F.count(F.lit(1))
-    means = [mean1(F.sum(col), n).alias("Avg_" + col[len("Total_"):]) for col in _LABEL_COLUMN.values()]
+    means = [mean1(col).alias("Avg_" + col[len("Total_"):]) for col in _LABEL_COLUMN.values()]
+    high = ratio_half_even(F.count_if(F.col("Active") == "High") * F.lit(100), F.count(F.lit(1)), 1)
     return (content.filter(F.col("MostWatch").isNotNull()).groupBy("MostWatch").agg(
-        n.alias("Users"),
-        mean1(F.sum("Total_Devices"), n).alias("Avg_Devices"),
-        *means,
-        mean1(F.count_if(F.col("Active") == "High") * F.lit(100), n).alias("High_Pct"),
-    ))
+        F.count("Contract").alias("Users"), mean1("Total_Devices").alias("Avg_Devices"), *means, high.alias("High_Pct"),
+    ).orderBy(F.desc("Users"), "MostWatch"))
 
 
 def device_histogram(content: DataFrame, bins: int = 40, clip_quantile: float = 0.95,
@@ -193,22 +198,24 @@ def device_histogram(content: DataFrame, bins: int = 40, clip_quantile: float =
     The quantile is exact with linear interpolation (as pandas), or
     ``percentile_approx`` when ``approx``. Bin edges span the clipped
     [min, max]; the maximum falls into the last bin. Device counts are
-    integers, so int(quantile) >= min and the clipped range is [min, cap]:
-    one global aggregate (a scalar subquery) yields both bounds, then one
-    pass bins the rows. Bin index arithmetic is integer, so
-    membership is exact. Only non-empty bins are returned.
+    integers, so int(quantile) >= min and the clipped range is [min, cap].
+    Contracts are counted per device count first: the percentile (with
+    frequencies) and the bins both come from that table of distinct device
+    counts, so no task or buffer holds the contracts. Bin index arithmetic
+    is integer, so membership is exact. Only non-empty bins are returned.
     """
-    x = F.col("Total_Devices")
-    q = F.percentile_approx(x, clip_quantile, 10_000) if approx else F.percentile(x, clip_quantile)
-    stats = content.agg(F.struct(F.min(x).alias("lo"), q.cast("long").alias("hi"))).scalar()
-    clipped = (content.filter(x.isNotNull()).select(x.alias("_x"), stats.alias("_s"))
-               .select(F.least(F.col("_x"), F.col("_s.hi")).alias("x"),
+    x, w = F.col("Total_Devices"), F.col("_n")
+    counts = content.filter(x.isNotNull()).groupBy(x).agg(F.count(F.lit(1)).alias("_n"))
+    q = F.percentile_approx(x, clip_quantile, 10_000) if approx else F.percentile(x, clip_quantile, w)
+    stats = (content if approx else counts).agg(F.struct(F.min(x).alias("lo"), q.cast("long").alias("hi"))).scalar()
+    clipped = (counts.select(x.alias("_x"), w, stats.alias("_s"))
+               .select(F.least(F.col("_x"), F.col("_s.hi")).alias("x"), w,
                        F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi")))
     span = F.col("_hi") - F.col("_lo")
     idx = F.when(span == 0, F.lit(0)).otherwise(
         F.least(int_div_long((F.col("x") - F.col("_lo")) * F.lit(bins), span), F.lit(bins - 1))).cast("int")
     counted = (clipped.withColumn("bin", idx)
-               .groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("Count")))
+               .groupBy("bin", "_lo", "_hi").agg(F.sum(w).alias("Count")))
     width = (F.col("_hi") - F.col("_lo")).cast("double") / F.lit(float(bins))
     return counted.select(
         "bin",
@@ -230,6 +237,8 @@ def search_filtered(search: DataFrame, genres_first: Sequence[str] | None = None
     """
     a, b = labels[0], labels[-1]
     df = filter_in(search, **{f"Genre_{a}": genres_first, f"Genre_{b}": genres_second})
+    if "Changing" not in df.columns:  # an older table: the filter is not offered
+        return df
     if change == "unchanged":
         df = df.filter(F.col("Changing") == S.NO_CHANGE)
     elif change == "changed":
@@ -250,18 +259,17 @@ def filter_options(rfm: DataFrame, content: DataFrame, search: DataFrame) -> Dat
         return df.select(F.inline(pairs)).filter(F.col("value").isNotNull()).distinct()
 
     return (options(rfm, ["Segment"]).unionByName(options(content, ["MostWatch", "Active"]))
-            .unionByName(options(search, ["Genre_T6", "Genre_T7"])))
+            .unionByName(options(search, ["Genre_T6", "Genre_T7"])).orderBy("filter", "value"))
 
 
 def search_kpis(search: DataFrame) -> DataFrame:
+    """Users, genres of each month, and (only if the table has the change column) the unchanged share."""
     n = F.count(F.lit(1))
-    return search.agg(
-        n.alias("users"),
-        F.count_distinct("Genre_T6").alias("genres_t6"),
-        F.count_distinct("Genre_T7").alias("genres_t7"),
-        F.coalesce(ratio(F.count_if(F.col("Changing") == S.NO_CHANGE) * F.lit(100), n), F.lit(0.0))
-        .alias("no_change_pct"),
-    )
+    kpis = [n.alias("users"), F.count_distinct("Genre_T6").alias("genres_t6"), F.count_distinct("Genre_T7").alias("genres_t7")]
+    if "Changing" in search.columns:
+        share = ratio(F.count_if(F.col("Changing") == S.NO_CHANGE) * F.lit(100), n)
+        kpis.append(F.coalesce(share, F.lit(0.0)).alias("no_change_pct"))
+    return search.agg(*kpis)
 
 
 def genre_counts(search: DataFrame, col: str) -> DataFrame:
@@ -278,12 +286,13 @@ def genre_compare(search: DataFrame) -> DataFrame:
         F.struct(F.lit(1).alias("side"), F.col("Genre_T6").alias("Genre")),
         F.struct(F.lit(2).alias("side"), F.col("Genre_T7").alias("Genre")))))
     return (long.filter(F.col("Genre").isNotNull()).groupBy("Genre")
-            .agg(F.count_if(F.col("side") == 1).alias("T6"), F.count_if(F.col("side") == 2).alias("T7")))
+            .agg(F.count_if(F.col("side") == 1).alias("T6"), F.count_if(F.col("side") == 2).alias("T7"))
+            .orderBy(F.desc("T6"), "Genre"))
 
 
 def change_status(search: DataFrame) -> DataFrame:
     st = search.select(L.change_status(F.col("Changing")).alias("Status"))
-    return with_share(value_counts(st, "Status"))
+    return with_share(_counts(st, "Status"))
 
 
 def top_changing(search: DataFrame, k: int = 15) -> DataFrame:

@@ -1,108 +1,143 @@
-"""Exact global ``ntile`` without funnelling all rows into one task.
-
-Spark's built-in ``ntile`` over an un-partitioned window moves every row
-into a single partition. ``global_ntile`` (the default method,
-``"distributed"``) instead
-
-1. sorts globally by (order key, unique tiebreak) -- a range-partitioned
-   shuffle whose sampled bounds split even a heavily tied key value across
-   partitions, because the tiebreak makes every sort key unique;
-2. tags each row with its partition id and its position inside the
-   partition (``monotonically_increasing_id`` = partition id << 33 | row
-   number) and cuts lineage, so later passes see the same layout;
-3. counts rows per partition (one row per partition), turns the counts into
-   running offsets, and joins them back by broadcast -- the table has one
-   row per shuffle partition, a bound fixed by the plan, not by the data;
-4. row number = offset + position + 1, and the tile follows from the row
-   number and the total count with the standard sizes (the first N mod n
-   tiles hold one extra row).
-
-Ties are broken by the tiebreak columns ascending, so results are
-deterministic and equal to the built-in with the same full ordering.
+"""Exact global ``ntile`` from cut points, without ordering the table.
+
+``ntile(n)`` needs only the n - 1 rows at which a new tile starts. Each is
+found by narrowing a range: one aggregate counts rows in equal-width buckets
+of the range that holds the wanted rank, running totals pick the bucket, and
+the next pass splits that bucket's actual range again. Once a bucket holds a
+single key value the same narrowing goes on over the tie-break id. All cuts
+of all scores share the passes, each pass returns one row per cut, and every
+pass divides a range by ``BUCKETS``, so the number of passes depends on the
+width of the values and not on the number of rows. Tiles are then assigned
+in one projection that compares each row with the cut values.
+
+No global sort, no row numbers, no task that holds more than its share of
+the input: a heavily tied value is a bucket's count until its ids are split.
+
+Order keys are integral, date or decimal columns (decimals up to 18 digits
+after scaling); NULL keys come first. Ids must be integral and are expected
+to be unique and not NULL; rows with equal key and id share a tile.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from viewlens.functions.exact import int_div_long
-from viewlens.session import materialize
-
-# With method="auto", up to this many rows use the built-in one-task window.
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-_PID, _POS, _OFF, _CNT, _TOTAL, _RN = "_nt_pid", "_nt_pos", "_nt_off", "_nt_cnt", "_nt_total", "_nt_rn"
-
-
-def _order_columns(order: str | Column | Sequence[str | Column], tiebreak: Sequence[str]) -> list[Column]:
-    cols = list(order) if isinstance(order, (list, tuple)) else [order]
-    cols = [F.col(c) if isinstance(c, str) else c for c in cols]
-    return cols + [F.col(t) for t in tiebreak]
-
-
-def tile_from_row_number(rn: Column, total: Column, n: int) -> Column:
-    """ntile(n) of the row with 1-based number ``rn`` among ``total`` rows.
-
-    The first N mod n tiles hold q+1 rows (q = N div n), the rest q rows.
-    Row counts stay far below 2**53, so exact long arithmetic suffices.
-    """
-    q = int_div_long(total, F.lit(n))
-    r = total - q * F.lit(n)
-    big = q + F.lit(1)
-    q_safe = F.greatest(q, F.lit(1))
-    head = int_div_long(rn + q, big)  # ceil(rn / (q+1))
-    tail = r + int_div_long(rn - r * big + q_safe - F.lit(1), q_safe)
-    return F.when(rn <= r * big, head).otherwise(tail).cast("int")
-
-
-def global_row_number(df: DataFrame, order: str | Column | Sequence[str | Column],
-                      tiebreak: Sequence[str], out_col: str = "row_number") -> DataFrame:
-    """Distributed exact 1-based row number over (order, tiebreak) ascending.
-
-    Adds ``out_col`` and ``_nt_total`` (the row count).
-    """
-    cols = list(df.columns)
-    ordered = (df.orderBy(*_order_columns(order, tiebreak))
-               .withColumn(_PID, F.spark_partition_id())
-               .withColumn(_POS, F.monotonically_increasing_id()))
-    ordered = materialize(ordered)
-    counts = ordered.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = counts.select(
-        _PID,
-        F.coalesce(F.sum(_CNT).over(running), F.lit(0)).alias(_OFF),
-        F.sum(_CNT).over(everything).alias(_TOTAL),
-    )
-    pos_in_part = F.col(_POS) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    return (ordered.join(F.broadcast(offsets), _PID)
-            .select(*cols, (F.col(_OFF) + pos_in_part + F.lit(1)).alias(out_col), _TOTAL))
-
-
-def global_ntile(df: DataFrame, order: str | Column | Sequence[str | Column], n: int,
-                 tiebreak: Sequence[str], out_col: str, method: str = "distributed",
-                 single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
-    """Add ``out_col`` = ntile(n) over (order, tiebreak) ascending, globally.
-
-    ``method``: ``"distributed"`` (default, no task holds all rows),
-    ``"builtin"`` (Spark's window, one task), or ``"auto"`` (count the rows,
-    use the built-in only up to ``single_task_max_rows`` -- an opt-in for
-    small inputs where one task is faster).
-    The input is scanned more than once on the distributed path; pass a
-    materialized or cheap-to-recompute DataFrame.
+from pyspark.sql import types as T
+
+BUCKETS = 1 << 14
+
+
+@dataclass
+class _Cut:
+    """The row with 1-based number ``rank`` in a score's order: known key and id ranges, and rows below them."""
+
+    score: str
+    tile: int
+    rank: int
+    lo: int
+    hi: int
+    id_lo: int
+    id_hi: int
+    below: int = 0
+
+    @property
+    def group(self) -> tuple:
+        return (self.score, self.lo, self.hi, self.id_lo, self.id_hi)
+
+    @property
+    def settled(self) -> bool:
+        return self.lo == self.hi and self.id_lo == self.id_hi
+
+
+def tile_starts(total: int, n: int) -> list[int]:
+    """1-based row numbers at which tiles 2..n start (tiles beyond the last row do not)."""
+    q, r = divmod(total, n)
+    starts, at = [], 1
+    for tile in range(1, n):
+        at += q + (tile <= r)
+        if at <= total:
+            starts.append(at)
+    return starts
+
+
+def _sort_key(df: DataFrame, c: Column) -> Column:
+    """The order key as a long with the same order."""
+    kind = df.select(c).schema.fields[0].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("long")
+    if isinstance(kind, T.DecimalType):
+        return (c * F.lit(10**kind.scale)).cast("decimal(38,0)").cast("long")
+    if isinstance(kind, T.IntegralType):
+        return c.cast("long")
+    raise TypeError(f"ntile order key of type {kind.simpleString()}: integral, date or decimal expected")
+
+
+def _in_group(g: tuple, i: Column) -> Column:
+    score, lo, hi, id_lo, id_hi = g
+    key = F.col(score)
+    return key.between(lo, hi) if lo < hi else (key == lo) & i.between(id_lo, id_hi)
+
+
+def _narrow(keyed: DataFrame, cuts: list[_Cut]) -> None:
+    """One pass: every cut's range shrinks to the bucket that holds its rank."""
+    groups = sorted({c.group for c in cuts})
+    i = F.col("id")
+    marks = []
+    for k, g in enumerate(groups):
+        score, lo, hi, id_lo, id_hi = g
+        name, start, span = (score, lo, hi - lo) if lo < hi else ("id", id_lo, id_hi - id_lo)
+        bucket = F.expr(f"(`{name}` - CAST('{start}' AS BIGINT)) div CAST('{span // BUCKETS + 1}' AS BIGINT)")
+        marks.append(F.when(_in_group(g, i), F.struct(F.lit(k).alias("g"), bucket.alias("b"), F.col(score).alias("key"), i.alias("i"))))
+    hits = keyed.select(F.explode(F.filter(F.array(*marks), lambda m: m.isNotNull())).alias("m")).select("m.*")
+    counts = hits.groupBy("g", "b").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"),
+                                        F.min("i").alias("id_lo"), F.max("i").alias("id_hi"))
+    upto = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("upto", F.sum("n").over(upto))
+    wanted = None
+    for c in cuts:
+        here = (F.col("g") == groups.index(c.group)) & (F.col("upto") >= c.rank - c.below) & (F.col("upto") - F.col("n") < c.rank - c.below)
+        wanted = here if wanted is None else wanted | here
+    found = counts.filter(wanted).collect()  # one row per cut at most
+    for c in cuts:
+        k, need = groups.index(c.group), c.rank - c.below
+        row = next(r for r in found if r.g == k and r.upto >= need and r.upto - r.n < need)
+        c.below += row.upto - row.n
+        c.lo, c.hi, c.id_lo, c.id_hi = row.lo, row.hi, row.id_lo, row.id_hi
+
+
+def global_ntiles(df: DataFrame, orders: Mapping[str, Column | str], n: int, id_col: str) -> DataFrame:
+    """Add one column per entry of ``orders``: ntile(n) over (order key ascending, NULLs first, id ascending).
+
+    The input is read once per pass; pass a stored or cheap DataFrame.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
-    if method == "auto":
-        method = "builtin" if df.count() <= single_task_max_rows else "distributed"
-    if method == "builtin":
-        w = Window.orderBy(*_order_columns(order, tiebreak))
-        return df.withColumn(out_col, F.ntile(n).over(w))
-    if method != "distributed":
-        raise ValueError(f"unknown method {method!r}")
-    numbered = global_row_number(df, order, tiebreak, _RN)
-    return (numbered.withColumn(out_col, tile_from_row_number(F.col(_RN), F.col(_TOTAL), n))
-            .drop(_RN, _TOTAL))
+    names = list(orders)
+    keys = {f"_k{j}": _sort_key(df, F.col(o) if isinstance(o, str) else o) for j, o in enumerate(orders.values())}
+    narrow = df.select(F.col(id_col).cast("long").alias("id"), *[k.alias(c) for c, k in keys.items()])
+    stats = narrow.agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id_lo"), F.max("id").alias("id_hi"),
+                       *[F.min(c).alias(f"{c}_lo") for c in keys], *[F.max(c).alias(f"{c}_hi") for c in keys]).first()
+    first = {c: (stats[f"{c}_lo"] or 0) - 1 for c in keys}  # NULL keys as the least value
+    keyed = narrow.select("id", *[F.coalesce(F.col(c), F.lit(v).cast("long")).alias(c) for c, v in first.items()])
+    cuts = [_Cut(c, t, rank, first[c], stats[f"{c}_hi"] if stats[f"{c}_hi"] is not None else first[c], stats.id_lo or 0, stats.id_hi or 0)
+            for c in keys for t, rank in enumerate(tile_starts(stats.n, n), start=2)]
+    while open_cuts := [c for c in cuts if not c.settled]:
+        _narrow(keyed, open_cuts)
+    out = {}
+    for name, (c, key) in zip(names, keys.items(), strict=True):
+        value, i = F.coalesce(key, F.lit(first[c]).cast("long")), F.col(id_col).cast("long")
+        tile = F.lit(1)
+        for cut in (x for x in cuts if x.score == c):
+            tile = tile + F.when((value > cut.lo) | ((value == cut.lo) & (i >= cut.id_lo)), 1).otherwise(0)
+        out[name] = tile.cast("int")
+    return df.withColumns(out)
+
+
+def global_ntile(df: DataFrame, order: str | Column, n: int, tiebreak: Sequence[str], out_col: str) -> DataFrame:
+    """Add ``out_col`` = ntile(n) over (order, id) ascending; ``tiebreak`` names the id column."""
+    if len(tiebreak) != 1:
+        raise ValueError("one integral tie-break column expected")
+    return global_ntiles(df, {out_col: order}, n, tiebreak[0])

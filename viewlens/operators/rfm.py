@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from viewlens import schemas as S
 from viewlens.functions import labels as L
 from viewlens.functions.exact import cents, ratio_half_up
-from viewlens.operators.ntile import SINGLE_TASK_MAX_ROWS, global_ntile
+from viewlens.operators.ntile import global_ntiles
 
 
 def clean(tx: DataFrame) -> DataFrame:
@@ -47,8 +47,7 @@ def with_recency(totals: DataFrame, as_of: dt.date | None = None) -> DataFrame:
 
     The reference date defaults to the latest purchase overall plus one day,
     computed from the (much smaller) per-customer table -- the max of the
-    per-customer maxima -- as a scalar subquery: Spark evaluates it once and
-    inlines the value; nothing passes through Python.
+    per-customer maxima -- as a scalar subquery, evaluated once.
     """
     ref = F.lit(as_of) if as_of is not None else totals.agg(F.date_add(F.max("Last_Purchase"), 1)).scalar()
     return totals.withColumn("Recency", F.date_diff(ref, F.col("Last_Purchase")))
@@ -65,46 +64,23 @@ def base(tx_clean: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return with_aov(with_recency(totals, as_of)).select("CustomerID", "Recency", "Frequency", "Monetary", "AOV")
 
 
-def scores(base_df: DataFrame, n: int = S.RFM_TILES, method: str = "distributed",
-           single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
-    """R = n+1 - ntile over Recency; F, M = ntile over Frequency, Monetary.
+def scores_from_totals(totals: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES) -> DataFrame:
+    """R = n+1 - ntile over Recency; F, M = ntile over Frequency, Monetary; with Recency, AOV and the RFM code.
 
-    Ties are broken by CustomerID ascending. ``method`` as in global_ntile
-    (default distributed); with ``auto`` one count decides for all three.
+    Ties are broken by CustomerID ascending. Recency ascending is the order
+    of Last_Purchase descending (NULLs first), so the recency tile needs no
+    reference date. All three scores share the passes over ``totals``.
     """
-    if method == "auto":
-        method = "builtin" if base_df.count() <= single_task_max_rows else "distributed"
-    df = global_ntile(base_df, "Recency", n, ["CustomerID"], "_r_tile", method)
-    df = global_ntile(df, "Frequency", n, ["CustomerID"], "F_Score", method)
-    df = global_ntile(df, "Monetary", n, ["CustomerID"], "M_Score", method)
+    orders = {"_r_tile": -F.unix_date("Last_Purchase"), "F_Score": F.col("Frequency"), "M_Score": F.col("Monetary")}
+    df = with_aov(with_recency(global_ntiles(totals, orders, n, "CustomerID"), as_of))
     df = df.withColumn("R_Score", (F.lit(n + 1) - F.col("_r_tile")).cast("int")).drop("_r_tile")
-    df = df.withColumn("F_Score", F.col("F_Score").cast("int")).withColumn("M_Score", F.col("M_Score").cast("int"))
     return df.withColumn("RFM_Score", L.rfm_code(F.col("R_Score"), F.col("F_Score"), F.col("M_Score")))
 
 
-def scores_from_totals(totals: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES,
-                       method: str = "distributed",
-                       single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
-    """Scores straight from the per-customer totals, with Recency and AOV added.
-
-    Recency ascending is the same order as Last_Purchase descending (NULLs
-    first), so the recency tile needs no reference date. On the distributed
-    path the first pass's sorted checkpoint is the single lineage cut: the
-    reference-date subquery and the two other passes read it, and the
-    totals are never written separately.
-    """
-    if method == "auto":
-        method = "builtin" if totals.count() <= single_task_max_rows else "distributed"
-    df = global_ntile(totals, F.col("Last_Purchase").desc_nulls_first(), n, ["CustomerID"], "_r_tile", method)
-    df = with_aov(with_recency(df, as_of))
-    df = global_ntile(df, "Frequency", n, ["CustomerID"], "F_Score", method)
-    df = global_ntile(df, "Monetary", n, ["CustomerID"], "M_Score", method)
-    df = df.withColumn("R_Score", (F.lit(n + 1) - F.col("_r_tile")).cast("int")).drop("_r_tile")
-    df = df.withColumn("F_Score", F.col("F_Score").cast("int")).withColumn("M_Score", F.col("M_Score").cast("int"))
-    return df.withColumn("RFM_Score", L.rfm_code(F.col("R_Score"), F.col("F_Score"), F.col("M_Score")))
-
-
-def segments(scored: DataFrame) -> DataFrame:
+def segments(scored: DataFrame, n: int = S.RFM_TILES) -> DataFrame:
+    """FM score and segment; the segment rules are defined on five tiles only."""
+    if n != S.RFM_TILES:
+        raise ValueError(f"segments are defined for {S.RFM_TILES} tiles, not {n}")
     fm = L.fm_score(F.col("F_Score"), F.col("M_Score"))
     return (scored.withColumn("FM_Score", fm)
             .withColumn("Segment", L.segment(F.col("R_Score"), F.col("FM_Score"))))
@@ -117,4 +93,5 @@ def output(seg: DataFrame) -> DataFrame:
 
 
 def segment_counts(result: DataFrame) -> DataFrame:
-    return result.groupBy("Segment").agg(F.count(F.lit(1)).alias("count"))
+    """Customers per segment, most first (ties by name)."""
+    return result.groupBy("Segment").agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "Segment")

@@ -43,12 +43,14 @@ def dashboard_marts(rfm: DataFrame | None = None, content: DataFrame | None = No
             "top_taste20": M.top_taste(c, 20), "most_watch_stats": M.most_watch_stats(c),
         })
     if search is not None:
-        s = M.search_filtered(M.require_columns(normalize(search), S.SEARCH_CHANGE_COLUMNS,
-                                                "customer_search_stats"), genres_t6, genres_t7, change)
+        needed = [c for c in S.SEARCH_CHANGE_COLUMNS if c != "Changing"]  # the other marts do without it
+        s = M.search_filtered(M.require_columns(normalize(search), needed, "customer_search_stats"),
+                              genres_t6, genres_t7, change)
+        if "Changing" in s.columns:
+            out.update({"change_status": M.change_status(s), "top_changing": M.top_changing(s, 15)})
         out.update({
             "search_kpis": M.search_kpis(s), "genre_t6": M.genre_counts(s, "Genre_T6"),
             "genre_t7": M.genre_counts(s, "Genre_T7"), "genre_compare": M.genre_compare(s),
-            "change_status": M.change_status(s), "top_changing": M.top_changing(s, 15),
             "top_keywords_t6": M.top_keywords(s, "Most_Searched_T6", 15),
             "top_keywords_t7": M.top_keywords(s, "Most_Searched_T7", 15),
             "genre_matrix": M.genre_matrix(s), "genre_matrix_wide": M.genre_matrix_wide(s),

@@ -1,11 +1,14 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Every query reads the benchmark tables (through the adapters in
-``viewlens.sources.testdata``) and runs over all of their rows.
+``viewlens.sources.testdata``) and runs over all of their rows; only
+``content_profile_range``, ``content_range_scan`` and ``search_period_scan``
+read a part, since pruning is what they show.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +20,11 @@ from viewlens.operators import content as C
 from viewlens.operators import marts as M
 from viewlens.operators import rfm as R
 from viewlens.operators import search as Q
-from viewlens.operators.ntile import global_ntile
+from viewlens.operators.ntile import global_ntiles
 from viewlens.plans import content as content_plan
 from viewlens.plans import rfm as rfm_plan
 from viewlens.plans import search as search_plan
-from viewlens.session import materialize, scratch_path
+from viewlens.session import scratch_path
 from viewlens.sources import files
 from viewlens.sources import testdata as TD
 from viewlens.sources.sinks import write_content_log, write_csv, write_parquet
@@ -63,7 +66,7 @@ def rfm_base(spark, sf):
 
 @query("rfm_scores")
 def rfm_scores(spark, sf):
-    s = rfm_plan.rfm_scored(TD.transactions(spark, sf))
+    s = rfm_plan.rfm_scores(TD.transactions(spark, sf))
     return s.select("CustomerID", "Recency", "Frequency", F.col("Monetary").cast("double").alias("Monetary"), "AOV",
                     "R_Score", "F_Score", "M_Score", "RFM_Score")
 
@@ -80,10 +83,9 @@ def rfm_segment_counts(spark, sf):
 
 @query("global_ntile")
 def global_ntile_query(spark, sf):
-    """The distributed path forced on, over a near-unique and a heavily tied key."""
-    totals = materialize(R.customer_totals(R.clean(TD.transactions(spark, sf))))
-    t = global_ntile(totals, "Monetary", 7, ["CustomerID"], "tile", method="distributed")
-    t = global_ntile(t, "Frequency", 7, ["CustomerID"], "tile_frequency", method="distributed")
+    """Seven tiles over a near-unique and a heavily tied key, in shared passes."""
+    totals = rfm_plan.customer_totals(TD.transactions(spark, sf))
+    t = global_ntiles(totals, {"tile": "Monetary", "tile_frequency": "Frequency"}, 7, "CustomerID")
     return t.select("CustomerID", F.col("Monetary").cast("double").alias("Monetary"), "tile", "tile_frequency")
 
 
@@ -160,11 +162,24 @@ def content_distinct_devices(spark, sf):
     return C.distinct_devices(C.valid_views(_flat(spark, sf)))
 
 
+# Files a partitioned write makes per day or period.
+FILES_PER_DAY = 2
+
+
+@query("content_daily_files")
+def content_daily_files(spark, sf):
+    """The whole log as <yyyymmdd>.json day files, all days of a longer range read back."""
+    base = scratch_path(spark, "content-days")
+    write_content_log(_flat(spark, sf), base, layout="daily_files", files_per_day=FILES_PER_DAY)
+    got = files.content_range_scan(spark, base, dt.date(2023, 12, 1), dt.date(2024, 12, 31))
+    return got.select("Contract", "Mac", "AppName", "TotalDuration", iso("Process_Date"))
+
+
 @query("content_range_scan")
 def content_range_scan(spark, sf):
     """Write the whole log as day folders of JSON, read back a day range."""
     base = scratch_path(spark, "content-log")
-    write_content_log(_flat(spark, sf), base, layout="partitioned")
+    write_content_log(_flat(spark, sf), base, layout="partitioned", files_per_day=FILES_PER_DAY)
     start, end = TD.CONTENT_DAYS
     got = files.content_range_scan(spark, base, start, end, layout="partitioned")
     return got.select("Contract", "Mac", "AppName", "TotalDuration", iso("Process_Date"))
@@ -247,7 +262,7 @@ def search_normalize(spark, sf):
 def search_period_scan(spark, sf):
     """Write the log partitioned by period; read one period back (pruned)."""
     base = scratch_path(spark, "search-log")
-    write_parquet(TD.search_log_tagged(spark, sf), base, partition_by=["period"])
+    write_parquet(TD.search_log_tagged(spark, sf), base, partition_by=["period"], files_per_partition=8)
     return files.read_search_log(spark, base, period=1)
 
 
@@ -255,8 +270,10 @@ def search_period_scan(spark, sf):
 # Fixed filter selections of the *_filtered keys.
 RFM_FILTER_SEGMENTS = ["Champions", "Loyal Customers", "At Risk", "Hibernating"]
 CONTENT_FILTER_MOST_WATCH = ["Truyền Hình", "Phim Truyện", "Thể Thao"]
-CONTENT_FILTER_ACTIVE = ["High"]
-SEARCH_FILTER_GENRES_T6 = ["Action", "Drama", "Romance", "Sports"]
+CONTENT_FILTER_ACTIVE = ["Low"]
+SEARCH_FILTER_GENRES_T6 = ["Action", "Drama", "Romance", "Sports", "Comedy"]
+# Active days above which a contract is High in the marts: both labels occur over the log's 30 days.
+MART_ACTIVE_DAYS = 26
 SEARCH_FILTER_GENRES_T7 = ["Action", "Drama", "Romance", "Music", "Other"]
 
 
@@ -265,7 +282,7 @@ def _rfm(spark, sf):
 
 
 def _content(spark, sf):
-    return content_plan.content_table(_flat(spark, sf))
+    return content_plan.content_table(_flat(spark, sf), threshold=MART_ACTIVE_DAYS)
 
 
 def _search(spark, sf):
@@ -331,37 +348,49 @@ def mart_filter_options(spark, sf):
 
 @query("keyword_classify")
 def keyword_classify(spark, sf):
-    return K.classify_rules(TD.search_log_tagged(spark, sf))
+    return K.classify_rules(TD.search_log_tagged(spark, sf), names=TD.known_names(spark, sf))
 
 
 @query("keyword_classify_rules")
 def keyword_classify_rules(spark, sf):
-    return K.rule_hints(TD.search_log_tagged(spark, sf))
+    return K.rule_hints(TD.search_log_tagged(spark, sf), TD.known_names(spark, sf))
 
 
 @query("keyword_classify_batched")
 def keyword_classify_batched(spark, sf):
-    return K.classify_batched(TD.search_log_tagged(spark, sf), K.rules_labeller(), batch_size=100)
+    """A caller's function over batches: labels by keyword length, one of them outside the label set."""
+    def by_length(words):
+        return {w: ("Music", "Comedy", "Animation", "Not a genre")[len(w) % 4] for w in words}
+    return K.classify_batched(TD.search_log_tagged(spark, sf), by_length, batch_size=100)
 
 
 @query("keyword_classify_override")
 def keyword_classify_override(spark, sf):
     """The first period's labels as an override table over the rules."""
-    return K.classify_rules(TD.search_log_tagged(spark, sf), overrides=TD.keyword_mapping(spark, sf, 1))
+    return K.classify_rules(TD.search_log_tagged(spark, sf), overrides=TD.keyword_mapping(spark, sf, 1),
+                            names=TD.known_names(spark, sf))
 
 
 @query("keyword_classify_incremental")
 def keyword_classify_incremental(spark, sf):
-    """First-period labels as the known table; only the other keywords go to the labeller."""
+    """First-period labels as the known table; only the other keywords go through the rules."""
     return K.classify_incremental(TD.search_log_tagged(spark, sf), TD.keyword_mapping(spark, sf, 1),
-                                  K.rules_labeller(), batch_size=100)
+                                  names=TD.known_names(spark, sf))
 
 
 @query("label_response_parse")
 def label_response_parse(spark, sf):
-    """Answers built from the first period's labels, parsed back per keyword."""
-    log = TD.search_log_tagged(spark, sf)
-    answers = K.answers_from_labels(log, TD.keyword_mapping(spark, sf, 1))
+    """An answer per keyword with its first-period label, well formed or broken in one of five ways, parsed back."""
+    kw = K.distinct_keywords(TD.search_log_tagged(spark, sf)).join(TD.keyword_mapping(spark, sf, 1), "keyword", "left")
+    q, entry = F.lit('"'), lambda label: F.concat(F.lit('"'), F.col("keyword"), F.lit('": "'), label, F.lit('"'))
+    label = F.coalesce("Genre", F.lit("no such label"))
+    good = F.concat(F.lit("{"), entry(label), F.lit("}"))
+    forms = [good, F.concat(F.lit("Result: {"), entry(F.lit("Horror")), F.lit(", "), entry(label), F.lit("} -- done")),
+             F.replace(good, q, F.lit("'")), F.concat(good, F.lit(" "), good), F.lit("no idea"),
+             F.concat(F.lit('{"another keyword": "'), label, F.lit('"}')), F.concat(F.lit("{"), entry(label), F.lit(", }")),
+             F.concat(F.lit("Sure! "), good, F.lit(" Anything else?"))]
+    answers = kw.select(F.element_at(F.array(*forms), F.length("keyword") % len(forms) + 1).alias("response"),
+                        F.array("keyword").alias("keywords"))
     return K.parse_responses(answers)
 
 
@@ -371,9 +400,10 @@ def label_response_parse(spark, sf):
 def content_daily_stream(spark, sf):
     """Day folders of the whole log ingested by a file stream into daily profiles."""
     src = scratch_path(spark, "stream-src")
-    write_content_log(_flat(spark, sf), src, layout="partitioned")
+    write_content_log(_flat(spark, sf), src, layout="partitioned", files_per_day=FILES_PER_DAY)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    q = start_daily_profiles(spark, src, sink, ckpt, layout="partitioned", available_now=True)
+    q = start_daily_profiles(spark, src, sink, ckpt, layout="partitioned", available_now=True,
+                             files_per_day=FILES_PER_DAY)
     q.awaitTermination()
     daily = read_daily_profiles(spark, sink)
     return daily.select("Contract", iso("Process_Date"), "Total_Devices", *S.duration_columns(), "MostWatch", "Taste")
@@ -383,9 +413,9 @@ def content_daily_stream(spark, sf):
 
 @query("rfm_from_csv")
 def rfm_from_csv(spark, sf):
-    """Transactions written as header CSV, read back with the explicit schema."""
+    """Transactions written as header CSV in another column order with one column more, read back by header name."""
     path = scratch_path(spark, "transactions-csv")
-    write_csv(TD.transactions(spark, sf), path)
+    write_csv(TD.transactions(spark, sf).select("CustomerID", "GMV", F.lit("web").alias("Channel"), "Purchase_Date", "Transaction_ID"), path)
     return rfm_plan.rfm_table(files.read_transactions(spark, path))
 
 
@@ -393,22 +423,19 @@ def rfm_from_csv(spark, sf):
 def search_from_files(spark, sf):
     """Month logs as Parquet day folders read by month glob; labels as per-user CSV files."""
     base = scratch_path(spark, "search-files")
-    log = TD.search_log_tagged(spark, sf)
-    # one folder per (month, day): <base>/log/<yyyymm><dd>/; day = user hash, so folders are data-sized
+    # one folder per (month, day): <base>/log/day=<yyyymm><dd>/; day = user hash, so folders are data-sized
     days = F.format_string("%02d", F.pmod(F.xxhash64("user_id"), F.lit(28)) + 1)
     month = F.when(F.col("period") == 1, F.lit("202206")).otherwise(F.lit("202207"))
-    write_parquet(log.withColumn("day", F.concat(month, days)), f"{base}/log", partition_by=["day"])
-    mapping = TD.keyword_mapping_tagged(spark, sf)
-    for p in (1, 2):
-        labelled = (Q.top_keyword(log).filter(F.col("period") == p)
-                    .join(mapping.filter(F.col("period") == p).select("keyword", "Genre"), "keyword")
-                    .select("user_id", "keyword", "search_count", "Genre"))
-        write_csv(labelled, f"{base}/map{p}")
-    first = files.read_search_log(spark, f"{base}/log/day=202206*")
-    second = files.read_search_log(spark, f"{base}/log/day=202207*")
-    labels = (files.read_mapping(spark, f"{base}/map1").withColumn("period", F.lit(1))
-              .unionByName(files.read_mapping(spark, f"{base}/map2").withColumn("period", F.lit(2))))
-    return search_plan.search_change(search_plan.tagged_log(first, second), labels)
+    log = TD.search_log_tagged(spark, sf).select("user_id", "keyword", F.concat(month, days).alias("day"))
+    write_parquet(log, f"{base}/log", partition_by=["day"], files_per_partition=1)
+    tagged = search_plan.tagged_log(files.read_search_log(spark, f"{base}/log/day=202206*"),
+                                    files.read_search_log(spark, f"{base}/log/day=202207*"))
+    # the labelled top keywords of both months from one pass over the written log
+    labelled = (Q.top_keyword(tagged).join(TD.keyword_mapping_tagged(spark, sf), ["period", "keyword"])
+                .select("period", "user_id", "keyword", "search_count", "Genre"))
+    labelled.write.partitionBy("period").option("header", True).csv(f"{base}/map")
+    labels = [files.read_mapping(spark, f"{base}/map/period={p}").withColumn("period", F.lit(p)) for p in (1, 2)]
+    return search_plan.search_change(tagged, labels[0].unionByName(labels[1]))
 
 
 @query("content_from_json")
@@ -416,7 +443,7 @@ def content_from_json(spark, sf):
     """The whole log as JSON day folders nested under _source, profiled from the files."""
     base = scratch_path(spark, "content-json")
     flat = _flat(spark, sf)
-    write_content_log(flat, base, layout="partitioned")
+    write_content_log(flat, base, layout="partitioned", files_per_day=FILES_PER_DAY)
     bounds = flat.agg(F.min("Process_Date").alias("lo"), F.max("Process_Date").alias("hi")).first()
     if bounds.lo is None:  # no events at all: the empty profile table
         return content_plan.content_table(spark.createDataFrame([], S.CONTENT_FLAT))
@@ -428,7 +455,8 @@ def content_from_json(spark, sf):
 def content_profile_from_stream(spark, sf):
     """Day folders ingested by the file stream, then the period profile from the daily table."""
     src = scratch_path(spark, "stream-src")
-    write_content_log(_flat(spark, sf), src, layout="partitioned")
+    write_content_log(_flat(spark, sf), src, layout="partitioned", files_per_day=FILES_PER_DAY)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    start_daily_profiles(spark, src, sink, ckpt, layout="partitioned", available_now=True).awaitTermination()
+    start_daily_profiles(spark, src, sink, ckpt, layout="partitioned", available_now=True,
+                         files_per_day=FILES_PER_DAY).awaitTermination()
     return profile_from_daily(spark, sink)

@@ -8,42 +8,30 @@ from pyspark.sql import DataFrame
 
 from viewlens import schemas as S
 from viewlens.operators import rfm as R
-from viewlens.operators.ntile import SINGLE_TASK_MAX_ROWS
-from viewlens.session import materialize
-
-
-def rfm_base(tx: DataFrame, as_of: dt.date | None = None, persist: bool = True) -> DataFrame:
-    """Cleaned transactions -> per-customer base (no scores).
-
-    With ``persist`` the per-customer totals are written once to the shared
-    checkpoint folder, so the reference-date subquery and any further use of
-    the base read them there instead of re-aggregating the transactions.
-    (``rfm_scored`` cuts lineage at its first score pass instead.)
-    """
-    totals = R.customer_totals(R.clean(tx))
-    if persist:
-        totals = materialize(totals)
-    return (R.with_aov(R.with_recency(totals, as_of))
+from viewlens.session import stored
+
+
+def customer_totals(tx: DataFrame) -> DataFrame:
+    """Cleaned per-customer totals, stored once as columns: every score pass reads only the columns it needs."""
+    return stored(R.customer_totals(R.clean(tx)), "customer-totals")
+
+
+def rfm_base(tx: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    """Cleaned transactions -> per-customer base (no scores)."""
+    return (R.with_aov(R.with_recency(customer_totals(tx), as_of))
             .select("CustomerID", "Recency", "Frequency", "Monetary", "AOV"))
 
 
-def rfm_scored(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES, method: str = "distributed",
-               single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
-    """Base columns plus R/F/M scores, RFM code, FM score and segment.
+def rfm_scores(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES) -> DataFrame:
+    """Base columns plus R/F/M scores and the RFM code, for any number of tiles."""
+    return R.scores_from_totals(customer_totals(tx), as_of, n)
+
 
-    Distributed (default): the first score pass sorts and checkpoints the
-    totals, which also cuts lineage for everything after it -- the customer
-    table is written once per score and never separately. Built-in / auto:
-    the totals are checkpointed first, since one-task windows and the
-    reference-date subquery would otherwise each re-aggregate transactions.
-    """
-    totals = R.customer_totals(R.clean(tx))
-    if method != "distributed":
-        totals = materialize(totals)
-    return R.segments(R.scores_from_totals(totals, as_of, n, method, single_task_max_rows))
+def rfm_scored(tx: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    """Scores with FM score and segment (five tiles)."""
+    return R.segments(rfm_scores(tx, as_of))
 
 
-def rfm_table(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES, method: str = "distributed",
-              single_task_max_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+def rfm_table(tx: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """CustomerID, Recency, Frequency, Monetary, AOV, RFM_Score, Segment."""
-    return R.output(rfm_scored(tx, as_of, n, method, single_task_max_rows))
+    return R.output(rfm_scored(tx, as_of))

@@ -60,6 +60,9 @@ GENRE_HINTS: list[tuple[str, list[str]]] = [
     ("Reality Show", ["running", "master key", "reality"]),
     ("Romance", ["sex", "romantic", "love"]),
     ("Drama", ["potter", "hogwarts"]),
+    ("Drama", ["phim việt"]),
+    ("C Drama", ["phim trung"]),
+    ("K Drama", ["phim hàn"]),
 ]
 
 # Worked examples of keyword -> genre; the default override table.
@@ -75,18 +78,18 @@ GENRE_EXAMPLES: dict[str, str] = {
 }
 
 # RFM: number of tiles, and segment rules in order; first match wins, else
-# "Lost". Each rule: (segment, R condition, FM condition) as (lo, hi) bounds.
+# "Lost". Each rule: (segment, R condition, FM condition) as (lo, hi) bounds, None is open.
 RFM_TILES = 5
-RFM_SEGMENT_RULES: list[tuple[str, tuple[int, int], tuple[int, int]]] = [
-    ("Champions", (4, 5), (4, 5)),
-    ("Loyal Customers", (3, 5), (4, 5)),
-    ("Potential Loyalist", (4, 5), (2, 3)),
-    ("Recent Customers", (4, 5), (1, 1)),
-    ("Promising", (3, 3), (1, 1)),
+RFM_SEGMENT_RULES: list[tuple[str, tuple[int | None, int | None], tuple[int | None, int | None]]] = [
+    ("Champions", (4, None), (4, None)),
+    ("Loyal Customers", (3, None), (4, None)),
+    ("Potential Loyalist", (4, None), (2, 3)),
+    ("Recent Customers", (4, None), (None, 1)),
+    ("Promising", (3, 3), (None, 1)),
     ("Need Attention", (3, 3), (2, 3)),
     ("About to Sleep", (2, 2), (1, 2)),
-    ("At Risk", (2, 2), (3, 5)),
-    ("Can't Lose Them", (1, 1), (4, 5)),
+    ("At Risk", (2, 2), (3, None)),
+    ("Can't Lose Them", (1, 1), (4, None)),
     ("Hibernating", (1, 1), (2, 3)),
 ]
 RFM_DEFAULT_SEGMENT = "Lost"

@@ -2,18 +2,17 @@
 
 Viewing logs are JSON lines, one folder or file per day, either
 ``<base>/<yyyyMMdd>.json`` (the reference layout) or ``<base>/day=<yyyyMMdd>/``
-(what ``sinks.write_content_log`` produces). A day range becomes a single
-read over one glob that lists only the wanted days, and each row's
-``Process_Date`` comes from its file path -- one scan, not one union branch
-per day.
+(what ``sinks.write_content_log`` produces). The base folder is listed once,
+the wanted days that exist become one read, and each row's ``Process_Date``
+comes from its file path -- one scan, not one union branch per day.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlens import schemas as S
@@ -24,19 +23,23 @@ from viewlens.operators.content import flatten
 _DAY_IN_PATH = r"^.*/(?:day=)?(\d{8})(?:\.json)?(?:/|$)"
 
 
-def _days(start: dt.date, end: dt.date) -> list[str]:
-    n = (end - start).days
-    return [(start + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range(n + 1)]
+def _children(spark: SparkSession, base: str) -> list[str]:
+    """Names in a folder, from one listing; raises when the folder does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        raise FileNotFoundError(f"no such folder: {base}")
+    return [f.getPath().getName() for f in fs.listStatus(path)]
 
 
-def day_glob(base: str, start: dt.date, end: dt.date, layout: str = "daily_files") -> str:
-    days = ",".join(_days(start, end))
+def day_paths(spark: SparkSession, base: str, days: Iterable[dt.date], layout: str = "daily_files") -> list[str]:
+    """Paths of those of ``days`` that exist under ``base`` (one listing, whatever the number of days)."""
+    shapes = {"daily_files": "{}.json", "partitioned": "day={}"}
+    if layout not in shapes:
+        raise ValueError("layout must be 'daily_files' or 'partitioned'")
+    wanted = {shapes[layout].format(d.strftime("%Y%m%d")) for d in days}
     base = base.rstrip("/")
-    if layout == "daily_files":
-        return f"{base}/{{{days}}}.json"
-    if layout == "partitioned":
-        return f"{base}/day={{{days}}}"
-    raise ValueError("layout must be 'daily_files' or 'partitioned'")
+    return [f"{base}/{name}" for name in sorted(wanted.intersection(_children(spark, base)))]
 
 
 def read_content_json(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -44,26 +47,28 @@ def read_content_json(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.schema(S.CONTENT_LOG_JSON).json(paths)
 
 
-def _empty_flat(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], S.CONTENT_FLAT)
+def content_days(spark: SparkSession, base: str, days: Iterable[dt.date], layout: str = "daily_files") -> DataFrame:
+    """Flat viewing log of the given days; missing days are skipped.
+
+    A missing folder, or none of the days in it, raises: a mistyped path must
+    not turn into an empty result that replaces a good one.
+    """
+    days = list(days)
+    paths = day_paths(spark, base, days, layout)
+    if not paths:
+        span = f"{min(days)} to {max(days)}" if days else "no day"
+        raise FileNotFoundError(f"no day file under {base} ({layout}): {span}")
+    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), _DAY_IN_PATH, 1), "yyyyMMdd")
+    raw = read_content_json(spark, paths).withColumn("Process_Date", day)
+    return flatten(raw).select(*[f.name for f in S.CONTENT_FLAT.fields])
 
 
 def content_range_scan(spark: SparkSession, base: str, start: dt.date, end: dt.date,
                        layout: str = "daily_files") -> DataFrame:
-    """Flat viewing log of the inclusive day range; missing days are skipped.
-
-    Returns an empty frame with the flat schema when no day exists.
-    """
+    """Flat viewing log of the inclusive day range; missing days are skipped (see ``content_days``)."""
     if end < start:
-        return _empty_flat(spark)
-    try:
-        raw = read_content_json(spark, day_glob(base, start, end, layout))
-    except AnalysisException as e:  # no file matches the glob
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return _empty_flat(spark)
-        raise
-    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), _DAY_IN_PATH, 1), "yyyyMMdd")
-    return flatten(raw.withColumn("Process_Date", day)).select(*[f.name for f in S.CONTENT_FLAT.fields])
+        raise ValueError(f"day range ends ({end}) before it starts ({start})")
+    return content_days(spark, base, (start + dt.timedelta(days=i) for i in range((end - start).days + 1)), layout)
 
 
 def read_search_log(spark: SparkSession, path: str, period: int | None = None,
@@ -79,15 +84,37 @@ def read_search_log(spark: SparkSession, path: str, period: int | None = None,
     return df.select(F.col("user_id").cast("string"), F.col("keyword").cast("string"))
 
 
-def read_csv(spark: SparkSession, path: str, schema, date_format: str = "yyyy-MM-dd",
-             header: bool = True) -> DataFrame:
-    """Header CSV with an explicit schema (a UTF-8 byte-order mark is accepted)."""
-    return (spark.read.schema(schema).option("header", header).option("dateFormat", date_format)
-            .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(path))
+def _header_names(df: DataFrame) -> dict[str, str]:
+    """Lower-cased header name (byte-order mark removed) -> column."""
+    return {c.lower().lstrip("\ufeff").strip(): c for c in df.columns}
+
+
+def _parsed(raw: Column, value: Column, what: str) -> Column:
+    """``value``, or an error that names the text when a non-empty cell did not parse."""
+    bad = raw.isNotNull() & (F.trim(raw) != "") & value.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"{what} does not parse: "), raw))).otherwise(value)
 
 
 def read_transactions(spark: SparkSession, path: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
-    return read_csv(spark, path, S.TRANSACTIONS, date_format)
+    """Transactions from header CSV, columns by header name (case-insensitive), other columns ignored.
+
+    Empty cells are NULL; a date, amount or customer id that does not parse
+    raises when the row is read. Missing columns raise at once.
+    """
+    df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    names = _header_names(df)
+    missing = [f.name for f in S.TRANSACTIONS.fields if f.name.lower() not in names]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}; present: {df.columns}")
+    raw = {f.name: F.col(f"`{names[f.name.lower()]}`") for f in S.TRANSACTIONS.fields}
+    text = {k: F.trim(c) for k, c in raw.items()}
+    return df.select(
+        raw["Transaction_ID"].alias("Transaction_ID"),
+        _parsed(raw["CustomerID"], text["CustomerID"].try_cast("decimal(38,6)").try_cast("long"), "CustomerID").alias("CustomerID"),
+        _parsed(raw["Purchase_Date"], F.try_to_timestamp(text["Purchase_Date"], F.lit(date_format)).cast("date"),
+                f"Purchase_Date ({date_format})").alias("Purchase_Date"),
+        _parsed(raw["GMV"], text["GMV"].try_cast("decimal(18,2)"), "GMV").alias("GMV"),
+    )
 
 
 def read_mapping(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -101,7 +128,7 @@ def read_mapping(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
         df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
     else:
         df = spark.read.format(fmt).load(path)
-    names = {c.lower().lstrip("\ufeff"): c for c in df.columns}
+    names = _header_names(df)
     missing = [c for c in ("keyword", "genre") if c not in names]
     if missing:
         raise ValueError(f"{path}: mapping needs columns keyword and Genre, has {df.columns}")
@@ -112,7 +139,7 @@ def read_mapping(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 def read_most_search(spark: SparkSession, path: str) -> DataFrame:
     """Top-keyword CSV -> (user_id, keyword, search_count), columns by header name."""
     df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
-    names = {c.lower().lstrip("\ufeff"): c for c in df.columns}
+    names = _header_names(df)
     return df.select(*[F.col(f"`{names[f.name.lower()]}`").cast(f.dataType).alias(f.name)
                        for f in S.MOST_SEARCH.fields if f.name.lower() in names])
 

@@ -8,6 +8,7 @@ Credentials are arguments, never literals.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,19 +49,34 @@ def write_content_log(flat: DataFrame, base: str, layout: str = "partitioned", m
 
     ``partitioned``: one distributed write into ``<base>/day=<yyyyMMdd>/``.
     ``daily_files``: ``<base>/<yyyyMMdd>.json/`` folders (the reference's
-    naming), one write per day present -- meant for fixtures.
+    naming): the same write into a folder beside, whose day folders are then
+    renamed (in append mode, their files moved).
     """
     nested = flat.select(F.struct("Contract", "Mac", "AppName", "TotalDuration").alias("_source"),
                          F.date_format("Process_Date", "yyyyMMdd").alias("day"))
+    if layout not in ("partitioned", "daily_files"):
+        raise ValueError("layout must be 'partitioned' or 'daily_files'")
+    nested = cluster_for_write(nested, ["day"], files_per_day)
     if layout == "partitioned":
-        nested = cluster_for_write(nested, ["day"], files_per_day)
         nested.write.mode(mode).partitionBy("day").option("partitionOverwriteMode", "dynamic").json(base)
         return
-    if layout != "daily_files":
-        raise ValueError("layout must be 'partitioned' or 'daily_files'")
-    days = [r.day for r in nested.select("day").distinct().collect()]  # one row per day
-    for d in sorted(days):
-        nested.filter(F.col("day") == d).drop("day").write.mode(mode).json(f"{base.rstrip('/')}/{d}.json")
+    spark, base = flat.sparkSession, base.rstrip("/")
+    beside = f"{base}/_writing-{uuid.uuid4().hex}"
+    nested.write.partitionBy("day").json(beside)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in fs.listStatus(path(beside)):  # one folder per day
+        name = day.getPath().getName()
+        if not name.startswith("day="):
+            continue
+        target = path(f"{base}/{name[len('day='):]}.json")
+        if mode == "append" and fs.exists(target):
+            for f in fs.listStatus(day.getPath()):
+                fs.rename(f.getPath(), target)
+            continue
+        fs.delete(target, True)
+        fs.rename(day.getPath(), target)
+    fs.delete(path(beside), True)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", user: str | None = None,

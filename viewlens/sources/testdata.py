@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 # Fixed values of the adapters (shared with the SQL oracle).
 EVENT_APP_NAMES = {"view": "KPLUS", "click": "VOD", "signup": "SPORT", "error": "UNKNOWN_APP"}
 PURCHASE_APP_EVEN, PURCHASE_APP_ODD = "RELAX", "CHILD"
-SEARCH_PERIOD_YEARS = {1: 1996, 2: 1997}
+# All orders before this date are the first period, all others the second.
+SEARCH_SECOND_PERIOD_START = dt.date(1998, 5, 1)
 PART_GENRES = {
     "bolt": "Action", "anvil": "Drama", "ring": "Romance", "gear": "Sports",
     "widget": "TV Channel", "rod": "News", "plate": "Music",
@@ -27,6 +28,11 @@ PART_GENRE_ELSE = "Comedy"
 # starting with "new" (so "old ..." names are labelled in month 2 only).
 MAPPING_EXCLUDED_FIRST_WORDS = {1: ["old"], 2: ["new"]}
 MAPPING_OTHER_FIRST_WORDS = {1: [], 2: ["red"]}
+# Some parts are searched by other keywords than their name: worked examples as they are, names with a hint word,
+# names of nations and regions; by part key modulo KEYWORD_CYCLE, the rest by part name.
+KEYWORD_CYCLE = 24
+KEYWORD_EXAMPLES = ["thuyếtminh", "bigfoot", "capdoi", "ARGEN", "nhật ký", "PENT", "running", "VTV3"]
+KEYWORD_PREFIXES = ["HTV7 ", "Reality ", "LOVE ", "Harry Potter ", "Phim Việt ", "phim trung ", "PHIM HÀN "]
 CONTENT_DAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 6))
 
 
@@ -84,29 +90,30 @@ def content_log_nested(spark: SparkSession, sf_dir: str, start: dt.date | None =
     )
 
 
-def search_log(spark: SparkSession, sf_dir: str, period: int) -> DataFrame:
-    """lineitem ⋈ orders ⋈ part -> (user_id, keyword) of one period.
+def _part_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part -> (p_partkey, keyword)."""
+    k, turn = F.col("p_partkey") % KEYWORD_CYCLE, F.floor(F.col("p_partkey") / KEYWORD_CYCLE).cast("long")
+    keyword = F.when(k == -1, F.lit(""))
+    for i, word in enumerate(KEYWORD_EXAMPLES):
+        keyword = keyword.when(k == i, word)
+    for i, prefix in enumerate(KEYWORD_PREFIXES, start=len(KEYWORD_EXAMPLES)):
+        keyword = keyword.when(k == i, F.concat(F.lit(prefix), F.col("p_name")))
+    keyword = keyword.when(k == 15, F.col("n_name")).when(k == 16, F.col("r_name")).otherwise(F.col("p_name"))
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long"), "n_name")
+    regions = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long"), "r_name")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name").withColumns({"_n": turn % 25, "_r": turn % 5})
+    return (p.join(nations, F.col("_n") == F.col("n_nationkey"), "left").join(regions, F.col("_r") == F.col("r_regionkey"), "left")
+            .select("p_partkey", keyword.alias("keyword")))
 
-    Each line item is one search of its part's name by the order's customer;
-    the period is the order year. Join strategies are left to the optimizer
-    (AQE turns a join into a broadcast only when the runtime size is under
-    the broadcast threshold).
-    """
-    year = SEARCH_PERIOD_YEARS[period]
-    o = (table(spark, sf_dir, "orders")
-         .filter((F.col("o_orderdate") >= F.lit(dt.date(year, 1, 1)).cast("timestamp_ntz"))
-                 & (F.col("o_orderdate") < F.lit(dt.date(year + 1, 1, 1)).cast("timestamp_ntz")))
-         .select("o_orderkey", "o_custkey"))
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(p, li.l_partkey == p.p_partkey)
-            .select(F.col("o_custkey").cast("string").alias("user_id"),
-                    F.col("p_name").alias("keyword")))
+
+def known_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, Genre): countries are Sports, regions News."""
+    return (table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.lit("Sports").alias("Genre"))
+            .unionByName(table(spark, sf_dir, "region").select(F.col("r_name").alias("name"), F.lit("News").alias("Genre"))))
 
 
 def _genre_of_name(name: F.Column) -> F.Column:
-    second = F.split(name, " ").getItem(1)
+    second = F.get(F.split(name, " "), F.lit(1))
     expr = None
     for word, genre in PART_GENRES.items():
         expr = F.when(second == word, genre) if expr is None else expr.when(second == word, genre)
@@ -114,38 +121,30 @@ def _genre_of_name(name: F.Column) -> F.Column:
 
 
 def keyword_mapping(spark: SparkSession, sf_dir: str, period: int) -> DataFrame:
-    """part -> (keyword, Genre) labels of one period (the labeller's output)."""
-    name = F.col("p_name")
-    first = F.split(name, " ").getItem(0)
-    genre = _genre_of_name(name)
-    for w in MAPPING_OTHER_FIRST_WORDS[period]:
-        genre = F.when(first == w, "Other").otherwise(genre)
-    return (table(spark, sf_dir, "part").select("p_name")
-            .filter(~first.isin(MAPPING_EXCLUDED_FIRST_WORDS[period]))
-            .select(name.alias("keyword"), genre.alias("Genre"))
-            .distinct())
+    """(keyword, Genre) labels of one period (the labeller's output)."""
+    return keyword_mapping_tagged(spark, sf_dir).filter(F.col("period") == period).select("keyword", "Genre")
 
 
 def search_log_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both periods in one scan: (period, user_id, keyword)."""
-    y1, y2 = SEARCH_PERIOD_YEARS[1], SEARCH_PERIOD_YEARS[2]
-    date = F.col("o_orderdate")
-    o = (table(spark, sf_dir, "orders")
-         .filter((date >= F.lit(dt.date(y1, 1, 1)).cast("timestamp_ntz"))
-                 & (date < F.lit(dt.date(y2 + 1, 1, 1)).cast("timestamp_ntz")))
-         .select("o_orderkey", "o_custkey", F.when(F.year(date) == y1, 1).otherwise(2).alias("period")))
+    """Both periods in one scan: (period, user_id, keyword).
+
+    Each line item is one search of its part's keyword by the order's
+    customer; the order's date decides the period, so no order is left out.
+    Join strategies are left to the optimizer.
+    """
+    second = F.col("o_orderdate") >= F.lit(SEARCH_SECOND_PERIOD_START).cast("timestamp_ntz")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.when(second, 2).otherwise(1).alias("period"))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    p = _part_keywords(spark, sf_dir)
     return (li.join(o, li.l_orderkey == o.o_orderkey)
             .join(p, li.l_partkey == p.p_partkey)
-            .select("period", F.col("o_custkey").cast("string").alias("user_id"),
-                    F.col("p_name").alias("keyword")))
+            .select("period", F.col("o_custkey").cast("string").alias("user_id"), "keyword"))
 
 
 def keyword_mapping_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both periods' labels: (period, keyword, Genre), from one scan of part.
 
-    Distinct names first, then each name yields one row per period whose
+    Distinct keywords first, then each yields one row per period whose
     rules admit it.
     """
     name = F.col("keyword")
@@ -157,6 +156,6 @@ def keyword_mapping_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
             genre = F.when(first == w, "Other").otherwise(genre)
         keep = ~first.isin(MAPPING_EXCLUDED_FIRST_WORDS[period])
         rows.append(F.when(keep, F.struct(F.lit(period).alias("period"), genre.alias("Genre"))))
-    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("keyword")).distinct()
+    names = _part_keywords(spark, sf_dir).select("keyword").distinct()
     return (names.select("keyword", F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("_r"))
             .select(F.col("_r.period").alias("period"), "keyword", F.col("_r.Genre").alias("Genre")))

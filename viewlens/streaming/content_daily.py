@@ -54,8 +54,7 @@ def start_daily_profiles(spark: SparkSession, source: str, sink: str, checkpoint
         days = _touched_days(batch)
         if not days:
             return
-        full = files.content_range_scan(batch.sparkSession, source, days[0], days[-1], layout)
-        full = full.filter(F.col("Process_Date").isin(days))
+        full = files.content_days(batch.sparkSession, source, days, layout)
         daily = content_daily(full).withColumn("day", F.date_format("Process_Date", "yyyy-MM-dd"))
         daily = cluster_for_write(daily, ["day"], files_per_day)
         (daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
