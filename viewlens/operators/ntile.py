@@ -133,7 +133,8 @@ def global_ntiles(df: DataFrame, orders: Mapping[str, Column | str], n: int, id_
         for cut in (x for x in cuts if x.score == c):
             tile = tile + F.when((value > cut.lo) | ((value == cut.lo) & (i >= cut.id_lo)), 1).otherwise(0)
         out[name] = tile.cast("int")
-    return df.withColumns(out)
+    # one generated row, so that what is built on the tiles does not repeat the comparisons
+    return df.select("*", F.inline(F.array(F.struct(*[tile.alias(name) for name, tile in out.items()]))))
 
 
 def global_ntile(df: DataFrame, order: str | Column, n: int, tiebreak: Sequence[str], out_col: str) -> DataFrame:
