@@ -93,6 +93,11 @@ def test_components(spark, seed):
     for a, b in edges:
         a, b = find(a), find(b)
         parent[max(a, b)] = min(a, b)
-    want = sorted((x, find(x)) for x in {y for a, b in edges if a != b for y in (a, b)})
+    nodes = {y for a, b in edges if a != b for y in (a, b)}
     rows = components(spark.createDataFrame(edges, "u long, v long")).collect()
-    assert sorted(map(tuple, rows)) == want
+    assert sorted(r.node for r in rows) == sorted(nodes)
+    groups = collections.defaultdict(set)
+    for r in rows:
+        groups[r.root].add(r.node)
+    assert all(root in members for root, members in groups.items())
+    assert sorted(map(sorted, groups.values())) == sorted(sorted(x for x in nodes if find(x) == r) for r in {find(x) for x in nodes})

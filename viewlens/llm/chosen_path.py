@@ -22,7 +22,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewlens.llm.common import coded, hash_words, mix64, ship, slices, split_words
@@ -127,12 +127,12 @@ def sketched(docs: DataFrame) -> DataFrame:
 def _roots(runs: int):
     def run(batches):
         for batch in batches:
-            m, tid = _matrix(batch.column("sketch"), np.uint32, COORDINATES), batch.column("tid")
+            m, tid, small = _matrix(batch.column("sketch"), np.uint32, COORDINATES), batch.column("tid"), batch.column("small")
             for r in range(runs):
                 for b in range(BRANCHES):
                     c = (r * BRANCHES + b) % COORDINATES
                     path = mix64(mix64(m[:, c].astype(np.uint64), c), r)
-                    yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), tid], ["path", "tid"])
+                    yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), tid, small, pa.nulls(len(tid), pa.int64())], ["path", "tid", "small", "parent"])
     return run
 
 
@@ -144,7 +144,7 @@ def _children(batches):
         second = (first + 1 + (mix64(path, 4) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
         for c in (first, second):
             child = mix64(path ^ mix64(m[np.arange(len(c)), c].astype(np.uint64) * np.uint64(COORDINATES) + c.astype(np.uint64), 5), 6)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), tid, batch.column("size")], ["path", "tid", "parent"])
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), tid, batch.column("small"), batch.column("size")], ["path", "tid", "small", "parent"])
 
 
 def _find(parent: list, i: int) -> int:
@@ -184,9 +184,26 @@ def _whole_groups(batches, column: str):
 
 
 def _compare(least: float):
-    """Edges between texts of the same small path group whose sketches agree enough, as one edge a text."""
+    """From rows sorted by path: one edge a text to the least text tied to it in its small group; rows of larger groups as they are.
+
+    A text is tied to another of the group if their sketches agree enough.
+    """
     def run(batches):
-        for t in _whole_groups(batches, "path"):
+        def small_groups():
+            for batch in batches:
+                large = pa.compute.greater(batch.column("size"), BUCKET)
+                if pa.compute.any(large).as_py():
+                    wide = batch.filter(large)
+                    yield wide, True
+                    batch = batch.filter(pa.compute.invert(large))
+                yield batch, False
+
+        def out(u, v, path, size, parent):
+            return pa.RecordBatch.from_arrays([u, v, path, size, parent], ["u", "v", "path", "size", "parent"])
+
+        kept = []
+
+        def compared(t):
             path, tid = t["path"].to_numpy(), t["tid"].to_numpy()
             m = _matrix(t["small"], np.uint8, COORDINATES)
             a, b, step = [], [], 1
@@ -200,32 +217,48 @@ def _compare(least: float):
                 step += 1
             if a:
                 rows, roots = _least_linked(len(path), np.concatenate(a), np.concatenate(b), tid)
-                yield pa.RecordBatch.from_arrays([pa.array(tid[rows]), pa.array(roots)], ["u", "v"])
+                none = pa.nulls(len(rows), pa.int64())
+                yield out(pa.array(tid[rows]), pa.array(roots), none, none, none)
+
+        def alone():
+            for batch, large in small_groups():
+                if large:
+                    kept.append(out(batch.column("tid"), batch.column("least"), batch.column("path"), batch.column("size"), batch.column("parent")))
+                elif batch.num_rows:
+                    yield batch
+
+        for t in _whole_groups(alone(), "path"):
+            yield from kept
+            kept.clear()
+            yield from compared(t)
+        yield from kept
     return run
 
 
 def candidate_edges(texts: DataFrame, runs: int, threshold: float) -> DataFrame:
-    """u, v: edges whose components hold every pair that met on a path within reach of the threshold."""
+    """u, v: edges whose components hold every pair that met on a path within reach of the threshold.
+
+    A level is one shuffle by path: group sizes, then comparison of small groups in the same tasks.
+    """
     least = threshold - 4.5 * math.sqrt(threshold * (1 - threshold) / COORDINATES)
-    rows = texts.select("sketch", "tid").mapInArrow(_roots(runs), "path long, tid long").withColumn("parent", F.lit(None).cast("long"))
-    edges = []
+    schema = "path long, tid long, small binary, parent long"
+    rows, edges = texts.select("sketch", "small", "tid").mapInArrow(_roots(runs), schema), []
+    group = Window.partitionBy("path")
     for level in range(DEPTH):
-        rows = materialize(rows)
-        sizes = rows.groupBy("path").agg(F.count("*").alias("size"), F.min("tid").alias("least")).filter("size > 1")
-        met = rows.join(sizes, "path")
-        compared = met.filter(F.col("size") <= BUCKET).select("path", "tid").join(texts.select("tid", "small"), "tid")
-        edges.append(compared.repartition("path").sortWithinPartitions("path").mapInArrow(_compare(least), "u long, v long"))
-        large = materialize(met.filter(F.col("size") > BUCKET))
+        met = rows.withColumns({"size": F.count("*").over(group), "least": F.min("tid").over(group)}).filter("size > 1")
+        met = materialize(met.mapInArrow(_compare(least), "u long, v long, path long, size long, parent long"))
+        edges.append(met.filter("path IS NULL").select("u", "v"))
+        large = met.filter("path IS NOT NULL")
         if large.isEmpty():
             break
         dense = F.lit(level == DEPTH - 1) | F.coalesce(2 * F.col("size") >= F.col("parent"), F.lit(False))
-        edges.append(large.filter(dense & (F.col("tid") != F.col("least"))).select(F.col("tid").alias("u"), F.col("least").alias("v")))
-        split = large.filter(~dense).select("path", "tid", "size").join(texts.select("tid", "sketch"), "tid")
-        rows = split.mapInArrow(_children, "path long, tid long, parent long")
+        edges.append(large.filter(dense & (F.col("u") != F.col("v"))).select("u", "v"))
+        split = large.filter(~dense).select("path", F.col("u").alias("tid"), "size").join(texts.select("tid", "sketch", "small"), "tid")
+        rows = split.mapInArrow(_children, schema)
     out = edges[0]
     for e in edges[1:]:
         out = out.unionByName(e)
-    return out.distinct()
+    return out
 
 
 def _shingle_sets(batches):
@@ -310,12 +343,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGE
     checked = materialize(pairs.groupBy("grp", "i", "j").applyInArrow(
         _verify(threshold), "grp long, tid long, links long, least long, chunks int"))
 
-    links = checked.groupBy("tid").agg(F.sum("links").alias("links"))
-    alone = checked.filter("chunks = 1").select(F.col("tid").alias("node"), F.col("least").alias("root"))
-    ties = checked.filter("chunks > 1 AND least != tid").select(F.col("tid").alias("u"), F.col("least").alias("v"))
-    roots = alone.unionByName(components(ties))
-    known = (texts.select("key", "tid", "rep", "copies").join(links, "tid", "left").join(roots, F.col("tid") == F.col("node"), "left")
-             .select("key", F.coalesce("root", "tid").alias("root"), "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    alone = F.when(F.col("chunks") == 1, F.col("least"))
+    known = (texts.select("key", "tid", "rep", "copies")
+             .join(checked.groupBy("tid").agg(F.sum("links").alias("links"), F.min(alone).alias("alone")), "tid", "left"))
+    tied = components(checked.filter("chunks > 1 AND least != tid").select(F.col("tid").alias("u"), F.col("least").alias("v")))
+    known = known.join(tied, F.col("tid") == F.col("node"), "left").select(
+        "key", F.coalesce("alone", "root", "tid").alias("root"), "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     order = F.struct(F.col("rep").isNull().alias("unnamed"), "rep", "key")
     names = known.groupBy("root").agg(F.min(order).alias("least"))
     known = known.join(names, "root").select("key", "rep", F.col("least.rep").alias("class_id"), "n_links",
