@@ -30,6 +30,7 @@ FROM kw k JOIN ({_RULES}) r ON k.keyword = r.keyword LEFT JOIN mapping1 m ON k.k
 
 SQL = {
     "keyword_classify": with_ctes([LOG, KW], _RULES),
+    "keyword_preview": with_ctes([LOG, KW], _RULES + " ORDER BY keyword LIMIT 10"),
     "keyword_classify_rules": with_ctes([LOG, KW], f"SELECT keyword, coalesce({HINT}, {NAMED}) AS Hint FROM kw"),
     "keyword_classify_batched": with_ctes([LOG, KW], """
 SELECT keyword, CASE length(keyword) % 4 WHEN 0 THEN 'Music' WHEN 1 THEN 'Comedy' WHEN 2 THEN 'Animation' ELSE 'Other' END AS Genre

@@ -394,6 +394,12 @@ def label_response_parse(spark, sf):
     return K.parse_responses(answers)
 
 
+@query("keyword_preview")
+def keyword_preview(spark, sf):
+    """The first ten labelled keywords, as the labelling step shows them."""
+    return M.preview(keyword_classify(spark, sf), ["keyword"], 10)
+
+
 # ── Streaming ──────────────────────────────────────────────────────────────
 
 @query("content_daily_stream")
@@ -419,6 +425,14 @@ def rfm_from_csv(spark, sf):
     return rfm_plan.rfm_table(files.read_transactions(spark, path))
 
 
+@query("search_top_keyword_csv")
+def search_top_keyword_csv(spark, sf):
+    """Top keywords of both periods written as header CSV, read back as the labelling step reads them."""
+    path = scratch_path(spark, "top-keywords")
+    write_csv(Q.top_keyword(TD.search_log_tagged(spark, sf)).select("user_id", "keyword", "search_count"), path)
+    return files.read_most_search(spark, path)
+
+
 @query("search_from_files")
 def search_from_files(spark, sf):
     """Month logs as Parquet day folders read by month glob; labels as per-user CSV files."""
