@@ -4,8 +4,9 @@ The tree is fitted on a bounded sample of unit vectors (``sample`` rows by hash
 every task. Every row is put into a leaf. A query walks the tree with a priority queue that always opens the nearest
 unopened node, and so visits leaves in widening order. How many leaves to visit is calibrated: for a bounded set of queries
 the exact neighbours are found among all rows, their leaves' places in the query's order are looked up, and visits widen until the target
-recall is met. Rows and queries meet by leaf; a leaf with many rows or many queries is cut into chunks over many tasks, so a
-crowded place costs no task more than a chunk pair. Candidates are scored exactly, in double precision, on the original vectors.
+recall is met. Neighbouring leaves are packed into places of bounded rows, where rows meet the queries that visit one of their leaves; a
+place returns each query's best rows among the leaves it visits. A leaf with many rows, or a place with many queries, is cut into
+chunks over many tasks, so a crowded place costs no task more than a chunk pair. Candidates are scored exactly, in double precision, on the original vectors.
 
 Defined cases: vectors that are null, empty or zero, or hold null or non-finite components, take no part, nor do those whose length differs
 from the commonest (the least of equals); null ids are rows like others but no queries; rows with equal id are each other's
@@ -133,17 +134,23 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
-def nearest(query_ids, queries: np.ndarray, ids, rows: np.ndarray, k: int = K):
-    """(query number, row number, score) of each query's k nearest rows, by score and id; own rows excluded."""
+def nearest(query_ids, queries: np.ndarray, ids, rows: np.ndarray, k: int = K, leaf=None, visited=None):
+    """(query number, row number, score) of each query's k nearest rows, by score and id; own rows excluded.
+
+    With ``leaf`` (of each row) and ``visited`` (queries by leaves) a query sees the rows of its visited leaves only.
+    """
     if not len(rows) or not len(queries):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     order = np.argsort(ids, kind="stable")
     ids, rows = ids[order], rows[order]
+    leaf = None if leaf is None else leaf[order]
     scale = lambda x: (x / np.abs(x).max(1, keepdims=True)) / np.sqrt(((x / np.abs(x).max(1, keepdims=True)) ** 2).sum(1, keepdims=True))
     near, left, right, score = scale(rows), [], [], []
     for at in range(0, len(queries), 512):
         some = scale(queries[at:at + 512]) @ near.T
         own = query_ids[at:at + 512, None] == ids[None, :]
+        if leaf is not None:
+            own |= ~visited[at:at + 512][:, leaf]
         some[own] = -np.inf
         for i, s in enumerate(some):
             keep = min(k, len(s) - int(own[i].sum()))
@@ -214,37 +221,54 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, recall: float = T
     queries = indexed.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "embedding")
     most = calibrate(indexed, queries, nodes, leaves, recall, k, calibration)
 
+    sizes = {r.leaf: r["count"] for r in indexed.groupBy("leaf").count().collect()}  # a row per leaf, bounded by the sample
+    place_of, chunks_of, filled = {}, {}, chunk
+    for leaf in range(leaves):  # neighbouring leaves follow each other
+        n = sizes.get(leaf, 0)
+        if filled + n > chunk:
+            filled = 0
+            chunks_of[len(chunks_of)] = max(1, math.ceil(n / chunk))
+        place_of[leaf] = len(chunks_of) - 1
+        filled += n
+
     def walk(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = [visits(v, tree.value, most) for v in _unit(_matrix(batch.column("embedding")))]
-            at = pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
-            yield pa.RecordBatch.from_arrays([batch.column("query_id").take(at), batch.column("embedding").take(at),
-                                              pa.array(np.concatenate([np.array(x, np.int32) for x in lists]))], ["query_id", "embedding", "leaf"])
-
-    asked = materialize(queries.mapInArrow(walk, "query_id long, embedding array<double>, leaf int"))
-
-    def chunks(df):  # a row per leaf, of which there are no more than sample rows
-        return df.groupBy("leaf").agg(F.ceil(F.count("*") / chunk).cast("int").alias("n"))
-
-    parts = chunks(indexed).withColumnRenamed("n", "row_chunks").join(chunks(asked).withColumnRenamed("n", "query_chunks"), "leaf")
-
-    def pairs(df, key: str, own: str, other: str):
+            places, opened, at = [], [], []
+            for i, v in enumerate(_unit(_matrix(batch.column("embedding"))) if batch.num_rows else ()):
+                mine: dict[int, list[int]] = {}
+                for leaf in visits(v, tree.value, most):
+                    mine.setdefault(place_of[leaf], []).append(leaf)
+                places += mine.keys()
+                opened += mine.values()
+                at += [i] * len(mine)
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("query_id").take(at), batch.column("embedding").take(at), pa.array(places, pa.int32()),
+                                              pa.array(opened, pa.list_(pa.int32()))], ["query_id", "embedding", "place", "leaves"])
+
+    asked = materialize(queries.mapInArrow(walk, "query_id long, embedding array<double>, place int, leaves array<int>"))
+    askers = {r.place: r["count"] for r in asked.groupBy("place").count().collect()}  # a row per place
+    parts = spark.createDataFrame([(p, n, math.ceil(askers.get(p, 0) / chunk)) for p, n in chunks_of.items()],
+                                  "place int, row_chunks int, query_chunks int").filter("query_chunks > 0")
+    leaf_places = spark.createDataFrame(list(place_of.items()), "leaf int, place int")
+    placed = indexed.join(F.broadcast(leaf_places), "leaf")
+
+    def pairs(df, key: str, own: str, other: str, *more):
         mine = F.pmod(F.xxhash64(key), F.col(own)).cast("int").alias(own[:-1])
-        return (df.join(F.broadcast(parts), "leaf").withColumn("o", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-                .select(key, "embedding", "leaf", mine, F.col("o").alias(other[:-1])))
+        return (df.join(F.broadcast(parts), "place").withColumn("o", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+                .select(key, "embedding", *more, "place", mine, F.col("o").alias(other[:-1])))
 
-    group = ["leaf", "row_chunk", "query_chunk"]
-    left = pairs(indexed, "vec_id", "row_chunks", "query_chunks")
-    right = pairs(asked, "query_id", "query_chunks", "row_chunks")
+    group = ["place", "row_chunk", "query_chunk"]
+    left = pairs(placed, "vec_id", "row_chunks", "query_chunks", "leaf")
+    right = pairs(asked, "query_id", "query_chunks", "row_chunks", "leaves")
 
     def score(key, r, q):
+        r = r.filter(r["vec_id"].is_valid())
         if not r.num_rows or not q.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        r = r.filter(r["vec_id"].is_valid())
+        own, leaf = np.unique(r["leaf"].to_numpy(), return_inverse=True)
+        visited = np.array([np.isin(own, x) for x in q["leaves"].to_pylist()])
         ids, names = q["query_id"].to_numpy(), r["vec_id"].to_numpy()
-        a, b, s = nearest(ids, _matrix(q["embedding"]), names, _matrix(r["embedding"]), k)
+        a, b, s = nearest(ids, _matrix(q["embedding"]), names, _matrix(r["embedding"]), k, leaf, visited)
         return pa.table({"query_id": pa.array(ids[a]), "vec_id": pa.array(names[b]), "score": pa.array(s)})
 
     found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(score, "query_id long, vec_id long, score double")
