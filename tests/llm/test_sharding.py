@@ -26,6 +26,13 @@ def test_tables(spark):
     assert {(r.law, r.grown_shard) for r in rows} == {("bytes", None)}
 
 
+def test_reader_may_merge_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(6)
+    out = sharding.shard(docs)
+    assert sorted(map(tuple, out.coalesce(1).collect())) == sorted(map(tuple, out.collect()))
+    check(out.union(out.limit(0)).coalesce(2).collect(), [(r.doc_id, r.text) for r in docs.collect()], 24)
+
+
 def test_edges(spark):
     check(sharding.shard(documents(spark), 3).collect(), EDGE, 3)
     check(sharding.shard(documents(spark, [(1, "same")] * 50), 7).collect(), [(1, "same")] * 50, 7)

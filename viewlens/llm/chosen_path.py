@@ -246,7 +246,7 @@ def candidate_edges(texts: DataFrame, runs: int, threshold: float) -> DataFrame:
     group = Window.partitionBy("path")
     for level in range(DEPTH):
         met = rows.withColumns({"size": F.count("*").over(group), "least": F.min("tid").over(group)}).filter("size > 1")
-        met = materialize(met.mapInArrow(_compare(least), "u long, v long, path long, size long, parent long"))
+        met = materialize(met.sortWithinPartitions("path").mapInArrow(_compare(least), "u long, v long, path long, size long, parent long"))
         edges.append(met.filter("path IS NULL").select("u", "v"))
         large = met.filter("path IS NOT NULL")
         if large.isEmpty():

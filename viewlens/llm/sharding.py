@@ -27,15 +27,16 @@ ROW_BYTES = 8
 
 
 def ordered(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 in global order; reading it again gives the same partitions and order."""
+    """doc_id, size, text_crc32, p in global order; ``p`` numbers the sorted runs, which every later read gives whole and in order."""
     text = F.coalesce("text", F.lit("")).cast("binary")
     rows = docs.select("doc_id", (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    return materialize(rows.repartitionByRange("doc_id", "text_crc32").sortWithinPartitions("doc_id", "text_crc32", "size"))
+    runs = rows.repartitionByRange("doc_id", "text_crc32").sortWithinPartitions("doc_id", "text_crc32", "size")
+    return materialize(runs.withColumn("p", F.spark_partition_id()))
 
 
 def _offsets(rows: DataFrame) -> dict[int, tuple[int, int]]:
-    """Rows and bytes before each partition: a bounded list, one entry per partition."""
-    totals = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.sum("size").alias("b")).collect()
+    """Rows and bytes before each run: a bounded list, one entry per partition."""
+    totals = rows.groupBy("p").agg(F.count("*").alias("n"), F.sum("size").alias("b")).collect()
     out, n, b = {}, 0, 0
     for r in sorted(totals, key=lambda r: r.p):
         out[r.p] = (n, b)
@@ -50,18 +51,23 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     total = max(1, offsets[-1][1])
 
     def place(batches):
-        from pyspark import TaskContext
-
-        n, b = offsets.get(TaskContext.get().partitionId(), (0, 0))
-        for batch in batches:
-            size = batch.column("size").to_numpy()
-            ends = b + np.cumsum(size)
-            starts = ends - size
-            cut = np.minimum((starts // total) * shards + (starts % total) * shards // total, shards - 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("size"), batch.column("text_crc32"), pa.array(cut.astype(np.int32)),
-                 pa.array(np.arange(n, n + len(size), dtype=np.int64))], ["doc_id", "size", "text_crc32", "shard", "row"])
-            n, b = n + len(size), (int(ends[-1]) if len(size) else b)
+        run, n, b = None, 0, 0
+        for whole in batches:
+            runs = whole.column("p").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(runs)]
+            for batch, of in ((whole.slice(x, y - x), int(runs[x])) for x, y in zip(cuts[:-1], cuts[1:], strict=True) if y > x):
+                if of != run:  # a task may read several runs, one after the other
+                    run, (n, b) = of, offsets[of]
+                yield placed_rows(batch, n, b)
+                n, b = n + batch.num_rows, b + int(batch.column("size").to_numpy().sum())
+
+    def placed_rows(batch, n, b):
+        size = batch.column("size").to_numpy()
+        starts = b + np.cumsum(size) - size
+        cut = np.minimum((starts // total) * shards + (starts % total) * shards // total, shards - 1)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("size"), batch.column("text_crc32"), pa.array(cut.astype(np.int32)),
+             pa.array(np.arange(n, n + len(size), dtype=np.int64))], ["doc_id", "size", "text_crc32", "shard", "row"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     placed = rows.mapInArrow(place, f"doc_id {kind}, size long, text_crc32 long, shard int, row long")
