@@ -68,27 +68,29 @@ def main(argv=None) -> None:
     ap.add_argument("names", nargs="*")
     a = ap.parse_args(argv)
     sys.path.insert(0, os.getcwd())
-    from __spark_entry__ import queries
+    from viewlens.plans.registry import QUERIES
     from viewlens.session import build_local_session
     spark = build_local_session()
-    spark.sparkContext.setLogLevel("ERROR")
-    qs = queries()
-    names = a.names or list(qs)
+    sc = spark.sparkContext
+    sc.setLogLevel("ERROR")
+    names = a.names or list(QUERIES)
     print(f"# Physical plans at {a.sf}\n")
-    print("Physical plans as planned before adaptive re-optimisation (`spark.sql.shuffle.partitions=8`, "
-          "AQE on). At run time AQE may turn more joins into broadcasts, coalesce partitions, and runs an "
-          "exchange that occurs several times in one plan only once. Eagerly checkpointed inputs appear as "
-          "`Scan ExistingRDD`; their own plans ran earlier. The distributed `ntile` (RFM scores) has one "
-          "single-partition exchange per score, carrying one row per shuffle partition.\n")
-    print("| query | " + " | ".join(n for n, _ in MARKERS) + " | single-partition input |")
-    print("|---|" + "---|" * (len(MARKERS) + 1))
+    print("Final adaptive plans (`spark.sql.shuffle.partitions=8`, AQE on). `jobs before` are the jobs a query runs while it is "
+          "built: written inputs, stored totals and the passes of the tile cut points; their plans are not in the other columns. "
+          "`jobs` counts those of the plan itself.\n")
+    print("| query | jobs before | jobs | " + " | ".join(n for n, _ in MARKERS) + " | single-partition input |")
+    print("|---|" + "---|" * (len(MARKERS) + 3))
     for n in names:
-        df = qs[n](spark, a.sf)
-        df.write.format("noop").mode("overwrite").save()
-        plan = final_plan(df._jdf.queryExecution().executedPlan().toString())
+        sc.setJobGroup(f"{n} before", n)
+        df = QUERIES[n](spark, a.sf)
+        sc.setJobGroup(f"{n} itself", n)
+        execution = df._jdf.queryExecution()
+        execution.toRdd().count()  # runs this very plan, which adapts it
+        plan = final_plan(execution.executedPlan().toString())
         s = summarize(plan)
+        jobs = [len(sc.statusTracker().getJobIdsForGroup(f"{n} {part}")) for part in ("before", "itself")]
         sp = "; ".join(single_partition_inputs(plan)) or ""
-        print(f"| `{n}` | " + " | ".join(str(s[k]) for k, _ in MARKERS) + f" | {sp} |")
+        print(f"| `{n}` | {jobs[0]} | {jobs[1]} | " + " | ".join(str(s[k]) for k, _ in MARKERS) + f" | {sp} |", flush=True)
 
 
 if __name__ == "__main__":
