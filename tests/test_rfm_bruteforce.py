@@ -25,7 +25,7 @@ def ntile(keys, n):
 
 def segment(r, fm):
     for name, (rlo, rhi), (flo, fhi) in S.RFM_SEGMENT_RULES:
-        if rlo <= r <= rhi and flo <= fm <= fhi:
+        if all((lo is None or x >= lo) and (hi is None or x <= hi) for x, lo, hi in ((r, rlo, rhi), (fm, flo, fhi))):
             return name
     return S.RFM_DEFAULT_SEGMENT
 
