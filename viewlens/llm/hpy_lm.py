@@ -35,7 +35,7 @@ ship(__name__)
 FOLDS, HELD_OUT = 5, 1
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 2, 3
-BLOCK_BYTES, PART_BYTES = 12 << 20, 24 << 20
+BLOCK_BYTES, PART_BYTES = 8 << 20, 16 << 20
 START, END = 0, 1
 _REQUEST = "part int, block int, u binary, nu binary, w binary, wi binary, c binary"
 _MESSAGE = "part int, frm int, kind int, w binary, n binary, totals array<double>"

@@ -24,7 +24,7 @@ from viewlens.llm.common import coded, hash_words, ship, split_words
 
 ship(__name__)
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def vocabulary_bytes(path: str) -> bytes:
