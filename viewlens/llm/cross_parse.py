@@ -2,9 +2,11 @@
 
 A bounded sample of labelled texts per language is indexed by a suffix automaton. A text is parsed greedily against each
 language: a phrase is the longest match of what follows in that language's text. The count of phrases, times the logarithm of the
-language's indexed length, over the text's length estimates the cross entropy; the least wins. Automata are flat
-transition tables of bounded size sent to every task; texts are cut into segments that are parsed in step, all of them to
-their end (a phrase ends where a segment ends). Letters are compared without case; runs of other characters are one space.
+language's indexed length, over the text's length estimates the cross entropy; the least wins. Automata are transition
+tables of bounded size sent to every task: flat over the language's own letters, or sorted (state, letter) pairs where these
+are many. Texts are cut into segments that are parsed in step, all of them to their end (a phrase ends where a segment ends).
+Letters are compared without case; every letter of a sample is told apart, whatever the script; runs of other characters are
+one space.
 
 The sample: for each language the ``rows`` training rows first by hash of the id among those of ``row_chars`` code points at most (only
 if there are none, longer ones cut to that length), up to ``chars`` code points in all.
@@ -28,13 +30,17 @@ ship(__name__)
 FOLDS, HELD_OUT = 4, 2
 ROWS, ROW_CHARS, CHARS = 40, 6000, 30000
 SEGMENT = 512
-#: Letters told apart; all others are one class that no automaton knows.
-LETTERS = 100
+#: An automaton of more letters is kept as sorted pairs, not as a flat table; the result is the same.
+FLAT = 128
 SPACE = 0
 
 
-def automaton(text: list[int], width: int) -> tuple[int, np.ndarray]:
-    """(length, flat transitions) of the suffix automaton of small integers; state 0 is none, 1 the root."""
+def automaton(text: list[int], width: int) -> tuple[int, tuple]:
+    """(length, moves) of the suffix automaton of integers under ``width``; state 0 is none, 1 the root.
+
+    Moves are (own, pairs, to): own letter of each class (0 where the automaton has none), sorted state * letters + letter or
+    None, and the state that each pair, or each place of a flat table, leads to.
+    """
     step, link, length = [{}, {}], [0, 0], [0, 0]
     last = 1
     for c in text:
@@ -60,26 +66,34 @@ def automaton(text: list[int], width: int) -> tuple[int, np.ndarray]:
                     p = link[p]
                 link[q] = link[now] = copy
         last = now
-    table = np.zeros((len(step), width), np.uint16 if len(step) < 1 << 16 else np.uint32)
-    for s, moves in enumerate(step):
-        for c, t in moves.items():
-            table[s, c] = t
-    return max(2, len(text)), table.ravel()
+    own = np.zeros(width, np.int32)
+    held = sorted(step[1])
+    own[held] = np.arange(1, len(held) + 1)
+    letters = len(held) + 1
+    small = np.uint16 if len(step) < 1 << 16 else np.uint32
+    pairs = np.array([s * letters + int(own[c]) for s, moves in enumerate(step) for c in moves], np.int64)
+    to = np.array([t for moves in step for t in moves.values()], small)
+    if letters > FLAT:
+        order = np.argsort(pairs)
+        return max(2, len(text)), (own, pairs[order], to[order])
+    table = np.zeros(len(step) * letters, small)
+    table[pairs] = to
+    return max(2, len(text)), (own, None, table)
 
 
-def _alphabet(samples: dict[str, str]) -> tuple[np.ndarray, int]:
-    """(class of every code point, number of classes): 0 no letter, then the commonest letters, last any other letter."""
-    from collections import Counter
+def _fold(c: str) -> str:
+    return c.lower()[0]
 
-    seen = Counter(c for text in samples.values() for c in text.lower() if c.isalpha())
-    letters = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
-    table = np.full(0x110000, SPACE, np.uint8)
-    table[[i for i in range(0x110000) if not 0xD800 <= i < 0xE000 and chr(i).isalpha()]] = len(letters) + 1
-    for i, c in enumerate(letters):
-        for form in (c, c.upper()):
-            if len(form) == 1:
-                table[ord(form)] = i + 1
-    return table, len(letters) + 2
+
+def _alphabet(samples: dict[str, str]) -> tuple[np.ndarray, int]:
+    """(class of every code point, number of classes): 0 no letter, then each letter of the samples, last the letters of none."""
+    seen = sorted({_fold(c) for c in set("".join(samples.values())) if c.isalpha()})
+    number = {c: i + 1 for i, c in enumerate(seen)}
+    table = np.full(0x110000, SPACE, np.uint16 if len(seen) + 2 <= 1 << 16 else np.uint32)
+    for i in range(0x110000):
+        if not 0xD800 <= i < 0xE000 and chr(i).isalpha():
+            table[i] = number.get(_fold(chr(i)), len(seen) + 1)
+    return table, len(seen) + 2
 
 
 def classes_of(texts: list[str], table: np.ndarray):
@@ -114,6 +128,21 @@ def learn(docs: DataFrame, rows: int = ROWS, row_chars: int = ROW_CHARS, chars:
     return languages, automata, table, width
 
 
+def _step(moves: tuple, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The states that classes ``c`` lead to, 0 where there is no such move."""
+    own, pairs, to = moves
+    letter = own[c]
+    letters = int(own.max(initial=0)) + 1
+    if pairs is None:
+        return to[state * letters + letter].astype(np.int64)
+    out = np.zeros(len(c), np.int64)
+    known = np.flatnonzero(letter)  # only these can move
+    want = state[known] * letters + letter[known]
+    at = np.minimum(np.searchsorted(pairs, want), len(pairs) - 1)
+    out[known] = np.where(pairs[at] == want, to[at], 0)
+    return out
+
+
 def phrases(offsets: np.ndarray, classes: np.ndarray, automata: list, width: int, segment: int = SEGMENT) -> np.ndarray:
     """Phrases of each text (rows) in each language (columns)."""
     n = np.diff(offsets)
@@ -128,12 +157,13 @@ def phrases(offsets: np.ndarray, classes: np.ndarray, automata: list, width: int
     out = np.zeros((len(n), len(automata)))
     state = [np.ones(len(owner), np.int64) for _ in automata]
     count = [np.ones(len(owner), np.int32) for _ in automata]
-    roots = [a[width:2 * width].astype(np.int64) for _, a in automata]
+    everything = np.arange(width)
+    roots = [_step(moves, np.ones(width, np.int64), everything) for _, moves in automata]
     for k in range(int(size[0]) if len(size) else 0):
         m = int(active[k])
         c = classes[start[:m] + k].astype(np.int64)
-        for (_, a), s, cnt, root in zip(automata, state, count, roots, strict=True):
-            to = a[s[:m] * width + c].astype(np.int64)
+        for (_, moves), s, cnt, root in zip(automata, state, count, roots, strict=True):
+            to = _step(moves, s[:m], c)
             stop = to == 0
             cnt[:m] += stop
             again = np.maximum(root[c], 1)
