@@ -62,6 +62,16 @@ def test_few_rows(spark):
     assert ann_tree.search(frame(spark, [(0, [1.0])]).limit(0)).count() == 0
 
 
+def test_a_query_in_a_sparse_leaf_still_gets_k(spark):
+    rng = random.Random(8)
+    middle = [[rng.gauss(0, 1) for _ in range(12)] for _ in range(20)]
+    rows = [(i, [x + rng.gauss(0, 0.01) for x in middle[i % 20]]) for i in range(1, 900)]
+    rows += [(1000 + 50 * i, [rng.gauss(0, 1) for _ in range(12)]) for i in range(30)]  # far from all others
+    got = by_query(ann_tree.search(frame(spark, rows), leaf_rows=8, recall=0.5).collect())
+    assert got.keys() == plain(rows).keys()
+    assert {q: [x[0] for x in v] for q, v in got.items()} == {q: [1, 2, 3, 4, 5] for q in got}
+
+
 def test_best_bin_first_opens_leaves_from_near_to_far():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((400, 2)).astype(np.float32)

@@ -4,7 +4,7 @@ The tree is fitted on a bounded sample of unit vectors (``sample`` rows by hash
 every task. Every row is put into a leaf. A query walks the tree with a priority queue that always opens the nearest
 unopened node, and so visits leaves in widening order. How many leaves to visit is calibrated: for a bounded set of queries
 the exact neighbours are found among all rows, their leaves' places in the query's order are looked up, and visits widen until the target
-recall is met. Neighbouring leaves are packed into places of bounded rows, where rows meet the queries that visit one of their leaves; a
+recall is met. A query whose leaves hold fewer than ``k`` other ids goes on until they do, so that each gets all that it can. Neighbouring leaves are packed into places of bounded rows, where rows meet the queries that visit one of their leaves; a
 place returns each query's best rows among the leaves it visits. A leaf with many rows, or a place with many queries, is cut into
 chunks over many tasks, so a crowded place costs no task more than a chunk pair. Candidates are scored exactly, in double precision, on the original vectors.
 
@@ -113,13 +113,14 @@ def leaf_of(x: np.ndarray, nodes) -> np.ndarray:
     return out
 
 
-def visits(q: np.ndarray, nodes, most: int) -> list[int]:
-    """Leaves in the order in which best-bin-first opens them, ``most`` at most."""
-    heap, out = [(0.0, 0)], []
-    while heap and len(out) < most:
+def visits(q: np.ndarray, nodes, most: int, ids=None, least: int = 0) -> list[int]:
+    """Leaves in the order in which best-bin-first opens them: ``most``, and more until they hold ``least`` ids (``ids`` of each leaf)."""
+    heap, out, met = [(0.0, 0)], [], 0
+    while heap and (len(out) < most or met < least):
         _, node = heapq.heappop(heap)
         if node < 0:
             out.append(-1 - node)
+            met += 0 if ids is None else ids[-1 - node]
             continue
         centres, children = nodes[node]
         far = ((centres - q) ** 2).sum(1)
@@ -222,6 +223,9 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, recall: float = T
     most = calibrate(indexed, queries, nodes, leaves, recall, k, calibration)
 
     sizes = {r.leaf: r["count"] for r in indexed.groupBy("leaf").count().collect()}  # a row per leaf, bounded by the sample
+    ids_of = [0] * leaves  # an id counts in one of its leaves only, so that no sum is more than there are
+    for r in indexed.filter("vec_id IS NOT NULL").groupBy("vec_id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").count().collect():
+        ids_of[r.leaf] = r["count"]
     place_of, chunks_of, filled = {}, {}, chunk
     for leaf in range(leaves):  # neighbouring leaves follow each other
         n = sizes.get(leaf, 0)
@@ -236,7 +240,7 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, recall: float = T
             places, opened, at = [], [], []
             for i, v in enumerate(_unit(_matrix(batch.column("embedding"))) if batch.num_rows else ()):
                 mine: dict[int, list[int]] = {}
-                for leaf in visits(v, tree.value, most):
+                for leaf in visits(v, tree.value, most, ids_of, k + 1):
                     mine.setdefault(place_of[leaf], []).append(leaf)
                 places += mine.keys()
                 opened += mine.values()
