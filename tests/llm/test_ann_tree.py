@@ -72,6 +72,36 @@ def test_a_query_in_a_sparse_leaf_still_gets_k(spark):
     assert {q: [x[0] for x in v] for q, v in got.items()} == {q: [1, 2, 3, 4, 5] for q in got}
 
 
+def plain_ids(rows, k=5, every=50):
+    """The k best other ids of each id, each pair of ids by its best pair of vectors."""
+    of = {}
+    for i, v in rows:
+        if i is not None:
+            of.setdefault(i, []).append(np.array(v, np.float32).astype(float))
+    score = lambda a, b: max(v @ w / math.sqrt(v @ v) / math.sqrt(w @ w) for v in of[a] for w in of[b])
+    out = {}
+    for q in of:
+        if q % every == 0:
+            near = sorted((-score(q, i), i) for i in of if i != q)[:k]
+            out[q] = [(n + 1, i, pytest.approx(-s, abs=1e-9)) for n, (s, i) in enumerate(near)]
+    return out
+
+
+EXACT = {"leaf_rows": 8, "chunk": 16, "sample": 64, "recall": 1.0, "calibration": 10**6}
+
+
+def test_repeated_rows_and_ids_with_several_vectors(spark):
+    rng = random.Random(6)
+    vector = lambda: [rng.gauss(0, 1) for _ in range(4)]
+    rows = [(i, vector()) for i in range(200)]
+    several = rows + [(i, vector()) for i in (0, 50, 7, 7, 7)] + [(50, [2 * x for x in rows[50][1]])]
+    nulls = [(None, v) for _, v in rows[:40]]
+    for options in ({}, EXACT):
+        assert by_query(ann_tree.search(frame(spark, rows * 5 + nulls), **options).collect()) == by_query(ann_tree.search(frame(spark, rows), **options).collect())
+    assert by_query(ann_tree.search(frame(spark, rows * 5 + nulls), **EXACT).collect()) == plain_ids(rows)
+    assert by_query(ann_tree.search(frame(spark, several * 2 + nulls), **EXACT).collect()) == plain_ids(several)
+
+
 def test_best_bin_first_opens_leaves_from_near_to_far():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((400, 2)).astype(np.float32)

@@ -8,8 +8,11 @@ recall is met. A query whose leaves hold fewer than ``k`` other ids goes on unti
 place returns each query's best rows among the leaves it visits. A leaf with many rows, or a place with many queries, is cut into
 chunks over many tasks, so a crowded place costs no task more than a chunk pair. Candidates are scored exactly, in double precision, on the original vectors.
 
-Defined cases: vectors that are null, empty or zero, or hold null or non-finite components, take no part, nor do those whose length differs
-from the commonest (the least of equals); null ids are rows like others but no queries; rows with equal id are each other's
+Each id is one candidate, at its best score: repeated rows of an id and vector are one row, dropped before the index is built; an id with
+several vectors is found, and asks, by each of them, and has ``k`` other ids as its answer.
+
+Defined cases: vectors that are null, empty or zero, or hold null or non-finite components, take no part, nor do rows with a null id, nor
+those whose length differs from the commonest of the distinct rows (the least of equals); rows with equal id are each other's
 "own row" and no candidates; ties go to the smaller vec_id; with fewer than ``k`` candidates all are returned; an empty table gives an
 empty result; other columns are ignored.
 """
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewlens.llm.common import ship
-from viewlens.session import materialize
+from viewlens.session import materialize, stored
 
 ship(__name__)
 
@@ -136,7 +139,7 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def nearest(query_ids, queries: np.ndarray, ids, rows: np.ndarray, k: int = K, leaf=None, visited=None):
-    """(query number, row number, score) of each query's k nearest rows, by score and id; own rows excluded.
+    """(query number, row number, score) of each query's k nearest ids, by score and id, each by its nearest row; own rows excluded.
 
     With ``leaf`` (of each row) and ``visited`` (queries by leaves) a query sees the rows of its visited leaves only.
     """
@@ -147,6 +150,8 @@ def nearest(query_ids, queries: np.ndarray, ids, rows: np.ndarray, k: int = K, l
     leaf = None if leaf is None else leaf[order]
     scale = lambda x: (x / np.abs(x).max(1, keepdims=True)) / np.sqrt(((x / np.abs(x).max(1, keepdims=True)) ** 2).sum(1, keepdims=True))
     near, left, right, score = scale(rows), [], [], []
+    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))  # where each id's rows begin
+    repeated = len(first) < len(ids)
     for at in range(0, len(queries), 512):
         some = scale(queries[at:at + 512]) @ near.T
         own = query_ids[at:at + 512, None] == ids[None, :]
@@ -154,13 +159,17 @@ def nearest(query_ids, queries: np.ndarray, ids, rows: np.ndarray, k: int = K, l
             own |= ~visited[at:at + 512][:, leaf]
         some[own] = -np.inf
         for i, s in enumerate(some):
-            keep = min(k, len(s) - int(own[i].sum()))
+            each = np.maximum.reduceat(s, first) if repeated else s
+            keep = min(k, int((each > -np.inf).sum()))
             if keep <= 0:
                 continue
-            least = np.partition(s, len(s) - keep)[len(s) - keep]
+            least = np.partition(each, len(each) - keep)[len(each) - keep]
             few = np.flatnonzero(s >= least - 1e-11)
             exact = cosines(np.broadcast_to(queries[at + i], (len(few), queries.shape[1])), rows[few])
-            best = np.lexsort((ids[few], -exact))[:keep]
+            best = np.lexsort((ids[few], -exact))
+            if repeated:
+                best = best[np.sort(np.unique(ids[few][best], return_index=True)[1])]
+            best = best[:keep]
             left.append(np.full(len(best), at + i))
             right.append(order[few[best]])
             score.append(exact[best])
@@ -176,7 +185,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 def calibrate(indexed: DataFrame, queries: DataFrame, nodes, leaves: int, recall: float, k: int, size: int) -> int:
     """Leaf visits that reach ``recall`` on ``size`` queries, against exact neighbours among all rows."""
-    few = queries.orderBy(F.xxhash64("query_id"), "query_id").limit(size).toArrow()  # bounded
+    few = queries.orderBy(F.xxhash64("query_id"), "query_id", "embedding").limit(size).toArrow()  # bounded
     if not few.num_rows:
         return leaves
     ids, q = few["query_id"].to_numpy(), _matrix(few["embedding"])
@@ -192,12 +201,13 @@ def calibrate(indexed: DataFrame, queries: DataFrame, nodes, leaves: int, recall
             best = [t.take(pa.array(np.unique(rows)))]
         for t in best:
             a, b, s = nearest(ids, q, t["vec_id"].to_numpy(zero_copy_only=False), _matrix(t["embedding"]), k)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a]), t["vec_id"].take(pa.array(b)).combine_chunks(), t["leaf"].take(pa.array(b)).combine_chunks(), pa.array(s)],
+            yield pa.RecordBatch.from_arrays([pa.array(a), t["vec_id"].take(pa.array(b)).combine_chunks(), t["leaf"].take(pa.array(b)).combine_chunks(), pa.array(s)],
                                              ["query_id", "vec_id", "leaf", "score"])
 
-    found = indexed.filter("vec_id IS NOT NULL").mapInArrow(exact, "query_id long, vec_id long, leaf int, score double")
+    found = indexed.mapInArrow(exact, "query_id long, vec_id long, leaf int, score double")  # a query is its number here
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"), F.max_by("leaf", "score").alias("leaf"))
     truth = _best(found, k).select("query_id", "leaf").collect()  # size * k rows at most
-    place = {i: {leaf: n for n, leaf in enumerate(visits(v, nodes, leaves))} for i, v in zip(ids.tolist(), _unit(q), strict=True)}
+    place = [{leaf: n for n, leaf in enumerate(visits(v, nodes, leaves))} for v in _unit(q)]
     needed = np.sort([place[r.query_id][r.leaf] + 1 for r in truth])
     return int(needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)]) if len(needed) else leaves
 
@@ -206,9 +216,9 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, recall: float = T
            leaf_rows: int = LEAF_ROWS, calibration: int = CALIBRATION, chunk: int = CHUNK) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row whose id is divisible by ``every``."""
     spark = vectors.sparkSession
-    rows = usable(vectors)
+    rows = usable(stored(vectors.select("vec_id", "embedding").filter("vec_id IS NOT NULL").distinct(), "vectors"))
     total = rows.count()
-    fitted = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").toArrow()  # bounded
+    fitted = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(sample).select("embedding").toArrow()  # bounded
     x = _unit(_matrix(fitted["embedding"])) if fitted.num_rows else np.zeros((0, 1), np.float32)
     nodes, leaves = build(x, max(8, math.ceil(leaf_rows * len(x) / max(1, total))))
     tree = spark.sparkContext.broadcast(nodes)
@@ -224,7 +234,7 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, recall: float = T
 
     sizes = {r.leaf: r["count"] for r in indexed.groupBy("leaf").count().collect()}  # a row per leaf, bounded by the sample
     ids_of = [0] * leaves  # an id counts in one of its leaves only, so that no sum is more than there are
-    for r in indexed.filter("vec_id IS NOT NULL").groupBy("vec_id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").count().collect():
+    for r in indexed.groupBy("vec_id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").count().collect():
         ids_of[r.leaf] = r["count"]
     place_of, chunks_of, filled = {}, {}, chunk
     for leaf in range(leaves):  # neighbouring leaves follow each other
@@ -266,7 +276,6 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, recall: float = T
     right = pairs(asked, "query_id", "query_chunks", "row_chunks", "leaves")
 
     def score(key, r, q):
-        r = r.filter(r["vec_id"].is_valid())
         if not r.num_rows or not q.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         own, leaf = np.unique(r["leaf"].to_numpy(), return_inverse=True)
@@ -276,4 +285,5 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, recall: float = T
         return pa.table({"query_id": pa.array(ids[a]), "vec_id": pa.array(names[b]), "score": pa.array(s)})
 
     found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(score, "query_id long, vec_id long, score double")
-    return _best(found.distinct(), k).select("query_id", "rank", "vec_id", "score")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return _best(found, k).select("query_id", "rank", "vec_id", "score")
