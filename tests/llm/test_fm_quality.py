@@ -41,6 +41,17 @@ def test_edges(spark):
     assert none is None and {(r.score, r.predicted) for r in fm_quality.score(docs, none).collect()} == {(0.5, 0)}
 
 
+def test_a_repeated_document_is_fitted_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(fm_quality, "fit", lambda x, y: seen.append((len(x), x.sum().item(), y.sum().item())))
+    ids = [i for i in range(40) if __import__("zlib").crc32(str(i).encode()) % 4 != 2]
+    once = [(i, f"text of {i}") for i in ids]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(ids[1], 1)], "doc_id long, quality int")
+    for rows in (once, once + once[:1] * 200):
+        fm_quality.train(documents(spark, rows), labels)
+    assert seen[0][0] == len(ids) + 1 and seen[1] == seen[0]
+
+
 def test_a_text_scores_the_same_in_any_slice():
     texts = [t for _, t in EDGE]
     x = fm_quality.features(pa.array(texts, pa.string()), np.zeros(len(texts)))

@@ -7,7 +7,7 @@ rows, ``sample`` rows by hash of the id, whose features (not texts) come to the
 documents with the fixed-size weights in each task.
 
 Defined cases: null and empty texts have all-zero word features and are scored; labels with null id, null quality or
-without document are ignored; repeated labels count once each; without labelled rows every score is 0.5; an empty table
+without document are ignored; repeated labels count once each; of documents with equal id the fit sees one (least text hash); without labelled rows every score is 0.5; an empty table
 gives an empty result; lang, source, doc_id and labels are no features; other columns are ignored.
 """
 
@@ -120,7 +120,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     """Fit on ``sample`` labelled rows at most, chosen by hash of the id."""
     chosen = (labels.select("doc_id", F.col("quality").cast("double").alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
               .filter(fold(F.col("doc_id"), FOLDS) != HELD_OUT).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample))
-    rows = docs.select("doc_id", "text", _columns(docs)).join(F.broadcast(chosen), "doc_id").select("text", "n_chars", "y")
+    known = docs.select("doc_id", "text", _columns(docs)).join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    one = known.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "n_chars")).alias("r"))  # reduced in each task first
+    rows = one.join(F.broadcast(chosen), "doc_id").select("r.text", "r.n_chars", "y")
 
     def sparse(batches):
         for batch in batches:
