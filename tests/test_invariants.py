@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers.data import SF_SMALL
 
 from viewlens import schemas as S
 from viewlens.operators import marts as M

@@ -5,7 +5,7 @@ repartitioning the adapters' output makes every partial aggregate, partial
 window limit and range sort work across several map tasks.
 """
 
-from conftest import SF_SMALL
+from helpers.data import SF_SMALL
 
 from viewlens.plans.content import content_table
 from viewlens.plans.rfm import rfm_table

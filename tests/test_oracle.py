@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers.data import SF_SMALL
 
 import __spark_entry__ as E
 from viewlens.checks.compare import compare_one, duck
