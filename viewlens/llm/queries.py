@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 
-from viewlens.llm import ann_tree, chat, chosen_path, cross_parse, fm_quality, hpy_lm, line_rules, mixing, sharding, word_bpe
+from viewlens.llm import (ann_tree, chat, chosen_path, cross_parse, fm_quality, hpy_lm, line_rules, maxscore, mixing, sharding, spelling,
+                          whitening, word_bpe)
 from viewlens.llm.common import documents
 
 QUERIES: dict = {}
@@ -125,3 +126,28 @@ def op5_kmeans_tree_search(spark, sf):
 @query("op4_pitman_yor_score")
 def op4_pitman_yor_score(spark, sf):
     return hpy_lm.score(documents(spark, sf))
+
+
+TOP_SQL = """WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+terms AS (SELECT vec_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS d FROM v),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+          FROM terms q JOIN terms c ON q.d = c.d AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, c.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 5"""
+
+
+@query("op11_maxscore_top", TOP_SQL)
+def op11_maxscore_top(spark, sf):
+    return maxscore.top(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query("op12_block_whitening")
+def op12_block_whitening(spark, sf):
+    return whitening.whiten(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query("op13_spelling_forms")
+def op13_spelling_forms(spark, sf):
+    return spelling.forms(documents(spark, sf))
