@@ -64,6 +64,42 @@ def test_tiles_one_value_wide_values_and_nulls(spark):
         assert tiles(df, 5) == builtin(df, 5)
 
 
+def test_ties_beyond_one_number(spark, monkeypatch):
+    """Ranges of key and id that do not fit one number: the ids of tied values are cut by passes of their own."""
+    big, rnd = 1 << 60, random.Random(5)
+    df = spark.createDataFrame([(i * 1_000_003, rnd.choice([-big, 3, 3, 3, big, None])) for i in range(3000)], "id long, k long")
+    assert tiles(df, 7) == builtin(df, 7)
+    monkeypatch.setattr("viewlens.operators.ntile.BITS", 0)
+    near = spark.createDataFrame([(i, i // 900) for i in range(3000)], "id long, k long")
+    assert tiles(near, 6) == builtin(near, 6)
+
+
+def test_missed_brackets_are_widened(spark, monkeypatch):
+    """With brackets that hold next to nothing the counts show that a rank is missed."""
+    monkeypatch.setattr("viewlens.operators.ntile._sketch_size", lambda rows, cuts: (8, 1e-4))
+    rnd = random.Random(6)
+    df = spark.createDataFrame([(i, rnd.randrange(10**9)) for i in range(20_000)], "id long, k long").repartition(5)
+    assert tiles(df, 9) == builtin(df, 9)
+
+
+def test_two_passes_whatever_the_values(spark, monkeypatch):
+    from viewlens.operators import ntile
+    passes = []
+    monkeypatch.setattr(ntile, "_settle", lambda *a, real=ntile._settle: (passes.append(1), real(*a))[1])
+    rnd = random.Random(8)
+    df = spark.createDataFrame([(i, int(10 ** rnd.uniform(0, 12)), rnd.choice([1, 2, 3])) for i in range(30_000)], "id long, wide long, tied long")
+    got = global_ntiles(df, {"a": "wide", "b": "tied"}, 5, "id").collect()
+    assert {r.id: r.a for r in got} == builtin(df, 5, "wide") and {r.id: r.b for r in got} == builtin(df, 5, "tied")
+    assert len(passes) == 1
+
+
+def test_ids_that_cannot_break_ties_raise(spark):
+    with pytest.raises(ValueError, match="not unique"):
+        tiles(spark.createDataFrame([(1, 5)] * 10, "id long, k long"), 5)
+    with pytest.raises(ValueError, match="have no id"):
+        tiles(spark.createDataFrame([(None, 5), (1, 6)], "id long, k long"), 2)
+
+
 def test_tiles_of_dates_and_decimals(spark):
     rnd = random.Random(3)
     rows = [(i, dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(400)) if i % 9 else None, Decimal(rnd.randrange(10**7)) / 100)

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewlens import schemas as S
 from viewlens.functions import labels as L
 from viewlens.functions.exact import cents, ratio_half_up
-from viewlens.operators.ntile import global_ntiles
+from viewlens.operators.ntile import global_ntiles, ranges
 
 
 def clean(tx: DataFrame) -> DataFrame:
@@ -64,15 +65,25 @@ def base(tx_clean: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return with_aov(with_recency(totals, as_of)).select("CustomerID", "Recency", "Frequency", "Monetary", "AOV")
 
 
-def scores_from_totals(totals: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES) -> DataFrame:
+def score_orders() -> dict[str, Column]:
+    """What each tile orders by. Recency ascending is Last_Purchase descending (NULLs first), so it needs no reference date."""
+    return {"_r_tile": -F.unix_date("Last_Purchase"), "F_Score": F.col("Frequency"), "M_Score": F.col("Monetary")}
+
+
+def totals_ranges(totals: DataFrame) -> list[Column]:
+    """Aggregates over the totals that scoring needs first; the job that stores them can observe these."""
+    return [*ranges(totals, score_orders(), "CustomerID"), F.max("Last_Purchase").alias("last_purchase")]
+
+
+def scores_from_totals(totals: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES, known: Mapping | None = None) -> DataFrame:
     """R = n+1 - ntile over Recency; F, M = ntile over Frequency, Monetary; with Recency, AOV and the RFM code.
 
-    Ties are broken by CustomerID ascending. Recency ascending is the order
-    of Last_Purchase descending (NULLs first), so the recency tile needs no
-    reference date. All three scores share the passes over ``totals``.
+    Ties are broken by CustomerID ascending. All three scores share the passes over ``totals``. ``known``: the values of
+    ``totals_ranges``, if they are known already.
     """
-    orders = {"_r_tile": -F.unix_date("Last_Purchase"), "F_Score": F.col("Frequency"), "M_Score": F.col("Monetary")}
-    df = with_aov(with_recency(global_ntiles(totals, orders, n, "CustomerID"), as_of))
+    if as_of is None and known is not None and known["last_purchase"] is not None:
+        as_of = known["last_purchase"] + dt.timedelta(days=1)
+    df = with_aov(with_recency(global_ntiles(totals, score_orders(), n, "CustomerID", known), as_of))
     df = df.withColumn("R_Score", (F.lit(n + 1) - F.col("_r_tile")).cast("int")).drop("_r_tile")
     return df.withColumn("RFM_Score", L.rfm_code(F.col("R_Score"), F.col("F_Score"), F.col("M_Score")))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from viewlens import schemas as S
 from viewlens.operators import rfm as R
@@ -23,8 +23,12 @@ def rfm_base(tx: DataFrame, as_of: dt.date | None = None) -> DataFrame:
 
 
 def rfm_scores(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES) -> DataFrame:
-    """Base columns plus R/F/M scores and the RFM code, for any number of tiles."""
-    return R.scores_from_totals(customer_totals(tx), as_of, n)
+    """Base columns plus R/F/M scores and the RFM code, for any number of tiles.
+
+    The job that stores the totals also observes their ranges, so scoring starts without a pass over them."""
+    totals, seen = R.customer_totals(R.clean(tx)), Observation("customer totals")
+    totals = stored(totals.observe(seen, *R.totals_ranges(totals)), "customer-totals")
+    return R.scores_from_totals(totals, as_of, n, seen.get)
 
 
 def rfm_scored(tx: DataFrame, as_of: dt.date | None = None) -> DataFrame:
