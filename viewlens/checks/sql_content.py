@@ -84,6 +84,8 @@ CONTENT_CTES = content_ctes()
 
 ISO = "strftime(Process_Date, '%Y-%m-%d') AS Process_Date"
 
+DISTINCT_DEVICES = "SELECT Contract, count(DISTINCT Mac) AS Distinct_Devices FROM valid GROUP BY Contract"
+
 SQL = {
     "content_categorize": with_ctes([flat(), CAT], f"""
 SELECT Contract, Mac, AppName, TotalDuration, {ISO}, Type FROM cat WHERE Type IS NOT NULL"""),
@@ -111,8 +113,17 @@ FROM valid GROUP BY Contract"""),
     "content_profile_period": with_ctes(
         [flat(), CAT, VALID, DAILY, PERIOD_TOTALS, labels_of("period_totals", "period_labeled")],
         f"SELECT {PROFILE_COLS} FROM period_labeled"),
-    "content_distinct_devices": with_ctes([flat(), CAT, VALID], """
-SELECT Contract, count(DISTINCT Mac) AS Distinct_Devices FROM valid GROUP BY Contract"""),
+    **dict.fromkeys(("content_distinct_devices", "content_devices_from_days"), with_ctes([flat(), CAT, VALID], DISTINCT_DEVICES)),
+    "content_devices_of_range": with_ctes([flat(RANGE_WHERE), CAT, VALID], DISTINCT_DEVICES),
+    "content_published": with_ctes(content_ctes("", 26), f"SELECT {PROFILE_COLS} FROM profile"),
+    "content_profile_quarantined": with_ctes(content_ctes("WHERE event_id % 50 NOT IN (7, 8, 9)"), f"SELECT {PROFILE_COLS} FROM profile"),
+    "content_quarantine": """
+SELECT strftime(ts, '%Y-%m-%d') AS Process_Date, CASE event_id % 50 WHEN 8 THEN 'no _source' ELSE 'does not parse' END AS reason,
+  CASE event_id % 50
+    WHEN 7 THEN '{"_source": {"Contract": "' || coalesce(CAST(user_id AS VARCHAR), '') || '", "event": ' || event_id
+    WHEN 8 THEN '{"_other": {"event": ' || event_id || '}}'
+    ELSE '{"_source": {"Contract": "' || coalesce(CAST(user_id AS VARCHAR), '') || '", "TotalDuration": "much ' || event_id || '"}}' END AS line
+FROM events WHERE event_id % 50 IN (7, 8, 9)""",
     "content_daily_files": with_ctes([flat()], f"""
 SELECT Contract, Mac, AppName, TotalDuration, {ISO} FROM flat"""),
     "content_range_scan": with_ctes([flat(RANGE_WHERE)], f"""

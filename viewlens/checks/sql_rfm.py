@@ -57,19 +57,18 @@ SQL = {
     "rfm_clean": with_ctes([TX, CLEAN], """
 SELECT Transaction_ID, CustomerID, strftime(Purchase_Date, '%Y-%m-%d') AS Purchase_Date,
        CAST(GMV AS DOUBLE) AS GMV FROM clean"""),
-    "rfm_clean_audit": with_ctes([TX], """
+    **dict.fromkeys(("rfm_clean_audit", "rfm_run_audit"), with_ctes([TX], """
 SELECT count(*) AS rows_before,
        count(*) FILTER (WHERE GMV > 0 AND CustomerID <> 0) AS rows_after,
        count(*) - count(*) FILTER (WHERE GMV > 0 AND CustomerID <> 0) AS rows_removed,
        count(DISTINCT CASE WHEN GMV > 0 AND CustomerID <> 0 THEN CustomerID END) AS customers
-FROM tx"""),
+FROM tx""")),
     "rfm_base": with_ctes([TX, CLEAN, TOTALS, BASE], """
 SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary, AOV FROM base"""),
     "rfm_scores": with_ctes([TX, CLEAN, TOTALS, BASE, SCORED], """
 SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary, AOV,
        R_Score, F_Score, M_Score, RFM_Score FROM scored"""),
-    "rfm_segments": with_ctes(RFM_CTES, "SELECT * FROM rfm"),
-    "rfm_from_csv": with_ctes(RFM_CTES, "SELECT * FROM rfm"),
+    **dict.fromkeys(("rfm_segments", "rfm_segments_audited", "rfm_from_csv", "rfm_appended_once"), with_ctes(RFM_CTES, "SELECT * FROM rfm")),
     "rfm_segment_counts": with_ctes(RFM_CTES, "SELECT Segment, count(*) AS count FROM rfm GROUP BY Segment"),
     "global_ntile": with_ctes([TX, CLEAN, TOTALS], """
 SELECT CustomerID, CAST(Monetary AS DOUBLE) AS Monetary,

@@ -74,7 +74,8 @@ FROM_FILES_CTES = [LOG, COUNTS, TOP, ADAPTER_MAPPING, LABELLED_MAPPING, MAPPED,
 
 SQL = {
     "search_counts": with_ctes([LOG, COUNTS], "SELECT * FROM counts"),
-    "search_top_keyword": with_ctes([LOG, COUNTS, TOP], "SELECT * FROM top"),
+    **dict.fromkeys(("search_top_keyword", "search_top_keyword_incremental", "search_top_keyword_stream"),
+                    with_ctes([LOG, COUNTS, TOP], "SELECT * FROM top")),
     "search_top_keyword_csv": with_ctes([LOG, COUNTS, TOP], "SELECT user_id, keyword, search_count FROM top"),
     "search_distinct_keywords": with_ctes([LOG], "SELECT count(DISTINCT keyword) AS distinct_keywords FROM log"),
     "search_keyword_popularity": with_ctes([LOG, COUNTS, TOP], """

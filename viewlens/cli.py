@@ -7,6 +7,8 @@
     python -m viewlens.cli rfm --transactions CSV --out PATH
     python -m viewlens.cli marts --rfm PATH --content PATH --search PATH --out DIR
     python -m viewlens.cli stream-content --source DIR --sink PATH --checkpoint PATH
+    python -m viewlens.cli devices --source DIR --start 20220401 --end 20220430 --state DIR --out PATH
+    python -m viewlens.cli search-days --source DIR --checkpoint DIR --state DIR --first 20220601 20220630 --second 20220701 20220731 --out PATH
 
 Results go to Parquet (default), CSV, or a JDBC table (``--jdbc-url``,
 ``--table``, ``--user``; the password is read from the environment
@@ -26,6 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+CSV_OPTIONS = {"header": "true", "dateFormat": "yyyy-MM-dd"}
+
+
 def _date(s: str) -> dt.date:
     return dt.datetime.strptime(s, "%Y%m%d").date()
 
@@ -41,6 +46,7 @@ def _sink_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--out", help="output path (Parquet or CSV)")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "jdbc"])
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
+    p.add_argument("--run-id", help="names an appending run: repeated, it adds its rows once (Parquet and JDBC)")
     p.add_argument("--table")
     _jdbc_args(p)
 
@@ -51,11 +57,17 @@ def _password(a: argparse.Namespace) -> str | None:
 
 def _write(df: DataFrame, a: argparse.Namespace, sub_dir: str = "") -> None:
     from viewlens.sources import sinks
+    from viewlens.sources.publish import append_once, publish, publish_jdbc
     if a.format == "jdbc":
-        sinks.write_jdbc(df, a.jdbc_url, a.table, a.mode, a.user, _password(a), a.driver)
+        publish_jdbc(df, a.jdbc_url, a.table, a.mode, a.run_id, a.user, _password(a), a.driver)
         return
     path = f"{a.out.rstrip('/')}/{sub_dir}" if sub_dir else a.out
-    (sinks.write_csv if a.format == "csv" else sinks.write_parquet)(df, path, a.mode)
+    if a.mode == "overwrite":  # beside first, so a failing run leaves the old table
+        publish(df, path, a.format, options=CSV_OPTIONS if a.format == "csv" else None)
+    elif a.run_id and a.format == "parquet":
+        append_once(df, path, a.run_id)
+    else:
+        (sinks.write_csv if a.format == "csv" else sinks.write_parquet)(df, path, a.mode)
 
 
 def _print_rows(df: DataFrame) -> None:
@@ -76,6 +88,8 @@ def main(argv=None) -> None:
     c.add_argument("--labels", default="first_day", choices=["first_day", "period"])
     c.add_argument("--from-daily", action="store_true",
                    help="--source is the stream-content daily table (Parquet), not JSON day files")
+    c.add_argument("--quarantine", help="Parquet folder for the log's broken lines; the profile (--out, overwritten) is of the good ones")
+    c.add_argument("--max-broken-share", type=float, default=0.01, help="with --quarantine: more broken lines than this share fail the run")
     _sink_args(c)
 
     t = sub.add_parser("top-keywords")
@@ -121,6 +135,10 @@ def main(argv=None) -> None:
     mk.add_argument("--search", help="customer_search_stats (path or table)")
     mk.add_argument("--input-format", default="parquet", help="parquet, csv, json, table, or jdbc (then the three name tables)")
     _jdbc_args(mk)
+    mk.add_argument("--split-rfm", metavar="COLUMN", help="jdbc: read the RFM table in parts of this numeric column, for example CustomerID")
+    mk.add_argument("--split-from", type=int, default=0)
+    mk.add_argument("--split-to", type=int, default=1_000_000)
+    mk.add_argument("--split-tasks", type=int, default=8)
     mk.add_argument("--segments", nargs="*")
     mk.add_argument("--most-watch", nargs="*")
     mk.add_argument("--active", nargs="*")
@@ -129,11 +147,28 @@ def main(argv=None) -> None:
     mk.add_argument("--change", default="all", choices=["all", "unchanged", "changed"])
     mk.add_argument("--out", required=True, help="folder; one Parquet table per mart")
 
+    dv = sub.add_parser("devices", help="distinct devices of any days from stored bitmaps")
+    dv.add_argument("--state", required=True, help="folder of the stored bitmaps")
+    dv.add_argument("--source", help="viewing log whose days --start to --end are added to the state first")
+    dv.add_argument("--layout", default="daily_files", choices=["daily_files", "partitioned"])
+    dv.add_argument("--start", type=_date, help="first day, added and reported")
+    dv.add_argument("--end", type=_date, help="last day")
+    _sink_args(dv)
+
+    sd = sub.add_parser("search-days", help="top keywords of two months from stored day counts")
+    sd.add_argument("--state", required=True, help="folder of the stored counts")
+    sd.add_argument("--source", help="Parquet day folders (day=yyyyMMdd) to add; needs --checkpoint")
+    sd.add_argument("--checkpoint", help="folder that remembers which files were added")
+    sd.add_argument("--first", nargs=2, type=_date, metavar=("START", "END"))
+    sd.add_argument("--second", nargs=2, type=_date, metavar=("START", "END"))
+    _sink_args(sd)
+
     st = sub.add_parser("stream-content")
     st.add_argument("--source", required=True)
     st.add_argument("--sink", required=True)
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--layout", default="daily_files", choices=["daily_files", "partitioned"])
+    st.add_argument("--devices", help="folder that also keeps the days' distinct devices as bitmaps")
     st.add_argument("--continuous", action="store_true", help="keep running (default: process what exists)")
 
     a = ap.parse_args(argv)
@@ -141,13 +176,19 @@ def main(argv=None) -> None:
 
     from viewlens.operators import classify as K
     from viewlens.operators import search as Q
-    from viewlens.plans.content import content_table
-    from viewlens.plans.rfm import rfm_table
+    from viewlens.plans.content import content_table, publish_profile
+    from viewlens.plans.rfm import rfm_table, rfm_table_audited
     from viewlens.plans.search import search_change, tagged_log
     from viewlens.sources import files
 
     if a.cmd == "content":
-        if a.from_daily:
+        if a.quarantine:
+            if a.format == "jdbc" or a.mode == "append" or a.from_daily:
+                ap.error("content: --quarantine goes with JSON day files and an overwritten --out")
+            days = [a.start + dt.timedelta(days=i) for i in range((a.end - a.start).days + 1)]
+            print(json.dumps(publish_profile(spark, a.source, days, a.out, a.quarantine, a.max_broken_share, a.layout, a.labels, fmt=a.format,
+                                             options=CSV_OPTIONS if a.format == "csv" else None)))
+        elif a.from_daily:
             from viewlens.streaming.content_daily import profile_from_daily
             _write(profile_from_daily(spark, a.source, a.start, a.end, a.labels), a)
         else:
@@ -203,17 +244,20 @@ def main(argv=None) -> None:
         _write(search_change(log, m, salt_buckets=a.salt_buckets), a)
     elif a.cmd == "rfm":
         tx = files.read_transactions(spark, a.transactions, a.date_format)
-        table = rfm_table(tx, a.as_of)
-        _write(table, a)
         if a.audit:
             from viewlens.operators import rfm as R
-            # Both summaries are bounded: one row, and one row per segment.
-            _print_rows(R.clean_audit(tx))
-            _print_rows(R.segment_counts(table))
+            table, audit = rfm_table_audited(tx, a.as_of)  # the run counts its own rows
+            _write(table, a)
+            print(json.dumps(audit))
+            _print_rows(R.segment_counts(table))  # one row per segment
+        else:
+            _write(rfm_table(tx, a.as_of), a)
     elif a.cmd == "marts":
         from viewlens.plans.dashboard import dashboard_marts
         from viewlens.sources.sinks import load_table, read_jdbc, write_parquet
 
+        kept: list[DataFrame] = []
+
         def load(src, table):
             """The table, read from its source once and kept on the executors' disks for all marts."""
             if src is None:
@@ -221,10 +265,13 @@ def main(argv=None) -> None:
             if a.input_format == "csv":
                 df = files.read_result_csv(spark, src, table)
             elif a.input_format == "jdbc":
-                df = read_jdbc(spark, a.jdbc_url, src, a.user, _password(a), a.driver)
+                split = dict(partition_column=a.split_rfm, lower=a.split_from, upper=a.split_to, num_partitions=a.split_tasks) if (
+                    table == "rfm" and a.split_rfm) else {}
+                df = read_jdbc(spark, a.jdbc_url, src, a.user, _password(a), a.driver, **split)
             else:
                 df = load_table(spark, src, a.input_format)
-            return df.persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return kept[-1]
 
         marts = dashboard_marts(load(a.rfm, "rfm"), load(a.content, "content"), load(a.search, "search"),
                                 segments=a.segments,
@@ -232,10 +279,32 @@ def main(argv=None) -> None:
                                 genres_t7=a.genre_t7, change=a.change)
         for name, df in marts.items():
             write_parquet(df, f"{a.out.rstrip('/')}/{name}")
-        spark.catalog.clearCache()
+        for df in kept:
+            df.unpersist()
+    elif a.cmd == "devices":
+        from viewlens.operators.content import valid_views
+        from viewlens.plans import devices
+        if a.source:
+            if not (a.start and a.end):
+                ap.error("devices: --source needs --start and --end")
+            devices.add_days(valid_views(files.content_range_scan(spark, a.source, a.start, a.end, a.layout)), a.state)
+        if a.out or a.table:
+            _write(devices.distinct_devices(spark, a.state, a.start, a.end), a)
+    elif a.cmd == "search-days":
+        from viewlens.plans import search_state
+        from viewlens.streaming.search_daily import start_daily_counts
+        if a.source:
+            if not a.checkpoint:
+                ap.error("search-days: --source needs --checkpoint")
+            start_daily_counts(spark, a.source, a.state, a.checkpoint).awaitTermination()
+        if a.out or a.table:
+            periods = {p: tuple(days) for p, days in ((1, a.first), (2, a.second)) if days}
+            if not periods:
+                ap.error("search-days: a result needs --first or --second")
+            _write(search_state.top_keyword(spark, a.state, periods), a)
     elif a.cmd == "stream-content":
         from viewlens.streaming.content_daily import start_daily_profiles
-        q = start_daily_profiles(spark, a.source, a.sink, a.checkpoint, a.layout, available_now=not a.continuous)
+        q = start_daily_profiles(spark, a.source, a.sink, a.checkpoint, a.layout, available_now=not a.continuous, devices=a.devices)
         q.awaitTermination()
 
 

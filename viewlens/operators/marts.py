@@ -381,6 +381,13 @@ def is_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
+def require_rows(df: DataFrame, table: str = "result") -> DataFrame:
+    """Raise when the table has no rows."""
+    if is_empty(df):
+        raise ResultTableError(f"{table}: no rows")
+    return df
+
+
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 10) -> DataFrame:
     """The first n rows in a stable order (a top-k, not a full sort)."""
     return df.orderBy(*order_by).limit(n)

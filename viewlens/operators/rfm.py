@@ -43,6 +43,19 @@ def customer_totals(tx: DataFrame) -> DataFrame:
     )
 
 
+def audited_totals(tx: DataFrame) -> DataFrame:
+    """``customer_totals`` of all transactions' valid ones, with the customer's transactions before (``rows``) and after cleaning (``kept``).
+
+    A customer without valid transactions, and the rows without a customer, are groups with ``kept`` 0."""
+    ok = F.coalesce((F.col("GMV") > 0) & (F.col("CustomerID") != 0), F.lit(False))
+    return tx.groupBy("CustomerID").agg(
+        F.max(F.when(ok, F.col("Purchase_Date"))).alias("Last_Purchase"),
+        F.count(F.when(ok, F.col("Transaction_ID"))).alias("Frequency"),
+        F.sum(F.when(ok, F.col("GMV"))).alias("Monetary"),
+        F.count(F.lit(1)).alias("rows"), F.count_if(ok).alias("kept"),
+    )
+
+
 def with_recency(totals: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Recency = days from last purchase to the reference date.
 

@@ -8,7 +8,8 @@ integer (1 = first month, 2 = second) and the output labels come from
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,8 +36,35 @@ def counts(log: DataFrame) -> DataFrame:
             .groupBy("period", USER, "keyword").agg(F.count("keyword").alias("search_count")))
 
 
+def day_counts(log: DataFrame) -> DataFrame:
+    """Searches per (day, user, keyword): what a day adds to the counts of any period that holds it."""
+    return (log.filter(F.col("day").isNotNull() & F.col("keyword").isNotNull())
+            .groupBy("day", USER, "keyword").agg(F.count("keyword").alias("search_count")))
+
+
+def counts_of_days(by_day: DataFrame, periods: Mapping[int, tuple[dt.date, dt.date]]) -> DataFrame:
+    """Searches per (period, user, keyword) from day counts; ``periods``: first and last day of each, which may not overlap."""
+    period = None
+    for p, (first, last) in periods.items():
+        here = F.col("day").between(F.lit(first), F.lit(last))
+        period = F.when(here, p) if period is None else period.when(here, p)
+    spans = sorted(periods.values())
+    if any(a[1] >= b[0] for a, b in zip(spans, spans[1:], strict=False)):
+        raise ValueError(f"periods overlap: {spans}")
+    inside = F.lit(False)
+    for first, last in spans:
+        inside = inside | F.col("day").between(F.lit(first), F.lit(last))
+    return (by_day.filter(inside).withColumn("period", period)
+            .groupBy("period", USER, "keyword").agg(F.sum("search_count").alias("search_count")))
+
+
 def top_keyword(log: DataFrame) -> DataFrame:
-    """Most searched keyword per (period, user); ties -> keyword ascending.
+    """Most searched keyword per (period, user); ties -> keyword ascending."""
+    return top_of_counts(counts(log))
+
+
+def top_of_counts(counted: DataFrame) -> DataFrame:
+    """The keyword of the largest count per (period, user); ties -> keyword ascending.
 
     ``row_number() == 1`` directly over the window lets Spark insert a
     partial WindowGroupLimit before the shuffle: each task forwards at most
@@ -44,7 +72,7 @@ def top_keyword(log: DataFrame) -> DataFrame:
     does not become one hot partition.
     """
     w = Window.partitionBy("period", USER).orderBy(F.col("search_count").desc(), F.col("keyword").asc())
-    return (counts(log).withColumn("_rn", F.row_number().over(w))
+    return (counted.withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 

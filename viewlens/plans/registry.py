@@ -8,9 +8,11 @@ read a part, since pruning is what they show.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,13 +24,17 @@ from viewlens.operators import rfm as R
 from viewlens.operators import search as Q
 from viewlens.operators.ntile import global_ntiles
 from viewlens.plans import content as content_plan
+from viewlens.plans import devices as device_plan
 from viewlens.plans import rfm as rfm_plan
 from viewlens.plans import search as search_plan
-from viewlens.session import scratch_path
+from viewlens.plans import search_state
+from viewlens.session import scratch_path, stored
 from viewlens.sources import files
 from viewlens.sources import testdata as TD
+from viewlens.sources.publish import append_once, publish, read_runs
 from viewlens.sources.sinks import write_content_log, write_csv, write_parquet
 from viewlens.streaming.content_daily import profile_from_daily, read_daily_profiles, start_daily_profiles
+from viewlens.streaming.search_daily import start_daily_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,6 +64,19 @@ def rfm_clean_audit(spark, sf):
     return R.clean_audit(TD.transactions(spark, sf))
 
 
+@query("rfm_run_audit")
+def rfm_run_audit(spark, sf):
+    """The audit that the scoring run itself observes, without a scan of its own."""
+    _, audit = rfm_plan.rfm_table_audited(TD.transactions(spark, sf))
+    return spark.createDataFrame([tuple(audit.values())], "rows_before long, rows_after long, rows_removed long, customers long")
+
+
+@query("rfm_segments_audited")
+def rfm_segments_audited(spark, sf):
+    """The result table of the audited run."""
+    return rfm_plan.rfm_table_audited(TD.transactions(spark, sf))[0]
+
+
 @query("rfm_base")
 def rfm_base(spark, sf):
     b = rfm_plan.rfm_base(TD.transactions(spark, sf))
@@ -166,6 +185,27 @@ def content_distinct_devices(spark, sf):
 FILES_PER_DAY = 2
 
 
+def _device_state(spark, sf):
+    """The device state of the whole log: odd and even days fed apart, the even ones twice."""
+    base, valid = scratch_path(spark, "devices"), C.valid_views(_flat(spark, sf))
+    even = F.dayofmonth("Process_Date") % 2 == 0
+    for part in (~even, even, even):
+        device_plan.add_days(valid.filter(part), base, FILES_PER_DAY)
+    return base
+
+
+@query("content_devices_from_days")
+def content_devices_from_days(spark, sf):
+    """Distinct devices of the whole log from the stored bitmaps of its days."""
+    return device_plan.distinct_devices(spark, _device_state(spark, sf))
+
+
+@query("content_devices_of_range")
+def content_devices_of_range(spark, sf):
+    """Distinct devices of 2024-01-01..06 from the stored bitmaps."""
+    return device_plan.distinct_devices(spark, _device_state(spark, sf), *TD.CONTENT_DAYS)
+
+
 @query("content_daily_files")
 def content_daily_files(spark, sf):
     """The whole log as <yyyymmdd>.json day files, all days of a longer range read back."""
@@ -201,6 +241,25 @@ def search_top_keyword(spark, sf):
     return Q.top_keyword(TD.search_log_tagged(spark, sf))
 
 
+@query("search_top_keyword_incremental")
+def search_top_keyword_incremental(spark, sf):
+    """Top keywords from the stored counts of days that are fed in four parts, the third of them twice."""
+    log, base = TD.search_log_days(spark, sf), scratch_path(spark, "search-state")
+    for part in (0, 1, 2, 3, 2):
+        search_state.add_days(log.filter(F.dayofmonth("day") % 4 == part), base, FILES_PER_DAY)
+    return search_state.top_keyword(spark, base, TD.SEARCH_MONTHS)
+
+
+@query("search_top_keyword_stream")
+def search_top_keyword_stream(spark, sf):
+    """Day folders of the whole log ingested by a file stream into the stored counts, then the top keywords."""
+    src, state, ckpt = (scratch_path(spark, f"search-{name}") for name in ("days", "state", "ckpt"))
+    log = TD.search_log_days(spark, sf).withColumn("day", F.date_format("day", "yyyyMMdd"))
+    write_parquet(log, src, partition_by=["day"], files_per_partition=FILES_PER_DAY)
+    start_daily_counts(spark, src, state, ckpt, files_per_day=FILES_PER_DAY).awaitTermination()
+    return search_state.top_keyword(spark, state, TD.SEARCH_MONTHS)
+
+
 @query("search_distinct_keywords")
 def search_distinct_keywords(spark, sf):
     return Q.distinct_keywords(TD.search_log_tagged(spark, sf))
@@ -474,3 +533,49 @@ def content_profile_from_stream(spark, sf):
     start_daily_profiles(spark, src, sink, ckpt, layout="partitioned", available_now=True,
                          files_per_day=FILES_PER_DAY).awaitTermination()
     return profile_from_daily(spark, sink)
+
+
+# ── Commit steps and checks of writes ──────────────────────────────────────
+
+@query("content_published")
+def content_published(spark, sf):
+    """The profile published, then a run that fails half-way and one that fails its check: the table is the first one's."""
+    out = scratch_path(spark, "published")
+    table = _content(spark, sf)
+    publish(table, out)
+    late = F.when(F.pmod(F.xxhash64("Contract"), F.lit(5)) == 0, F.raise_error(F.lit("lost half-way"))).otherwise(F.col("MostWatch"))
+    for worse, check in ((table.withColumn("MostWatch", late), None), (table.limit(0), M.require_rows)):
+        with contextlib.suppress(PySparkException, ValueError):
+            publish(worse, out, check=check)
+    return spark.read.parquet(out)
+
+
+@query("rfm_appended_once")
+def rfm_appended_once(spark, sf):
+    """The result table appended in two runs, the second of them twice."""
+    out, table = scratch_path(spark, "appended"), stored(rfm_plan.rfm_table(TD.transactions(spark, sf)), "rfm-table")
+    for run, half in (("first", 0), ("second", 1), ("second", 1)):
+        append_once(table.filter(F.col("CustomerID") % 2 == half), out, run)
+    return read_runs(spark, out)
+
+
+def _broken_log(spark, sf):
+    """Published profile and quarantine of the log with some broken lines."""
+    base, out, aside = (scratch_path(spark, f"lines-{name}") for name in ("log", "profile", "quarantine"))
+    TD.content_log_lines(spark, sf).repartition(4).write.partitionBy("day").text(base)
+    bounds = _flat(spark, sf).agg(F.min("Process_Date").alias("lo"), F.max("Process_Date").alias("hi")).first()
+    days = [bounds.lo + dt.timedelta(days=i) for i in range((bounds.hi - bounds.lo).days + 1)]
+    content_plan.publish_profile(spark, base, days, out, aside, max_share=0.1, layout="partitioned")
+    return out, aside
+
+
+@query("content_profile_quarantined")
+def content_profile_quarantined(spark, sf):
+    """The profile of a log with broken lines: that of its good lines."""
+    return spark.read.parquet(_broken_log(spark, sf)[0])
+
+
+@query("content_quarantine")
+def content_quarantine(spark, sf):
+    """The broken lines of that log."""
+    return spark.read.parquet(_broken_log(spark, sf)[1]).select(iso("Process_Date"), "reason", "line")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from viewlens import schemas as S
 from viewlens.operators import rfm as R
@@ -31,6 +32,23 @@ def rfm_scores(tx: DataFrame, as_of: dt.date | None = None, n: int = S.RFM_TILES
     return R.scores_from_totals(totals, as_of, n, seen.get)
 
 
+def rfm_table_audited(tx: DataFrame, as_of: dt.date | None = None) -> tuple[DataFrame, dict]:
+    """The result table and the cleaning audit (rows_before, rows_after, rows_removed, customers), from one scan of ``tx``.
+
+    Counts travel with the customers' totals and are observed where these are written, in the job's last stage, whose tasks count
+    once even if executors are lost."""
+    counted, seen = Observation("cleaning audit"), Observation("customer totals")
+    kept = F.col("kept") > 0
+    totals = R.audited_totals(tx).observe(counted, F.sum("rows").alias("rows_before"), F.sum("kept").alias("rows_after"),
+                                          F.count_if(kept).alias("customers"))
+    totals = totals.filter(kept).drop("rows", "kept")
+    totals = stored(totals.observe(seen, *R.totals_ranges(totals)), "customer-totals")
+    audit = {k: v or 0 for k, v in counted.get.items()}
+    audit = {"rows_before": audit["rows_before"], "rows_after": audit["rows_after"],
+             "rows_removed": audit["rows_before"] - audit["rows_after"], "customers": audit["customers"]}
+    return R.output(R.segments(R.scores_from_totals(totals, as_of, known=seen.get))), audit
+
+
 def rfm_scored(tx: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Scores with FM score and segment (five tiles)."""
     return R.segments(rfm_scores(tx, as_of))

@@ -14,6 +14,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from viewlens import schemas as S
 from viewlens.operators.content import flatten
@@ -42,6 +43,21 @@ def day_paths(spark: SparkSession, base: str, days: Iterable[dt.date], layout: s
     return [f"{base}/{name}" for name in sorted(wanted.intersection(_children(spark, base)))]
 
 
+def with_path_day(df: DataFrame, name: str) -> DataFrame:
+    """Add the day of each row's file path as column ``name``."""
+    return df.withColumn(name, F.to_date(F.regexp_extract(F.col("_metadata.file_path"), _DAY_IN_PATH, 1), "yyyyMMdd"))
+
+
+def search_days(spark: SparkSession, base: str, days: Iterable[dt.date]) -> DataFrame:
+    """(day, user_id, keyword) of the Parquet day folders ``<base>/day=<yyyyMMdd>/`` that exist; none at all raises."""
+    days = list(days)
+    paths = day_paths(spark, base, days, "partitioned")
+    if not paths:
+        raise FileNotFoundError(f"no day folder under {base}: {min(days)} to {max(days)}" if days else f"no day of {base}")
+    log = with_path_day(spark.read.schema("user_id string, keyword string").parquet(*paths), "day")
+    return log.select("day", "user_id", "keyword")
+
+
 def read_content_json(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Raw viewing-log JSON with the fixed nested schema."""
     return spark.read.schema(S.CONTENT_LOG_JSON).json(paths)
@@ -58,11 +74,41 @@ def content_days(spark: SparkSession, base: str, days: Iterable[dt.date], layout
     if not paths:
         span = f"{min(days)} to {max(days)}" if days else "no day"
         raise FileNotFoundError(f"no day file under {base} ({layout}): {span}")
-    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), _DAY_IN_PATH, 1), "yyyyMMdd")
-    raw = read_content_json(spark, paths).withColumn("Process_Date", day)
+    raw = with_path_day(read_content_json(spark, paths), "Process_Date")
     return flatten(raw).select(*[f.name for f in S.CONTENT_FLAT.fields])
 
 
+def checked_content_days(spark: SparkSession, base: str, days: Iterable[dt.date], layout: str = "daily_files") -> DataFrame:
+    """The lines of the given days, read as ``content_days`` reads them, with what is wrong with each.
+
+    Flat columns, ``_file``, ``_line`` (the line's text) and ``_reason``: NULL for a good line, else ``does not parse`` (no JSON, or a
+    value of another type) or ``no _source``. Blank lines are no lines.
+    """
+    days = list(days)
+    paths = day_paths(spark, base, days, layout)
+    if not paths:
+        raise FileNotFoundError(f"no day file under {base} ({layout})")
+    lines = with_path_day(spark.read.text(paths), "Process_Date").withColumn("_file", F.col("_metadata.file_path"))
+    schema = T.StructType([*S.CONTENT_LOG_JSON.fields, T.StructField("_broken", T.StringType())])
+    read = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    lines = lines.filter(F.trim("value") != "").withColumn("_read", read)
+    reason = (F.when(F.col("_read").isNull() | F.col("_read._broken").isNotNull(), "does not parse")
+              .when(F.col("_read._source").isNull(), "no _source"))
+    return lines.select(*[F.col(f"_read._source.{f.name}").alias(f.name) if f.name != "Process_Date" else F.col("Process_Date")
+                          for f in S.CONTENT_FLAT.fields], "_file", F.col("value").alias("_line"), reason.alias("_reason"))
+
+
+def good_lines(lines: DataFrame) -> DataFrame:
+    """The flat viewing log of the lines that are as they should be."""
+    return lines.filter(F.col("_reason").isNull()).select(*[f.name for f in S.CONTENT_FLAT.fields])
+
+
+def broken_lines(lines: DataFrame) -> DataFrame:
+    """(Process_Date, file, reason, line) of the others."""
+    return (lines.filter(F.col("_reason").isNotNull())
+            .select("Process_Date", F.col("_file").alias("file"), F.col("_reason").alias("reason"), F.col("_line").alias("line")))
+
+
 def content_range_scan(spark: SparkSession, base: str, start: dt.date, end: dt.date,
                        layout: str = "daily_files") -> DataFrame:
     """Flat viewing log of the inclusive day range; missing days are skipped (see ``content_days``)."""
@@ -137,11 +183,13 @@ def read_mapping(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 
 def read_most_search(spark: SparkSession, path: str) -> DataFrame:
-    """Top-keyword CSV -> (user_id, keyword, search_count), columns by header name."""
+    """Top-keyword CSV -> (user_id, keyword, search_count), columns by header name; a missing one raises."""
     df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
     names = _header_names(df)
-    return df.select(*[F.col(f"`{names[f.name.lower()]}`").cast(f.dataType).alias(f.name)
-                       for f in S.MOST_SEARCH.fields if f.name.lower() in names])
+    missing = [f.name for f in S.MOST_SEARCH.fields if f.name.lower() not in names]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}; present: {df.columns}")
+    return df.select(*[F.col(f"`{names[f.name.lower()]}`").cast(f.dataType).alias(f.name) for f in S.MOST_SEARCH.fields])
 
 
 def read_result_csv(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -10,6 +10,7 @@ Parquet scans.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,8 +61,8 @@ def _app_name() -> F.Column:
 
 
 def content_log(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
-                end: dt.date | None = None) -> DataFrame:
-    """events -> flat viewing log (Contract, Mac, AppName, TotalDuration, Process_Date).
+                end: dt.date | None = None, extra: Sequence[str] = ()) -> DataFrame:
+    """events -> flat viewing log (Contract, Mac, AppName, TotalDuration, Process_Date), and ``extra`` columns of events.
 
     The day range is applied on the raw timestamp so it reaches the scan as
     a pushed filter.
@@ -77,6 +78,7 @@ def content_log(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
         _app_name().alias("AppName"),
         (F.col("value").cast("decimal(18,2)") * 100).cast("long").alias("TotalDuration"),
         F.col("ts").cast("date").alias("Process_Date"),
+        *extra,
     )
 
 
@@ -159,3 +161,35 @@ def keyword_mapping_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = _part_keywords(spark, sf_dir).select("keyword").distinct()
     return (names.select("keyword", F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("_r"))
             .select(F.col("_r.period").alias("period"), "keyword", F.col("_r.Genre").alias("Genre")))
+
+
+def search_log_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole search log by day: (day, user_id, keyword). The first period's searches lie in June 2022, the second's in July,
+    on the order date's day of the month (the 31st in June: the 30th)."""
+    second = F.col("o_orderdate") >= F.lit(SEARCH_SECOND_PERIOD_START).cast("timestamp_ntz")
+    dom = F.dayofmonth("o_orderdate")
+    day = F.when(second, F.make_date(F.lit(2022), F.lit(7), dom)).otherwise(F.make_date(F.lit(2022), F.lit(6), F.least(dom, F.lit(30))))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", day.alias("day"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    p = _part_keywords(spark, sf_dir)
+    return (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+            .select("day", F.col("o_custkey").cast("string").alias("user_id"), "keyword"))
+
+
+SEARCH_MONTHS = {1: (dt.date(2022, 6, 1), dt.date(2022, 6, 30)), 2: (dt.date(2022, 7, 1), dt.date(2022, 7, 31))}
+
+
+#: Events of these remainders by 50 become broken lines of the viewing log.
+BROKEN_CYCLE, TRUNCATED, NO_SOURCE, WRONG_TYPE = 50, 7, 8, 9
+
+
+def content_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> (day, line): the viewing log's JSON lines, some of them broken."""
+    flat = content_log(spark, sf_dir, extra=["event_id"])
+    who, k = F.coalesce("Contract", F.lit("")), F.col("event_id") % BROKEN_CYCLE
+    good = F.to_json(F.struct(F.struct("Contract", "Mac", "AppName", "TotalDuration").alias("_source")))
+    line = (F.when(k == TRUNCATED, F.concat(F.lit('{"_source": {"Contract": "'), who, F.lit('", "event": '), "event_id"))
+            .when(k == NO_SOURCE, F.concat(F.lit('{"_other": {"event": '), "event_id", F.lit("}}")))
+            .when(k == WRONG_TYPE, F.concat(F.lit('{"_source": {"Contract": "'), who, F.lit('", "TotalDuration": "much '), "event_id", F.lit('"}}')))
+            .otherwise(good))
+    return flat.select(F.date_format("Process_Date", "yyyyMMdd").alias("day"), line.alias("line"))

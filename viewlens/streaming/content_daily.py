@@ -6,9 +6,9 @@ those days' profiles from all of their files, and overwrites just those
 day partitions of the sink (dynamic partition overwrite). A day that
 arrives in several files is therefore always complete, and a replayed
 micro-batch after a failure rewrites the same partitions with the same
-rows -- the sink is exactly-once in effect. Distinct device counts are not
-incrementally mergeable, which is why touched days are recomputed rather
-than updated from stream state.
+rows -- the sink is exactly-once in effect. Daily device counts cannot be
+merged; the bitmaps of ``plans.devices``, which the stream can keep beside,
+can.
 """
 
 from __future__ import annotations
@@ -21,16 +21,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from viewlens import schemas as S
 from viewlens.operators import content as C
+from viewlens.plans import devices as device_state
 from viewlens.plans.content import content_daily
 from viewlens.sources import files
 from viewlens.sources.sinks import cluster_for_write
 
-_DAY_IN_PATH = files._DAY_IN_PATH
-
 
 def _with_day(raw: DataFrame) -> DataFrame:
-    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), _DAY_IN_PATH, 1), "yyyyMMdd")
-    return C.flatten(raw.withColumn("Process_Date", day))
+    return C.flatten(files.with_path_day(raw, "Process_Date"))
 
 
 def _touched_days(batch: DataFrame) -> list[dt.date]:
@@ -42,8 +40,11 @@ def _touched_days(batch: DataFrame) -> list[dt.date]:
 def start_daily_profiles(spark: SparkSession, source: str, sink: str, checkpoint_location: str,
                          layout: str = "daily_files", available_now: bool = True,
                          max_files_per_trigger: int | None = None,
-                         files_per_day: int | None = None) -> StreamingQuery:
-    """Start the stream ``source`` day files -> ``sink`` Parquet partitioned by day."""
+                         files_per_day: int | None = None, devices: str | None = None) -> StreamingQuery:
+    """Start the stream ``source`` day files -> ``sink`` Parquet partitioned by day.
+
+    ``devices``: a folder in which the distinct devices of the touched days are kept as well (``plans.devices``).
+    """
     pattern = f"{source.rstrip('/')}/*.json" if layout == "daily_files" else f"{source.rstrip('/')}/day=*"
     reader = spark.readStream.schema(S.CONTENT_LOG_JSON)
     if max_files_per_trigger:
@@ -56,6 +57,8 @@ def start_daily_profiles(spark: SparkSession, source: str, sink: str, checkpoint
             return
         full = files.content_days(batch.sparkSession, source, days, layout)
         daily = content_daily(full).withColumn("day", F.date_format("Process_Date", "yyyy-MM-dd"))
+        if devices is not None:
+            device_state.add_days(C.valid_views(full), devices, files_per_day)
         daily = cluster_for_write(daily, ["day"], files_per_day)
         (daily.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("day").parquet(sink))
