@@ -109,3 +109,56 @@ def test_histogram_edge_cases(spark):
            [("x", 1000, 0, 0, 0, 0, 0, "Truyền Hình", "", "High")]
     h = M.device_histogram(content_rows(spark, skew)).collect()
     assert sum(r.Count for r in h) == 100  # the outlier is clipped into the cap
+
+
+def _one_by_one(r, c, s):
+    out = {"rfm_kpis": M.rfm_kpis(r), "rfm_segment_counts": M.rfm_segment_counts(r), "rfm_segment_revenue": M.rfm_segment_revenue(r),
+           "rfm_segment_share": M.rfm_segment_share(r), "top_rfm_scores": M.top_rfm_scores(r, 20), "rfm_segment_stats": M.rfm_segment_stats(r),
+           "content_kpis": M.content_kpis(c), "content_durations": M.content_durations(c), "content_most_watch": M.content_most_watch(c),
+           "content_active": M.content_active(c), "top_taste15": M.top_taste(c, 15), "content_avg_durations": M.content_avg_durations(c),
+           "device_histogram": M.device_histogram(c), "most_watch_active": M.most_watch_active(c), "top_taste20": M.top_taste(c, 20),
+           "most_watch_stats": M.most_watch_stats(c), "search_kpis": M.search_kpis(s), "genre_t6": M.genre_counts(s, "Genre_T6"),
+           "genre_t7": M.genre_counts(s, "Genre_T7"), "genre_compare": M.genre_compare(s), "top_keywords_t6": M.top_keywords(s, "Most_Searched_T6", 15),
+           "top_keywords_t7": M.top_keywords(s, "Most_Searched_T7", 15), "genre_matrix": M.genre_matrix(s),
+           "genre_matrix_wide": M.genre_matrix_wide(s), "genre_flow": M.genre_flow(s, 20), "genre_flow_nodes": M.genre_flow_nodes(s, 20),
+           "genre_flow_links": M.genre_flow_links(s, 20)}
+    if "Changing" in s.columns:
+        out |= {"change_status": M.change_status(s), "top_changing": M.top_changing(s, 15)}
+    return out
+
+
+UNSORTED = {"genre_matrix", "genre_matrix_wide", "genre_flow_nodes", "genre_flow_links", "device_histogram"}
+
+
+def _same_marts(got, want):
+    assert set(got) == set(want)
+    for name, df in want.items():
+        a, b = [tuple(r) for r in got[name].collect()], [tuple(r) for r in df.collect()]
+        if name in UNSORTED:
+            a, b = sorted(a, key=str), sorted(b, key=str)
+        assert got[name].columns == df.columns and a == b, name
+        assert [f.dataType for f in got[name].schema] == [f.dataType for f in df.schema], name
+
+
+def test_grouping_sets_give_every_mart(spark):
+    from viewlens.plans.dashboard import dashboard_marts
+    from viewlens.plans.registry import QUERIES
+    from viewlens.session import stored
+    sf = "/root/testdata/sf0.001"
+    r, c, s = (stored(QUERIES[q](spark, sf), "mart-test") for q in ("rfm_segments", "content_profile", "search_changing"))
+    got = dashboard_marts(r, c, s)
+    got.pop("filter_options")
+    _same_marts(got, _one_by_one(r.filter("Segment IS NOT NULL"), c, s))
+
+
+def test_grouping_sets_with_nulls_and_without_rows(spark):
+    from viewlens.operators import mart_sets as G
+    r = spark.createDataFrame([(1, 2, 3, 10.25, 5.0, "111", "a"), (None, None, None, None, None, None, None), (2, 1, None, 3.0, 1.0, None, "a"),
+                               (3, 1, 1, 7.5, 1.0, "555", None)],
+                              "CustomerID long, Recency int, Frequency long, Monetary double, AOV double, RFM_Score string, Segment string")
+    c = content_rows(spark, [("1", 1, 5, 0, 0, 0, 0, "x", "t", "High"), (None, None, None, 1, 2, 3, 4, None, None, None),
+                             ("3", 9, 0, 0, 0, 0, 7, "x", None, "Low"), ("4", 2, 1, 1, 1, 1, 1, None, "t", "High")])
+    s = spark.createDataFrame([("1", "k", "A", "l", "B", "A -> B"), ("2", None, None, "l", "B", None), ("3", "k", "A", "k", "A", "No Change")],
+                              "user_id string, Most_Searched_T6 string, Genre_T6 string, Most_Searched_T7 string, Genre_T7 string, Changing string")
+    for r_, c_, s_ in ((r, c, s), (r.limit(0), c.limit(0), s.limit(0)), (r, c, s.drop("Changing"))):
+        _same_marts(G.rfm_marts(G.rfm_sets(r_)) | G.content_marts(G.content_sets(c_)) | G.search_marts(G.search_sets(s_)), _one_by_one(r_, c_, s_))

@@ -98,7 +98,25 @@ nodes AS (
     GROUP BY label, _side))
 """
 
+def all_counts(table: str, sets: dict[str, tuple[str, ...]]) -> str:
+    """(mart, key, key2, Count) of every grouping of a table, one after the other."""
+    parts = []
+    for name, keys in sets.items():
+        cols = [f"CAST({k} AS VARCHAR)" for k in keys] + ["CAST(NULL AS VARCHAR)"] * (2 - len(keys))
+        where = " AND ".join(f"{k} IS NOT NULL" for k in keys) or "true"
+        group = f" GROUP BY {', '.join(keys)}" if keys else ""
+        parts.append(f"SELECT '{name}' AS mart, {cols[0]} AS key, {cols[1]} AS key2, count(*) AS Count FROM {table} WHERE {where}{group}")
+    return " UNION ALL ".join(parts)
+
+
 SQL = {
+    "mart_counts_rfm": rfm(all_counts("rfm", {"all": (), "segment": ("Segment",), "score": ("RFM_Score",)})),
+    "mart_counts_content": content(all_counts("profile", {
+        "all": (), "most_watch": ("MostWatch",), "active": ("Active",), "taste": ("Taste",), "most_watch_active": ("MostWatch", "Active"),
+        "devices": ("Total_Devices",)})),
+    "mart_counts_search": search(all_counts("search_result", {
+        "all": (), "t6": ("Genre_T6",), "t7": ("Genre_T7",), "pair": ("Genre_T6", "Genre_T7"), "keyword_t6": ("Most_Searched_T6",),
+        "keyword_t7": ("Most_Searched_T7",), "changing": ("Changing",)})),
     "mart_rfm_filtered": rfm(f"SELECT * FROM rfm WHERE Segment IN ({RFM_SEGMENTS})"),
     "mart_rfm_kpis": rfm(f"""SELECT count(*) AS customers,
   avg(Recency) AS avg_recency, avg(Frequency) AS avg_frequency,

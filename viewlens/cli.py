@@ -23,7 +23,6 @@ import datetime as dt
 import json
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -256,10 +255,8 @@ def main(argv=None) -> None:
         from viewlens.plans.dashboard import dashboard_marts
         from viewlens.sources.sinks import load_table, read_jdbc, write_parquet
 
-        kept: list[DataFrame] = []
-
         def load(src, table):
-            """The table, read from its source once and kept on the executors' disks for all marts."""
+            """The table; one aggregate reads it for all of its marts."""
             if src is None:
                 return None
             if a.input_format == "csv":
@@ -270,8 +267,7 @@ def main(argv=None) -> None:
                 df = read_jdbc(spark, a.jdbc_url, src, a.user, _password(a), a.driver, **split)
             else:
                 df = load_table(spark, src, a.input_format)
-            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-            return kept[-1]
+            return df
 
         marts = dashboard_marts(load(a.rfm, "rfm"), load(a.content, "content"), load(a.search, "search"),
                                 segments=a.segments,
@@ -279,8 +275,6 @@ def main(argv=None) -> None:
                                 genres_t7=a.genre_t7, change=a.change)
         for name, df in marts.items():
             write_parquet(df, f"{a.out.rstrip('/')}/{name}")
-        for df in kept:
-            df.unpersist()
     elif a.cmd == "devices":
         from viewlens.operators.content import valid_views
         from viewlens.plans import devices

@@ -204,10 +204,16 @@ def device_histogram(content: DataFrame, bins: int = 40, clip_quantile: float =
     counts, so no task or buffer holds the contracts. Bin index arithmetic
     is integer, so membership is exact. Only non-empty bins are returned.
     """
-    x, w = F.col("Total_Devices"), F.col("_n")
+    x = F.col("Total_Devices")
     counts = content.filter(x.isNotNull()).groupBy(x).agg(F.count(F.lit(1)).alias("_n"))
-    q = F.percentile_approx(x, clip_quantile, 10_000) if approx else F.percentile(x, clip_quantile, w)
-    stats = (content if approx else counts).agg(F.struct(F.min(x).alias("lo"), q.cast("long").alias("hi"))).scalar()
+    return histogram_of_counts(counts, bins, clip_quantile, content if approx else None)
+
+
+def histogram_of_counts(counts: DataFrame, bins: int = 40, clip_quantile: float = 0.95, approx_of: DataFrame | None = None) -> DataFrame:
+    """``device_histogram`` from (Total_Devices, _n): contracts per device count."""
+    x, w = F.col("Total_Devices"), F.col("_n")
+    q = F.percentile(x, clip_quantile, w) if approx_of is None else F.percentile_approx(x, clip_quantile, 10_000)
+    stats = (counts if approx_of is None else approx_of).agg(F.struct(F.min(x).alias("lo"), q.cast("long").alias("hi"))).scalar()
     clipped = (counts.select(x.alias("_x"), w, stats.alias("_s"))
                .select(F.least(F.col("_x"), F.col("_s.hi")).alias("x"), w,
                        F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi")))
@@ -313,7 +319,10 @@ def genre_matrix_wide(search: DataFrame, genres: Sequence[str] = S.GENRES) -> Da
     """Wide form: one row per first-month genre, one column per genre of
     the closed label set (pinned, so the schema never depends on the data),
     missing pairs 0."""
-    pairs = genre_matrix(search)
+    return matrix_wide(genre_matrix(search), genres)
+
+
+def matrix_wide(pairs: DataFrame, genres: Sequence[str] = S.GENRES) -> DataFrame:
     cols = [F.coalesce(F.sum(F.when(F.col("Genre_T7") == g, F.col("Count"))), F.lit(0)).cast("long").alias(g)
             for g in genres]
     return pairs.groupBy("Genre_T6").agg(*cols)
@@ -321,23 +330,27 @@ def genre_matrix_wide(search: DataFrame, genres: Sequence[str] = S.GENRES) -> Da
 
 def genre_flow(search: DataFrame, k: int = 20) -> DataFrame:
     """The k largest genre -> genre flows; ties by the genre pair."""
-    return (genre_matrix(search).orderBy(F.col("Count").desc(), "Genre_T6", "Genre_T7").limit(k)
+    return flows(genre_matrix(search), k)
+
+
+def flows(pairs: DataFrame, k: int) -> DataFrame:
+    return (pairs.orderBy(F.col("Count").desc(), "Genre_T6", "Genre_T7").limit(k)
             .withColumnRenamed("Count", "count"))
 
 
-def _ranked_flow(search: DataFrame, k: int) -> DataFrame:
+def _ranked_flow(pairs: DataFrame, k: int) -> DataFrame:
     # At most k rows: a global window here is bounded by k.
     w = Window.orderBy(F.col("count").desc(), "Genre_T6", "Genre_T7")
-    return genre_flow(search, k).withColumn("_rank", F.row_number().over(w))
+    return flows(pairs, k).withColumn("_rank", F.row_number().over(w))
 
 
-def _indexed_flows(search: DataFrame, k: int) -> DataFrame:
+def _indexed_flows(pairs: DataFrame, k: int) -> DataFrame:
     """Ranked flows with node indexes, all by windows over at most k rows.
 
     A first-month label's index is its order of first appearance among the
     ranked flows; second-month labels follow after all first-month labels.
     """
-    f = _ranked_flow(search, k)
+    f = _ranked_flow(pairs, k)
     f = (f.withColumn("_f6", F.min("_rank").over(Window.partitionBy("Genre_T6")))
          .withColumn("_f7", F.min("_rank").over(Window.partitionBy("Genre_T7"))))
     f = (f.withColumn("source", (F.dense_rank().over(Window.orderBy("_f6")) - F.lit(1)).cast("long"))
@@ -349,16 +362,24 @@ def _indexed_flows(search: DataFrame, k: int) -> DataFrame:
 def genre_flow_nodes(search: DataFrame, k: int = 20) -> DataFrame:
     """Node labels "<genre> (T6)" then "<genre> (T7)", each group in order of
     first appearance among the ranked flows; node_index counts from 0."""
-    f = _indexed_flows(search, k)
-    pairs = F.array(
+    return flow_nodes(genre_matrix(search), k)
+
+
+def flow_nodes(pairs: DataFrame, k: int) -> DataFrame:
+    f = _indexed_flows(pairs, k)
+    nodes = F.array(
         F.struct(F.col("source").alias("node_index"), F.concat(F.col("Genre_T6"), F.lit(" (T6)")).alias("label")),
         F.struct(F.col("target").alias("node_index"), F.concat(F.col("Genre_T7"), F.lit(" (T7)")).alias("label")))
-    return f.select(F.inline(pairs)).distinct()
+    return f.select(F.inline(nodes)).distinct()
 
 
 def genre_flow_links(search: DataFrame, k: int = 20) -> DataFrame:
     """Flows with node indexes: source, target, value."""
-    return _indexed_flows(search, k).select("source", "target", F.col("count").alias("value"))
+    return flow_links(genre_matrix(search), k)
+
+
+def flow_links(pairs: DataFrame, k: int) -> DataFrame:
+    return _indexed_flows(pairs, k).select("source", "target", F.col("count").alias("value"))
 
 
 # ── inspection and guards ──────────────────────────────────────────────────

@@ -12,8 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from viewlens import schemas as S
+from viewlens.operators import mart_sets as G
 from viewlens.operators import marts as M
 from viewlens.operators.search import normalize
+from viewlens.session import stored
 
 
 def dashboard_marts(rfm: DataFrame | None = None, content: DataFrame | None = None,
@@ -21,42 +23,26 @@ def dashboard_marts(rfm: DataFrame | None = None, content: DataFrame | None = No
                     most_watch: Sequence[str] | None = None, active: Sequence[str] | None = None,
                     genres_t6: Sequence[str] | None = None, genres_t7: Sequence[str] | None = None,
                     change: str = "all") -> dict[str, DataFrame]:
-    """name -> mart DataFrame for every table given (lazy; nothing runs here)."""
+    """name -> mart DataFrame for every table given.
+
+    Each table is read once, by one aggregate over all grouping sets of its marts; its rows, a few per key, are stored and the
+    marts read them. (The filter options, over the unfiltered tables, are a lazy scan of their own.)
+    """
     out: dict[str, DataFrame] = {}
     if rfm is not None:
         r = M.rfm_filtered(M.require_columns(normalize(rfm, S.RFM_COLUMNS), S.RFM_COLUMNS, "customer_rfm_stats"),
                            segments)
-        out.update({
-            "rfm_kpis": M.rfm_kpis(r), "rfm_segment_counts": M.rfm_segment_counts(r),
-            "rfm_segment_revenue": M.rfm_segment_revenue(r), "rfm_segment_share": M.rfm_segment_share(r),
-            "top_rfm_scores": M.top_rfm_scores(r, 20), "rfm_segment_stats": M.rfm_segment_stats(r),
-        })
+        out.update(G.rfm_marts(stored(G.rfm_sets(r), "rfm-sets")))
     if content is not None:
         c = M.content_filtered(M.require_columns(normalize(content, S.CONTENT_PROFILE_COLUMNS),
                                                  S.CONTENT_PROFILE_COLUMNS, "customer_content_stats"),
                                most_watch, active)
-        out.update({
-            "content_kpis": M.content_kpis(c), "content_durations": M.content_durations(c),
-            "content_most_watch": M.content_most_watch(c), "content_active": M.content_active(c),
-            "top_taste15": M.top_taste(c, 15), "content_avg_durations": M.content_avg_durations(c),
-            "device_histogram": M.device_histogram(c), "most_watch_active": M.most_watch_active(c),
-            "top_taste20": M.top_taste(c, 20), "most_watch_stats": M.most_watch_stats(c),
-        })
+        out.update(G.content_marts(stored(G.content_sets(c), "content-sets")))
     if search is not None:
         needed = [c for c in S.SEARCH_CHANGE_COLUMNS if c != "Changing"]  # the other marts do without it
         s = M.search_filtered(M.require_columns(normalize(search), needed, "customer_search_stats"),
                               genres_t6, genres_t7, change)
-        if "Changing" in s.columns:
-            out.update({"change_status": M.change_status(s), "top_changing": M.top_changing(s, 15)})
-        out.update({
-            "search_kpis": M.search_kpis(s), "genre_t6": M.genre_counts(s, "Genre_T6"),
-            "genre_t7": M.genre_counts(s, "Genre_T7"), "genre_compare": M.genre_compare(s),
-            "top_keywords_t6": M.top_keywords(s, "Most_Searched_T6", 15),
-            "top_keywords_t7": M.top_keywords(s, "Most_Searched_T7", 15),
-            "genre_matrix": M.genre_matrix(s), "genre_matrix_wide": M.genre_matrix_wide(s),
-            "genre_flow": M.genre_flow(s, 20), "genre_flow_nodes": M.genre_flow_nodes(s, 20),
-            "genre_flow_links": M.genre_flow_links(s, 20),
-        })
+        out.update(G.search_marts(stored(G.search_sets(s), "search-sets")))
     if rfm is not None and content is not None and search is not None:
         out["filter_options"] = M.filter_options(normalize(rfm, S.RFM_COLUMNS),
                                                  normalize(content, S.CONTENT_PROFILE_COLUMNS), normalize(search))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from viewlens import schemas as S
 from viewlens.operators import classify as K
 from viewlens.operators import content as C
+from viewlens.operators import mart_sets as G
 from viewlens.operators import marts as M
 from viewlens.operators import rfm as R
 from viewlens.operators import search as Q
@@ -398,6 +399,24 @@ for _name, (_source, _fn) in _MARTS.items():
     QUERIES[_name] = _mart_query(_source, _fn)
 
 
+@query("mart_counts_rfm")
+def mart_counts_rfm(spark, sf):
+    """All counts of the RFM marts from one aggregate over grouping sets."""
+    return G.counts(G.rfm_sets(_rfm(spark, sf)), G.RFM_SETS)
+
+
+@query("mart_counts_content")
+def mart_counts_content(spark, sf):
+    """All counts of the content marts from one aggregate."""
+    return G.counts(G.content_sets(_content(spark, sf)), G.CONTENT_SETS)
+
+
+@query("mart_counts_search")
+def mart_counts_search(spark, sf):
+    """All counts of the search marts from one aggregate."""
+    return G.counts(G.search_sets(_search(spark, sf)), G.SEARCH_SETS | {"changing": ["Changing"]})
+
+
 @query("mart_filter_options")
 def mart_filter_options(spark, sf):
     return M.filter_options(_rfm(spark, sf), _content(spark, sf), _search(spark, sf))
