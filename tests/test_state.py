@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 
 from viewlens.operators import devices as D
 from viewlens.operators import search as Q
+from viewlens.operators import classify as K
 from viewlens.plans import devices, search_state
+from viewlens.plans.content import content_daily
+from viewlens.plans.refresh import listing, refresh_daily
+from viewlens.plans.search import search_change
+from viewlens.plans.search_tables import change_from_tables, save_search_tables
+from viewlens.streaming.content_daily import read_daily_profiles
 from viewlens.sources import files, sinks
 from viewlens.sources import testdata as TD
 from viewlens.streaming.search_daily import start_daily_counts
@@ -122,3 +128,77 @@ def test_search_days_by_folder(spark, tmpdir_path):
     assert [tuple(r) for r in out.collect()] == [(dt.date(2022, 6, 1), "u", "a")]
     with pytest.raises(FileNotFoundError):
         files.search_days(spark, tmpdir_path, [dt.date(2022, 7, 1)])
+
+
+def test_only_new_and_changed_files_are_read_again(spark, tmpdir_path):
+    src, sink, ledger = (f"{tmpdir_path}/{x}" for x in ("src", "sink", "ledger"))
+    flat = TD.content_log(spark, SF, dt.date(2024, 1, 1), dt.date(2024, 1, 4)).persist()
+
+    def day(i):
+        return flat.filter(F.col("Process_Date") == F.lit(dt.date(2024, 1, i)))
+
+    def check(want):
+        want = content_daily(want)
+        assert sorted(map(tuple, read_daily_profiles(spark, sink).select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+    sinks.write_content_log(day(1).unionByName(day(2)), src, mode="append")
+    assert refresh_daily(spark, src, sink, ledger, "partitioned") == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    before = {r.path: r.modified for r in listing(spark, sink.replace("sink", "src"), "partitioned").collect()}
+    assert refresh_daily(spark, src, sink, ledger, "partitioned") == [] and before
+    sinks.write_content_log(day(3), src, mode="append")
+    late = spark.createDataFrame([("999", "late", "KPLUS", 7, dt.date(2024, 1, 1))], flat.schema)
+    sinks.write_content_log(late, src, mode="append")
+    assert refresh_daily(spark, src, sink, ledger, "partitioned") == [dt.date(2024, 1, 1), dt.date(2024, 1, 3)]
+    check(day(1).unionByName(late).unionByName(day(2)).unionByName(day(3)))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    path(src).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path(f"{src}/day=20240102"), True)
+    assert refresh_daily(spark, src, sink, ledger, "partitioned") == [dt.date(2024, 1, 2)]  # a day that is gone
+    check(day(1).unionByName(late).unionByName(day(3)))
+    sinks.write_content_log(late.withColumn("AppName", F.lit("no such app")).withColumn("Process_Date", F.lit(dt.date(2024, 1, 9))), src, mode="append")
+    assert refresh_daily(spark, src, sink, ledger, "partitioned") == [dt.date(2024, 1, 9)]  # a day without a valid view
+    check(day(1).unionByName(late).unionByName(day(3)))
+
+
+def test_bucketed_join_moves_no_keyword(spark, tmpdir_path):
+    log, mapping = TD.search_log_tagged(spark, SF), TD.keyword_mapping_tagged(spark, SF)
+    save_search_tables(log, mapping, "t_top", "t_genres", tmpdir_path, buckets=4)
+    want = sorted(map(tuple, search_change(log, mapping).collect()))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = change_from_tables(spark, "t_top", "t_genres")
+        assert sorted(map(tuple, out.collect())) == want
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin [keyword" in plan and "hashpartitioning(keyword" not in plan and "BroadcastExchange" not in plan
+    spark.sql("DROP TABLE t_top")
+    spark.sql("DROP TABLE t_genres")
+
+
+def test_a_labeller_that_dies_is_asked_for_the_rest_only(spark, tmpdir_path):
+    asked, ledger = f"{tmpdir_path}/asked", f"{tmpdir_path}/labels"
+    words = [f"w{i:03d}" for i in range(95)] + [None]
+    kw = spark.createDataFrame([(w,) for w in words * 2], "keyword string").repartition(3)
+
+    def labeller(deadly):
+        def label(batch):
+            with open(asked, "a") as f:  # the calls, seen from outside the tasks
+                f.write("\n".join(batch) + "\n")
+            if any(w in deadly for w in batch):
+                raise RuntimeError("the service is gone")
+            return {w: "Music" if w < "w050" else "not a genre" for w in batch}
+        return label
+
+    with pytest.raises(Exception, match="service is gone"):
+        K.classify_resumable(kw, labeller({"w007", "w070"}), ledger, batch_size=10)
+    done = {r.keyword for r in K.answered(spark, ledger).collect()}
+    assert 0 < len(done) < 95 and not done & {"w007", "w070"}
+    open(asked, "w").close()
+    out = {r.keyword: r.Genre for r in K.classify_resumable(kw, labeller(set()), ledger, batch_size=10).collect()}
+    assert out == {w: "Music" if w < "w050" else "Other" for w in words if w}
+    with open(asked) as f:
+        again = f.read().split()
+    assert sorted(again) == sorted(set(words) - done - {None})  # each once, and none of the answered ones
+    part = K.classify_resumable(kw.filter("keyword < 'w003'"), labeller({"w001"}), ledger, batch_size=10)
+    assert part.count() == 3  # nobody is asked

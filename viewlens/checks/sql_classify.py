@@ -35,6 +35,7 @@ SQL = {
     "keyword_classify_batched": with_ctes([LOG, KW], """
 SELECT keyword, CASE length(keyword) % 4 WHEN 0 THEN 'Music' WHEN 1 THEN 'Comedy' WHEN 2 THEN 'Animation' ELSE 'Other' END AS Genre
 FROM kw"""),
+    "keyword_classify_resumed": with_ctes([LOG, KW], "SELECT keyword, CASE length(keyword) % 2 WHEN 0 THEN 'Music' ELSE 'Comedy' END AS Genre FROM kw"),
     "keyword_classify_override": with_ctes([LOG, KW, MAPPING, P1], _KNOWN_FIRST),
     "keyword_classify_incremental": with_ctes([LOG, KW, MAPPING, P1], _KNOWN_FIRST),
     "label_response_parse": with_ctes([LOG, KW, MAPPING, P1], """

@@ -128,6 +128,6 @@ FROM events WHERE event_id % 50 IN (7, 8, 9)""",
 SELECT Contract, Mac, AppName, TotalDuration, {ISO} FROM flat"""),
     "content_range_scan": with_ctes([flat(RANGE_WHERE)], f"""
 SELECT Contract, Mac, AppName, TotalDuration, {ISO} FROM flat"""),
-    "content_daily_stream": with_ctes([flat(), CAT, VALID, DAILY, LABELED], f"""
-SELECT Contract, {ISO}, Total_Devices, {DUR_COLS}, MostWatch, Taste FROM labeled"""),
+    **dict.fromkeys(("content_daily_stream", "content_daily_refreshed"), with_ctes([flat(), CAT, VALID, DAILY, LABELED], f"""
+SELECT Contract, {ISO}, Total_Devices, {DUR_COLS}, MostWatch, Taste FROM labeled""")),
 }

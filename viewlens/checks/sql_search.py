@@ -89,6 +89,7 @@ SELECT period, keyword, count FROM (
     "search_genre_enrich": with_ctes(SEARCH_CTES[:-1], "SELECT * FROM enriched"),
     "search_changing": with_ctes(SEARCH_CTES, "SELECT * FROM search_result"),
     "search_changing_salted": with_ctes(SEARCH_CTES, "SELECT * FROM search_result"),
+    "search_changing_bucketed": with_ctes(SEARCH_CTES, "SELECT * FROM search_result"),
     "search_from_files": with_ctes(FROM_FILES_CTES, "SELECT * FROM search_result"),
     "search_normalize": with_ctes(SEARCH_CTES, "SELECT * FROM search_result"),
     "search_period_scan": with_ctes([LOG], "SELECT user_id, keyword FROM log WHERE period = 1"),

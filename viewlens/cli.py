@@ -7,6 +7,7 @@
     python -m viewlens.cli rfm --transactions CSV --out PATH
     python -m viewlens.cli marts --rfm PATH --content PATH --search PATH --out DIR
     python -m viewlens.cli stream-content --source DIR --sink PATH --checkpoint PATH
+    python -m viewlens.cli refresh-content --source DIR --sink PATH --ledger PATH
     python -m viewlens.cli devices --source DIR --start 20220401 --end 20220430 --state DIR --out PATH
     python -m viewlens.cli search-days --source DIR --checkpoint DIR --state DIR --first 20220601 20220630 --second 20220701 20220731 --out PATH
 
@@ -105,6 +106,7 @@ def main(argv=None) -> None:
     k.add_argument("--labeller", help="module:function taking a list of keywords, returning labels "
                                       "(e.g. a model client); runs on executors in batches")
     k.add_argument("--batch-size", type=int, default=100)
+    k.add_argument("--ledger", help="Parquet folder of the labeller's answers, written batch by batch: a run that died is resumed")
     k.add_argument("--partitions", type=int, help="tasks that call the labeller (default: the cluster's parallelism)")
     k.add_argument("--names", help="optional CSV (keyword, Genre) of countries, clubs and events for the rules")
     k.add_argument("--known", help="existing (keyword, Genre) labels; only new keywords are labelled "
@@ -162,6 +164,12 @@ def main(argv=None) -> None:
     sd.add_argument("--second", nargs=2, type=_date, metavar=("START", "END"))
     _sink_args(sd)
 
+    rf = sub.add_parser("refresh-content", help="bring the daily profiles up to date: reads new and changed day files only")
+    rf.add_argument("--source", required=True)
+    rf.add_argument("--sink", required=True)
+    rf.add_argument("--ledger", required=True)
+    rf.add_argument("--layout", default="daily_files", choices=["daily_files", "partitioned"])
+
     st = sub.add_parser("stream-content")
     st.add_argument("--source", required=True)
     st.add_argument("--sink", required=True)
@@ -229,6 +237,8 @@ def main(argv=None) -> None:
         if a.known:
             labels = K.classify_incremental(kw, files.read_mapping(spark, a.known), labeller, a.batch_size, a.partitions, ov,
                                             names, failures)
+        elif labeller and a.ledger:
+            labels = K.with_overrides(K.classify_resumable(kw, labeller, a.ledger, a.batch_size), ov)
         elif labeller:
             labels = K.with_overrides(K.classify_batched(kw, labeller, a.batch_size, a.partitions, failures=failures), ov)
         else:
@@ -296,6 +306,9 @@ def main(argv=None) -> None:
             if not periods:
                 ap.error("search-days: a result needs --first or --second")
             _write(search_state.top_keyword(spark, a.state, periods), a)
+    elif a.cmd == "refresh-content":
+        from viewlens.plans.refresh import refresh_daily
+        print(json.dumps({"rebuilt": [str(d) for d in refresh_daily(spark, a.source, a.sink, a.ledger, a.layout)]}))
     elif a.cmd == "stream-content":
         from viewlens.streaming.content_daily import start_daily_profiles
         q = start_daily_profiles(spark, a.source, a.sink, a.checkpoint, a.layout, available_now=not a.continuous, devices=a.devices)

@@ -20,15 +20,18 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlens import schemas as S
 from viewlens.functions import classify_rules as CR
+from viewlens.session import stored
+from viewlens.sources.publish import exists
 
 # Worker code travels by value: executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+_LABELS = "keyword string, Genre string"
 Labeller = Callable[[list[str]], Mapping[str, str] | Sequence[str]]
 
 
@@ -108,22 +111,76 @@ def classify_batched(keywords: DataFrame, labeller: Labeller, batch_size: int =
         for batch in _batches(it, batch_size):
             words = batch["keyword"].astype(str).tolist()
             try:
-                answer = labeller(words)
-                labels = [answer.get(w, default) for w in words] if hasattr(answer, "get") else list(answer)
-                if len(labels) != len(words):
-                    raise ValueError("labeller returned a wrong number of labels")
+                labels = _closed(labeller(words), words, allowed, default)
             except Exception:  # noqa: BLE001 - one bad batch must not fail the job; it is counted
                 if failures is not None:
                     failures.add(len(words))
                 if on_failure == "omit":
                     continue
                 labels = [default] * len(words)
-            labels = [x if isinstance(x, str) and x in allowed else default for x in labels]
             yield pd.DataFrame({"keyword": words, "Genre": labels})
 
     return kw.mapInPandas(run, "keyword string, Genre string")
 
 
+def classify_resumable(keywords: DataFrame, labeller: Labeller, ledger: str, batch_size: int = 100, genres: Sequence[str] = S.GENRES,
+                       default: str = S.DEFAULT_GENRE, batches_per_job: int = 10_000) -> DataFrame:
+    """(keyword, Genre) of the distinct keywords, by a labeller that may die and is then asked only for what it has not answered.
+
+    ``ledger``: a Parquet folder of answers. Every batch is a task of its own, and its answers are in the ledger as soon as the task
+    ends (each task commits its own file), whatever becomes of the job. The next run, or a task that is tried again, asks for the
+    keywords that the ledger lacks. A labeller's error is not caught: it fails the task and, after Spark's retries, the run. Should a
+    task be lost after its file was committed, its keywords may be in the ledger twice: they count once, with the least label.
+    """
+    spark, ask = keywords.sparkSession, distinct_keywords(keywords)
+    todo = stored(_unanswered(ask, ledger).withColumn("i", F.monotonically_increasing_id()), "to-label")
+    # dense numbers, from the totals of the stored partitions: batch b has the keywords b * size to (b + 1) * size - 1
+    part, place = F.shiftright("i", 33), F.col("i").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = {r.p: r.n for r in todo.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts, n = [], 0
+    for p in sorted(sizes):
+        starts.append((p, n))
+        n += sizes[p]
+    if n:
+        start = F.broadcast(spark.createDataFrame(starts, "p long, start long"))  # a row per partition
+        numbered = stored(todo.withColumn("p", part).join(start, "p").select("keyword", F.floor((F.col("start") + place) / batch_size).alias("batch")), "batches")
+    for first in range(0, -(-n // batch_size), batches_per_job):
+        count = min(batches_per_job, -(-n // batch_size) - first)
+        job = numbered.filter((F.col("batch") >= first) & (F.col("batch") < first + count))
+        job = job.withColumn("batch", (F.col("batch") - first).cast("int")).repartitionById(count, "batch").select("keyword")
+        (job.mapInPandas(_answers(labeller, set(genres), default), "keyword string, Genre string").write.mode("append")
+         .option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(ledger))  # a task's file is there when the task ends
+    return answered(spark, ledger).join(ask, "keyword", "left_semi")
+
+
+def answered(spark: SparkSession, ledger: str) -> DataFrame:
+    """(keyword, Genre) of a ledger, one row per keyword."""
+    if not exists(spark, ledger):
+        return spark.createDataFrame([], _LABELS)
+    return spark.read.schema(_LABELS).parquet(ledger).groupBy("keyword").agg(F.min("Genre").alias("Genre"))
+
+
+def _unanswered(ask: DataFrame, ledger: str) -> DataFrame:
+    return ask.join(answered(ask.sparkSession, ledger).select("keyword"), "keyword", "left_anti")
+
+
+def _answers(labeller: Labeller, allowed: set[str], default: str):
+    def run(it):
+        frames = list(it)  # one batch
+        words = [w for f in frames for w in f["keyword"].astype(str)]
+        if words:
+            yield pd.DataFrame({"keyword": words, "Genre": _closed(labeller(words), words, allowed, default)})
+    return run
+
+
+def _closed(answer, words: list[str], allowed: set[str], default: str) -> list[str]:
+    """A labeller's answer as labels of the closed set, one for each word."""
+    labels = [answer.get(w, default) for w in words] if hasattr(answer, "get") else list(answer)
+    if len(labels) != len(words):
+        raise ValueError("labeller returned a wrong number of labels")
+    return [x if isinstance(x, str) and x in allowed else default for x in labels]
+
+
 def rules_labeller(overrides: Mapping[str, str] = S.GENRE_EXAMPLES,
                    hints: Sequence[tuple[str, Sequence[str]]] = S.GENRE_HINTS) -> Labeller:
     """A Python labeller with the same rules as ``classify_rules``."""

@@ -150,8 +150,12 @@ def change_table(log: DataFrame, mapping: DataFrame, periods: Sequence[int] = (1
     ``salt_buckets > 1`` salts the join explicitly instead (see
     ``operators.joins.salted_join``), independent of AQE settings.
     """
-    dim = genre_dimension(mapping)
-    top = top_keyword(log)
+    return change_of_top(top_keyword(log), genre_dimension(mapping), periods, labels, salt_buckets)
+
+
+def change_of_top(top: DataFrame, dim: DataFrame, periods: Sequence[int] = (1, 2), labels: Sequence[str] = S.PERIOD_LABELS,
+                  salt_buckets: int = 0) -> DataFrame:
+    """``change_table`` from top keywords and the genre dimension."""
     joined = (salted_join(top, dim, ["keyword"], salt_buckets, salt_from=["period", USER])
               if salt_buckets > 1 else top.join(dim, "keyword"))
     hit = (joined.filter(F.array_contains(F.col("periods"), F.col("period")))

@@ -29,6 +29,8 @@ from viewlens.plans import devices as device_plan
 from viewlens.plans import rfm as rfm_plan
 from viewlens.plans import search as search_plan
 from viewlens.plans import search_state
+from viewlens.plans.refresh import refresh_daily
+from viewlens.plans.search_tables import change_from_tables, save_search_tables
 from viewlens.session import scratch_path, stored
 from viewlens.sources import files
 from viewlens.sources import testdata as TD
@@ -308,6 +310,16 @@ def search_changing_salted(spark, sf):
     return search_plan.search_change(log, mapping, salt_buckets=16)
 
 
+@query("search_changing_bucketed")
+def search_changing_bucketed(spark, sf):
+    """The change table from catalog tables bucketed by keyword."""
+    log, mapping = _search_inputs(spark, sf)
+    folder = scratch_path(spark, "search-tables")
+    names = [f"{name}_{folder[-32:]}" for name in ("top_keywords", "keyword_genres")]
+    save_search_tables(log, mapping, *names, folder, buckets=8)
+    return change_from_tables(spark, *names)
+
+
 @query("search_normalize")
 def search_normalize(spark, sf):
     """A loaded copy with lower-case headers and padded strings, normalised back."""
@@ -456,6 +468,14 @@ def keyword_classify_incremental(spark, sf):
                                   names=TD.known_names(spark, sf))
 
 
+@query("keyword_classify_resumed")
+def keyword_classify_resumed(spark, sf):
+    """A run that labels the keywords of even length, then one with another labeller over all: it is asked for the others only."""
+    log, ledger = TD.search_log_tagged(spark, sf), scratch_path(spark, "labels")
+    K.classify_resumable(log.filter(F.length("keyword") % 2 == 0), lambda words: ["Music"] * len(words), ledger, batch_size=100)
+    return K.classify_resumable(log, lambda words: {w: "Comedy" for w in words}, ledger, batch_size=100)
+
+
 @query("label_response_parse")
 def label_response_parse(spark, sf):
     """An answer per keyword with its first-period label, well formed or broken in one of five ways, parsed back."""
@@ -493,6 +513,19 @@ def content_daily_stream(spark, sf):
     return daily.select("Contract", iso("Process_Date"), "Total_Devices", *S.duration_columns(), "MostWatch", "Taste")
 
 
+@query("content_daily_refreshed")
+def content_daily_refreshed(spark, sf):
+    """Daily profiles by the file ledger: odd days, then a part of the even ones, the rest of these as late files, and a run without news."""
+    src, sink, ledger = (scratch_path(spark, f"refresh-{name}") for name in ("src", "sink", "ledger"))
+    flat, odd = _flat(spark, sf), F.dayofmonth("Process_Date") % 2 == 1
+    late = ~odd & (F.pmod(F.xxhash64("Contract"), F.lit(3)) == 0)
+    for part in (odd, ~odd & ~late, late, F.lit(False)):
+        write_content_log(flat.filter(part), src, layout="partitioned", mode="append", files_per_day=FILES_PER_DAY)
+        refresh_daily(spark, src, sink, ledger, "partitioned", FILES_PER_DAY)
+    daily = read_daily_profiles(spark, sink)
+    return daily.select("Contract", iso("Process_Date"), "Total_Devices", *S.duration_columns(), "MostWatch", "Taste")
+
+
 # ── Pipelines from files in the original formats ───────────────────────────
 
 @query("rfm_from_csv")

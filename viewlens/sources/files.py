@@ -10,6 +10,7 @@ comes from its file path -- one scan, not one union branch per day.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,13 @@ def _children(spark: SparkSession, base: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(path)]
 
 
+def present_days(spark: SparkSession, base: str, layout: str = "daily_files") -> list[dt.date]:
+    """The days that have a file or folder under ``base``, from one listing."""
+    shape = {"daily_files": r"(\d{8})\.json", "partitioned": r"day=(\d{8})"}[layout]
+    found = (re.fullmatch(shape, name) for name in _children(spark, base))
+    return sorted(dt.datetime.strptime(m[1], "%Y%m%d").date() for m in found if m)
+
+
 def day_paths(spark: SparkSession, base: str, days: Iterable[dt.date], layout: str = "daily_files") -> list[str]:
     """Paths of those of ``days`` that exist under ``base`` (one listing, whatever the number of days)."""
     shapes = {"daily_files": "{}.json", "partitioned": "day={}"}

@@ -48,6 +48,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder; one that does not exist is no error."""
+    fs, at = _fs(spark, path)
+    fs.delete(at, True)
+
+
 def recover(spark: SparkSession, path: str) -> None:
     """Finish what an interrupted swap left: the old table comes back if no new one took its place, else it goes."""
     old = _beside(path, "old")
