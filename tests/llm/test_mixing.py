@@ -54,9 +54,23 @@ def test_edges(spark):
     out = mixing.mixed(docs)
     assert out.columns == docs.columns
     assert out.count() == sum(r.repeats for r in rows)
+    assert all(r.repeats == 0 for r in rows if r.size == 0)
+    assert out.filter("text IS NULL OR NOT text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'").count() == 0
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
 
 
 def test_no_words_at_all(spark):
     rows = mixing.mix(documents(spark, [(1, None), (2, "")])).collect()
     assert [(r.target, r.taken) for r in rows] == [(0.0, 0), (0.0, 0)]
+
+
+@pytest.mark.parametrize("share", [1.5, 0.4])
+def test_texts_without_ids_are_told_apart(spark, share):
+    """A source of null ids, and one of a single id, come within one document of their targets."""
+    rows = [(None, "w " * (1 + i % 7) + f"n{i}", "null ids") for i in range(300)] + [(5, "w " * (1 + i % 5) + f"e{i}", "one id") for i in range(200)]
+    rows += [(i, f"a b c d {i}", "ids") for i in range(100)] + [(None, None, "null ids"), (5, "", "one id")]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), share=share).collect()
+    for source in ("null ids", "one id", "ids"):
+        mine = [r for r in out if r.source == source]
+        assert mine[0].target - max(r.size for r in mine) <= sum(r.taken for r in mine) <= mine[0].target + 1e-6
+        assert all(r.repeats == 0 for r in mine if r.size == 0)

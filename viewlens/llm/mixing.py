@@ -6,9 +6,10 @@ by source and hash bucket, the bucket in which the budget ends is refined by the
 hash is exhausted. What a long document at the threshold leaves over is filled by further rounds over the shorter
 documents that still fit.
 
-Defined cases: a null text has size 0 and is never taken; a null source is a source of its own, last in order;
-null ids hash as the empty text; documents with equal id (repeated rows) share a hash and are taken together or not
-at all; sources without words get target 0; an empty table gives an empty result; other columns are ignored.
+Defined cases: a null text has size 0, and a document of size 0 is never taken; a null source is a source of its own, last in
+order; a document's hash is that of its id and text (null: empty), so different texts with null or equal ids are told apart, and
+only rows equal in both are taken together or not at all; sources without words get target 0; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,14 +20,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewlens.llm.common import word_count
-from viewlens.session import materialize
+from viewlens.session import stored
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 HASH_BITS = 60
-#: Bits by which each refinement splits the boundary bucket; they add up to HASH_BITS.
-LEVELS = (16, 22, 22)
+#: Bits by which each refinement splits the boundary bucket; they add up to HASH_BITS. The last one meets one of 2^18 buckets of a
+#: source, a few thousand documents of a billion.
+LEVELS = (18, 42)
 ROUNDS = 3
 SALTS = 32
 #: So many sources are broadcast at most (a row each).
@@ -34,15 +36,16 @@ BROADCAST_SOURCES = 10_000
 _END = 1 << HASH_BITS
 
 
-def hash60(doc_id: Column) -> Column:
-    """The first 15 hex digits of the id's MD5 as a number."""
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
+def hash60(doc_id: Column, text: Column) -> Column:
+    """The first 15 hex digits of the MD5 of id, line feed, text, as a number."""
+    whole = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("\n"), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(whole.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, size, h: one narrow row per document, written once for all passes."""
-    return materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                                   hash60(F.col("doc_id")).alias("h")))
+    return stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+                              hash60(F.col("doc_id"), F.col("text")).alias("h")), "mix-sizes")
 
 
 def source_targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -106,18 +109,18 @@ def _taken(rounds: int) -> Column:
 
 def decisions(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, rounds: int = ROUNDS, broadcast: int = BROADCAST_SOURCES):
     """(state, few): a row per source with its target, whole passes and thresholds; whether there are few enough to broadcast."""
-    state = materialize(source_targets(rows, weights, share, most))
+    state = stored(source_targets(rows, weights, share, most), "mix-state")
     few = state.count() <= broadcast
     for k in range(rounds):
         tried = [x for j in range(k) for x in (f"t{j}", f"t{j}_left")]
         known = _with(rows, state.select("source", F.col("left").alias("fits"), *tried), few)
         open_rows = known.filter(~_taken(k) & (F.col("size") <= F.col("fits"))).select("source", "size", "h")
-        state = materialize(_threshold(open_rows, state, f"t{k}", few))
+        state = stored(_threshold(open_rows, state, f"t{k}", few), "mix-state")
     return state, few
 
 
 def _repeats(rounds: int) -> Column:
-    return F.col("full") + F.when(_taken(rounds), 1).otherwise(0)
+    return F.when(F.col("size") > 0, F.col("full") + F.when(_taken(rounds), 1).otherwise(0)).otherwise(0)
 
 
 def mix(docs: DataFrame, rounds: int = ROUNDS, **options) -> DataFrame:
@@ -132,5 +135,5 @@ def mixed(docs: DataFrame, rounds: int = ROUNDS, **options) -> DataFrame:
     """The documents the mix takes, each as often as it is taken, all columns as they were."""
     state, few = decisions(sized(docs), rounds=rounds, **options)
     row = F.struct(*[F.col(c) for c in docs.columns])
-    rows = docs.select(row.alias("row"), "source", word_count(F.col("text")).alias("size"), hash60(F.col("doc_id")).alias("h"))
+    rows = docs.select(row.alias("row"), "source", word_count(F.col("text")).alias("size"), hash60(F.col("doc_id"), F.col("text")).alias("h"))
     return _with(rows, state, few).select("row", F.explode(F.array_repeat(F.lit(1), _repeats(rounds).cast("int")))).select("row.*")

@@ -36,7 +36,7 @@ s{k} AS (SELECT s.source, s.source_size, s.target, s.full_passes, s.budget - coa
 
 MIX_SQL = r"""WITH docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h, false AS hit FROM documents),
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')), 1, 15))::BIGINT AS h, false AS hit FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size,
                    ([3, 1, 2])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM docs GROUP BY source),
 levels AS (SELECT *, 2 * source_size AS cap, 2 * source_size / w AS ratio FROM sources),
