@@ -50,3 +50,29 @@ def test_examples_are_prefixes_with_one_trained_reply(spark):
 
 def test_empty(spark):
     assert chat.digests(frame(spark).limit(0)).count() == 0
+
+
+def test_masks_cut_the_replies_out_of_the_output(spark):
+    whole = chat.formatted_examples(chat.turns(frame(spark)))
+    spans = {(r.conv_id, r.example): r for r in chat.prefix_targets(chat.turns(frame(spark))).collect()}
+    for r in whole.collect():
+        data = r.formatted.encode()
+        for k, m in enumerate(r.masks):
+            e = spans[r.conv_id, k]
+            assert data[m.mask_from:m.mask_to].decode() == r.formatted[e.target_start:e.target_end] == e.target
+
+
+def test_a_shifted_mask_changes_the_digest(spark):
+    whole = chat.formatted_examples(chat.turns(frame(spark)))
+    right = {r.conv_id: r for r in chat.digests_of(whole).collect()}
+    for by in (-1, 1):
+        moved = F.transform("masks", lambda m: F.struct(m["pos"], (m["mask_from"] + by).alias("mask_from"), (m["mask_to"] + by).alias("mask_to")))  # noqa: B023
+        for r in chat.digests_of(whole.withColumn("masks", moved)).collect():
+            assert r.turns_sha256 == right[r.conv_id].turns_sha256
+            if right[r.conv_id].n_examples:
+                assert r.loss_sha256 != right[r.conv_id].loss_sha256
+
+
+def test_one_shuffle(spark):
+    plan = chat.digests(frame(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(conv_id") == 1 and plan.count("Exchange ") == 1
