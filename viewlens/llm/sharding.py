@@ -1,10 +1,10 @@
 """Contiguous shards of near-equal bytes from prefix sums of partition totals.
 
-Rows are range-partitioned by id, sorted inside partitions and written once, narrow. Each partition reports its rows
-and bytes; running totals of these (a row per partition) give every partition its global offset, and a second read
-gives every row its offset. A row belongs to the shard in which its first byte falls when all bytes are cut into equal
-parts, so a shard differs from its target by less than one row. No group of rows is needed in one task: equal ids spread
-by their text's hash.
+Rows are counted by id, size and checksum, range-partitioned by these, sorted inside partitions and written once, narrow. Each
+partition reports its rows and bytes; running totals of these (a row per partition) give every partition its global offset, and
+a second read gives every row its offset. A row belongs to the shard in which its first byte falls when all bytes are cut into
+equal parts, so a shard differs from its target by less than one row. No group of rows is needed in one task: equal ids spread by
+their text's checksum, and the copies of one row by their numbers.
 
 Defined cases: a null text has no bytes and checksum 0; every row weighs its bytes plus 8; null ids come first; repeated
 rows are separate, in any order among themselves; an empty table gives an empty result; other columns are ignored.
@@ -18,20 +18,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewlens.llm.common import ship
-from viewlens.session import materialize
+from viewlens.session import stored
 
 ship(__name__)
 
 SHARDS = 24
 ROW_BYTES = 8
+#: Most copies of a row that one task makes from their count.
+BUNDLE = 1000
 
 
 def ordered(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, p in global order; ``p`` numbers the sorted runs, which every later read gives whole and in order."""
+    """doc_id, size, text_crc32, p in global order; ``p`` numbers the sorted runs, which every later read gives whole and in order.
+
+    Rows that are equal in all three are counted and numbered, so the copies of one row are spread over runs like other rows; those of
+    a row with more than BUNDLE copies are made in as many tasks."""
     text = F.coalesce("text", F.lit("")).cast("binary")
     rows = docs.select("doc_id", (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    runs = rows.repartitionByRange("doc_id", "text_crc32").sortWithinPartitions("doc_id", "text_crc32", "size")
-    return materialize(runs.withColumn("p", F.spark_partition_id()))
+    key = ["doc_id", "text_crc32", "size"]
+    counted = rows.groupBy(*key).agg(F.count("*").alias("n"))
+    few = counted.filter(F.col("n") <= BUNDLE).select(*key, F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    bundle = F.explode(F.sequence(F.lit(1), F.col("n"), F.lit(BUNDLE))).alias("bundle")
+    many = counted.filter(F.col("n") > BUNDLE).select(*key, "n", bundle).repartition(*key, "bundle")
+    many = many.select(*key, F.explode(F.sequence("bundle", F.least(F.col("n"), F.col("bundle") + (BUNDLE - 1)))).alias("copy"))
+    runs = few.unionByName(many).repartitionByRange(*key, "copy").sortWithinPartitions(*key, "copy")
+    return stored(runs.select("doc_id", "size", "text_crc32", F.spark_partition_id().alias("p")), "shard-runs")
 
 
 def _offsets(rows: DataFrame) -> dict[int, tuple[int, int]]:
