@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from viewlens.llm.common import coded, hash_words, mix64, ship, slices, split_words
 from viewlens.llm.components import components
-from viewlens.session import materialize
+from viewlens.session import materialize, stored
 
 ship(__name__)
 
@@ -184,26 +184,12 @@ def _whole_groups(batches, column: str):
 
 
 def _compare(least: float):
-    """From rows sorted by path: one edge a text to the least text tied to it in its small group; rows of larger groups as they are.
+    """From rows of small groups sorted by path: one edge a text to the least text tied to it in its group.
 
     A text is tied to another of the group if their sketches agree enough.
     """
     def run(batches):
-        def small_groups():
-            for batch in batches:
-                large = pa.compute.greater(batch.column("size"), BUCKET)
-                if pa.compute.any(large).as_py():
-                    wide = batch.filter(large)
-                    yield wide, True
-                    batch = batch.filter(pa.compute.invert(large))
-                yield batch, False
-
-        def out(u, v, path, size, parent):
-            return pa.RecordBatch.from_arrays([u, v, path, size, parent], ["u", "v", "path", "size", "parent"])
-
-        kept = []
-
-        def compared(t):
+        for t in _whole_groups((b for b in batches if b.num_rows), "path"):
             path, tid = t["path"].to_numpy(), t["tid"].to_numpy()
             m = _matrix(t["small"], np.uint8, COORDINATES)
             a, b, step = [], [], 1
@@ -217,44 +203,35 @@ def _compare(least: float):
                 step += 1
             if a:
                 rows, roots = _least_linked(len(path), np.concatenate(a), np.concatenate(b), tid)
-                none = pa.nulls(len(rows), pa.int64())
-                yield out(pa.array(tid[rows]), pa.array(roots), none, none, none)
-
-        def alone():
-            for batch, large in small_groups():
-                if large:
-                    kept.append(out(batch.column("tid"), batch.column("least"), batch.column("path"), batch.column("size"), batch.column("parent")))
-                elif batch.num_rows:
-                    yield batch
-
-        for t in _whole_groups(alone(), "path"):
-            yield from kept
-            kept.clear()
-            yield from compared(t)
-        yield from kept
+                yield pa.RecordBatch.from_arrays([pa.array(tid[rows]), pa.array(roots)], ["u", "v"])
     return run
 
 
 def candidate_edges(texts: DataFrame, runs: int, threshold: float) -> DataFrame:
     """u, v: edges whose components hold every pair that met on a path within reach of the threshold.
 
-    A level is one shuffle by path: group sizes, then comparison of small groups in the same tasks.
+    Each level first counts the paths, narrow and combined before the shuffle. Rows of large groups stay where they are: they are
+    met with their group's size and least text by a join that sends the few large paths to the tasks, and go to the next level or,
+    where their group is dense, get an edge to its least text. Only rows of groups of 2 to BUCKET are shuffled by path and compared.
     """
     least = threshold - 4.5 * math.sqrt(threshold * (1 - threshold) / COORDINATES)
     schema = "path long, tid long, small binary, parent long"
     rows, edges = texts.select("sketch", "small", "tid").mapInArrow(_roots(runs), schema), []
-    group = Window.partitionBy("path")
     for level in range(DEPTH):
-        met = rows.withColumns({"size": F.count("*").over(group), "least": F.min("tid").over(group)}).filter("size > 1")
-        met = materialize(met.sortWithinPartitions("path").mapInArrow(_compare(least), "u long, v long, path long, size long, parent long"))
-        edges.append(met.filter("path IS NULL").select("u", "v"))
-        large = met.filter("path IS NOT NULL")
+        if level:
+            rows = stored(rows, "paths")
+        large = rows.groupBy("path").agg(F.count("*").alias("size"), F.min("tid").alias("least")).filter(F.col("size") > BUCKET)
+        large = stored(large, "large-paths")
+        small = rows.join(large.select("path"), "path", "left_anti").select("path", "tid", "small")
+        small = small.withColumn("size", F.count("*").over(Window.partitionBy("path"))).filter("size > 1").drop("size")
+        edges.append(stored(small.sortWithinPartitions("path").mapInArrow(_compare(least), "u long, v long"), "path-edges"))
         if large.isEmpty():
             break
+        met = rows.select("path", "tid", "parent").join(large, "path")
         dense = F.lit(level == DEPTH - 1) | F.coalesce(2 * F.col("size") >= F.col("parent"), F.lit(False))
-        edges.append(large.filter(dense & (F.col("u") != F.col("v"))).select("u", "v"))
-        split = large.filter(~dense).select("path", F.col("u").alias("tid"), "size").join(texts.select("tid", "sketch", "small"), "tid")
-        rows = split.mapInArrow(_children, schema)
+        met = stored(met.select("path", "tid", "size", "least", dense.alias("dense")), "large-groups")
+        edges.append(met.filter("dense AND tid != least").select(F.col("tid").alias("u"), F.col("least").alias("v")))
+        rows = met.filter("NOT dense").select("path", "tid", "size").join(texts.select("tid", "sketch", "small"), "tid").mapInArrow(_children, schema)
     out = edges[0]
     for e in edges[1:]:
         out = out.unionByName(e)
