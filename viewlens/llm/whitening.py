@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -94,7 +95,9 @@ def block_matrix(rows: DataFrame, n: int, d: int) -> BlockMatrix:
     """idx, y (array of double) as a BlockMatrix; rows stay in the JVM."""
     high = max(1, BLOCK_ENTRIES // d, math.ceil(n / MOST_BLOCKS))
     vectors = MLUtils.convertVectorColumnsFromML(rows.select("idx", array_to_vector("y").alias("y")), "y")
-    return IndexedRowMatrix(vectors, n, d).toBlockMatrix(high, d)
+    blocks = IndexedRowMatrix(vectors, n, d).toBlockMatrix(high, d)
+    blocks.persist(StorageLevel.MEMORY_AND_DISK)  # two multiplications read them; lost ones are made again from the stored rows
+    return blocks
 
 
 def scatter(blocks: BlockMatrix) -> np.ndarray:
@@ -148,6 +151,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     some = e > NO_VARIANCE * trace
     k = int(some.sum())
     z = stored(projected(blocks, u[:, :k] / np.sqrt(e[:k])), "whitening-projected") if k else None
+    blocks._java_matrix_wrapper._java_model.blocks().unpersist(False)
     error = identity_error(z, n, k) if k else None
     out = rows.select("idx", "vec_id", deviation(off, kind).alias("deviation"))
     out = out.join(z, "idx") if k else out.withColumn("z", F.array().cast("array<double>"))
