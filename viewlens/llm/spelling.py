@@ -37,7 +37,7 @@ RATIO = 2
 #: Letters that select a part at first: of the beginning, of the end. A pair of words of LEAST_LENGTH agrees in one of both.
 BEGIN, END = 2, 3
 #: Words of a part.
-MOST = 20_000
+MOST = 2_000
 
 
 def runs(docs: DataFrame) -> DataFrame:
