@@ -52,6 +52,12 @@ def test_many_blocks_and_parts(spark, monkeypatch):
     check(QUERIES["op4_pitman_yor_score"](spark, SF).collect(), texts)
 
 
+def test_repeated_rows_count_each(spark, monkeypatch):
+    monkeypatch.setattr(hpy_lm, "BLOCK_BYTES", 1 << 14)
+    rows = [(7, "a text that is everywhere " * 3)] * 900 + [(6, "held out or not")] * 400 + [(i, f"text number {i}") for i in range(900)]
+    check(hpy_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
+
+
 def test_edges(spark):
     check(hpy_lm.score(documents(spark)).collect(), EDGE)
     only = [i for i in range(50) if out_of_sample(i)][:3]
@@ -69,7 +75,7 @@ def test_probabilities_of_a_context_add_up_to_one():
     ask = [f"{u} {w}" for u in known for w in [*known, "unknown"]]
     texts, bits = [*learn, *ask], 40
     table = pa.table({"packed": pa.array([zstandard.compress(t.encode()) for t in texts], pa.binary()),
-                      "held_out": pa.array([False] * len(learn) + [True] * len(ask))})
+                      "held_out": pa.array([False] * len(learn) + [True] * len(ask)), "copies": pa.array([1] * len(texts), pa.int64())})
     key = (pa.scalar(0, pa.int32()),)
     asked = hpy_lm._request(bits, 1)(key, table)
     answers = hpy_lm._with_globals(hpy_lm._answer_first)(key, hpy_lm._first_tables(bits, 1)(key, asked))

@@ -1,7 +1,11 @@
+import collections
 import hashlib
+import json
 
 import public_tokenizers
+import pytest
 from frames import EDGE, SF, documents
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from viewlens.llm import blocks, word_bpe
 from viewlens.llm.queries import QUERIES
@@ -43,3 +47,27 @@ def test_many_blocks_and_parts_give_the_same(spark, monkeypatch):
 
 def test_empty(spark):
     assert word_bpe.encode_digests(documents(spark).limit(0), PATH).count() == 0
+
+
+def test_other_vocabularies_are_refused(spark, tmp_path):
+    with open(PATH) as f:
+        file = json.load(f)
+    spaced = file | {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}}
+    decoding = file | {"decoder": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}
+    for k, other in enumerate((spaced, decoding)):
+        path = tmp_path / f"{k}.json"
+        path.write_text(json.dumps(other))
+        with pytest.raises(ValueError, match="vocabulary"):
+            word_bpe.encode(documents(spark), str(path))
+
+
+def test_repeated_rows_do_not_crowd_a_block(spark, monkeypatch):
+    """A third of all rows is one row: it is in its block once, with a count, and comes out as often as it went in."""
+    rows = [(7, "a text that is everywhere " * 3)] * 3000 + [(None, None)] * 500 + [(i, f"text number {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt, _ = blocks.dealt(docs, block_bytes=1 << 16)
+    assert dealt.count() == 3002 and dealt.agg(F.sum("copies")).first()[0] == len(rows)
+    assert max(r.n for r in dealt.groupBy("block").agg(F.count("*").alias("n")).collect()) < 1500
+    monkeypatch.setattr(word_bpe, "dealt", lambda d, **_: blocks.dealt(d, block_bytes=1 << 16, part_bytes=1 << 17))
+    got = collections.Counter((r.doc_id, tuple(r.ids)) for r in word_bpe.encode(docs, PATH).collect())
+    assert got[7, tuple(want(rows[0][1])[0])] == 3000 and got[None, ()] == 500 and sum(got.values()) == len(rows)

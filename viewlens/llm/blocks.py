@@ -1,6 +1,6 @@
 """Blocks of documents that ask for values by key and get them back.
 
-Documents are dealt into blocks by hash. A block lists each key it needs once (a word, a pair of words), split into
+Documents are dealt into blocks by hash; a row that is repeated so often that it would crowd its block goes there once, with a count. A block lists each key it needs once (a word, a pair of words), split into
 parts by key and packed into one binary row a part; a part meets the requests of all blocks, works out each key's value
 once, and answers every block in the block's own key order. Texts travel compressed. So what is shuffled grows with the distinct keys of blocks
 and not with word occurrences, no task holds more than a block or a part, and nothing depends on row order.
@@ -15,20 +15,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewlens.llm.common import ship, text_bytes
+from viewlens.llm.common import ship
+from viewlens.session import stored
 
 ship(__name__)
 
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 24 << 20
+#: What a row takes besides its text.
+ROW_BYTES = 64
+
+
+def _bundled(docs: DataFrame, columns: list, block_bytes: int):
+    """(rows with ``copies`` and a hash ``h``, bytes of all texts): rows that are repeated so often that they would crowd a block are one row.
+
+    One narrow aggregate counts rows by hash of id and text. Those of which there is more than a quarter of a block (a row counts
+    ROW_BYTES besides its text) are few, four a block at most, so their hashes can be sent to every task; their rows are collapsed
+    map-side into one with a count."""
+    text = F.coalesce("text", F.lit("")).alias("text")
+    rows = docs.select("doc_id", *columns, F.xxhash64("doc_id", "text").alias("h"), text)
+    sizes = stored(rows.groupBy("h").agg(F.count("*").alias("n"), F.sum(F.octet_length("text") + F.lit(ROW_BYTES)).cast("long").alias("bytes"))
+                   .withColumn("crowd", (F.col("n") > 1) & (F.col("bytes") > block_bytes // 4)), "block-sizes")
+    total = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("b"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    crowds = sizes.filter("crowd").select("h")
+    if not crowds.isEmpty():
+        each = rows.columns
+        crowd = rows.join(F.broadcast(crowds), "h", "left_semi").groupBy(*each).agg(F.count("*").alias("copies"))
+        rows = rows.join(F.broadcast(crowds), "h", "left_anti").withColumn("copies", F.lit(1).cast("long")).select(*each, "copies").unionByName(crowd)
+    else:
+        rows = rows.withColumn("copies", F.lit(1).cast("long"))
+    return rows, int(total.b) - ROW_BYTES * int(total.n)
 
 
 def dealt(docs: DataFrame, *columns, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES):
-    """(rows with ``packed`` texts and a ``block``, number of parts). Sizes follow the data; the id and text decide the block."""
-    size = text_bytes(docs)
+    """(rows with ``copies``, ``packed`` texts and a ``block``, number of parts). Sizes follow the data; the id and text decide the block."""
+    rows, size = _bundled(docs, list(columns), block_bytes)
     blocks, parts = max(1, math.ceil(size / block_bytes)), max(1, math.ceil(size / part_bytes))
-    text = F.coalesce("text", F.lit("")).alias("text")
-    rows = docs.select("doc_id", *columns, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), text)
+    names = [c for c in rows.columns if c not in ("h", "text", "copies")]
+    rows = rows.select(*names, "copies", F.pmod("h", F.lit(blocks)).cast("int").alias("block"), "text")
     names = rows.columns[:-1]
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
 
@@ -44,6 +68,12 @@ def dealt(docs: DataFrame, *columns, block_bytes: int = BLOCK_BYTES, part_bytes:
     return rows.mapInArrow(compress, f"{kinds}, packed binary"), parts
 
 
+def apart(rows: DataFrame) -> DataFrame:
+    """A row for each of a row's ``copies``."""
+    some = F.when(F.col("copies") > 1, F.sequence(F.lit(1).cast("long"), F.col("copies"))).otherwise(F.array(F.lit(1).cast("long")))
+    return rows.withColumn("copies", F.explode(some)).drop("copies")
+
+
 def texts_of(table: pa.Table) -> pa.Array:
     """The texts of a block's rows."""
     import zstandard

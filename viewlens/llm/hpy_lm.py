@@ -12,7 +12,7 @@ and scores its texts. A part seats by a generator seeded with its number, so wor
 gives the same tables. Nothing is collected; shuffled are distinct pairs and words of blocks and parts.
 
 Tokens are words with A-Z in lower case, then one end. Words are told apart by hashes of log2(bytes) + 20 bits.
-Discounts are estimated from counts of counts.
+Discounts are estimated from counts of counts. The logarithms of pairs travel as 32-bit floats (8 digits), sums are doubles.
 
 Defined cases: a null text is empty and has one token, its end; a null id folds as the empty text; repeated rows
 count each; without training texts all probabilities are 1; an empty table gives an empty result; other columns are ignored.
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewlens.llm.blocks import dealt, pack_floats, pack_ints, texts_of, unpack_floats, unpack_ints
+from viewlens.llm.blocks import apart, dealt, pack_floats, pack_ints, texts_of, unpack_floats, unpack_ints
 from viewlens.llm.common import coded, fold, hash_words, ship, split_words, text_bytes
 
 ship(__name__)
@@ -91,10 +91,10 @@ def seat(count: np.ndarray, rate: np.ndarray, discount: float, rng) -> np.ndarra
 def _request(bits: int, parts: int):
     def run(key, t):
         offsets, hashes, context, word = pairs_of(texts_of(t), bits)
-        learn = np.repeat(~t["held_out"].to_numpy(), np.diff(offsets))
+        learn = np.repeat(np.where(t["held_out"].to_numpy(), 0, t["copies"].to_numpy()), np.diff(offsets))
         m = len(hashes)
         code, place = np.unique(context * m + word, return_inverse=True)
-        count = np.bincount(place, weights=learn, minlength=len(code)).astype(np.int64)
+        count = np.bincount(place, weights=learn.astype(np.float64), minlength=len(code)).astype(np.int64)
         u, w = code // m, code % m
         part = owner(hashes, bits, parts)
         cut = np.searchsorted(part, np.arange(parts + 1))
@@ -277,7 +277,7 @@ def _score(bits: int):
 
         def total(x):
             return np.add.reduceat(x, offsets[:-1])
-        return pa.table({"doc_id": t["doc_id"], "held_out": t["held_out"], "n_tokens": pa.array(np.diff(offsets)),
+        return pa.table({"doc_id": t["doc_id"], "copies": t["copies"], "held_out": t["held_out"], "n_tokens": pa.array(np.diff(offsets)),
                          "n_known": pa.array(total((count > 0)[word].astype(np.int64))), "train_tokens": pa.array(np.full(len(offsets) - 1, int(tokens))),
                          "base_score": pa.array(total(base[word])), "score": pa.array(total(logs[place]))})
     return run
@@ -295,8 +295,8 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
     both = answers.unionByName(sampled.groupBy("part").applyInArrow(_answer_sampled, _MESSAGE))
     logs = asked.groupBy("part").cogroup(both.groupBy("part")).applyInArrow(
         _answer_blocks, "block int, part int, logs binary, seen binary, globals array<double>")
-    return rows.groupBy("block").cogroup(logs.groupBy("block")).applyInArrow(
-        _score(bits), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return apart(rows.groupBy("block").cogroup(logs.groupBy("block")).applyInArrow(
+        _score(bits), f"doc_id {kind}, copies long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
 
 
 def _with_globals(answer):

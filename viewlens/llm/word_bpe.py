@@ -1,7 +1,7 @@
 """BPE encoding and decoding through a table of distinct words.
 
 Words end at ASCII white space, which the vocabulary's own splitting drops and never joins over, so a text's ids are its
-words' ids in order. Blocks of documents send their distinct words, spread by hash; each distinct word is encoded once
+words' ids in order; a vocabulary file that does not split there is refused. Blocks of documents send their distinct words, spread by hash; each distinct word is encoded once
 where its requests meet; the ids go back to the blocks and are put in place by position. Decoding joins each id to its
 piece in the vocabulary's id-to-piece table. The vocabulary file has a fixed size and is sent to every task.
 
@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from viewlens.llm.blocks import dealt, texts_of
+from viewlens.llm.blocks import apart, dealt, texts_of
 from viewlens.llm.common import coded, hash_words, ship, split_words
 
 ship(__name__)
@@ -49,6 +49,27 @@ def _tokenizer(data: bytes):
     return t
 
 
+def check_splitting(data: bytes) -> None:
+    """Raises unless a text's ids are its words' ids one after the other, and ids decode to their pieces joined by a space: what the
+    table of distinct words relies on."""
+    t, pieces = _tokenizer(data), id_to_piece(data)
+
+    def ids(text: str) -> list[int]:
+        return t.encode(text, add_special_tokens=False).ids
+
+    loose = [a["content"] for a in json.loads(data)["added_tokens"] if a["lstrip"] or a["rstrip"] or a["content"].split() != [a["content"]]]
+    words = ["a", "I", "don't", "'s", "12", "!?", "\u00e9t\u00e9", "e\u0301", "\u4e2d\u6587", "x1y", "\U0001f600", *(p for p in list(pieces.values())[:3] if p.split() == [p])]
+    for x in words:
+        for y in words:
+            for gap in (" ", "\n", "\t \r\n", "\x0b", "\x0c"):
+                both = ids(x + gap + y)
+                if loose or both != ids(x) + ids(y) or t.decode(both, skip_special_tokens=False) != " ".join(pieces[i] for i in both):
+                    raise ValueError("this vocabulary joins over white space, or does not decode to pieces with a space between: "
+                                     + repr(loose or x + gap + y))
+    if any(ids(gap) for gap in ("", " ", "\n\t ")):
+        raise ValueError("this vocabulary has ids for white space")
+
+
 def _by_part(words: pa.Array, parts: int):
     """(order, ends): words by part and code point, and where each part ends; only the set of words decides it."""
     order = pc.sort_indices(words).to_numpy() if len(words) else np.zeros(0, np.int64)
@@ -121,6 +142,7 @@ def _joined(values: pa.Array, offsets: np.ndarray) -> pa.Array:
 def encoded(docs: DataFrame, vocabulary: str, digest=None, schema: str = "n_tokens long, ids array<int>, decoded string"):
     """doc_id, n_tokens and what ``digest`` makes of each document's ids, ids as text, and decoded text (functions)."""
     spark = docs.sparkSession
+    check_splitting(vocabulary_bytes(vocabulary))
     data = spark.sparkContext.broadcast(vocabulary_bytes(vocabulary))  # a fixed file of a few MB
     pieces = spark.sparkContext.broadcast(id_to_piece(data.value))
     rows, parts = dealt(docs, block_bytes=BLOCK_BYTES)
@@ -150,7 +172,7 @@ def encoded(docs: DataFrame, vocabulary: str, digest=None, schema: str = "n_toke
         some = tokens > 0  # a word without ids leaves no space
         kept = np.concatenate([[0], np.cumsum(some)])[offsets]
         ends = np.concatenate([[0], np.cumsum(tokens, dtype=np.int64)])
-        out = {"doc_id": table["doc_id"], "n_tokens": pa.array(np.diff(ends[offsets]))}
+        out = {"doc_id": table["doc_id"], "copies": table["copies"], "n_tokens": pa.array(np.diff(ends[offsets]))}
         pick = pa.array(at[some])
 
         def id_lists():
@@ -160,7 +182,7 @@ def encoded(docs: DataFrame, vocabulary: str, digest=None, schema: str = "n_toke
         out |= finish(id_lists, lambda: _joined(id_text.take(pick), kept), lambda: _joined(decoded.take(pick), kept))
         return pa.table(out)
 
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join_back, f"doc_id {kind}, {schema}")
+    return apart(rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join_back, f"doc_id {kind}, copies long, {schema}"))
 
 
 def lists_of(id_lists, id_texts, decoded) -> dict:
