@@ -4,9 +4,10 @@ import __spark_entry__
 import corpus_pipeline as P
 import pytest
 from test_chosen_path import plain
+from test_line_rules import GOOD
 from test_word_bpe import want
 
-from frames import SF
+from frames import EDGE, SF, documents
 from viewlens.llm import fm_quality, line_rules, mixing
 
 
@@ -65,3 +66,26 @@ def test_encode(outputs):
 
 def test_run_gives_the_last_stage(spark, outputs):
     assert ids(P.run(spark, SF)) == ids(outputs[5])
+
+
+@pytest.mark.parametrize("rows", ["edge", "none"])
+def test_awkward_and_empty_tables(spark, tmp_path, rows):
+    """Nulls, empty and long texts, repeated rows, clashing columns, no documents, no labels: every stage returns whole rows."""
+    docs = documents(spark, EDGE + [(100 + i, GOOD.replace("word", f"w{chr(97 + i)}")) for i in range(3)] * 2)
+    docs = docs if rows == "edge" else docs.limit(0)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(100, 1, 0), (3, 0, 0), (None, 1, None), (101, None, 0)], "doc_id long, quality int, toxic int")
+    (labels if rows == "edge" else labels.limit(0)).write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = {}
+    for k, (name, stage) in enumerate(P.STAGES[1:-1]):  # what the classifier keeps depends on a handful of labels: all rows go on
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / f"stage{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"stage{k}"))
+        kept[name] = ids(docs)
+    assert kept["near duplicates"] == ([100, 101, 102] if rows == "edge" else [])
+    assert set(kept["mix sources"]) <= {100, 101, 102}  # the mix may take a document twice or not at all
+    last = P.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in last) == sorted(r.doc_id for r in docs.collect())
+    assert {r.doc_id for r in P.run(spark, str(tmp_path)).collect()} <= {100, 101, 102}
