@@ -2,6 +2,10 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows the stage before it kept, and returns a DataFrame that is written as
 Parquet and read again. All but the last return the columns of ``documents``.
+
+Defined cases: null and empty texts, and texts under 50 words, go with the quality rules; of equal and near rows one stays; null ids
+are kept; columns besides doc_id, text and source pass through the stages unread (``n_chars`` follows a cleaned text) and end with the
+last one; without documents, or if nothing is kept, the result is empty; without labels every score is 0.5 and no document stays.
 """
 
 from __future__ import annotations
