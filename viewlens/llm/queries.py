@@ -6,6 +6,7 @@ from __future__ import annotations
 from viewlens.llm import (ann_tree, chat, chosen_path, cross_parse, fm_quality, hpy_lm, line_rules, maxscore, mixing, sharding, spelling,
                           whitening, word_bpe)
 from viewlens.llm.common import documents
+from viewlens.llm.sql import JOIN_SQL, SHARD_SQL, SPELLING_SQL
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -80,7 +81,7 @@ def op2_chat_prefix_targets(spark, sf):
     return chat.digests(rows.unionByName(own))
 
 
-@query("op3_contiguous_shards")
+@query("op3_contiguous_shards", SHARD_SQL)
 def op3_contiguous_shards(spark, sf):
     return sharding.shard(documents(spark, sf))
 
@@ -107,7 +108,7 @@ def op10_word_bpe(spark, sf):
     return word_bpe.encode_digests(documents(spark, sf), word_vocabulary())
 
 
-@query("op9_chosen_path_join")
+@query("op9_chosen_path_join", JOIN_SQL)
 def op9_chosen_path_join(spark, sf):
     return chosen_path.join(documents(spark, sf))
 
@@ -148,6 +149,6 @@ def op12_block_whitening(spark, sf):
     return whitening.whiten(spark.read.parquet(f"{sf}/embeddings.parquet"))
 
 
-@query("op13_spelling_forms")
+@query("op13_spelling_forms", SPELLING_SQL)
 def op13_spelling_forms(spark, sf):
     return spelling.forms(documents(spark, sf))
