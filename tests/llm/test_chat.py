@@ -76,3 +76,23 @@ def test_a_shifted_mask_changes_the_digest(spark):
 def test_one_shuffle(spark):
     plan = chat.digests(frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(conv_id") == 1 and plan.count("Exchange ") == 1
+
+
+def test_a_prefix_example_for_each_reply(spark):
+    whole = chat.formatted_examples(chat.turns(frame(spark)))
+    rendered = chat.turns(frame(spark))
+    want = {(r.conv_id, r.example): (r.text, r.target) for r in chat.example_texts(chat.prefix_targets(rendered), chat.formatted(rendered)).collect()}
+    rows = chat.prefix_examples(whole, "conv_id").collect()
+    got = {(r.conv_id, r.example): (r.text, r.text.encode()[r.mask_from:r.mask_to].decode()) for r in rows if r.example is not None}
+    assert got == want and len(got) == sum(r[2] == "assistant" for r in ROWS)
+    assert sorted(r.conv_id for r in rows if r.example is None) == [2, 3, 5]
+
+
+def test_the_loss_is_read_from_the_prefix_examples(spark, monkeypatch):
+    whole = chat.formatted_examples(chat.turns(frame(spark)))
+    right = {r.conv_id: r for r in chat.digests_of(whole).collect()}
+    cut = chat.prefix_examples
+    monkeypatch.setattr(chat, "prefix_examples", lambda *a: cut(*a).withColumn("text", F.expr("substring(text, 1, length(text) - 10)")))
+    for r in chat.digests_of(whole).collect():
+        assert (r.n_turns, r.turns_sha256, r.n_examples) == (right[r.conv_id].n_turns, right[r.conv_id].turns_sha256, right[r.conv_id].n_examples)
+        assert (r.loss_chars < right[r.conv_id].loss_chars) == (right[r.conv_id].loss_chars > 0), r.conv_id

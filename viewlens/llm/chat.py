@@ -3,8 +3,8 @@ r"""Chat formatting with one training example per assistant turn (built-in funct
 A turn becomes ``### role: text</turn>\n``. Inside texts and roles ``\``, ``<`` and ``#`` are written ``\b``, ``\l``
 and ``\h`` (roles also ``:`` as ``\c`` and a line feed as ``\n``), so no control string can occur in them and the
 original is read back exactly. The examples of a conversation are prefixes of its one formatted text: example k is
-the text up to the end of its k-th assistant turn, of which only that reply is trainable. Prefixes are kept as
-lengths and cut out on demand, so a conversation of n turns costs n rows and not the sum of all prefixes.
+the text up to the end of its k-th assistant turn, of which only that reply is trainable. Between tasks prefixes are
+lengths; their texts are cut out row by row where they are read, so no prefix is shuffled or held beside another.
 
 Defined cases: null text or role is empty; a null conv_id is a conversation of its own; turns are ordered by turn
 (null first), role, text, so ties and repeated rows have a fixed order and are all kept; a conversation without
@@ -102,21 +102,40 @@ def formatted_examples(rendered: DataFrame) -> DataFrame:
                                            F.sort_array(F.collect_list(mask)).alias("masks"))
 
 
-def masked(text: Column, masks: Column) -> Column:
-    """The original text under loss masks: cut out of the formatted text, unescaped, nothing between."""
-    data = text.cast("binary")
-    return F.array_join(F.transform(masks, lambda m: unescape(F.substring(data, (m["mask_from"] + 1).cast("int"), (m["mask_to"] - m["mask_from"]).cast("int")).cast("string"))), "")
+def prefix_examples(whole: DataFrame, *carried: str) -> DataFrame:
+    """``carried``, example, text, mask_from, mask_to: a row per loss mask of (formatted, masks), in their order from 0.
+
+    The example's text is the prefix that ends with the masked turn; its loss mask is the byte span [mask_from, mask_to) of that text.
+    A conversation without masks has one row, without example and text. Rows stay where their conversation is."""
+    rows = whole.select(*carried, "formatted", F.posexplode_outer("masks").alias("example", "mask"))
+    prefix = _bytes(F.col("formatted"), F.lit(0), F.col("mask.mask_to") + len(END))
+    return rows.select(*carried, "example", prefix.alias("text"), "mask.mask_from", "mask.mask_to")
+
+
+def _bytes(text: Column, start: Column, end: Column) -> Column:
+    """The text's bytes [start, end)."""
+    return F.substring(text.cast("binary"), (start + 1).cast("int"), (end - start).cast("int")).cast("string")
+
+
+def reply() -> Column:
+    """The original text under an example's loss mask: cut out of the example's text, unescaped."""
+    return unescape(_bytes(F.col("text"), F.col("mask_from"), F.col("mask_to")))
 
 
 def digests(conversations: DataFrame) -> DataFrame:
-    """What is read back from the formatted texts and their loss masks: a row per conversation."""
+    """What is read back from the formatted texts and their examples: a row per conversation."""
     return digests_of(formatted_examples(turns(conversations)))
 
 
 def digests_of(whole: DataFrame) -> DataFrame:
-    """The digests of (conv_id, formatted, masks); only these columns are read."""
-    whole = whole.withColumns({"turns": read_turns(F.col("formatted")), "loss": masked(F.col("formatted"), F.col("masks"))})
+    """The digests of (conv_id, formatted, masks): turns from the formatted text, the loss from the prefix examples; only these columns are read."""
+    whole = whole.withColumn("turns", read_turns(F.col("formatted")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return whole.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
-                        F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
-                        F.length("formatted").cast("long").alias("formatted_chars"), F.size("masks").cast("long").alias("n_examples"))
+    own = whole.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"), "formatted", "masks")
+    per_conversation = ("conv_id", "n_turns", "turns_sha256", "formatted_chars")
+    replies = F.sort_array(F.collect_list(F.when(F.col("example").isNotNull(), F.struct("example", reply().alias("reply")))))
+    read = (prefix_examples(own, *per_conversation).groupBy(*per_conversation)
+            .agg(F.array_join(F.transform(replies, lambda x: x["reply"]), "").alias("loss"), F.count("example").alias("n_examples")))
+    return read.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"),
+                       F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars", "n_examples")
