@@ -42,8 +42,10 @@ def text_bytes(df: DataFrame, col: str = "text") -> int:
     return int(df.agg(F.coalesce(F.sum(F.octet_length(col)), F.lit(0))).first()[0])
 
 
-def slices(batch: pa.RecordBatch, col: str = "text", limit: int = 8 << 20, rows: int = 1 << 20):
-    """Cuts of a batch whose texts hold ``limit`` bytes at most (one row at least), with ``rows`` rows at most."""
+def slices(batch: pa.RecordBatch, col: str = "text", limit: int = 1 << 20, rows: int = 1 << 20):
+    """Cuts of a batch whose texts hold ``limit`` bytes at most (one row at least), with ``rows`` rows at most.
+
+    Work on a slice takes some 30 times its bytes. What Arrow keeps of that is given back after each batch, since workers live on."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(col))), 0).to_numpy(zero_copy_only=False)
@@ -54,6 +56,7 @@ def slices(batch: pa.RecordBatch, col: str = "text", limit: int = 8 << 20, rows:
             total, start = 0, i
         total += n
     yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array, lower: bool = False):

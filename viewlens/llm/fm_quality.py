@@ -30,7 +30,7 @@ THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2
 N_STATS = 14
 #: Texts are turned into dense rows so many at a time.
-SLICE_BYTES, SLICE_ROWS = 4 << 20, 1024
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 256
 
 
 def _per_doc(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
