@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 
 import numpy as np
@@ -42,10 +43,18 @@ def text_bytes(df: DataFrame, col: str = "text") -> int:
     return int(df.agg(F.coalesce(F.sum(F.octet_length(col)), F.lit(0))).first()[0])
 
 
+def give_back() -> None:
+    """Freed memory of Arrow and, with glibc, of the C heap goes back to the system: a Python worker lives on beside the next stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, col: str = "text", limit: int = 1 << 20, rows: int = 1 << 20):
     """Cuts of a batch whose texts hold ``limit`` bytes at most (one row at least), with ``rows`` rows at most.
 
-    Work on a slice takes some 30 times its bytes. What Arrow keeps of that is given back after each batch, since workers live on."""
+    Work on a slice takes some 30 times its bytes; what is left of that is given back after each batch."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(col))), 0).to_numpy(zero_copy_only=False)
@@ -56,7 +65,7 @@ def slices(batch: pa.RecordBatch, col: str = "text", limit: int = 1 << 20, rows:
             total, start = 0, i
         total += n
     yield batch.slice(start)
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def split_words(texts: pa.Array, lower: bool = False):

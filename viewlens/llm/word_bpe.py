@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from viewlens.llm.blocks import apart, dealt, texts_of
-from viewlens.llm.common import coded, hash_words, ship, split_words
+from viewlens.llm.common import coded, give_back, hash_words, ship, split_words
 
 ship(__name__)
 
@@ -112,16 +112,17 @@ def request(parts: int):
 def answer(data):
     """Encode each distinct word of a part once; per block the number of ids of its words, and the ids."""
     def run(key, table):
-        lists = [_restore(w).decode().split("\n") for w in table["words"].to_pylist()]
-        codes, distinct = coded(pa.array([w for words in lists for w in words], pa.string()))
+        lists = [pc.split_pattern(pa.array([_restore(w)], pa.binary()).cast(pa.string(), safe=False), "\n").values for w in table["words"].to_pylist()]
+        codes, distinct = coded(pa.concat_arrays(lists))
         bounds = np.cumsum([0, *map(len, lists)])
         del lists
+        give_back()
         tokenizer, ids, count = _tokenizer(data.value), [], []
         for at in range(0, len(distinct), 4096):
-            for e in tokenizer.encode_batch_fast(distinct.slice(at, 4096).to_pylist(), add_special_tokens=False):
-                ids.append(np.array(e.ids, np.int32))
-                count.append(len(ids[-1]))
-        flat, count = np.concatenate(ids), np.array(count, np.int32)
+            some = [e.ids for e in tokenizer.encode_batch_fast(distinct.slice(at, 4096).to_pylist(), add_special_tokens=False)]
+            count.append(np.array([len(x) for x in some], np.int32))
+            ids.append(np.array([i for x in some for i in x], np.int32))
+        flat, count = np.concatenate(ids), np.concatenate(count)
         start = np.concatenate([[0], np.cumsum(count)])
         out = []
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -152,7 +153,6 @@ def encoded(docs: DataFrame, vocabulary: str, digest=None, schema: str = "n_toke
     finish = digest or lists_of
 
     def join_back(key, table, got):
-        pa.default_memory_pool().release_unused()
         offsets, words = split_words(texts_of(table))
         codes, words = coded(words)
         order, ends = _by_part(words, parts)
@@ -180,6 +180,8 @@ def encoded(docs: DataFrame, vocabulary: str, digest=None, schema: str = "n_toke
             return pa.ListArray.from_arrays(pa.array(ends[offsets].astype(np.int32)), pa.array(flat))
 
         out |= finish(id_lists, lambda: _joined(id_text.take(pick), kept), lambda: _joined(decoded.take(pick), kept))
+        del words, got, id_text, decoded, pick
+        give_back()
         return pa.table(out)
 
     return apart(rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join_back, f"doc_id {kind}, copies long, {schema}"))
